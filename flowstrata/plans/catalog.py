@@ -77,5 +77,115 @@ def q_passthrough_nodes(spark, sf_dir):
     return M.passthrough_nodes(members, kept)
 
 
+# ------------------------------------------------------------ flow, objective
+
+from ..operators.flow import undirdir_flow  # noqa: E402
+from ..operators.objective import codelength  # noqa: E402
+from .oracle import NETWORK_FLOW, VIEWS, WITHIN_FLOW, codelength_sql  # noqa: E402
+
+
+def within_flow(spark, sf_dir):
+    _, _, km, edges = network(spark, sf_dir)
+    within = M.within_cluster_edges(edges, km)
+    return km, undirdir_flow(within, ["cl_top"], nodes=km.select("cl_top", "node_id"))
+
+
+@register("undirdir_flow", f"""WITH {VIEWS}{WITHIN_FLOW}
+SELECT g AS cl_top, node_id, round(flow, 9) AS flow FROM node_flow""")
+def q_undirdir_flow(spark, sf_dir):
+    _, (nf, _) = within_flow(spark, sf_dir)
+    return nf.select("cl_top", "node_id", F.round("flow", 9).alias("flow"))
+
+
+@register("link_flow", f"""WITH {VIEWS}{WITHIN_FLOW}
+SELECT g AS cl_top, source, target, round(flow, 9) AS flow FROM link_flow""")
+def q_link_flow(spark, sf_dir):
+    _, (_, lf) = within_flow(spark, sf_dir)
+    return lf.select("cl_top", "source", "target", F.round("flow", 9).alias("flow"))
+
+
+def _rounded(df):
+    return df.select(*[c for c in df.columns
+                       if c not in ("codelength", "exit_flow", "num_modules")],
+                     F.round("codelength", 9).alias("codelength"), "num_modules",
+                     F.round("exit_flow", 9).alias("exit_flow"))
+
+
+PART_TYPE = ("SELECT cl_top AS g, k.node_id, p.p_type AS module FROM kept_members k "
+             "JOIN part p ON k.node_id = p.p_partkey")
+
+
+@register("codelength_per_cluster", f"WITH {VIEWS}{WITHIN_FLOW}" + codelength_sql(PART_TYPE, "p.g AS cl_top"))
+def q_codelength_per_cluster(spark, sf_dir):
+    """Codelength of each kept cluster's sub-network, modules = part type."""
+    km, (nf, lf) = within_flow(spark, sf_dir)
+    part = T.table(spark, sf_dir, "part").select(F.col("p_partkey").alias("node_id"),
+                                                 F.col("p_type").alias("module"))
+    asg = km.select("cl_top", "node_id").join(part, "node_id")
+    return _rounded(codelength(nf, lf, asg, ["cl_top"]))
+
+
+TOP_AS_MODULE = "SELECT 0 AS g, node_id, cl_top AS module FROM members"
+
+
+@register("codelength", f"WITH {VIEWS}{NETWORK_FLOW}" + codelength_sql(TOP_AS_MODULE, ""))
+def q_codelength(spark, sf_dir):
+    """Codelength of the whole network under the two-level tree's top clusters."""
+    members = M.members(T.tree(spark, sf_dir), T.vertices(spark, sf_dir))
+    nf, lf = undirdir_flow(T.edges(spark, sf_dir), nodes=T.vertices(spark, sf_dir))
+    asg = members.select("node_id", F.col("cl_top").alias("module"))
+    return _rounded(codelength(nf, lf, asg))
+
+
+# ------------------------------------------------------- partition, refine
+
+from ..operators.hierarchy import refine_clusters  # noqa: E402
+from . import pipeline as P  # noqa: E402
+
+
+@register("two_level_partition")
+def q_two_level_partition(spark, sf_dir):
+    """Two-level partition of the whole network -> tree ``(cl, flow, node_name)``."""
+    return P.two_level_tree(T.vertices(spark, sf_dir), T.edges(spark, sf_dir))
+
+
+@register("refine_clusters")
+def q_refine_clusters(spark, sf_dir):
+    """Hierarchical paths inside every kept cluster: ``(node_id, cl_top, cl, status)``."""
+    _, _, km, edges = network(spark, sf_dir)
+    return refine_clusters(km, M.within_cluster_edges(edges, km))
+
+
+@register("refine_status", with_views("""
+SELECT cl_top, 'ok' AS status, CAST(count(*) AS BIGINT) AS n FROM kept_members GROUP BY cl_top"""))
+def q_refine_status(spark, sf_dir):
+    """Per kept cluster: status of its refinement and node count."""
+    refined = q_refine_clusters(spark, sf_dir)
+    return refined.groupBy("cl_top", "status").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("final_assignment")
+def q_final_assignment(spark, sf_dir):
+    """Union of refined and pass-through rows, with a status column."""
+    return P.hierarchical_communities(
+        T.vertices(spark, sf_dir), T.edges(spark, sf_dir), T.tree(spark, sf_dir),
+        MIN_SIZE, MAX_SIZE, with_status=True)
+
+
+@register("hierarchical_communities")
+def q_hierarchical_communities(spark, sf_dir):
+    """The flagship job: ``(node_id, node_name, cl, cl_top, flow)`` sorted by node id."""
+    return P.hierarchical_communities(
+        T.vertices(spark, sf_dir), T.edges(spark, sf_dir), T.tree(spark, sf_dir),
+        MIN_SIZE, MAX_SIZE)
+
+
+@register("cluster_network")
+def q_cluster_network(spark, sf_dir):
+    """Network only: two-level partition, then refinement of its clusters."""
+    return P.cluster_network(T.vertices(spark, sf_dir), T.edges(spark, sf_dir),
+                             MIN_SIZE, MAX_SIZE)
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return q_within_cluster_edges(spark, sf_dir)
+    return q_hierarchical_communities(spark, sf_dir)

@@ -64,3 +64,48 @@ def staging_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the checkpoint folder for written tables."""
     base = checkpoint_dir(spark)
     return os.path.join(base, "staged", f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def stage(df, name: str = "stage"):
+    """Write ``df`` as parquet under the checkpoint folder and read it back.
+
+    Cuts lineage like ``checkpoint()`` but leaves no trace of the producing
+    plan (statistics, constraints) in the new one, which keeps planning time
+    flat across the rounds of an iterative job."""
+    spark = df.sparkSession
+    path = staging_path(spark, name)
+    df.write.mode("errorifexists").parquet(path)
+    # The schema is known: passing it skips the footer-reading job.
+    return spark.read.schema(df.schema).parquet(path)
+
+
+class conf_override:
+    """Temporarily set SQL options on a session, restoring them on exit."""
+
+    def __init__(self, spark: SparkSession, options: dict[str, str]):
+        self.spark = spark
+        self.options = options
+        self.saved: dict[str, str | None] = {}
+
+    def __enter__(self):
+        for k, v in self.options.items():
+            try:
+                self.saved[k] = self.spark.conf.get(k)
+            except Exception:  # noqa: BLE001
+                self.saved[k] = None
+            self.spark.conf.set(k, v)
+        return self.spark
+
+    def __exit__(self, *exc):
+        for k, v in self.saved.items():
+            if v is None:
+                self.spark.conf.unset(k)
+            else:
+                self.spark.conf.set(k, v)
+        return False
+
+
+# Options for the many-join plans of iterative rounds: the runtime
+# bloom-filter rule re-estimates statistics across the whole join tree and
+# its planning time grows far beyond the work itself.
+ROUND_OPTIONS = {"spark.sql.optimizer.runtime.bloomFilter.enabled": "false"}
