@@ -8,7 +8,7 @@ Each module with more than ``min_split`` nodes becomes a group one level
 down, named ``<parent path>:<module ordinal>``, with its own flow computed
 on its own internal links.  Leaves are numbered at the end.
 
-Module ordinals: by module flow (desc), then module id.  Leaf ordinals: by
+Module ordinals: by module flow (desc), then smallest node id.  Leaf ordinals: by
 node flow in the last sub-network the node was partitioned in (desc), then
 node id.  Clusters with invalid input (null ids, non-finite or non-positive
 weights) are not refined: their nodes get ``<cl_top>:FAILED`` and status
@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from ..functions.ranking import ordinal_within
 from ..session import stage
 from .flow import undirdir_flow
+from .local_moves import refine_pandas
 from .moves import MoveConfig, two_level_partition
 from .objective import codelength, one_module_codelength
 
@@ -36,6 +37,11 @@ class RefineConfig:
     max_depth: int = 3
     min_split: int = 3
     min_gain: float = 1e-10
+    # Groups with at most this many links and nodes are refined in one task
+    # each (numpy, all depths); larger groups use the distributed rounds.
+    # 0 disables the fast path.
+    fast_max_links: int = 50_000
+    fast_max_nodes: int = 50_000
 
 
 def _invalid_groups(nodes: DataFrame, links: DataFrame) -> DataFrame:
@@ -51,8 +57,9 @@ def module_ordinals(node_flow: DataFrame, assignment: DataFrame) -> DataFrame:
     """``(g, module, ord, size)``: modules ranked by flow within the group."""
     mods = (node_flow.join(assignment, ["g", "node_id"])
             .groupBy("g", "module")
-            .agg(F.sum("flow").alias("mflow"), F.count(F.lit(1)).alias("size")))
-    return ordinal_within(mods, ["g"], [F.col("mflow").desc(), F.col("module")], "ord")
+            .agg(F.sum("flow").alias("mflow"), F.count(F.lit(1)).alias("size"),
+                 F.min("node_id").alias("first_id")))
+    return ordinal_within(mods, ["g"], [F.col("mflow").desc(), F.col("first_id")], "ord")
 
 
 def refine_groups(nodes: DataFrame, links: DataFrame,
@@ -77,9 +84,18 @@ def refine_groups(nodes: DataFrame, links: DataFrame,
                       F.lit("failed").alias("status")))
     active_nodes = stage(nodes.join(bad, "g", "left_anti"), "refine_nodes")
     active_links = stage(links.join(bad, "g", "left_anti"), "refine_links")
-    finals: list[DataFrame] = []  # (top, node_id, g_final, flow)
-    top_of = active_nodes.select(F.col("g").alias("top"), "node_id")
+    finals: list[DataFrame] = []  # (g, node_id, g_final, flow)
+    done: list[DataFrame] = [failed]  # (g, node_id, path, status)
     for depth in range(cfg.max_depth):
+        if cfg.fast_max_links > 0:
+            small = _small_groups(active_nodes, active_links, cfg)
+            done.append(_refine_small(active_nodes.join(small, "g", "left_semi"),
+                                      active_links.join(small, "g", "left_semi"),
+                                      cfg, cfg.max_depth - depth))
+            active_nodes = stage(active_nodes.join(small, "g", "left_anti"), "refine_nodes")
+            active_links = stage(active_links.join(small, "g", "left_anti"), "refine_links")
+            if active_nodes.isEmpty():
+                break
         nf, lf = undirdir_flow(active_links, ["g"], nodes=active_nodes)
         nf = stage(nf, "refine_flow")
         asg, _ = two_level_partition(nf, lf, group="g", config=cfg.moves)
@@ -119,14 +135,33 @@ def refine_groups(nodes: DataFrame, links: DataFrame,
             .where(F.col("gs") == F.col("gt"))
             .select(F.col("gs").alias("g"), "source", "target", "weight"), "refine_links")
         active_nodes = stage(go.select(F.col("g_new").alias("g"), "node_id"), "refine_nodes")
-    leaves = reduce(DataFrame.unionByName, finals).select("node_id", "g_final", "flow")
-    leaves = ordinal_within(leaves, ["g_final"], [F.col("flow").desc(), F.col("node_id")],
-                            "leaf")
-    ok = (leaves.join(top_of, "node_id")
-          .select(F.col("top").alias("g"), "node_id",
-                  F.concat(F.col("g_final"), F.lit(":"), F.col("leaf").cast("string")).alias("path"),
-                  F.lit("ok").alias("status")))
-    return ok.unionByName(failed)
+    if finals:
+        leaves = reduce(DataFrame.unionByName, finals).select("node_id", "g_final", "flow")
+        leaves = ordinal_within(leaves, ["g_final"],
+                                [F.col("flow").desc(), F.col("node_id")], "leaf")
+        done.append(leaves.select(
+            "g_final", "node_id",
+            F.concat(F.col("g_final"), F.lit(":"), F.col("leaf").cast("string")).alias("path"),
+            F.lit("ok").alias("status")).withColumnRenamed("g_final", "g"))
+    # the top cluster is the path head (a top cluster never contains ':')
+    return (reduce(DataFrame.unionByName, done)
+            .withColumn("g", F.substring_index("g", ":", 1)))
+
+
+def _small_groups(nodes: DataFrame, links: DataFrame, cfg: RefineConfig) -> DataFrame:
+    """Groups under both size bounds (counted, so the bound is checked)."""
+    nn = nodes.groupBy("g").agg(F.count(F.lit(1)).alias("nn"))
+    nl = links.groupBy("g").agg(F.count(F.lit(1)).alias("nl"))
+    return stage(nn.join(nl, "g", "left").fillna(0, ["nl"])
+                 .where((F.col("nn") <= cfg.fast_max_nodes) & (F.col("nl") <= cfg.fast_max_links))
+                 .select("g"), "small_groups")
+
+
+def _refine_small(nodes: DataFrame, links: DataFrame, cfg: RefineConfig,
+                  depth_left: int) -> DataFrame:
+    fn = refine_pandas(depth_left, cfg.min_split, cfg.min_gain, cfg.moves.max_rounds)
+    return (nodes.groupBy("g").cogroup(links.groupBy("g"))
+            .applyInPandas(fn, "g string, node_id bigint, path string, status string"))
 
 
 def refine_clusters(kept_members: DataFrame, within_edges: DataFrame,

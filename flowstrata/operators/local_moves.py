@@ -1,0 +1,201 @@
+"""Per-group fast path for small groups: the same flow model, objective,
+acceptance rule, ordinals and path format as the DataFrame rounds, run in
+numpy inside one task per group.
+
+Only groups under a checked size bound (links and nodes) are sent here by
+:func:`flowstrata.operators.hierarchy.refine_groups`; everything larger
+stays on the distributed rounds.  Inside a group, moves are sequential
+(one node at a time, exact codelength change), so no damping is needed.
+"""
+
+from __future__ import annotations
+
+import numpy as np
+import pandas as pd
+
+
+def plogp(x: np.ndarray) -> np.ndarray:
+    x = np.asarray(x, dtype=float)
+    out = np.zeros_like(x)
+    pos = x > 0
+    out[pos] = x[pos] * np.log2(x[pos])
+    return out
+
+
+def undirdir(n: int, src: np.ndarray, dst: np.ndarray, w: np.ndarray):
+    """Node flow ``p`` (length n) and distinct links ``(s, t, f)``."""
+    if len(src) == 0:
+        return np.zeros(n), src, dst, np.zeros(0)
+    key = src.astype(np.int64) * n + dst
+    uniq, inv = np.unique(key, return_inverse=True)
+    wa = np.bincount(inv, weights=w)
+    s, t = uniq // n, uniq % n
+    w_out = np.bincount(s, weights=wa, minlength=n)
+    w_in = np.bincount(t, weights=wa, minlength=n)
+    p0 = (w_out + w_in) / (2 * wa.sum())
+    f = p0[s] * wa / w_out[s]
+    f = f / f.sum()
+    return np.bincount(t, weights=f, minlength=n), s, t, f
+
+
+def codelength(p: np.ndarray, s: np.ndarray, t: np.ndarray, f: np.ndarray,
+               module: np.ndarray) -> float:
+    k = int(module.max()) + 1 if len(module) else 0
+    pm = np.bincount(module, weights=p, minlength=k)
+    cut = module[s] != module[t]
+    q = np.bincount(module[s][cut], weights=f[cut], minlength=k)
+    return float(plogp(np.array([q.sum()]))[0] - 2 * plogp(q).sum()
+                 - plogp(p).sum() + plogp(q + pm).sum())
+
+
+def _move_sweeps(p, s, t, f, max_sweeps, min_delta):
+    """Sequential local moving on one level; returns a module per node."""
+    n = len(p)
+    m = np.arange(n)
+    keep = s != t
+    s, t, f = s[keep], t[keep], f[keep]
+    out = np.bincount(s, weights=f, minlength=n)
+    q = out.copy()
+    pm = p.astype(float).copy()
+    total_q = q.sum()
+    nbr: list[list[tuple[int, float, float]]] = [[] for _ in range(n)]
+    for a, b, w in zip(s.tolist(), t.tolist(), f.tolist()):
+        nbr[a].append((b, w, 0.0))
+        nbr[b].append((a, 0.0, w))
+
+    def pl(x):
+        return x * np.log2(x) if x > 0 else 0.0
+
+    for _ in range(max_sweeps):
+        moved = 0
+        for v in range(n):
+            if not nbr[v]:
+                continue
+            a = m[v]
+            flows: dict[int, list[float]] = {}
+            for u, o, i in nbr[v]:
+                acc = flows.setdefault(int(m[u]), [0.0, 0.0])
+                acc[0] += o
+                acc[1] += i
+            oa, ia = flows.get(a, (0.0, 0.0))
+            qa1 = q[a] - out[v] + oa + ia
+            pa1 = pm[a] - p[v]
+            best, best_x = 0.0, -1
+            for x in sorted(flows):
+                if x == a:
+                    continue
+                ox, ix = flows[x]
+                qx1 = q[x] + out[v] - ox - ix
+                px1 = pm[x] + p[v]
+                q1 = total_q - q[a] - q[x] + qa1 + qx1
+                d = ((pl(q1) - pl(total_q))
+                     - 2 * (pl(qa1) + pl(qx1) - pl(q[a]) - pl(q[x]))
+                     + (pl(qa1 + pa1) + pl(qx1 + px1) - pl(q[a] + pm[a]) - pl(q[x] + pm[x])))
+                d = round(d, 12)
+                if d < best:
+                    best, best_x = d, x
+            if best_x >= 0 and best < -min_delta:
+                ox, ix = flows[best_x]
+                qx1 = q[best_x] + out[v] - ox - ix
+                total_q += (qa1 - q[a]) + (qx1 - q[best_x])
+                q[a], pm[a] = qa1, pa1
+                q[best_x], pm[best_x] = qx1, pm[best_x] + p[v]
+                m[v] = best_x
+                moved += 1
+        if moved == 0:
+            break
+    return m
+
+
+def two_level(p, s, t, f, max_sweeps: int = 50, min_delta: float = 1e-10,
+              max_levels: int = 12) -> np.ndarray:
+    """Module per node (labels 0..k-1), sequential moves + contraction."""
+    n = len(p)
+    mapping = np.arange(n)
+    cp, cs, ct, cf = p, s, t, f
+    for _ in range(max_levels):
+        m = _move_sweeps(cp, cs, ct, cf, max_sweeps, min_delta)
+        labels, m = np.unique(m, return_inverse=True)
+        if len(labels) == len(cp):
+            break
+        mapping = m[mapping]
+        k = len(labels)
+        cp = np.bincount(m, weights=cp, minlength=k)
+        ms, mt = m[cs], m[ct]
+        cut = ms != mt
+        if not cut.any():
+            break
+        key = ms[cut].astype(np.int64) * k + mt[cut]
+        uniq, inv = np.unique(key, return_inverse=True)
+        cf = np.bincount(inv, weights=cf[cut])
+        cs, ct = uniq // k, uniq % k
+    _, mapping = np.unique(mapping, return_inverse=True)
+    return mapping
+
+
+def refine(ids: np.ndarray, src: np.ndarray, dst: np.ndarray, w: np.ndarray,
+           max_depth: int, min_split: int, min_gain: float,
+           max_sweeps: int = 50) -> list[str]:
+    """Path suffix (without the group prefix) for every node of ``ids``.
+
+    ``src``/``dst`` index into ``ids``.  Same rules as the distributed
+    refinement: split only if the two-level codelength beats one module;
+    modules ranked by (flow desc, smallest node id); recurse into modules
+    with more than ``min_split`` nodes; leaves ranked by (flow desc, id)."""
+    paths = [""] * len(ids)
+
+    def leaves(members: np.ndarray, flow: np.ndarray, prefix: str):
+        order = np.lexsort((ids[members], -flow))
+        for rank, j in enumerate(order, start=1):
+            paths[members[j]] = f"{prefix}{rank}"
+
+    def rec(members: np.ndarray, ls: np.ndarray, lt: np.ndarray, lw: np.ndarray,
+            prefix: str, depth: int):
+        n = len(members)
+        p, s, t, f = undirdir(n, ls, lt, lw)
+        if depth >= max_depth or len(s) == 0:
+            leaves(members, p, prefix)
+            return
+        m = two_level(p, s, t, f, max_sweeps)
+        k = int(m.max()) + 1
+        tot = p.sum()
+        one = float(-plogp(p / tot).sum()) if tot > 0 else 0.0
+        if k <= 1 or not codelength(p, s, t, f, m) < one - min_gain:
+            leaves(members, p, prefix)
+            return
+        mflow = np.bincount(m, weights=p, minlength=k)
+        mid = np.full(k, np.iinfo(np.int64).max)
+        np.minimum.at(mid, m, ids[members])
+        rank = np.empty(k, dtype=np.int64)
+        rank[np.lexsort((mid, -mflow))] = np.arange(1, k + 1)
+        for mod in range(k):
+            inside = np.flatnonzero(m == mod)
+            sub_prefix = f"{prefix}{rank[mod]}:"
+            if len(inside) <= min_split or depth + 1 >= max_depth:
+                leaves(members[inside], p[inside], sub_prefix)
+                continue
+            local = np.full(n, -1)
+            local[inside] = np.arange(len(inside))
+            keep = (m[ls] == mod) & (m[lt] == mod)
+            rec(members[inside], local[ls[keep]], local[lt[keep]], lw[keep],
+                sub_prefix, depth + 1)
+
+    rec(np.arange(len(ids)), src, dst, w, "", 0)
+    return paths
+
+
+def refine_pandas(max_depth: int, min_split: int, min_gain: float, max_sweeps: int):
+    """Cogrouped-map function ``(nodes, links) -> (g, node_id, path, status)``."""
+
+    def fn(key, nodes: pd.DataFrame, links: pd.DataFrame) -> pd.DataFrame:
+        g = key[0]
+        ids = np.sort(nodes["node_id"].to_numpy(dtype=np.int64))
+        pos = {v: i for i, v in enumerate(ids.tolist())}
+        src = np.array([pos[v] for v in links["source"].tolist()], dtype=np.int64)
+        dst = np.array([pos[v] for v in links["target"].tolist()], dtype=np.int64)
+        w = links["weight"].to_numpy(dtype=float)
+        suffix = refine(ids, src, dst, w, max_depth, min_split, min_gain, max_sweeps)
+        return pd.DataFrame({"g": g, "node_id": ids,
+                             "path": [f"{g}:{x}" for x in suffix], "status": "ok"})
+
+    return fn

@@ -14,7 +14,7 @@ at once.  One round:
    module id on even rounds, to a larger one on odd rounds), so two modules
    never swap nodes in one round;
 5. a group whose codelength rose in the last round is rolled back and its
-   share halved (after a good round the share doubles again, up to 1);
+   share halved (after a round that lowered it the share doubles again, up to 1);
    below one expected mover the group moves only its single best node, which
    never raises the codelength.
 
@@ -136,7 +136,9 @@ def _local_moving(nodes: DataFrame, links: DataFrame, grouped: bool,
               .withColumn("rose", F.col("L") > F.col("L_prev") + 1e-12))
         # halve after a rise (rolled back); after a good round grow back
         share = (F.when(F.col("rose"), F.col("share") / 2)
-                 .otherwise(F.least(F.lit(1.0), F.col("share") * 2)))
+                 .when(F.col("L") < F.col("L_prev") - 1e-12,
+                       F.least(F.lit(1.0), F.col("share") * 2))
+                 .otherwise(F.col("share")))
         groups_next = st.select(
             G, "n",
             F.when(F.col("rose"), F.col("L_prev")).otherwise(F.col("L")).alias("L_prev"),

@@ -189,3 +189,221 @@ def q_cluster_network(spark, sf_dir):
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     return q_hierarchical_communities(spark, sf_dir)
+
+
+# ----------------------------------------------------- edge/cluster statistics
+
+from ..operators import ordering as O  # noqa: E402
+from ..functions import paths as PT  # noqa: E402
+
+EDGE_CLUSTERS = """edge_cl AS (
+  SELECT e.source, e.target, a.cl_top AS cl_out, b.cl_top AS cl_in
+  FROM edges e LEFT JOIN members a ON e.source = a.node_id LEFT JOIN members b ON e.target = b.node_id
+),
+same_cl AS (SELECT * FROM edge_cl WHERE cl_out = cl_in),
+per_cl AS (
+  SELECT s.*, c.num_rows_in_cl FROM same_cl s
+  JOIN (SELECT cl_out, CAST(count(*) AS BIGINT) AS num_rows_in_cl FROM same_cl GROUP BY cl_out) c
+  ON s.cl_out = c.cl_out
+)"""
+LARGE_EDGE_CLUSTER = 3   # clusters with at least this many within-cluster edges
+
+
+def _edge_clusters(spark, sf_dir):
+    members = M.members(T.tree(spark, sf_dir), T.vertices(spark, sf_dir))
+    return members, M.edge_clusters(T.edges(spark, sf_dir), members)
+
+
+@register("edge_clusters", with_views(f", {EDGE_CLUSTERS}\nSELECT * FROM edge_cl".replace("WITH ,", "WITH")))
+def q_edge_clusters(spark, sf_dir):
+    return _edge_clusters(spark, sf_dir)[1]
+
+
+@register("same_cluster_edges", with_views(f", {EDGE_CLUSTERS}\nSELECT * FROM same_cl"))
+def q_same_cluster_edges(spark, sf_dir):
+    return M.same_cluster_edges(_edge_clusters(spark, sf_dir)[1])
+
+
+@register("edges_per_cluster", with_views(f", {EDGE_CLUSTERS}\nSELECT * FROM per_cl"))
+def q_edges_per_cluster(spark, sf_dir):
+    return M.edges_per_cluster(M.same_cluster_edges(_edge_clusters(spark, sf_dir)[1]))
+
+
+@register("edges_in_large_clusters", with_views(
+    f", {EDGE_CLUSTERS}\nSELECT * FROM per_cl WHERE num_rows_in_cl >= {LARGE_EDGE_CLUSTER}"))
+def q_edges_in_large_clusters(spark, sf_dir):
+    per = M.edges_per_cluster(M.same_cluster_edges(_edge_clusters(spark, sf_dir)[1]))
+    return per.where(F.col("num_rows_in_cl") >= LARGE_EDGE_CLUSTER)
+
+
+@register("edges_with_cluster_sizes", with_views(f""", {EDGE_CLUSTERS}
+SELECT e.*, s.n AS num_papers_in_cluster FROM edge_cl e LEFT JOIN sizes s ON e.cl_out = s.cl_top"""))
+def q_edges_with_cluster_sizes(spark, sf_dir):
+    members, ec = _edge_clusters(spark, sf_dir)
+    return M.edges_with_cluster_sizes(ec, M.cluster_sizes(members))
+
+
+@register("endpoint_count", with_views("""
+SELECT CAST(count(*) AS BIGINT) AS n_nodes FROM (SELECT source AS node_id FROM edges UNION SELECT target FROM edges) t"""))
+def q_endpoint_count(spark, sf_dir):
+    return M.endpoint_nodes(T.edges(spark, sf_dir)).agg(F.count(F.lit(1)).alias("n_nodes"))
+
+
+@register("partition_contingency", with_views("""
+SELECT m.cl_top AS cl_a, p.p_type AS cl_b, CAST(count(*) AS BIGINT) AS n
+FROM members m JOIN part p ON m.node_id = p.p_partkey GROUP BY 1, 2"""))
+def q_partition_contingency(spark, sf_dir):
+    members = M.members(T.tree(spark, sf_dir), T.vertices(spark, sf_dir))
+    a = members.select("node_id", F.col("cl_top").alias("cl_a"))
+    b = T.table(spark, sf_dir, "part").select(F.col("p_partkey").alias("node_id"),
+                                               F.col("p_type").alias("cl_b"))
+    return M.partition_contingency(a, b)
+
+
+@register("pipeline_counts", with_views("""
+SELECT 'vertices' AS stage, CAST(count(*) AS BIGINT) AS n FROM vertices
+UNION ALL SELECT 'edges', count(*) FROM edges
+UNION ALL SELECT 'members', count(*) FROM members
+UNION ALL SELECT 'kept_clusters', count(*) FROM kept
+UNION ALL SELECT 'kept_members', count(*) FROM kept_members
+UNION ALL SELECT 'within_cluster_edges', count(*) FROM within
+UNION ALL SELECT 'passthrough_nodes', count(*) FROM members WHERE node_id NOT IN (SELECT node_id FROM kept_members)"""))
+def q_pipeline_counts(spark, sf_dir):
+    members, kept, km, edges = network(spark, sf_dir)
+    stages = {"vertices": T.vertices(spark, sf_dir), "edges": edges, "members": members,
+              "kept_clusters": kept, "kept_members": km,
+              "within_cluster_edges": M.within_cluster_edges(edges, km),
+              "passthrough_nodes": M.passthrough_nodes(members, kept)}
+    parts = [df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(k).alias("stage"), "n")
+             for k, df in stages.items()]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+@register("duplicate_names", with_views("""
+SELECT p_name AS node_name, CAST(count(*) AS BIGINT) AS n FROM part GROUP BY p_name HAVING count(*) > 1"""))
+def q_duplicate_names(spark, sf_dir):
+    """Names carried by more than one vertex, with the part name as vertex name."""
+    v = T.table(spark, sf_dir, "part").select(F.col("p_partkey").alias("node_id"),
+                                               F.col("p_name").alias("node_name"))
+    return M.duplicate_names(v)
+
+
+# ------------------------------------------------------------- ordering
+
+@register("cluster_rank", with_views("""
+SELECT cl_top, n, row_number() OVER (ORDER BY n DESC, cl_top) AS rank FROM sizes"""))
+def q_cluster_rank(spark, sf_dir):
+    return O.cluster_rank(q_cluster_sizes(spark, sf_dir))
+
+
+@register("leaf_ordinals", with_views("""
+SELECT cl_top, node_id, flow, row_number() OVER (PARTITION BY cl_top ORDER BY flow DESC, node_id) AS leaf
+FROM members"""))
+def q_leaf_ordinals(spark, sf_dir):
+    return O.leaf_ordinals(q_members(spark, sf_dir))
+
+
+TOP_K = 10
+
+
+@register("top_clusters", with_views(f"SELECT * FROM sizes ORDER BY n DESC, cl_top LIMIT {TOP_K}"))
+def q_top_clusters(spark, sf_dir):
+    return O.top_clusters(q_cluster_sizes(spark, sf_dir), TOP_K)
+
+
+EDGE_SAMPLE = 10_000
+
+
+@register("edge_sample", with_views(f"SELECT * FROM edges ORDER BY source, target LIMIT {EDGE_SAMPLE}"))
+def q_edge_sample(spark, sf_dir):
+    """The first rows of the edge list in key order (a head() preview)."""
+    return T.edges(spark, sf_dir).orderBy("source", "target").limit(EDGE_SAMPLE)
+
+
+BIN_SIZE = 200
+BIN_MIN = 3
+BINS_SQL = f"""WITH RECURSIVE {VIEWS.strip()},
+s AS (SELECT cl_top, n, row_number() OVER (ORDER BY n DESC, cl_top) AS i FROM sizes WHERE n >= {BIN_MIN}),
+walk(i, bin, acc) AS (
+  SELECT i, CAST(0 AS BIGINT), n FROM s WHERE i = 1
+  UNION ALL
+  SELECT s.i, CASE WHEN w.acc >= {BIN_SIZE} THEN w.bin + 1 ELSE w.bin END,
+         CASE WHEN w.acc >= {BIN_SIZE} THEN s.n ELSE w.acc + s.n END
+  FROM walk w JOIN s ON s.i = w.i + 1
+),
+bins AS (SELECT s.cl_top, s.n, walk.bin FROM walk JOIN s ON walk.i = s.i)"""
+
+
+def _bins(spark, sf_dir):
+    return O.greedy_bins(q_cluster_sizes(spark, sf_dir), BIN_SIZE, BIN_MIN)
+
+
+@register("cluster_bins", BINS_SQL + "\nSELECT * FROM bins")
+def q_cluster_bins(spark, sf_dir):
+    return _bins(spark, sf_dir)
+
+
+@register("bin_edges", BINS_SQL + f", {EDGE_CLUSTERS}\n" + """
+SELECT p.source, p.target, p.cl_out, b.bin FROM same_cl p JOIN bins b ON p.cl_out = b.cl_top""")
+def q_bin_edges(spark, sf_dir):
+    """Within-cluster edges of every bin's clusters, tagged with the bin."""
+    same = M.same_cluster_edges(_edge_clusters(spark, sf_dir)[1])
+    bins = _bins(spark, sf_dir)
+    return (M.edges_of_clusters(same, bins)
+            .join(bins.select(F.col("cl_top").alias("cl_out"), "bin"), "cl_out")
+            .select("source", "target", "cl_out", "bin"))
+
+
+# ---------------------------------------------------------- path functions
+
+@register("cl_top", with_views("SELECT cl, split_part(cl, ':', 1) AS cl_top FROM tree"))
+def q_cl_top(spark, sf_dir):
+    return T.tree(spark, sf_dir).select("cl", PT.cl_top("cl").alias("cl_top"))
+
+
+@register("combined_path", with_views("""
+SELECT node_id, cl_top || ':' || CAST(row_number() OVER (PARTITION BY cl_top ORDER BY flow DESC, node_id) AS VARCHAR)
+       || ':1' AS cl FROM kept_members"""))
+def q_combined_path(spark, sf_dir):
+    """``cl_top:<sub path>`` with sub path = ``<leaf>:1``."""
+    km = network(spark, sf_dir)[2]
+    leaves = O.leaf_ordinals(km)
+    sub = F.concat(F.col("leaf").cast("string"), F.lit(":1"))
+    return leaves.select("node_id", PT.combined_path("cl_top", sub).alias("cl"))
+
+
+@register("path_join", with_views("""
+SELECT node_id, CAST(cl_top AS VARCHAR) || ':' || CAST(node_id % 7 AS VARCHAR) || ':' || CAST(node_id AS VARCHAR) AS path
+FROM members"""))
+def q_path_join(spark, sf_dir):
+    """Integer lists -> path strings."""
+    m = q_members(spark, sf_dir)
+    arr = F.array(F.col("cl_top").cast("long"), F.col("node_id") % 7, F.col("node_id"))
+    return m.select("node_id", PT.path_join(arr).alias("path"))
+
+
+@register("path_replace_head", with_views("""
+SELECT m.node_id, CAST(r.rank AS VARCHAR) || CASE WHEN strpos(m.cl, ':') > 0
+       THEN substr(m.cl, strpos(m.cl, ':')) ELSE '' END AS cl
+FROM members m JOIN (SELECT cl_top, row_number() OVER (ORDER BY n DESC, cl_top) AS rank FROM sizes) r
+ON m.cl_top = r.cl_top"""))
+def q_path_replace_head(spark, sf_dir):
+    """Re-number top clusters by size rank inside every path."""
+    m = q_members(spark, sf_dir)
+    ranks = O.cluster_rank(M.cluster_sizes(m)).select("cl_top", "rank")
+    return m.join(ranks, "cl_top").select("node_id", PT.path_replace_head("cl", F.col("rank")).alias("cl"))
+
+
+@register("cluster_file_names", with_views("""
+SELECT cl_top, rank, lpad(CAST(rank AS VARCHAR), CAST(length(CAST((SELECT count(*) FROM kept) AS VARCHAR)) AS INTEGER), '0')
+       || '_network_cluster-' || cl_top || '.txt' AS file_name
+FROM (SELECT cl_top, row_number() OVER (ORDER BY n DESC, cl_top) AS rank FROM kept) t"""))
+def q_cluster_file_names(spark, sf_dir):
+    kept = network(spark, sf_dir)[1]
+    ranked = O.cluster_rank(kept)
+    width = len(str(kept.count()))
+    return ranked.select("cl_top", "rank",
+                         PT.cluster_file_name("rank", F.lit(width), "network", "cl_top").alias("file_name"))
