@@ -28,6 +28,7 @@ level.
 from __future__ import annotations
 
 import logging
+import time
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
@@ -127,7 +128,12 @@ def _local_moving(nodes: DataFrame, links: DataFrame, grouped: bool,
         lm = _links_with_modules(links, nodes).persist(StorageLevel.MEMORY_AND_DISK)
         mod = _module_stats(nodes, lm)
         gobj = _group_objective(mod)
-        improving = stage(_best_moves(nodes, lm, mod, gobj, grouped, cfg.min_delta), "moves")
+        t0 = time.perf_counter()
+        # reused by the group and node updates of this round only; a lost
+        # block is recomputed from this round's staged inputs
+        improving = _best_moves(nodes, lm, mod, gobj, grouped, cfg.min_delta).persist(
+            StorageLevel.MEMORY_AND_DISK)
+        t1 = time.perf_counter()
         gstat = improving.groupBy(G).agg(
             F.count(F.lit(1)).alias("n_imp"),
             F.min(F.struct("d", "v", "x")).alias("top"))
@@ -148,6 +154,7 @@ def _local_moving(nodes: DataFrame, links: DataFrame, grouped: bool,
             (share * F.col("n") < 1).alias("single"),
             "top")
         groups_next = stage(groups_next, "groups")
+        t2 = time.perf_counter()
         gsel = _bcast(groups_next.select(G, "share", "rose", "single"), grouped)
         direction = (F.col("x") < F.col("a")) if r % 2 == 0 else (F.col("x") > F.col("a"))
         sampled = (F.pmod(F.xxhash64(F.col("v"), F.lit(r), F.lit(level), F.lit(cfg.seed)), F.lit(1000))
@@ -166,12 +173,15 @@ def _local_moving(nodes: DataFrame, links: DataFrame, grouped: bool,
                          F.when(F.col("rose"), F.col("m_prev"))
                          .otherwise(F.col("m")).alias("m_prev")))
         nodes = stage(nodes, "nodes")
+        t3 = time.perf_counter()
         lm.unpersist()
+        improving.unpersist()
         groups = groups_next.drop("rose", "single", "top")
         n_active = groups.where(F.col("active")).count()
         if _LOG.isEnabledFor(logging.DEBUG):
-            _LOG.debug("level %d round %d active %d L %s", level, r, n_active,
-                       groups.agg(F.sum("L_prev")).first()[0])
+            _LOG.debug("level %d round %d active %d L %s times %.2f %.2f %.2f %.2f", level, r,
+                       n_active, groups.agg(F.sum("L_prev")).first()[0], t1 - t0, t2 - t1,
+                       t3 - t2, time.perf_counter() - t3)
         if n_active == 0:
             break
     return nodes, rounds

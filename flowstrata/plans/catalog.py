@@ -407,3 +407,146 @@ def q_cluster_file_names(spark, sf_dir):
     width = len(str(kept.count()))
     return ranked.select("cl_top", "rank",
                          PT.cluster_file_name("rank", F.lit(width), "network", "cl_top").alias("file_name"))
+
+
+# ------------------------------------------------------- sources and sinks
+# Each query writes data derived from the driver tables into the shared
+# staging folder with the library's writer and reads it back with its reader.
+
+from ..session import staging_path  # noqa: E402
+from ..sources import pajek as PJ  # noqa: E402
+from ..sources import text as TX  # noqa: E402
+
+PAJEK_IDS = """ids AS (
+  SELECT orig, row_number() OVER (ORDER BY orig) AS node_id
+  FROM (SELECT source AS orig FROM edges UNION SELECT target FROM edges) t
+)"""
+
+
+def _pajek_dir(spark, sf_dir):
+    vertices, arcs = PJ.edges_to_pajek(T.edges(spark, sf_dir))
+    path = staging_path(spark, "network_pajek")
+    PJ.write_pajek(vertices, arcs, path)
+    return path
+
+
+@register("edges_to_pajek", with_views(f""", {PAJEK_IDS}
+SELECT node_id, CAST(orig AS VARCHAR) AS node_name FROM ids"""))
+def q_edges_to_pajek(spark, sf_dir):
+    """Vertex table of the Pajek conversion (consecutive ids)."""
+    return PJ.edges_to_pajek(T.edges(spark, sf_dir))[0]
+
+
+@register("pajek_vertices", with_views(f""", {PAJEK_IDS}
+SELECT node_id, CAST(orig AS VARCHAR) AS node_name FROM ids"""))
+def q_pajek_vertices(spark, sf_dir):
+    return PJ.read_pajek(spark, _pajek_dir(spark, sf_dir)).vertices
+
+
+PAJEK_ARCS = f""", {PAJEK_IDS}
+SELECT a.node_id AS source, b.node_id AS target, 1.0 AS weight
+FROM edges e JOIN ids a ON e.source = a.orig JOIN ids b ON e.target = b.orig"""
+
+
+@register("pajek_edges", with_views(PAJEK_ARCS))
+def q_pajek_edges(spark, sf_dir):
+    return PJ.read_pajek(spark, _pajek_dir(spark, sf_dir)).edges
+
+
+@register("read_pajek", with_views("""
+SELECT 'e' AS section, CAST(count(*) AS BIGINT) AS n FROM edges
+UNION ALL SELECT 'v', count(*) FROM (SELECT source FROM edges UNION SELECT target FROM edges) t"""))
+def q_read_pajek(spark, sf_dir):
+    """Rows per section of a written Pajek network read back (default rules)."""
+    t = PJ.read_pajek(spark, _pajek_dir(spark, sf_dir))
+    return (t.vertices.select(F.lit("v").alias("section"))
+            .unionByName(t.edges.select(F.lit("e").alias("section")))
+            .groupBy("section").agg(F.count(F.lit(1)).alias("n")))
+
+
+@register("pajek_to_edgelist", with_views(f""", {PAJEK_IDS}
+SELECT a.node_id AS source, b.node_id AS target
+FROM edges e JOIN ids a ON e.source = a.orig JOIN ids b ON e.target = b.orig"""))
+def q_pajek_to_edgelist(spark, sf_dir):
+    """Pajek (strict header rules) -> headerless TSV edge list -> read back."""
+    t = PJ.read_pajek(spark, _pajek_dir(spark, sf_dir), strict_headers=True)
+    path = staging_path(spark, "edgelist")
+    TX.write_edgelist(t.edges, path)
+    return TX.read_edgelist(spark, path)
+
+
+@register("read_edgelist", with_views("SELECT source AS Paper_ID, target AS Paper_reference_ID FROM edges"))
+def q_read_edgelist(spark, sf_dir):
+    path = staging_path(spark, "edgelist")
+    TX.write_edgelist(T.edges(spark, sf_dir), path)
+    return TX.read_edgelist(spark, path, ("Paper_ID", "Paper_reference_ID"))
+
+
+@register("read_tree", with_views("SELECT cl, round(flow, 9) AS flow, node_name FROM tree"))
+def q_read_tree(spark, sf_dir):
+    path = staging_path(spark, "tree")
+    TX.write_tree(T.tree(spark, sf_dir), path)
+    t = TX.read_tree(spark, path)
+    return t.select("cl", F.round("flow", 9).alias("flow"), "node_name")
+
+
+MEMBER_SCHEMA = "node_id BIGINT, node_name STRING, cl STRING, flow DOUBLE, cl_top STRING"
+
+
+@register("write_result_roundtrip", with_views(
+    "SELECT node_id, node_name, cl, round(flow, 9) AS flow, cl_top FROM members"))
+def q_write_result_roundtrip(spark, sf_dir):
+    """Sorted, range-partitioned TSV result written and read back."""
+    path = staging_path(spark, "result")
+    TX.write_result(q_members(spark, sf_dir), path)
+    r = TX.read_results(spark, path, MEMBER_SCHEMA)
+    return r.withColumn("flow", F.round("flow", 9))
+
+
+@register("read_results", with_views(
+    "SELECT CAST(node_id AS VARCHAR) AS node_id, node_name, cl, cl_top FROM members"))
+def q_read_results(spark, sf_dir):
+    """Headered TSV parts of one directory read without a schema (strings)."""
+    path = staging_path(spark, "results")
+    TX.write_result(q_members(spark, sf_dir).drop("flow"), path)
+    return TX.read_results(spark, path)
+
+
+@register("read_single_csv", with_views("SELECT cl_top, n FROM sizes"))
+def q_read_single_csv(spark, sf_dir):
+    path = staging_path(spark, "sizes_csv")
+    q_cluster_sizes(spark, sf_dir).coalesce(1).write.csv(path)
+    return TX.read_single_csv(spark, path, "cl_top STRING, n BIGINT")
+
+
+@register("cluster_counts", with_views("SELECT cl_top AS cl, n AS num_papers FROM kept"))
+def q_cluster_counts(spark, sf_dir):
+    """Cluster counts file with header ``cl<TAB>num_papers``, read back."""
+    path = staging_path(spark, "counts")
+    TX.write_counts(network(spark, sf_dir)[1], path)
+    return TX.read_results(spark, path, "cl STRING, num_papers BIGINT")
+
+
+@register("cluster_node_lists", with_views("""
+SELECT r.rank AS cluster_rank, m.cl_top, m.node_name
+FROM members m JOIN (SELECT cl_top, row_number() OVER (ORDER BY n DESC, cl_top) AS rank FROM kept) r
+ON m.cl_top = r.cl_top"""))
+def q_cluster_node_lists(spark, sf_dir):
+    """One node-name list per kept cluster, partitioned by size rank and cluster."""
+    members, kept, km, _ = network(spark, sf_dir)
+    ranked = O.cluster_rank(kept).select("cl_top", F.col("rank").alias("cluster_rank"))
+    rows = km.join(ranked, "cl_top").select("cluster_rank", "cl_top", "node_name")
+    path = staging_path(spark, "node_lists")
+    TX.write_partitioned_text(rows, path, ["cluster_rank", "cl_top"], "node_name")
+    back = TX.read_partitioned_text(spark, path, "node_name")
+    return back.select(F.col("cluster_rank").cast("long"), F.col("cl_top").cast("string"),
+                       "node_name")
+
+
+@register("bin_members", BINS_SQL + "\nSELECT bin, cl_top FROM bins")
+def q_bin_members(spark, sf_dir):
+    """Cluster names of every bin, one text file set per bin, read back."""
+    path = staging_path(spark, "bin_members")
+    TX.write_partitioned_text(_bins(spark, sf_dir), path, ["bin"], "cl_top")
+    back = TX.read_partitioned_text(spark, path, "cl_top")
+    return back.select(F.col("bin").cast("long"), "cl_top")
