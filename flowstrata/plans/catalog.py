@@ -550,3 +550,117 @@ def q_bin_members(spark, sf_dir):
     TX.write_partitioned_text(_bins(spark, sf_dir), path, ["bin"], "cl_top")
     back = TX.read_partitioned_text(spark, path, "cl_top")
     return back.select(F.col("bin").cast("long"), "cl_top")
+
+
+# ------------------------------------------- per-bin trees, finalisation
+
+BIN_TREE_ROWS = """, bin_tree AS (
+  SELECT b.bin, m.cl_top, m.cl, m.node_name,
+         row_number() OVER (PARTITION BY m.cl_top ORDER BY m.flow DESC, m.node_id) AS leaf
+  FROM members m JOIN bins b ON m.cl_top = b.cl_top
+)"""
+
+
+def _bin_tree_files(spark, sf_dir):
+    """One tree file per bin (rows in cluster order), written and listed back
+    as ``(bin, file, pos, path, name)``."""
+    members = q_members(spark, sf_dir)
+    bins = _bins(spark, sf_dir)
+    leaves = O.leaf_ordinals(members).select("node_id", "leaf")
+    rows = (members.join(bins.select("cl_top", "bin"), "cl_top").join(leaves, "node_id")
+            .select(PT.zero_padded("bin", F.lit(4)).alias("bin"), "cl_top", "leaf",
+                    F.col("cl").alias("path"), F.col("node_name").alias("name")))
+    path = staging_path(spark, "bin_trees")
+    # all rows of a bin in one task -> exactly one file per bin directory;
+    # a bin's size is bounded by construction (bin_size plus one cluster)
+    (rows.repartition("bin").sortWithinPartitions("bin", "cl_top", "leaf")
+     .select("bin", "path", "name")
+     .write.partitionBy("bin").option("sep", " ").csv(path))
+    # the partition column is declared so the padded bin names stay text
+    back = spark.read.csv(path, sep=" ", schema="path STRING, name STRING, bin STRING")
+    return back.select(
+        F.col("bin").cast("string").alias("bin"),
+        F.col("_metadata.file_path").alias("file"),
+        F.struct(F.col("_metadata.file_block_start"),
+                 F.monotonically_increasing_id()).alias("pos"),
+        "path", "name")
+
+
+@register("trees_per_bin", BINS_SQL + "\nSELECT lpad(CAST(bin AS VARCHAR), 4, '0') AS bin, CAST(1 AS BIGINT) AS n_files FROM bins GROUP BY bin")
+def q_trees_per_bin(spark, sf_dir):
+    files = _bin_tree_files(spark, sf_dir).select("bin", "file")
+    return O.single_file_bins(files)
+
+
+@register("consolidate_trees", BINS_SQL + BIN_TREE_ROWS + """
+SELECT node_name AS name,
+       CAST(dense_rank() OVER (ORDER BY bin, cl_top) AS VARCHAR) || substr(cl, strpos(cl, ':')) AS path,
+       dense_rank() OVER (ORDER BY bin, cl_top) AS top
+FROM bin_tree""")
+def q_consolidate_trees(spark, sf_dir):
+    """Unique top ids over the per-bin tree files (file order, line order)."""
+    rows = _bin_tree_files(spark, sf_dir)
+    files = rows.select("file", "pos", "path", "name")
+    out = O.consolidate_trees(files)
+    # sink: consolidated (name, path, top) headerless TSV, read back
+    path = staging_path(spark, "consolidated")
+    out.write.option("sep", "\t").csv(path)
+    return spark.read.csv(path, sep="\t", schema="name STRING, path STRING, top BIGINT")
+
+
+SUB_RESULTS = """, sub AS (
+  SELECT node_id, cl_top, '1:' || CAST(row_number() OVER (PARTITION BY cl_top ORDER BY flow DESC, node_id) AS VARCHAR)
+         AS hierInfomap_cl
+  FROM kept_members
+),
+fin AS (
+  SELECT v.node_id, t.cl, t.flow, t.node_name, split_part(t.cl, ':', 1) AS cl_top, s.hierInfomap_cl,
+         CASE WHEN s.hierInfomap_cl IS NULL THEN t.cl ELSE split_part(t.cl, ':', 1) || ':' || s.hierInfomap_cl END
+           AS cl_combined
+  FROM tree t LEFT JOIN vertices v ON t.node_name = v.node_name LEFT JOIN sub s ON v.node_id = s.node_id
+)"""
+
+
+def _finalized(spark, sf_dir):
+    """Tree + older sub-cluster result files (TSV parts) + vertices."""
+    km = network(spark, sf_dir)[2]
+    sub = O.leaf_ordinals(km).select(
+        "node_id", "cl_top",
+        F.concat(F.lit("1:"), F.col("leaf").cast("string")).alias("hierInfomap_cl"))
+    path = staging_path(spark, "sub_results")
+    TX.write_result(sub, path)
+    back = TX.read_results(spark, path, "node_id BIGINT, cl_top STRING, hierInfomap_cl STRING")
+    return P.finalize_paths(T.tree(spark, sf_dir), back, T.vertices(spark, sf_dir))
+
+
+@register("finalize_paths", with_views(SUB_RESULTS + "\nSELECT node_id, cl, round(flow, 9) AS flow, node_name, cl_top, hierInfomap_cl, cl_combined FROM fin"))
+def q_finalize_paths(spark, sf_dir):
+    return _finalized(spark, sf_dir).withColumn("flow", F.round("flow", 9))
+
+
+@register("trim_result", with_views(SUB_RESULTS + "\nSELECT node_id AS id, round(flow, 9) AS flow, node_name AS UID, cl_top, cl_combined AS cl FROM fin"))
+def q_trim_result(spark, sf_dir):
+    return P.trim_result(_finalized(spark, sf_dir)).withColumn("flow", F.round("flow", 9))
+
+
+@register("refine_by_bin")
+def q_refine_by_bin(spark, sf_dir):
+    """Hierarchical refinement of each bin's combined within-cluster network:
+    ``(node_id, bin, cl, status)`` - the group key is the bin."""
+    members = q_members(spark, sf_dir)
+    bins = _bins(spark, sf_dir)
+    nodes = members.join(bins.select("cl_top", "bin"), "cl_top").select(
+        F.col("bin").cast("string").alias("cl_top"), "node_id")
+    same = M.same_cluster_edges(M.edge_clusters(T.edges(spark, sf_dir), members))
+    links = same.join(bins.select(F.col("cl_top").alias("cl_out"), "bin"), "cl_out").select(
+        "source", "target", F.col("bin").cast("string").alias("cl_top"))
+    out = refine_clusters(nodes, links)
+    return out.select("node_id", F.col("cl_top").alias("bin"), "cl", "status")
+
+
+@register("refined_with_flow")
+def q_refined_with_flow(spark, sf_dir):
+    """Refined paths with the whole-network flow attached (left join)."""
+    _, _, km, edges = network(spark, sf_dir)
+    refined = refine_clusters(km, M.within_cluster_edges(edges, km))
+    return refined.join(km.select("node_id", "flow"), "node_id", "left")
