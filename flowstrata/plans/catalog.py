@@ -664,3 +664,20 @@ def q_refined_with_flow(spark, sf_dir):
     _, _, km, edges = network(spark, sf_dir)
     refined = refine_clusters(km, M.within_cluster_edges(edges, km))
     return refined.join(km.select("node_id", "flow"), "node_id", "left")
+
+
+# ---------------------------------------------------------------- stream
+
+from ..streaming.edges import edge_clusters_stream  # noqa: E402
+
+
+@register("edge_clusters_stream", ORACLE["edge_clusters"])
+def q_edge_clusters_stream(spark, sf_dir):
+    """Edge-cluster assignment run as a file stream over the edge table."""
+    members = q_members(spark, sf_dir)
+    edge_dir = staging_path(spark, "edge_stream_in")
+    T.edges(spark, sf_dir).repartition(8).write.parquet(edge_dir)
+    out_dir = staging_path(spark, "edge_stream_out")
+    q = edge_clusters_stream(spark, edge_dir, members, out_dir)
+    q.awaitTermination()
+    return spark.read.schema("source BIGINT, target BIGINT, cl_out STRING, cl_in STRING").parquet(out_dir)
