@@ -18,7 +18,8 @@ at once.  One round:
    below one expected mover the group moves only its single best node, which
    never raises the codelength.
 
-A level ends when no group has an improving move; modules are then
+A level ends when no group has an improving move or two rounds together
+gained less than ``tol`` bits; modules are then
 contracted into nodes and the next level starts, until nothing merges.
 Lineage is cut every round by writing the (small) node and group tables as
 parquet under ``spark.checkpoint.dir``; the link table is written once per
@@ -28,7 +29,6 @@ level.
 from __future__ import annotations
 
 import logging
-import time
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
@@ -49,6 +49,12 @@ class MoveConfig:
     share: float = 0.5
     min_delta: float = 1e-10
     seed: int = 999
+    # a group stops once two rounds together lowered its codelength by less
+    # than this many bits (the threshold the original two-level step uses)
+    tol: float = 1e-4
+    # ... or by less than this share of what the level has gained so far
+    # (diminishing returns; the contracted levels continue from there)
+    rel_tol: float = 0.005
 
 
 def _bcast(df: DataFrame, grouped: bool) -> DataFrame:
@@ -117,74 +123,104 @@ def _best_moves(nodes: DataFrame, lm: DataFrame, mod: DataFrame,
 
 def _local_moving(nodes: DataFrame, links: DataFrame, grouped: bool,
                   cfg: MoveConfig, level: int) -> tuple[DataFrame, int]:
+    """Rounds of one level.  Only groups that are still active take part in
+    a round: nodes of finished groups are set aside (written once), and the
+    link table is re-filtered to active groups whenever their number halves."""
     groups = (nodes.groupBy(G).agg(F.count(F.lit(1)).alias("n"))
               .withColumn("L_prev", F.lit(float("inf")))
+              .withColumn("L_hist", F.lit(float("inf")))
+              .withColumn("L_start", F.lit(None).cast("double"))
               .withColumn("share", F.lit(float(cfg.share)))
               .withColumn("active", F.lit(True)))
     groups = stage(groups, "groups")
+    n_groups = groups.count()
+    links_groups = n_groups
+    finished: list[DataFrame] = []
     rounds = 0
     for r in range(cfg.max_rounds):
         rounds = r + 1
         lm = _links_with_modules(links, nodes).persist(StorageLevel.MEMORY_AND_DISK)
         mod = _module_stats(nodes, lm)
         gobj = _group_objective(mod)
-        t0 = time.perf_counter()
         # reused by the group and node updates of this round only; a lost
         # block is recomputed from this round's staged inputs
         improving = _best_moves(nodes, lm, mod, gobj, grouped, cfg.min_delta).persist(
             StorageLevel.MEMORY_AND_DISK)
-        t1 = time.perf_counter()
         gstat = improving.groupBy(G).agg(
             F.count(F.lit(1)).alias("n_imp"),
             F.min(F.struct("d", "v", "x")).alias("top"))
         st = (groups.join(gobj.select(G, "L"), G)
               .join(gstat, G, "left")
               .withColumn("rose", F.col("L") > F.col("L_prev") + 1e-12))
-        # halve after a rise (rolled back); after a good round grow back
+        # halve after a rise (rolled back); after a round that lowered the
+        # codelength grow back
         share = (F.when(F.col("rose"), F.col("share") / 2)
                  .when(F.col("L") < F.col("L_prev") - 1e-12,
                        F.least(F.lit(1.0), F.col("share") * 2))
                  .otherwise(F.col("share")))
+        start = F.coalesce(F.col("L_start"), F.col("L"))
+        gained = start - F.col("L")
+        converged = (F.col("L_hist") - F.col("L")) < F.greatest(F.lit(cfg.tol),
+                                                               gained * cfg.rel_tol)
         groups_next = st.select(
-            G, "n",
+            G, "n", start.alias("L_start"),
             F.when(F.col("rose"), F.col("L_prev")).otherwise(F.col("L")).alias("L_prev"),
+            F.when(F.col("rose"), F.col("L_hist")).otherwise(F.col("L_prev")).alias("L_hist"),
             share.alias("share"),
-            (F.col("rose") | F.coalesce(F.col("n_imp") > 0, F.lit(False))).alias("active"),
+            (F.col("rose") | (F.coalesce(F.col("n_imp") > 0, F.lit(False)) & ~converged)
+             ).alias("active"),
             "rose",
             (share * F.col("n") < 1).alias("single"),
             "top")
         groups_next = stage(groups_next, "groups")
-        t2 = time.perf_counter()
         gsel = _bcast(groups_next.select(G, "share", "rose", "single"), grouped)
         direction = (F.col("x") < F.col("a")) if r % 2 == 0 else (F.col("x") > F.col("a"))
-        sampled = (F.pmod(F.xxhash64(F.col("v"), F.lit(r), F.lit(level), F.lit(cfg.seed)), F.lit(1000))
-                   < F.col("share") * 1000)
+        sampled = (F.pmod(F.xxhash64(F.col("v"), F.lit(r), F.lit(level), F.lit(cfg.seed)),
+                          F.lit(1000)) < F.col("share") * 1000)
         damped = (improving.join(gsel, G)
                   .where(~F.col("rose") & ~F.col("single") & sampled & direction)
                   .select(G, "v", F.col("x").alias("to")))
         single = (groups_next.where(~F.col("rose") & F.col("single") & F.col("top").isNotNull())
                   .select(G, F.col("top.v").alias("v"), F.col("top.x").alias("to")))
         moves = damped.union(single)
-        rolled = _bcast(groups_next.select(G, "rose"), grouped)
-        nodes = (nodes.join(rolled, G).join(moves, [G, "v"], "left")
-                 .select(G, "v", "p", "out",
-                         F.when(F.col("rose"), F.col("m_prev"))
-                         .otherwise(F.coalesce(F.col("to"), F.col("m"))).alias("m"),
-                         F.when(F.col("rose"), F.col("m_prev"))
-                         .otherwise(F.col("m")).alias("m_prev")))
-        nodes = stage(nodes, "nodes")
-        t3 = time.perf_counter()
+        state = _bcast(groups_next.select(G, "rose", "active"), grouped)
+        nodes = stage(
+            nodes.join(state, G).join(moves, [G, "v"], "left")
+            .select(G, "v", "p", "out",
+                    F.when(F.col("rose"), F.col("m_prev"))
+                    .otherwise(F.coalesce(F.col("to"), F.col("m"))).alias("m"),
+                    F.when(F.col("rose"), F.col("m_prev"))
+                    .otherwise(F.col("m")).alias("m_prev"),
+                    "active"), "nodes")
         lm.unpersist()
         improving.unpersist()
-        groups = groups_next.drop("rose", "single", "top")
-        n_active = groups.where(F.col("active")).count()
+        counts = groups_next.agg(
+            F.count(F.lit(1)).alias("all"),
+            F.sum(F.col("active").cast("long")).alias("act"),
+            F.sum("L_prev").alias("L")).first()
+        n_active = counts["act"] or 0
         if _LOG.isEnabledFor(logging.DEBUG):
-            _LOG.debug("level %d round %d active %d L %s times %.2f %.2f %.2f %.2f", level, r,
-                       n_active, groups.agg(F.sum("L_prev")).first()[0], t1 - t0, t2 - t1,
-                       t3 - t2, time.perf_counter() - t3)
+            _LOG.debug("level %d round %d active %d of %d L %s", level, r, n_active,
+                       counts["all"], counts["L"])
+        if n_active < counts["all"]:
+            # set finished groups aside; later rounds only see active ones
+            finished.append(stage(nodes.where(~F.col("active")).drop("active"), "nodes_done"))
+            nodes = stage(nodes.where(F.col("active")), "nodes")
+            groups = stage(groups_next.where(F.col("active")), "groups")
+            if 0 < n_active <= links_groups // 2:
+                links = stage(links.join(_bcast(groups.select(G), grouped), G, "left_semi"),
+                              "links")
+                links_groups = n_active
+        else:
+            groups = groups_next
+        groups = groups.drop("rose", "single", "top")
+        nodes = nodes.drop("active")
         if n_active == 0:
             break
-    return nodes, rounds
+    out = nodes
+    for part in finished:
+        out = out.unionByName(part)
+    return out, rounds
 
 
 def two_level_partition(node_flow: DataFrame, link_flow: DataFrame,
