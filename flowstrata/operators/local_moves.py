@@ -66,6 +66,8 @@ def _move_sweeps(p, s, t, f, max_sweeps, min_delta):
     def pl(x):
         return x * np.log2(x) if x > 0 else 0.0
 
+    size = np.ones(n, dtype=np.int64)
+    empty: list[int] = []  # labels of modules that lost all members
     for _ in range(max_sweeps):
         moved = 0
         for v in range(n):
@@ -77,6 +79,9 @@ def _move_sweeps(p, s, t, f, max_sweeps, min_delta):
                 acc = flows.setdefault(int(m[u]), [0.0, 0.0])
                 acc[0] += o
                 acc[1] += i
+            if size[a] > 1 and empty:
+                # leaving for a new, empty module
+                flows.setdefault(empty[-1], [0.0, 0.0])
             oa, ia = flows.get(a, (0.0, 0.0))
             qa1 = q[a] - out[v] + oa + ia
             pa1 = pm[a] - p[v]
@@ -101,6 +106,12 @@ def _move_sweeps(p, s, t, f, max_sweeps, min_delta):
                 q[a], pm[a] = qa1, pa1
                 q[best_x], pm[best_x] = qx1, pm[best_x] + p[v]
                 m[v] = best_x
+                size[a] -= 1
+                if size[best_x] == 0:
+                    empty.remove(best_x)
+                size[best_x] += 1
+                if size[a] == 0:
+                    empty.append(a)
                 moved += 1
         if moved == 0:
             break

@@ -18,8 +18,8 @@ at once.  One round:
    below one expected mover the group moves only its single best node, which
    never raises the codelength.
 
-A level ends when no group has an improving move or two rounds together
-gained less than ``tol`` bits; modules are then
+A level ends when no group has improving moves worth more than ``tol`` bits
+together; modules are then
 contracted into nodes and the next level starts, until nothing merges.
 Lineage is cut every round by writing the (small) node and group tables as
 parquet under ``spark.checkpoint.dir``; the link table is written once per
@@ -49,8 +49,9 @@ class MoveConfig:
     share: float = 0.5
     min_delta: float = 1e-10
     seed: int = 999
-    # a group stops once two rounds together lowered its codelength by less
-    # than this many bits (the threshold the original two-level step uses)
+    # a group stops once all its improving moves together would lower the
+    # codelength by less than this many bits (the threshold the original
+    # two-level step uses) ...
     tol: float = 1e-4
     # ... or by less than this share of what the level has gained so far
     # (diminishing returns; the contracted levels continue from there)
@@ -86,7 +87,7 @@ def _links_with_modules(links: DataFrame, nodes: DataFrame) -> DataFrame:
 
 def _best_moves(nodes: DataFrame, lm: DataFrame, mod: DataFrame,
                 gobj: DataFrame, grouped: bool, min_delta: float) -> DataFrame:
-    """Best improving move per node: ``(g, v, a, x, d)``."""
+    """Best improving move per node: ``(g, v, a, x, d, fresh)``."""
     both = F.explode(F.array(
         F.struct(F.col("s").alias("v"), F.col("ms").alias("a"), F.col("mt").alias("x"),
                  F.col("f").alias("o"), F.lit(0.0).alias("i")),
@@ -100,10 +101,18 @@ def _best_moves(nodes: DataFrame, lm: DataFrame, mod: DataFrame,
            .join(own, [G, "v"], "left").fillna(0.0, ["oa", "ia"])
            .join(mod.select(G, F.col("m").alias("a"), F.col("pm").alias("pa"),
                             F.col("q").alias("qa")), [G, "a"]))
+    # leaving for a new, empty module: the node's own id, when no module
+    # currently carries it (otherwise the option waits for a later round)
+    fresh = (nodes.where(F.col("m") != F.col("v"))
+             .join(mod.select(G, F.col("m").alias("v")), [G, "v"], "left_anti")
+             .select(G, "v", F.col("v").alias("x"), F.lit(0.0).alias("o"),
+                     F.lit(0.0).alias("i"), F.lit(True).alias("fresh")))
     cand = (vx.where(F.col("x") != F.col("a")).drop("a")
+            .withColumn("fresh", F.lit(False)).unionByName(fresh)
             .join(ctx, [G, "v"])
             .join(mod.select(G, F.col("m").alias("x"), F.col("pm").alias("px"),
-                             F.col("q").alias("qx")), [G, "x"])
+                             F.col("q").alias("qx")), [G, "x"], "left")
+            .fillna(0.0, ["px", "qx"])
             .join(_bcast(gobj.select(G, "Q"), grouped), G))
     c = F.col
     qa1 = c("qa") - c("out") + c("oa") + c("ia")
@@ -115,9 +124,10 @@ def _best_moves(nodes: DataFrame, lm: DataFrame, mod: DataFrame,
          - 2 * (plogp(qa1) + plogp(qx1) - plogp(c("qa")) - plogp(c("qx")))
          + (plogp(qa1 + pa1) + plogp(qx1 + px1)
             - plogp(c("qa") + c("pa")) - plogp(c("qx") + c("px"))))
-    best = (cand.select(G, "v", "a", F.struct(F.round(d, 12).alias("d"), c("x").alias("x")).alias("b"))
+    best = (cand.select(G, "v", "a", F.struct(F.round(d, 12).alias("d"), c("x").alias("x"),
+                                               c("fresh").alias("fresh")).alias("b"))
             .groupBy(G, "v", "a").agg(F.min("b").alias("b"))
-            .select(G, "v", "a", "b.d", "b.x"))
+            .select(G, "v", "a", "b.d", "b.x", "b.fresh"))
     return best.where(c("d") < -min_delta)
 
 
@@ -128,7 +138,6 @@ def _local_moving(nodes: DataFrame, links: DataFrame, grouped: bool,
     link table is re-filtered to active groups whenever their number halves."""
     groups = (nodes.groupBy(G).agg(F.count(F.lit(1)).alias("n"))
               .withColumn("L_prev", F.lit(float("inf")))
-              .withColumn("L_hist", F.lit(float("inf")))
               .withColumn("L_start", F.lit(None).cast("double"))
               .withColumn("share", F.lit(float(cfg.share)))
               .withColumn("active", F.lit(True)))
@@ -148,6 +157,7 @@ def _local_moving(nodes: DataFrame, links: DataFrame, grouped: bool,
             StorageLevel.MEMORY_AND_DISK)
         gstat = improving.groupBy(G).agg(
             F.count(F.lit(1)).alias("n_imp"),
+            (-F.sum("d")).alias("potential"),
             F.min(F.struct("d", "v", "x")).alias("top"))
         st = (groups.join(gobj.select(G, "L"), G)
               .join(gstat, G, "left")
@@ -158,14 +168,16 @@ def _local_moving(nodes: DataFrame, links: DataFrame, grouped: bool,
                  .when(F.col("L") < F.col("L_prev") - 1e-12,
                        F.least(F.lit(1.0), F.col("share") * 2))
                  .otherwise(F.col("share")))
+        # converged: all improving moves together would gain less than tol
+        # (or than rel_tol of the gain of this level so far); measured on the
+        # candidates, so rounds that damping left idle do not count
         start = F.coalesce(F.col("L_start"), F.col("L"))
         gained = start - F.col("L")
-        converged = (F.col("L_hist") - F.col("L")) < F.greatest(F.lit(cfg.tol),
-                                                               gained * cfg.rel_tol)
+        converged = F.coalesce(F.col("potential"), F.lit(0.0)) < F.greatest(
+            F.lit(cfg.tol), gained * cfg.rel_tol)
         groups_next = st.select(
             G, "n", start.alias("L_start"),
             F.when(F.col("rose"), F.col("L_prev")).otherwise(F.col("L")).alias("L_prev"),
-            F.when(F.col("rose"), F.col("L_hist")).otherwise(F.col("L_prev")).alias("L_hist"),
             share.alias("share"),
             (F.col("rose") | (F.coalesce(F.col("n_imp") > 0, F.lit(False)) & ~converged)
              ).alias("active"),
@@ -174,7 +186,9 @@ def _local_moving(nodes: DataFrame, links: DataFrame, grouped: bool,
             "top")
         groups_next = stage(groups_next, "groups")
         gsel = _bcast(groups_next.select(G, "share", "rose", "single"), grouped)
-        direction = (F.col("x") < F.col("a")) if r % 2 == 0 else (F.col("x") > F.col("a"))
+        # a move into a new module cannot meet another move: no direction rule
+        direction = F.col("fresh") | (
+            (F.col("x") < F.col("a")) if r % 2 == 0 else (F.col("x") > F.col("a")))
         sampled = (F.pmod(F.xxhash64(F.col("v"), F.lit(r), F.lit(level), F.lit(cfg.seed)),
                           F.lit(1000)) < F.col("share") * 1000)
         damped = (improving.join(gsel, G)
