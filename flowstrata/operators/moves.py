@@ -35,7 +35,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import ROUND_OPTIONS, conf_override, stage
+from ..session import ROUND_OPTIONS, conf_override, release, stage
 from .flow import plogp
 
 G = "g"
@@ -142,6 +142,7 @@ def _local_moving(nodes: DataFrame, links: DataFrame, grouped: bool,
               .withColumn("share", F.lit(float(cfg.share)))
               .withColumn("active", F.lit(True)))
     groups = stage(groups, "groups")
+    caller_nodes = nodes
     n_groups = groups.count()
     links_groups = n_groups
     finished: list[DataFrame] = []
@@ -198,6 +199,7 @@ def _local_moving(nodes: DataFrame, links: DataFrame, grouped: bool,
                   .select(G, F.col("top.v").alias("v"), F.col("top.x").alias("to")))
         moves = damped.union(single)
         state = _bcast(groups_next.select(G, "rose", "active"), grouped)
+        old_nodes, old_groups = nodes, groups
         nodes = stage(
             nodes.join(state, G).join(moves, [G, "v"], "left")
             .select(G, "v", "p", "out",
@@ -208,6 +210,8 @@ def _local_moving(nodes: DataFrame, links: DataFrame, grouped: bool,
                     "active"), "nodes")
         lm.unpersist()
         improving.unpersist()
+        # the caller's node table may still be read by the caller
+        release(None if old_nodes is caller_nodes else old_nodes, old_groups)
         counts = groups_next.agg(
             F.count(F.lit(1)).alias("all"),
             F.sum(F.col("active").cast("long")).alias("act"),
@@ -219,8 +223,10 @@ def _local_moving(nodes: DataFrame, links: DataFrame, grouped: bool,
         if n_active < counts["all"]:
             # set finished groups aside; later rounds only see active ones
             finished.append(stage(nodes.where(~F.col("active")).drop("active"), "nodes_done"))
+            all_nodes = nodes
             nodes = stage(nodes.where(F.col("active")), "nodes")
             groups = stage(groups_next.where(F.col("active")), "groups")
+            release(all_nodes, groups_next)
             if 0 < n_active <= links_groups // 2:
                 links = stage(links.join(_bcast(groups.select(G), grouped), G, "left_semi"),
                               "links")
@@ -270,14 +276,17 @@ def _two_level(node_flow: DataFrame, link_flow: DataFrame, group: str | None,
         nodes, rounds = _local_moving(nodes, links, grouped, cfg, level)
         stats["rounds"].append(rounds)
         step = nodes.select(G, F.col("v").alias("m"), F.col("m").alias("m_new"))
+        old_orig = orig
         orig = (orig.join(step, [G, "m"])
                 .select(G, "node_id", F.col("m_new").alias("m")))
         orig = stage(orig, "assignment")
+        release(old_orig)
         merged = nodes.where(F.col("m") != F.col("v")).limit(1).count() > 0
         if not merged:
             break
         # contract modules into nodes for the next level
         asg = nodes.select(G, "v", "m")
+        old_links = links
         links = (links
                  .join(asg.select(G, F.col("v").alias("s"), F.col("m").alias("ms")), [G, "s"])
                  .join(asg.select(G, F.col("v").alias("t"), F.col("m").alias("mt")), [G, "t"])
@@ -290,6 +299,7 @@ def _two_level(node_flow: DataFrame, link_flow: DataFrame, group: str | None,
                  .join(out, [G, "v"], "left").fillna(0.0, ["out"])
                  .select(G, "v", "p", "out", F.col("v").alias("m"), F.col("v").alias("m_prev")))
         nodes = stage(nodes, "nodes")
+        release(old_links)
     stats["levels"] = len(stats["rounds"])
     result = orig.select(*( [F.col(G).alias(group)] if grouped else []),
                          "node_id", F.col("m").alias("module"))

@@ -76,7 +76,25 @@ def stage(df, name: str = "stage"):
     path = staging_path(spark, name)
     df.write.mode("errorifexists").parquet(path)
     # The schema is known: passing it skips the footer-reading job.
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    _STAGED[id(out)] = path
+    return out
+
+
+_STAGED: dict[int, str] = {}
+
+
+def release(*frames) -> None:
+    """Delete the files of staged tables that nothing reads any more (a
+    superseded round), through the file system of the staging folder."""
+    for df in frames:
+        path = _STAGED.pop(id(df), None) if df is not None else None
+        if path is None:
+            continue
+        spark = df.sparkSession
+        jvm = spark.sparkContext._jvm
+        hpath = jvm.org.apache.hadoop.fs.Path(path)
+        hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hpath, True)
 
 
 class conf_override:
