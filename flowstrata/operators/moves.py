@@ -13,10 +13,11 @@ at once.  One round:
    group's share and the move goes in the direction of the round (to a smaller
    module id on even rounds, to a larger one on odd rounds), so two modules
    never swap nodes in one round;
-5. a group whose codelength rose in the last round is rolled back and its
-   share halved (after a round that lowered it the share doubles again, up to 1);
-   below one expected mover the group moves only its single best node, which
-   never raises the codelength.
+5. every group also applies its single best move, so a round is never idle
+   while improving moves exist; a group whose codelength rose in the last
+   round is rolled back and its share halved (after a round that lowered it
+   the share doubles again, up to 1); below one expected damped mover the
+   group moves only its single best node, which never raises the codelength.
 
 A level ends when no group has improving moves worth more than ``tol`` bits
 together; modules are then
@@ -140,9 +141,12 @@ def _local_moving(nodes: DataFrame, links: DataFrame, grouped: bool,
               .withColumn("L_prev", F.lit(float("inf")))
               .withColumn("L_start", F.lit(None).cast("double"))
               .withColumn("share", F.lit(float(cfg.share)))
+              .withColumn("moved", F.lit(False))
               .withColumn("active", F.lit(True)))
-    groups = stage(groups, "groups")
-    caller_nodes = nodes
+    groups_h = stage(groups, "groups")   # staged handles, released when superseded
+    groups = groups_h
+    nodes_h = None                       # the caller's node table is never released
+    links_h = None                       # link tables re-filtered here
     n_groups = groups.count()
     links_groups = n_groups
     finished: list[DataFrame] = []
@@ -162,7 +166,9 @@ def _local_moving(nodes: DataFrame, links: DataFrame, grouped: bool,
             F.min(F.struct("d", "v", "x")).alias("top"))
         st = (groups.join(gobj.select(G, "L"), G)
               .join(gstat, G, "left")
-              .withColumn("rose", F.col("L") > F.col("L_prev") + 1e-12))
+              # a round that moved nodes must lower the codelength strictly;
+              # otherwise it is rolled back (no drift between equal states)
+              .withColumn("rose", F.col("moved") & (F.col("L") > F.col("L_prev") - 1e-12)))
         # halve after a rise (rolled back); after a round that lowered the
         # codelength grow back
         share = (F.when(F.col("rose"), F.col("share") / 2)
@@ -180,10 +186,12 @@ def _local_moving(nodes: DataFrame, links: DataFrame, grouped: bool,
             G, "n", start.alias("L_start"),
             F.when(F.col("rose"), F.col("L_prev")).otherwise(F.col("L")).alias("L_prev"),
             share.alias("share"),
+            (~F.col("rose") & F.coalesce(F.col("n_imp") > 0, F.lit(False))).alias("moved"),
             (F.col("rose") | (F.coalesce(F.col("n_imp") > 0, F.lit(False)) & ~converged)
              ).alias("active"),
             "rose",
-            (share * F.col("n") < 1).alias("single"),
+            # fewer than one expected damped mover: apply the best move alone
+            (share * F.coalesce(F.col("n_imp"), F.lit(0)) < 1).alias("single"),
             "top")
         groups_next = stage(groups_next, "groups")
         gsel = _bcast(groups_next.select(G, "share", "rose", "single"), grouped)
@@ -195,12 +203,13 @@ def _local_moving(nodes: DataFrame, links: DataFrame, grouped: bool,
         damped = (improving.join(gsel, G)
                   .where(~F.col("rose") & ~F.col("single") & sampled & direction)
                   .select(G, "v", F.col("x").alias("to")))
-        single = (groups_next.where(~F.col("rose") & F.col("single") & F.col("top").isNotNull())
-                  .select(G, F.col("top.v").alias("v"), F.col("top.x").alias("to")))
-        moves = damped.union(single)
+        # every group that was not rolled back also applies its best move,
+        # so no round is idle while improving moves exist
+        best = (groups_next.where(~F.col("rose") & F.col("top").isNotNull())
+                .select(G, F.col("top.v").alias("v"), F.col("top.x").alias("to")))
+        moves = damped.union(best).dropDuplicates([G, "v"])
         state = _bcast(groups_next.select(G, "rose", "active"), grouped)
-        old_nodes, old_groups = nodes, groups
-        nodes = stage(
+        new_nodes_h = stage(
             nodes.join(state, G).join(moves, [G, "v"], "left")
             .select(G, "v", "p", "out",
                     F.when(F.col("rose"), F.col("m_prev"))
@@ -210,8 +219,7 @@ def _local_moving(nodes: DataFrame, links: DataFrame, grouped: bool,
                     "active"), "nodes")
         lm.unpersist()
         improving.unpersist()
-        # the caller's node table may still be read by the caller
-        release(None if old_nodes is caller_nodes else old_nodes, old_groups)
+        release(nodes_h, groups_h)
         counts = groups_next.agg(
             F.count(F.lit(1)).alias("all"),
             F.sum(F.col("active").cast("long")).alias("act"),
@@ -222,21 +230,24 @@ def _local_moving(nodes: DataFrame, links: DataFrame, grouped: bool,
                        counts["all"], counts["L"])
         if n_active < counts["all"]:
             # set finished groups aside; later rounds only see active ones
-            finished.append(stage(nodes.where(~F.col("active")).drop("active"), "nodes_done"))
-            all_nodes = nodes
-            nodes = stage(nodes.where(F.col("active")), "nodes")
-            groups = stage(groups_next.where(F.col("active")), "groups")
-            release(all_nodes, groups_next)
+            finished.append(stage(new_nodes_h.where(~F.col("active")).drop("active"),
+                                  "nodes_done"))
+            nodes_h = stage(new_nodes_h.where(F.col("active")), "nodes")
+            groups_h = stage(groups_next.where(F.col("active")), "groups")
+            release(new_nodes_h, groups_next)
             if 0 < n_active <= links_groups // 2:
-                links = stage(links.join(_bcast(groups.select(G), grouped), G, "left_semi"),
-                              "links")
+                refiltered = stage(links.join(_bcast(groups_h.select(G), grouped), G,
+                                              "left_semi"), "links")
+                release(links_h)
+                links, links_h = refiltered, refiltered
                 links_groups = n_active
         else:
-            groups = groups_next
-        groups = groups.drop("rose", "single", "top")
-        nodes = nodes.drop("active")
+            nodes_h, groups_h = new_nodes_h, groups_next
+        groups = groups_h.drop("rose", "single", "top")
+        nodes = nodes_h.drop("active")
         if n_active == 0:
             break
+    release(groups_h, links_h)
     out = nodes
     for part in finished:
         out = out.unionByName(part)
@@ -273,6 +284,7 @@ def _two_level(node_flow: DataFrame, link_flow: DataFrame, group: str | None,
     orig = nodes.select(G, F.col("v").alias("node_id"), F.col("v").alias("m"))
     stats = {"rounds": []}
     for level in range(cfg.max_levels):
+        level_in = nodes
         nodes, rounds = _local_moving(nodes, links, grouped, cfg, level)
         stats["rounds"].append(rounds)
         step = nodes.select(G, F.col("v").alias("m"), F.col("m").alias("m_new"))
@@ -280,7 +292,7 @@ def _two_level(node_flow: DataFrame, link_flow: DataFrame, group: str | None,
         orig = (orig.join(step, [G, "m"])
                 .select(G, "node_id", F.col("m_new").alias("m")))
         orig = stage(orig, "assignment")
-        release(old_orig)
+        release(old_orig, level_in)
         merged = nodes.where(F.col("m") != F.col("v")).limit(1).count() > 0
         if not merged:
             break
