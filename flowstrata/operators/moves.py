@@ -194,20 +194,22 @@ def _local_moving(nodes: DataFrame, links: DataFrame, grouped: bool,
             (share * F.coalesce(F.col("n_imp"), F.lit(0)) < 1).alias("single"),
             "top")
         groups_next = stage(groups_next, "groups")
-        gsel = _bcast(groups_next.select(G, "share", "rose", "single"), grouped)
+        gsel = _bcast(groups_next.select(G, "share", "rose", "single",
+                                         F.col("top.v").alias("top_v")), grouped)
         # a move into a new module cannot meet another move: no direction rule
         direction = F.col("fresh") | (
             (F.col("x") < F.col("a")) if r % 2 == 0 else (F.col("x") > F.col("a")))
         sampled = (F.pmod(F.xxhash64(F.col("v"), F.lit(r), F.lit(level), F.lit(cfg.seed)),
                           F.lit(1000)) < F.col("share") * 1000)
         damped = (improving.join(gsel, G)
-                  .where(~F.col("rose") & ~F.col("single") & sampled & direction)
+                  .where(~F.col("rose") & ~F.col("single") & sampled & direction
+                         & (F.col("top_v").isNull() | (F.col("v") != F.col("top_v"))))
                   .select(G, "v", F.col("x").alias("to")))
         # every group that was not rolled back also applies its best move,
         # so no round is idle while improving moves exist
         best = (groups_next.where(~F.col("rose") & F.col("top").isNotNull())
                 .select(G, F.col("top.v").alias("v"), F.col("top.x").alias("to")))
-        moves = damped.union(best).dropDuplicates([G, "v"])
+        moves = damped.union(best)   # the best mover is excluded from damped
         state = _bcast(groups_next.select(G, "rose", "active"), grouped)
         new_nodes_h = stage(
             nodes.join(state, G).join(moves, [G, "v"], "left")
