@@ -20,12 +20,14 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from functools import reduce
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.ranking import ordinal_within
 from ..session import stage
 from .flow import undirdir_flow
+from . import local_moves
 from .local_moves import refine_pandas
 from .moves import MoveConfig, two_level_partition
 from .objective import codelength, one_module_codelength
@@ -159,6 +161,9 @@ def _small_groups(nodes: DataFrame, links: DataFrame, cfg: RefineConfig) -> Data
 
 def _refine_small(nodes: DataFrame, links: DataFrame, cfg: RefineConfig,
                   depth_left: int) -> DataFrame:
+    # ship the fast-path code with the function (it needs only numpy and
+    # pandas on the workers, not this package)
+    cloudpickle.register_pickle_by_value(local_moves)
     fn = refine_pandas(depth_left, cfg.min_split, cfg.min_gain, cfg.moves.max_rounds)
     return (nodes.groupBy("g").cogroup(links.groupBy("g"))
             .applyInPandas(fn, "g string, node_id bigint, path string, status string"))

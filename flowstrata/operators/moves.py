@@ -48,6 +48,8 @@ class MoveConfig:
     max_rounds: int = 50
     max_levels: int = 12
     share: float = 0.5
+    # share growth after a round that lowered the codelength (halved on a rollback)
+    grow: float = 2.0
     min_delta: float = 1e-10
     seed: int = 999
     # a group stops once all its improving moves together would lower the
@@ -173,7 +175,7 @@ def _local_moving(nodes: DataFrame, links: DataFrame, grouped: bool,
         # codelength grow back
         share = (F.when(F.col("rose"), F.col("share") / 2)
                  .when(F.col("L") < F.col("L_prev") - 1e-12,
-                       F.least(F.lit(1.0), F.col("share") * 2))
+                       F.least(F.lit(1.0), F.col("share") * cfg.grow))
                  .otherwise(F.col("share")))
         # converged: all improving moves together would gain less than tol
         # (or than rel_tol of the gain of this level so far); measured on the
