@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.ranking import ordinal_within
-from ..session import stage
+from ..session import release, stage
 from .flow import undirdir_flow
 from . import local_moves
 from .local_moves import refine_pandas
@@ -91,11 +91,14 @@ def refine_groups(nodes: DataFrame, links: DataFrame,
     for depth in range(cfg.max_depth):
         if cfg.fast_max_links > 0:
             small = _small_groups(active_nodes, active_links, cfg)
-            done.append(_refine_small(active_nodes.join(small, "g", "left_semi"),
-                                      active_links.join(small, "g", "left_semi"),
-                                      cfg, cfg.max_depth - depth))
-            active_nodes = stage(active_nodes.join(small, "g", "left_anti"), "refine_nodes")
-            active_links = stage(active_links.join(small, "g", "left_anti"), "refine_links")
+            # run the fast path now, so the tables below can be released
+            done.append(stage(_refine_small(active_nodes.join(small, "g", "left_semi"),
+                                            active_links.join(small, "g", "left_semi"),
+                                            cfg, cfg.max_depth - depth), "refined_small"))
+            rest_nodes = stage(active_nodes.join(small, "g", "left_anti"), "refine_nodes")
+            rest_links = stage(active_links.join(small, "g", "left_anti"), "refine_links")
+            release(active_nodes, active_links, small)
+            active_nodes, active_links = rest_nodes, rest_links
             if active_nodes.isEmpty():
                 break
         nf, lf = undirdir_flow(active_links, ["g"], nodes=active_nodes)
@@ -128,6 +131,7 @@ def refine_groups(nodes: DataFrame, links: DataFrame,
         if go.isEmpty():
             break
         m = go.select("g", "node_id", "g_new")
+        old_nodes, old_links = active_nodes, active_links
         active_links = stage(
             active_links
             .join(m.withColumnRenamed("node_id", "source").withColumnRenamed("g_new", "gs"),
@@ -137,6 +141,7 @@ def refine_groups(nodes: DataFrame, links: DataFrame,
             .where(F.col("gs") == F.col("gt"))
             .select(F.col("gs").alias("g"), "source", "target", "weight"), "refine_links")
         active_nodes = stage(go.select(F.col("g_new").alias("g"), "node_id"), "refine_nodes")
+        release(old_nodes, old_links)
     if finals:
         leaves = reduce(DataFrame.unionByName, finals).select("node_id", "g_final", "flow")
         leaves = ordinal_within(leaves, ["g_final"],
