@@ -14,10 +14,11 @@ at once.  One round:
    module id on even rounds, to a larger one on odd rounds), so two modules
    never swap nodes in one round;
 5. every group also applies its single best move, so a round is never idle
-   while improving moves exist; a group whose codelength rose in the last
-   round is rolled back and its share halved (after a round that lowered it
-   the share doubles again, up to 1); below one expected damped mover the
-   group moves only its single best node, which never raises the codelength.
+   while improving moves exist; a round that moved nodes without lowering the
+   group's codelength is rolled back, its share halved, and the best single
+   move of the state it returns to is applied in the same round (after a
+   round that lowered the codelength the share doubles again, up to 1);
+   below one expected damped mover the group moves only its best node.
 
 A level ends when no group has improving moves worth more than ``tol`` bits
 together; modules are then
@@ -40,6 +41,7 @@ from ..session import ROUND_OPTIONS, conf_override, release, stage
 from .flow import plogp
 
 G = "g"
+TOP_TYPE = "struct<d:double,v:bigint,x:bigint>"
 _LOG = logging.getLogger(__name__)
 
 
@@ -144,6 +146,7 @@ def _local_moving(nodes: DataFrame, links: DataFrame, grouped: bool,
               .withColumn("L_start", F.lit(None).cast("double"))
               .withColumn("share", F.lit(float(cfg.share)))
               .withColumn("moved", F.lit(False))
+              .withColumn("good_top", F.lit(None).cast(TOP_TYPE))
               .withColumn("active", F.lit(True)))
     groups_h = stage(groups, "groups")   # staged handles, released when superseded
     groups = groups_h
@@ -165,7 +168,7 @@ def _local_moving(nodes: DataFrame, links: DataFrame, grouped: bool,
         gstat = improving.groupBy(G).agg(
             F.count(F.lit(1)).alias("n_imp"),
             (-F.sum("d")).alias("potential"),
-            F.min(F.struct("d", "v", "x")).alias("top"))
+            F.min(F.struct("d", "v", "x")).cast(TOP_TYPE).alias("top"))
         st = (groups.join(gobj.select(G, "L"), G)
               .join(gstat, G, "left")
               # a round that moved nodes must lower the codelength strictly;
@@ -188,7 +191,13 @@ def _local_moving(nodes: DataFrame, links: DataFrame, grouped: bool,
             G, "n", start.alias("L_start"),
             F.when(F.col("rose"), F.col("L_prev")).otherwise(F.col("L")).alias("L_prev"),
             share.alias("share"),
-            (~F.col("rose") & F.coalesce(F.col("n_imp") > 0, F.lit(False))).alias("moved"),
+            # the best move of the last accepted state is kept: a rolled-back
+            # group applies it (once) right away on the state it returns to
+            F.when(F.col("rose"), F.col("good_top")).otherwise(F.col("top")).alias("apply_top"),
+            F.when(F.col("rose"), F.lit(None).cast(TOP_TYPE)).otherwise(F.col("top"))
+            .alias("good_top"),
+            F.when(F.col("rose"), F.col("good_top").isNotNull())
+            .otherwise(F.coalesce(F.col("n_imp") > 0, F.lit(False))).alias("moved"),
             (F.col("rose") | (F.coalesce(F.col("n_imp") > 0, F.lit(False)) & ~converged)
              ).alias("active"),
             "rose",
@@ -209,15 +218,16 @@ def _local_moving(nodes: DataFrame, links: DataFrame, grouped: bool,
                   .select(G, "v", F.col("x").alias("to")))
         # every group that was not rolled back also applies its best move,
         # so no round is idle while improving moves exist
-        best = (groups_next.where(~F.col("rose") & F.col("top").isNotNull())
-                .select(G, F.col("top.v").alias("v"), F.col("top.x").alias("to")))
+        best = (groups_next.where(F.col("apply_top").isNotNull())
+                .select(G, F.col("apply_top.v").alias("v"), F.col("apply_top.x").alias("to")))
         moves = damped.union(best)   # the best mover is excluded from damped
         state = _bcast(groups_next.select(G, "rose", "active"), grouped)
         new_nodes_h = stage(
             nodes.join(state, G).join(moves, [G, "v"], "left")
             .select(G, "v", "p", "out",
-                    F.when(F.col("rose"), F.col("m_prev"))
-                    .otherwise(F.coalesce(F.col("to"), F.col("m"))).alias("m"),
+                    F.coalesce(F.col("to"),
+                               F.when(F.col("rose"), F.col("m_prev")).otherwise(F.col("m"))
+                               ).alias("m"),
                     F.when(F.col("rose"), F.col("m_prev"))
                     .otherwise(F.col("m")).alias("m_prev"),
                     "active"), "nodes")
@@ -247,7 +257,7 @@ def _local_moving(nodes: DataFrame, links: DataFrame, grouped: bool,
                 links_groups = n_active
         else:
             nodes_h, groups_h = new_nodes_h, groups_next
-        groups = groups_h.drop("rose", "single", "top")
+        groups = groups_h.drop("rose", "single", "top", "apply_top")
         nodes = nodes_h.drop("active")
         if n_active == 0:
             break
