@@ -61,7 +61,6 @@ def read_pajek(spark: SparkSession, path: str, strict_headers: bool = False) ->
                      F.monotonically_increasing_id().alias("_row")))
     lines = lines.where(F.length(F.trim(F.col("value"))) > 0)
     tagged = _sections(lines, strict_headers)
-    tokens = F.split(F.trim(F.col("value")), r"\s+")
     vert = tagged.where(F.col("section") == "v").select(
         F.col("value").alias("line"),
         F.expr("try_cast(regexp_extract(trim(value), '^(\\\\S+)', 1) AS BIGINT)").alias("node_id"),
@@ -75,7 +74,6 @@ def read_pajek(spark: SparkSession, path: str, strict_headers: bool = False) ->
         F.expr("try_cast(get(split(trim(value), '\\\\s+'), 1) AS BIGINT)").alias("target"),
         F.coalesce(F.expr("try_cast(get(split(trim(value), '\\\\s+'), 2) AS DOUBLE)"),
                    F.lit(1.0)).alias("weight"))
-    del tokens
     bad = (vert.where(F.col("node_id").isNull()).select(F.lit("v").alias("section"), "line")
            .union(edge.where(F.col("source").isNull() | F.col("target").isNull())
                   .select(F.lit("e").alias("section"), "line")))

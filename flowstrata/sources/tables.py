@@ -69,21 +69,3 @@ def tree(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.col("cl_top"), F.lit(":"), F.col("_leaf").cast("string")).alias("cl"),
         (F.col("p_retailprice") / total).alias("flow"),
         node_name("p_partkey").alias("node_name"))
-
-
-def planted_edges(spark: SparkSession, sf_dir: str, nodes_per_block: int = 20,
-                  blocks: int = 20, links_per_node: int = 10) -> DataFrame:
-    """Planted-partition network whose size follows the ``lineitem`` table:
-    one link per line item row number, nodes = rows / links_per_node."""
-    n_links = table(spark, sf_dir, "lineitem").count()
-    n_nodes = max(nodes_per_block * blocks, n_links // links_per_node)
-    n_nodes -= n_nodes % nodes_per_block
-    i = F.col("id")
-    src = i % n_nodes
-    r = F.floor(i / n_nodes).cast("long") % 10
-    inside = (F.floor(src / nodes_per_block).cast("long") * nodes_per_block
-              + (src + 1 + (r * 7) % (nodes_per_block - 1)) % nodes_per_block)
-    outside = (i * 7919 + 13) % n_nodes
-    return (spark.range(0, n_links)
-            .select(src.alias("source"),
-                    F.when(r < 8, inside).otherwise(outside).alias("target")))
