@@ -146,6 +146,7 @@ def _local_moving(nodes: DataFrame, links: DataFrame, grouped: bool,
               .withColumn("L_start", F.lit(None).cast("double"))
               .withColumn("share", F.lit(float(cfg.share)))
               .withColumn("moved", F.lit(False))
+              .withColumn("recovering", F.lit(False))
               .withColumn("good_top", F.lit(None).cast(TOP_TYPE))
               .withColumn("active", F.lit(True)))
     groups_h = stage(groups, "groups")   # staged handles, released when superseded
@@ -176,8 +177,10 @@ def _local_moving(nodes: DataFrame, links: DataFrame, grouped: bool,
               .withColumn("rose", F.col("moved") & (F.col("L") > F.col("L_prev") - 1e-12)))
         # halve after a rise (rolled back); after a round that lowered the
         # codelength grow back
+        # (not right after a rollback: that round's gain is the single
+        # remembered move, which says nothing about the share)
         share = (F.when(F.col("rose"), F.col("share") / 2)
-                 .when(F.col("L") < F.col("L_prev") - 1e-12,
+                 .when((F.col("L") < F.col("L_prev") - 1e-12) & ~F.col("recovering"),
                        F.least(F.lit(1.0), F.col("share") * cfg.grow))
                  .otherwise(F.col("share")))
         # converged: all improving moves together would gain less than tol
@@ -198,6 +201,7 @@ def _local_moving(nodes: DataFrame, links: DataFrame, grouped: bool,
             .alias("good_top"),
             F.when(F.col("rose"), F.col("good_top").isNotNull())
             .otherwise(F.coalesce(F.col("n_imp") > 0, F.lit(False))).alias("moved"),
+            F.col("rose").alias("recovering"),
             (F.col("rose") | (F.coalesce(F.col("n_imp") > 0, F.lit(False)) & ~converged)
              ).alias("active"),
             "rose",
@@ -205,7 +209,7 @@ def _local_moving(nodes: DataFrame, links: DataFrame, grouped: bool,
             (share * F.coalesce(F.col("n_imp"), F.lit(0)) < 1).alias("single"),
             "top")
         groups_next = stage(groups_next, "groups")
-        gsel = _bcast(groups_next.select(G, "share", "rose", "single",
+        gsel = _bcast(groups_next.select(G, "share", "rose", "single", "active",
                                          F.col("top.v").alias("top_v")), grouped)
         # a move into a new module cannot meet another move: no direction rule
         direction = F.col("fresh") | (
@@ -213,12 +217,13 @@ def _local_moving(nodes: DataFrame, links: DataFrame, grouped: bool,
         sampled = (F.pmod(F.xxhash64(F.col("v"), F.lit(r), F.lit(level), F.lit(cfg.seed)),
                           F.lit(1000)) < F.col("share") * 1000)
         damped = (improving.join(gsel, G)
-                  .where(~F.col("rose") & ~F.col("single") & sampled & direction
+                  .where(F.col("active") & ~F.col("rose") & ~F.col("single") & sampled & direction
                          & (F.col("top_v").isNull() | (F.col("v") != F.col("top_v"))))
                   .select(G, "v", F.col("x").alias("to")))
         # every group that was not rolled back also applies its best move,
         # so no round is idle while improving moves exist
-        best = (groups_next.where(F.col("apply_top").isNotNull())
+        # a group that converged this round stops where it is
+        best = (groups_next.where(F.col("active") & F.col("apply_top").isNotNull())
                 .select(G, F.col("apply_top.v").alias("v"), F.col("apply_top.x").alias("to")))
         moves = damped.union(best)   # the best mover is excluded from damped
         state = _bcast(groups_next.select(G, "rose", "active"), grouped)
