@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from .common import id_remainder, worker_cached
 
-BITS, PER_CLASS, MAX_FEATURES, FACTORS, STEPS = 22, 4000, 4096, 6, 150
+BITS, PER_CLASS, MAX_FEATURES, FACTORS, STEPS = 22, 4000, 4096, 6, 400
 _MEMO_ENTRIES = 400_000
 
 # ASCII punctuation and control characters separate words.
@@ -72,8 +72,9 @@ class Model:
 
 def fit(terms: list[np.ndarray], labels: np.ndarray, max_features: int = MAX_FEATURES,
         factors: int = FACTORS, steps: int = STEPS, seed: int = 7) -> Model:
-    """Full-batch Adam on the logistic loss over the terms that differ most
-    between the classes (two-proportion z score)."""
+    """Full-batch Adam on the logistic loss, both classes with equal weight in
+    all, over the terms that differ most between the classes (two-proportion
+    z score)."""
     labels = np.asarray(labels, np.float32)
     pos, neg = int(labels.sum()), int(len(labels) - labels.sum())
     if not pos or not neg:
@@ -87,7 +88,7 @@ def fit(terms: list[np.ndarray], labels: np.ndarray, max_features: int = MAX_FEA
     share = (n1 + n0) / len(labels)
     z = np.abs(n1 / pos - n0 / neg) / np.sqrt(np.maximum(share * (1 - share), 1e-9) * (1 / pos + 1 / neg))
     order = np.lexsort((buckets, -z))
-    chosen = np.sort(order[(z[order] > 3.5) & ((n1 + n0)[order] >= 4)][:max_features])
+    chosen = np.sort(order[(z[order] > 5) & ((n1 + n0)[order] >= 4)][:max_features])
     column = np.full(len(buckets), -1, np.int64)
     column[chosen] = np.arange(len(chosen))
     x = np.zeros((len(labels), len(chosen)), np.float32)
@@ -104,15 +105,13 @@ def fit(terms: list[np.ndarray], labels: np.ndarray, max_features: int = MAX_FEA
         logit = w0[0] + x @ w + 0.5 * ((s * s).sum(1) - x @ (v * v).sum(1))
         p = 1 / (1 + np.exp(-np.clip(logit, -30, 30)))
         g = ((p - labels) * weight).astype(np.float32)
-        grads = [np.array([g.sum()], np.float32), x.T @ g + 1e-5 * w,
-                 x.T @ (g[:, None] * s) - (x.T @ g)[:, None] * v + 1e-4 * v]
+        grads = [np.array([g.sum()], np.float32), x.T @ g + 1e-7 * w,
+                 x.T @ (g[:, None] * s) - (x.T @ g)[:, None] * v + 1e-5 * v]
         for param, grad, (m, q) in zip(params, grads, moments):
             m += 0.1 * (grad - m)
             q += 0.01 * (grad * grad - q)
             param -= 0.1 * (m / (1 - 0.9 ** step)) / (np.sqrt(q / (1 - 0.99 ** step)) + 1e-8)
-    # The sample is balanced by weight; the prior of the labelled rows moves the intercept.
-    prior = float(np.log(pos / neg)) if pos + neg else 0.0
-    return Model({int(buckets[c]): i for i, c in enumerate(chosen)}, float(w0[0]) + 0.5 * prior,
+    return Model({int(buckets[c]): i for i, c in enumerate(chosen)}, float(w0[0]),
                  w.astype(np.float64), v.astype(np.float64))
 
 
