@@ -112,7 +112,7 @@ def fit(vectors: dict[str, list[tuple[np.ndarray, np.ndarray]]], df: np.ndarray,
             if (own == j).any():
                 model.langs.append(lang)
                 rows.append(centroids[j])
-                floors.append(float(np.quantile(cosine[own == j], reject_share)))
+                floors.append(float(np.quantile(cosine[own == j], reject_share)) - 1e-5)  # rounding
     if rows:
         model.centroids, model.floor = np.stack(rows).astype(np.float32), np.array(floors)
     return model

@@ -66,8 +66,8 @@ def schedule(sources: DataFrame, resolution: int = RESOLUTION, block_rows: int =
             .withColumn("blocks", F.expr(f"cast(ceil(rows / {block_rows}) as bigint)")))
     slot = "((({j}) div units) * total + slots[cast(({j}) % units as int)])"
     end = (f"max({slot.format(j='blocks - 1')} + 1)" if cover else f"min({slot.format(j='blocks')})")
-    until = each.agg(F.expr(end).alias("until"))
-    return (each.crossJoin(F.broadcast(until))  # one row
+    # the schedule ends at one slot for all sources (a window over one row a source)
+    return (each.withColumn("until", F.expr(end).over(Window.partitionBy()))
             .withColumn("wanted", F.expr("(until div total) * units + size(filter(slots, t -> t < until % total))"))
             .drop("until"))
 
