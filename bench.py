@@ -10,8 +10,8 @@ from __future__ import annotations
 
 import json
 import os
-import re
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -27,15 +27,6 @@ from flowstrata.session import local_session, stage  # noqa: E402
 from flowstrata.sources import tables as T  # noqa: E402
 
 
-def bounds_for(sf_dir: str) -> tuple[int, int]:
-    """Size bounds under which both bounds bite at the given scale."""
-    m = re.search(r"sf([0-9.]+)", sf_dir)
-    sf = float(m.group(1)) if m else 0.1
-    if sf >= 0.1:
-        return 60, 200
-    return 3, 40
-
-
 def run(df) -> None:
     df.write.format("noop").mode("overwrite").save()
 
@@ -43,8 +34,10 @@ def run(df) -> None:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    spark = local_session(cores=cpus, shuffle_partitions=int(cpus) * 2)
-    lo, hi = bounds_for(sf_dir)
+    spark = local_session(cores=cpus, shuffle_partitions=int(cpus) * 2,
+                          checkpoint=tempfile.mkdtemp(prefix="bench-"))
+    # size bounds of the kept clusters; the defaults bite at sf0.1
+    lo, hi = (int(x) for x in os.environ.get("BENCH_BOUNDS", "60,200").split(","))
     times: dict[str, float] = {}
 
     def timed(name, fn):
@@ -75,6 +68,8 @@ def main() -> None:
     timed("refine_clusters", lambda: run(refine_clusters(km, within)))
     timed("hierarchical_communities",
           lambda: run(P.hierarchical_communities(vertices, edges, tree, lo, hi)))
+    timed("clique_partition", lambda: run(P.two_level_tree(
+        T.clique_parts(spark, sf_dir).select("node_id", "node_name"), T.clique_edges(spark, sf_dir))))
     if os.environ.get("BENCH_SKIP_TWO_LEVEL") != "1":
         timed("two_level_partition", lambda: run(P.two_level_tree(vertices, edges)))
 

@@ -16,6 +16,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.joins import split_join
+
 GROUP = "_g"
 
 
@@ -26,11 +28,14 @@ def with_group(df: DataFrame, group: Sequence[str]) -> tuple[DataFrame, list[str
     return df.withColumn(GROUP, F.lit(0)), [GROUP]
 
 
-def per_group(table: DataFrame, grouped: bool) -> DataFrame:
-    """Per-group scalar tables have exactly one row when there is no group
-    (a proven bound, so broadcast); otherwise adaptive execution decides
-    from the measured size."""
-    return table if grouped else F.broadcast(table)
+def join_group(rows: DataFrame, table: DataFrame, g: list[str], grouped: bool, spread: list[str],
+               most: int | None = None) -> DataFrame:
+    """Attach per-group scalars (with the rows of the group in ``n``).  With
+    no group the table has exactly one row (a proven bound, so broadcast);
+    otherwise groups that own many rows are split."""
+    if grouped:
+        return split_join(rows, table, g, "n", spread, most=most)
+    return rows.join(F.broadcast(table.drop("n")), g)
 
 
 def plogp(x: F.Column) -> F.Column:
@@ -39,12 +44,14 @@ def plogp(x: F.Column) -> F.Column:
 
 def undirdir_flow(links: DataFrame, group: Sequence[str] = (),
                   nodes: DataFrame | None = None, weight: str | None = "weight",
-                  ) -> tuple[DataFrame, DataFrame]:
+                  most: int | None = None) -> tuple[DataFrame, DataFrame]:
     """Return ``(node_flow, link_flow)``:
 
     * node_flow ``(*group, node_id, flow)`` - every node at an end of a link,
       plus every row of ``nodes`` (``(*group, node_id)``), flow 0 if no in-flow;
     * link_flow ``(*group, source, target, flow)`` - one row per distinct link.
+
+    ``most``: the measured number of rows, if known (see ``split_join``).
     """
     grouped = bool(group)
     links, g = with_group(links, group)
@@ -54,15 +61,15 @@ def undirdir_flow(links: DataFrame, group: Sequence[str] = (),
     w_in = agg.groupBy(*g, F.col("target").alias("node_id")).agg(F.sum("w").alias("w_in"))
     deg = (w_out.join(w_in, [*g, "node_id"], "full")
            .fillna(0.0, ["w_out", "w_in"]))
-    total = agg.groupBy(*g).agg(F.sum("w").alias("w_tot"))
-    deg = deg.join(per_group(total, grouped), g).withColumn(
+    total = agg.groupBy(*g).agg(F.sum("w").alias("w_tot"), F.count(F.lit(1)).alias("n"))
+    deg = join_group(deg, total, g, grouped, ["node_id"], most).withColumn(
         "p0", (F.col("w_out") + F.col("w_in")) / (2 * F.col("w_tot")))
     src = deg.where(F.col("w_out") > 0).select(
         *g, F.col("node_id").alias("source"), "p0", "w_out")
     f = agg.join(src, [*g, "source"]).withColumn(
         "f", F.col("p0") * F.col("w") / F.col("w_out"))
-    norm = f.groupBy(*g).agg(F.sum("f").alias("f_tot"))
-    link_flow = (f.join(per_group(norm, grouped), g)
+    norm = f.groupBy(*g).agg(F.sum("f").alias("f_tot"), F.count(F.lit(1)).alias("n"))
+    link_flow = (join_group(f, norm, g, grouped, ["source", "target"], most)
                  .select(*g, "source", "target", (F.col("f") / F.col("f_tot")).alias("flow")))
     inflow = link_flow.groupBy(*g, F.col("target").alias("node_id")).agg(
         F.sum("flow").alias("flow"))

@@ -1,18 +1,31 @@
 """Hierarchical refinement of many clusters at once.
 
 Every kept top cluster is an isolated sub-network (its within-cluster
-links).  Level by level, all groups are partitioned together by
-:func:`two_level_partition` with the group key; a group is split only where
-the two-level codelength beats the one-module codelength of that group.
-Each module with more than ``min_split`` nodes becomes a group one level
-down, named ``<parent path>:<module ordinal>``, with its own flow computed
-on its own internal links.  Leaves are numbered at the end.
-
-Module ordinals: by module flow (desc), then smallest node id.  Leaf ordinals: by
-node flow in the last sub-network the node was partitioned in (desc), then
-node id.  Clusters with invalid input (null ids, non-finite or non-positive
-weights) are not refined: their nodes get ``<cl_top>:FAILED`` and status
-``failed``.
+links).  All groups are partitioned together by :func:`two_level_partition`;
+a group is split only where the two-level codelength beats the one-module
+codelength of that group.
+
+Upwards, the modules of a group are grouped into super-modules as long as that
+shortens the hierarchical codelength: with exit flow q of the modules and exit
+flow Q of the super-modules, the index over the modules
+
+    plogp(sum q) - sum plogp(q)
+
+is replaced by an index over the super-modules and one inside each,
+
+    plogp(sum Q) - 2 sum plogp(Q) - sum plogp(q) + sum plogp(Q + sum q),
+
+which is the two-level codelength of a network whose nodes are the modules
+with flow q, so the same partitioner finds them.  Downwards, each module with
+more than ``min_split`` nodes becomes a group of its own, with its own flow on
+its own internal links, until no group has a useful split.
+
+Modules are numbered in their parent by flow (desc), then smallest node id;
+leaves by node flow in the last sub-network the node was partitioned in
+(desc), then node id.  Flows are compared to twelve digits, so the order of
+summation cannot change a rank.  Clusters with invalid input (null ids,
+non-finite or non-positive weights) are not refined: their nodes get
+``<cl_top>:FAILED`` and status ``failed``.
 """
 
 from __future__ import annotations
@@ -20,15 +33,13 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.joins import split_join
 from ..functions.ranking import ordinal_within
-from ..session import release, stage
-from .flow import undirdir_flow
-from . import local_moves
-from .local_moves import refine_pandas
+from ..session import conf_override, release, round_options, stage
+from .flow import plogp, undirdir_flow
 from .moves import MoveConfig, two_level_partition
 from .objective import codelength, one_module_codelength
 
@@ -36,14 +47,11 @@ from .objective import codelength, one_module_codelength
 @dataclass(frozen=True)
 class RefineConfig:
     moves: MoveConfig = field(default_factory=MoveConfig)
-    max_depth: int = 3
+    # modules with at most this many nodes are not split further
     min_split: int = 3
     min_gain: float = 1e-10
-    # Groups with at most this many links and nodes are refined in one task
-    # each (numpy, all depths); larger groups use the distributed rounds.
-    # 0 disables the fast path.
-    fast_max_links: int = 50_000
-    fast_max_nodes: int = 50_000
+    # look for super-modules
+    super_modules: bool = True
 
 
 def _invalid_groups(nodes: DataFrame, links: DataFrame) -> DataFrame:
@@ -55,17 +63,84 @@ def _invalid_groups(nodes: DataFrame, links: DataFrame) -> DataFrame:
     return bad_nodes.union(bad_links).distinct()
 
 
-def module_ordinals(node_flow: DataFrame, assignment: DataFrame) -> DataFrame:
-    """``(g, module, ord, size)``: modules ranked by flow within the group."""
-    mods = (node_flow.join(assignment, ["g", "node_id"])
-            .groupBy("g", "module")
-            .agg(F.sum("flow").alias("mflow"), F.count(F.lit(1)).alias("size"),
-                 F.min("node_id").alias("first_id")))
-    return ordinal_within(mods, ["g"], [F.col("mflow").desc(), F.col("first_id")], "ord")
-
-
-def refine_groups(nodes: DataFrame, links: DataFrame,
-                  config: RefineConfig | None = None) -> DataFrame:
+def _keep(rows: DataFrame, groups: DataFrame, spread: list[str], most: int) -> DataFrame:
+    """Rows of the given groups ``(g, n)``, giant groups spread."""
+    table = groups.select("g", "n", F.lit(1).alias("_in"))
+    return split_join(rows, table, ["g"], "n", spread, most=most).drop("_in")
+
+
+def _drop(rows: DataFrame, groups: DataFrame, spread: list[str], most: int) -> DataFrame:
+    """Rows of all other groups."""
+    table = groups.select("g", "n", F.lit(1).alias("_in"))
+    return split_join(rows, table, ["g"], "n", spread, "left", most=most).where(F.col("_in").isNull()).drop("_in")
+
+
+def super_levels(node_flow: DataFrame, link_flow: DataFrame, assignment: DataFrame,
+                 cfg: RefineConfig, most: int) -> list[DataFrame]:
+    """Levels above a two-level partition ``(g, node_id, module)``: tables
+    ``(g, node_id, module)`` whose ``node_id`` are the modules one level down.
+    A group has as many levels as shorten its hierarchical codelength."""
+    levels: list[DataFrame] = []
+    asg, links = assignment, link_flow
+    while True:
+        at = asg.select("g", "node_id", "module")
+        between = (links.join(at.select("g", F.col("node_id").alias("source"), F.col("module").alias("ms")), ["g", "source"])
+                   .join(at.select("g", F.col("node_id").alias("target"), F.col("module").alias("mt")), ["g", "target"])
+                   .where("ms <> mt").groupBy("g", F.col("ms").alias("source"), F.col("mt").alias("target"))
+                   .agg(F.sum("flow").alias("flow")))
+        mlinks = stage(between, "super_links")
+        exits = mlinks.groupBy("g", F.col("source").alias("node_id")).agg(F.sum("flow").alias("flow"))
+        modules = at.select("g", F.col("module").alias("node_id")).distinct()
+        # groups of three modules and more: two modules have no other grouping than one
+        sizes = modules.groupBy("g").agg(F.count(F.lit(1)).alias("n")).where("n >= 3")
+        mnodes = stage(_keep(modules.join(exits, ["g", "node_id"], "left").fillna(0.0, ["flow"]), sizes, ["node_id"], most),
+                       "super_nodes")
+        if mnodes.isEmpty():
+            release(mlinks, mnodes)
+            return levels
+        sup, _ = two_level_partition(mnodes, _keep(mlinks, sizes, ["source"], most), "g", cfg.moves)
+        two = codelength(mnodes, mlinks, sup, ["g"])
+        index = mnodes.groupBy("g").agg((plogp(F.sum("flow")) - F.sum(plogp(F.col("flow")))).alias("L1"),
+                                        F.count(F.lit(1)).alias("n"))
+        accepted = stage(two.join(index, "g").where((F.col("num_modules") > 1) & (F.col("num_modules") < F.col("n"))
+                                                    & (F.col("codelength") < F.col("L1") - cfg.min_gain))
+                         .select("g", "n"), "super_accepted")
+        level = stage(_keep(sup, accepted, ["node_id"], most), "super_level")
+        if level.isEmpty():
+            release(mlinks, mnodes, accepted, level)
+            return levels
+        levels.append(level)
+        asg, links = level, _keep(mlinks, accepted, ["source"], most)
+
+
+def _paths(node_flow: DataFrame, assignment: DataFrame, levels: list[DataFrame], most: int) -> DataFrame:
+    """``(g, module, path, size)`` for the modules of the nodes, named from the
+    top level down."""
+    inside = stage(node_flow.join(assignment, ["g", "node_id"])
+                   .groupBy("g", "module").agg(F.sum("flow").alias("flow"), F.count(F.lit(1)).alias("size"),
+                                               F.min("node_id").alias("first_id")), "modules")
+    stats = [inside]
+    for level in levels:  # flow, size and first node of every super-module
+        below = stats[-1].select("g", F.col("module").alias("node_id"), "flow", "size", "first_id")
+        stats.append(stage(below.join(level, ["g", "node_id"]).groupBy("g", "module").agg(
+            F.sum("flow").alias("flow"), F.sum("size").alias("size"), F.min("first_id").alias("first_id")), "modules"))
+    parents: DataFrame | None = None  # (g, module, path) of the level above
+    for k in range(len(levels), -1, -1):
+        items = stats[k]
+        if parents is None:
+            placed = items.withColumn("parent", F.col("g"))
+        else:
+            up = levels[k].select("g", F.col("node_id").alias("module"), F.col("module").alias("top"))
+            above = parents.select("g", F.col("module").alias("top"), F.col("path").alias("above"))
+            placed = (items.join(up.join(above, ["g", "top"]).select("g", "module", "above"), ["g", "module"], "left")
+                      .withColumn("parent", F.coalesce("above", "g")).drop("above"))
+        ranked = ordinal_within(placed, ["parent"], [F.round("flow", 12).desc(), F.col("first_id")], "ord", most=most)
+        parents = ranked.select("g", "module", "size",
+                                F.concat("parent", F.lit(":"), F.col("ord").cast("string")).alias("path"))
+    return parents
+
+
+def refine_groups(nodes: DataFrame, links: DataFrame, config: RefineConfig | None = None) -> DataFrame:
     """Hierarchical paths inside each group.
 
     ``nodes``: ``(g string, node_id bigint)``; ``links``:
@@ -76,102 +151,68 @@ def refine_groups(nodes: DataFrame, links: DataFrame,
     cfg = config or RefineConfig()
     if "weight" not in links.columns:
         links = links.withColumn("weight", F.lit(1.0))
-    nodes = nodes.select(F.col("g").cast("string"), "node_id").distinct()
-    links = links.select(F.col("g").cast("string"), "source", "target",
-                         F.col("weight").cast("double"))
-    bad = stage(_invalid_groups(nodes, links), "invalid_groups")
-    failed = (nodes.join(bad, "g", "left_semi")
-              .select("g", "node_id",
-                      F.concat(F.col("g"), F.lit(":FAILED")).alias("path"),
+    nodes = stage(nodes.select(F.col("g").cast("string"), "node_id").distinct(), "refine_nodes")
+    links = stage(links.select(F.col("g").cast("string"), "source", "target", F.col("weight").cast("double")), "refine_links")
+    most = nodes.count() + links.count()  # no later table has more rows
+    with conf_override(nodes.sparkSession, round_options(nodes.sparkSession, most)):
+        return _refine(nodes, links, cfg, most)
+
+
+def _refine(nodes: DataFrame, links: DataFrame, cfg: RefineConfig, most: int) -> DataFrame:
+    sizes = nodes.groupBy("g").agg(F.count(F.lit(1)).alias("n"))
+    bad = stage(_invalid_groups(nodes, links).join(sizes, "g"), "invalid_groups")
+    failed = (_keep(nodes, bad, ["node_id"], most)
+              .select("g", "node_id", F.concat(F.col("g"), F.lit(":FAILED")).alias("path"),
                       F.lit("failed").alias("status")))
-    active_nodes = stage(nodes.join(bad, "g", "left_anti"), "refine_nodes")
-    active_links = stage(links.join(bad, "g", "left_anti"), "refine_links")
+    active_nodes = stage(_drop(nodes, bad, ["node_id"], most), "refine_nodes")
+    active_links = stage(_drop(links, bad, ["source"], most), "refine_links")
     finals: list[DataFrame] = []  # (g, node_id, g_final, flow)
-    done: list[DataFrame] = [failed]  # (g, node_id, path, status)
-    for depth in range(cfg.max_depth):
-        if cfg.fast_max_links > 0:
-            small = _small_groups(active_nodes, active_links, cfg)
-            # run the fast path now, so the tables below can be released
-            done.append(stage(_refine_small(active_nodes.join(small, "g", "left_semi"),
-                                            active_links.join(small, "g", "left_semi"),
-                                            cfg, cfg.max_depth - depth), "refined_small"))
-            rest_nodes = stage(active_nodes.join(small, "g", "left_anti"), "refine_nodes")
-            rest_links = stage(active_links.join(small, "g", "left_anti"), "refine_links")
-            release(active_nodes, active_links, small)
-            active_nodes, active_links = rest_nodes, rest_links
-            if active_nodes.isEmpty():
-                break
-        nf, lf = undirdir_flow(active_links, ["g"], nodes=active_nodes)
-        nf = stage(nf, "refine_flow")
+    while not active_nodes.isEmpty():
+        nf, lf = undirdir_flow(active_links, ["g"], nodes=active_nodes, most=most)
+        nf, lf = stage(nf, "refine_flow"), stage(lf, "refine_links_flow")
         asg, _ = two_level_partition(nf, lf, group="g", config=cfg.moves)
-        two = codelength(nf, lf, asg, ["g"]).select("g", F.col("codelength").alias("L2"),
-                                                   "num_modules")
-        one = one_module_codelength(nf, ["g"]).select("g", F.col("codelength").alias("L1"))
-        accepted = stage(two.join(one, "g").where(
-            (F.col("num_modules") > 1) & (F.col("L2") < F.col("L1") - cfg.min_gain))
-            .select("g"), "accepted")
+        two = codelength(nf, lf, asg, ["g"]).select("g", F.col("codelength").alias("L2"), "num_modules")
+        one = one_module_codelength(nf, ["g"], most).select("g", F.col("codelength").alias("L1"))
+        n = nf.groupBy("g").agg(F.count(F.lit(1)).alias("n"))
+        accepted = stage(two.join(one, "g").join(n, "g").where(
+            (F.col("num_modules") > 1) & (F.col("L2") < F.col("L1") - cfg.min_gain)).select("g", "n"), "accepted")
         # groups without a useful split: their nodes are leaves of the group
-        finals.append(nf.join(accepted, "g", "left_anti")
-                      .select("g", "node_id", F.col("g").alias("g_final"), "flow"))
-        acc_asg = asg.join(accepted, "g", "left_semi")
-        ords = module_ordinals(nf.join(accepted, "g", "left_semi"), acc_asg)
-        moved = stage(acc_asg.join(ords, ["g", "module"])
-                      .join(nf.select("g", "node_id", "flow"), ["g", "node_id"])
-                      .select("g", "node_id", "flow", "size",
-                              F.concat(F.col("g"), F.lit(":"),
-                                       F.col("ord").cast("string")).alias("g_new")),
-                      "moved")
-        last = depth == cfg.max_depth - 1
-        stop = F.lit(True) if last else (F.col("size") <= cfg.min_split)
-        finals.append(moved.where(stop).select("g", "node_id",
-                                               F.col("g_new").alias("g_final"), "flow"))
-        if last:
-            break
-        go = moved.where(~stop)
-        if go.isEmpty():
+        finals.append(stage(_drop(nf, accepted, ["node_id"], most)
+                            .select("g", "node_id", F.col("g").alias("g_final"), "flow"), "leaves"))
+        split_nf = stage(_keep(nf, accepted, ["node_id"], most), "refine_flow")
+        if split_nf.isEmpty():
+            release(nf, lf, accepted, split_nf)
             break
-        m = go.select("g", "node_id", "g_new")
-        old_nodes, old_links = active_nodes, active_links
-        active_links = stage(
+        split_asg = stage(_keep(asg, accepted, ["node_id"], most), "assignment")
+        split_lf = _keep(lf, accepted, ["source"], most)
+        levels = super_levels(split_nf, split_lf, split_asg, cfg, most) if cfg.super_modules else []
+        named = stage(_paths(split_nf, split_asg, levels, most), "module_paths")
+        moved = stage(split_join(split_asg.join(split_nf, ["g", "node_id"]), named.withColumnRenamed("size", "n")
+                                 .withColumn("size", F.col("n")), ["g", "module"], "n", ["node_id"], most=most)
+                      .select("g", "node_id", "flow", "size", F.col("path").alias("g_new")), "moved")
+        stop = F.col("size") <= cfg.min_split
+        finals.append(stage(moved.where(stop).select("g", "node_id", F.col("g_new").alias("g_final"), "flow"), "leaves"))
+        m = moved.where(~stop).select("g", "node_id", "g_new")
+        next_links = stage(
             active_links
-            .join(m.withColumnRenamed("node_id", "source").withColumnRenamed("g_new", "gs"),
-                  ["g", "source"])
-            .join(m.withColumnRenamed("node_id", "target").withColumnRenamed("g_new", "gt"),
-                  ["g", "target"])
+            .join(m.withColumnRenamed("node_id", "source").withColumnRenamed("g_new", "gs"), ["g", "source"])
+            .join(m.withColumnRenamed("node_id", "target").withColumnRenamed("g_new", "gt"), ["g", "target"])
             .where(F.col("gs") == F.col("gt"))
             .select(F.col("gs").alias("g"), "source", "target", "weight"), "refine_links")
-        active_nodes = stage(go.select(F.col("g_new").alias("g"), "node_id"), "refine_nodes")
-        release(old_nodes, old_links)
+        next_nodes = stage(m.select(F.col("g_new").alias("g"), "node_id"), "refine_nodes")
+        release(active_nodes, active_links, nf, lf, accepted, split_nf, split_asg, moved, named, *levels)
+        active_nodes, active_links = next_nodes, next_links
+    done = [failed]
     if finals:
         leaves = reduce(DataFrame.unionByName, finals).select("node_id", "g_final", "flow")
-        leaves = ordinal_within(leaves, ["g_final"],
-                                [F.col("flow").desc(), F.col("node_id")], "leaf")
+        leaves = ordinal_within(leaves, ["g_final"], [F.round("flow", 12).desc(), F.col("node_id")], "leaf", most=most)
         done.append(leaves.select(
-            "g_final", "node_id",
+            F.col("g_final").alias("g"), "node_id",
             F.concat(F.col("g_final"), F.lit(":"), F.col("leaf").cast("string")).alias("path"),
-            F.lit("ok").alias("status")).withColumnRenamed("g_final", "g"))
+            F.lit("ok").alias("status")))
     # the top cluster is the path head (a top cluster never contains ':')
-    return (reduce(DataFrame.unionByName, done)
-            .withColumn("g", F.substring_index("g", ":", 1)))
-
-
-def _small_groups(nodes: DataFrame, links: DataFrame, cfg: RefineConfig) -> DataFrame:
-    """Groups under both size bounds (counted, so the bound is checked)."""
-    nn = nodes.groupBy("g").agg(F.count(F.lit(1)).alias("nn"))
-    nl = links.groupBy("g").agg(F.count(F.lit(1)).alias("nl"))
-    return stage(nn.join(nl, "g", "left").fillna(0, ["nl"])
-                 .where((F.col("nn") <= cfg.fast_max_nodes) & (F.col("nl") <= cfg.fast_max_links))
-                 .select("g"), "small_groups")
-
-
-def _refine_small(nodes: DataFrame, links: DataFrame, cfg: RefineConfig,
-                  depth_left: int) -> DataFrame:
-    # ship the fast-path code with the function (it needs only numpy and
-    # pandas on the workers, not this package)
-    cloudpickle.register_pickle_by_value(local_moves)
-    fn = refine_pandas(depth_left, cfg.min_split, cfg.min_gain, cfg.moves.max_rounds)
-    return (nodes.groupBy("g").cogroup(links.groupBy("g"))
-            .applyInPandas(fn, "g string, node_id bigint, path string, status string"))
+    return stage(reduce(DataFrame.unionByName, done)
+                 .withColumn("g", F.substring_index("g", ":", 1)), "refined")
 
 
 def refine_clusters(kept_members: DataFrame, within_edges: DataFrame,

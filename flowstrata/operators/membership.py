@@ -19,6 +19,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.joins import split_join
 from ..functions.paths import cl_top
 
 
@@ -106,14 +107,17 @@ def edges_per_cluster(clustered_within: DataFrame) -> DataFrame:
     (``num_rows_in_cl``): an aggregate joined back on the cluster."""
     counts = clustered_within.groupBy("cl_out").agg(
         F.count(F.lit(1)).alias("num_rows_in_cl"))
-    return clustered_within.join(counts, "cl_out")
+    return split_join(clustered_within, counts.withColumn("_n", F.col("num_rows_in_cl")), ["cl_out"], "_n",
+                      ["source", "target"])
 
 
 def edges_with_cluster_sizes(clustered: DataFrame, sizes: DataFrame) -> DataFrame:
-    """Attach the node count of the source's cluster (left join)."""
+    """Attach the node count of the source's cluster (left join).  Clusters
+    with many edges and edges without a cluster are spread."""
+    rows = clustered.groupBy("cl_out").agg(F.count(F.lit(1)).alias("_n"))
     s = sizes.select(F.col("cl_top").alias("cl_out"),
-                     F.col("n").alias("num_papers_in_cluster"))
-    return clustered.join(s, "cl_out", "left")
+                     F.col("n").alias("num_papers_in_cluster")).join(rows, "cl_out")
+    return split_join(clustered, s, ["cl_out"], "_n", ["source", "target"], "left")
 
 
 def edges_of_clusters(clustered: DataFrame, clusters: DataFrame,

@@ -1,322 +1,345 @@
-"""Two-level partition by map-equation local moving, as DataFrame rounds.
+"""Two-level partition by map-equation local moving, in relaxed parallel rounds.
 
 All groups (clusters being refined, or one group for the whole network) move
-at once.  One round:
-
-1. join the links with the module of both ends (one pass over the links);
-2. module flow ``p_m`` and exit flow ``q_m``, codelength per group;
-3. for every node and neighbouring module the flow to/from it; the change of
-   codelength of moving the node there (only the terms of the two modules and
-   the total exit flow change); the best move per node is a partial
-   aggregate (``min`` of a struct), so hub nodes do not need one task;
-4. damping: a node moves only if a hash of (node, round) falls under the
-   group's share and the move goes in the direction of the round (to a smaller
-   module id on even rounds, to a larger one on odd rounds), so two modules
-   never swap nodes in one round;
-5. every group also applies its single best move, so a round is never idle
-   while improving moves exist; a group whose codelength rose in the last
-   round is rolled back and its share halved (after a round that lowered it
-   the share doubles again, up to 1); below one expected damped mover the
-   group moves only its single best node, which never raises the codelength.
-
-A level ends when no group has improving moves worth more than ``tol`` bits
-together; modules are then
-contracted into nodes and the next level starts, until nothing merges.
-Lineage is cut every round by writing the (small) node and group tables as
-parquet under ``spark.checkpoint.dir``; the link table is written once per
-level.
+at once, with the same rules for a group of any size.  The nodes of a group
+are dealt by a hash into parts of about ``part_nodes`` nodes.  One round:
+
+1. joins bring the module of every neighbour and the flow and exit flow of the
+   modules to the links, which are kept in both directions as
+   ``(g, v, u, o, i)``; links that leave the part are summed per module first,
+   so a hub does not bring all its links to one task;
+2. every part moves its nodes one after the other to the best neighbouring
+   module (or to a new, empty one) as long as that shortens the codelength,
+   keeping the flows of the modules up to date for what the part itself did
+   (:func:`sweep`); what other parts do in the same round is not seen;
+3. module flow ``p_m``, exit flow ``q_m`` and the codelength per group are
+   computed anew as aggregates.
+
+A group of one part sees everything: its sweep ends when no move shortens the
+codelength, and the group is done with the level.  A group of several parts
+lets a share of its nodes move per round; a round that did not lower its
+codelength is rolled back and the share halved, until no node of the group has
+an improving move or all of them together are worth less than ``tol`` bits.
+So the codelength never rises.  Modules are contracted into nodes and the next
+level starts, until nothing merges; passes start again from the single nodes
+until a pass changes nothing.  There is no limit on rounds, levels or passes.
+
+Joins on a module or a group split hot keys (``functions.joins``).  The node
+and group tables of a round are written under ``spark.checkpoint.dir``
+(lineage is cut), the link table once per level.
 """
 
 from __future__ import annotations
 
 import logging
+import sys
 from dataclasses import dataclass
+from math import log2
 
-from pyspark import StorageLevel
+import numpy as np
+import pandas as pd
+from pyspark import StorageLevel, cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import ROUND_OPTIONS, conf_override, release, stage
+from ..functions.joins import HOT_ROWS, split_join
+from ..session import conf_override, release, round_options, stage
 from .flow import plogp
 
 G = "g"
 _LOG = logging.getLogger(__name__)
 
+# The sweep travels to the workers by value (they need no installed package).
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 @dataclass(frozen=True)
 class MoveConfig:
-    max_rounds: int = 50
-    max_levels: int = 12
+    # nodes of a part, the unit that one task moves
+    part_nodes: int = 20_000
+    # share of the nodes of a group of several parts that may move in a round;
+    # halved by a rollback, doubled by a round that lowered the codelength
     share: float = 0.5
-    # share growth after a round that lowered the codelength (halved on a rollback)
-    grow: float = 2.0
+    # smallest change of the codelength that counts as an improvement
     min_delta: float = 1e-10
-    seed: int = 999
-    # a group stops once all its improving moves together would lower the
-    # codelength by less than this many bits (the threshold the original
-    # two-level step uses) ...
+    # a group of several parts is done once all its improving moves together
+    # are worth less than this many bits
     tol: float = 1e-4
-    # ... or by less than this share of what the level has gained so far
-    # (diminishing returns; the contracted levels continue from there)
-    rel_tol: float = 0.005
+    seed: int = 999
+    hot_rows: int = HOT_ROWS
+
 
+def _with(rows: DataFrame, table: DataFrame, keys: list[str], most: int, cfg: MoveConfig,
+          how: str = "inner") -> DataFrame:
+    """Join a per-module or per-group table that counts its nodes in ``n``;
+    ``most`` is the number of nodes in the largest group."""
+    return split_join(rows, table, keys, "n", ["v"], how, cfg.hot_rows, most)
 
-def _bcast(df: DataFrame, grouped: bool) -> DataFrame:
-    # With no group key every per-group table has one row: broadcast it.
-    return df if grouped else F.broadcast(df)
 
+def both_directions(links: DataFrame) -> DataFrame:
+    """``(g, s, t, f)`` without self-links to ``(g, v, u, o, i)``."""
+    zero = F.lit(0.0)
+    out = links.select(G, F.col("s").alias("v"), F.col("t").alias("u"), F.col("f").alias("o"), zero.alias("i"))
+    back = links.select(G, F.col("t").alias("v"), F.col("s").alias("u"), zero.alias("o"), F.col("f").alias("i"))
+    return out.unionByName(back).groupBy(G, "v", "u").agg(F.sum("o").alias("o"), F.sum("i").alias("i"))
 
-def _module_stats(nodes: DataFrame, lm: DataFrame) -> DataFrame:
-    pm = nodes.groupBy(G, "m").agg(F.sum("p").alias("pm"))
-    qm = (lm.where(F.col("ms") != F.col("mt"))
-          .groupBy(G, F.col("ms").alias("m")).agg(F.sum("f").alias("q")))
-    return pm.join(qm, [G, "m"], "left").fillna(0.0, ["q"])
+
+def _module_stats(nodes: DataFrame, rows: DataFrame) -> DataFrame:
+    """``(g, m, n, pm, q)``: exit flow = out-flow of the members minus what
+    stays inside the module."""
+    zero = F.lit(0.0)
+    kept = rows.where(F.col("x") == F.col("a")).select(
+        G, F.col("a").alias("m"), zero.alias("p"), zero.alias("out"), F.col("o").alias("own"),
+        F.lit(0).cast("long").alias("n"))
+    all_ = nodes.select(G, "m", "p", "out", zero.alias("own"), F.lit(1).cast("long").alias("n"))
+    q = F.sum("out") - F.sum("own")
+    return (all_.unionByName(kept).groupBy(G, "m")
+            .agg(F.sum("n").alias("n"), F.sum("p").alias("pm"), q.alias("q"))
+            # what summation leaves of a closed module
+            .withColumn("q", F.when(F.col("q") < 1e-14, 0.0).otherwise(F.col("q"))))
 
 
 def _group_objective(mod: DataFrame) -> DataFrame:
     agg = mod.groupBy(G).agg(
-        F.sum("q").alias("Q"),
+        F.sum("n").alias("n"), F.sum("q").alias("Q"),
         F.sum(plogp(F.col("q"))).alias("sq"),
         F.sum(plogp(F.col("q") + F.col("pm"))).alias("sqp"))
-    return agg.select(G, "Q", (plogp(F.col("Q")) - 2 * F.col("sq") + F.col("sqp")).alias("L"))
-
-
-def _links_with_modules(links: DataFrame, nodes: DataFrame) -> DataFrame:
-    asg = nodes.select(G, "v", "m")
-    return (links
-            .join(asg.select(G, F.col("v").alias("s"), F.col("m").alias("ms")), [G, "s"])
-            .join(asg.select(G, F.col("v").alias("t"), F.col("m").alias("mt")), [G, "t"]))
-
-
-def _best_moves(nodes: DataFrame, lm: DataFrame, mod: DataFrame,
-                gobj: DataFrame, grouped: bool, min_delta: float) -> DataFrame:
-    """Best improving move per node: ``(g, v, a, x, d, fresh)``."""
-    both = F.explode(F.array(
-        F.struct(F.col("s").alias("v"), F.col("ms").alias("a"), F.col("mt").alias("x"),
-                 F.col("f").alias("o"), F.lit(0.0).alias("i")),
-        F.struct(F.col("t").alias("v"), F.col("mt").alias("a"), F.col("ms").alias("x"),
-                 F.lit(0.0).alias("o"), F.col("f").alias("i"))))
-    vx = (lm.select(G, both.alias("e")).select(G, "e.*")
-          .groupBy(G, "v", "a", "x").agg(F.sum("o").alias("o"), F.sum("i").alias("i")))
-    own = vx.where(F.col("x") == F.col("a")).select(
-        G, "v", F.col("o").alias("oa"), F.col("i").alias("ia"))
-    ctx = (nodes.select(G, "v", "p", "out", F.col("m").alias("a"))
-           .join(own, [G, "v"], "left").fillna(0.0, ["oa", "ia"])
-           .join(mod.select(G, F.col("m").alias("a"), F.col("pm").alias("pa"),
-                            F.col("q").alias("qa")), [G, "a"]))
-    # leaving for a new, empty module: the node's own id, when no module
-    # currently carries it (otherwise the option waits for a later round)
-    fresh = (nodes.where(F.col("m") != F.col("v"))
-             .join(mod.select(G, F.col("m").alias("v")), [G, "v"], "left_anti")
-             .select(G, "v", F.col("v").alias("x"), F.lit(0.0).alias("o"),
-                     F.lit(0.0).alias("i"), F.lit(True).alias("fresh")))
-    cand = (vx.where(F.col("x") != F.col("a")).drop("a")
-            .withColumn("fresh", F.lit(False)).unionByName(fresh)
-            .join(ctx, [G, "v"])
-            .join(mod.select(G, F.col("m").alias("x"), F.col("pm").alias("px"),
-                             F.col("q").alias("qx")), [G, "x"], "left")
-            .fillna(0.0, ["px", "qx"])
-            .join(_bcast(gobj.select(G, "Q"), grouped), G))
-    c = F.col
-    qa1 = c("qa") - c("out") + c("oa") + c("ia")
-    pa1 = c("pa") - c("p")
-    qx1 = c("qx") + c("out") - c("o") - c("i")
-    px1 = c("px") + c("p")
-    q1 = c("Q") - c("qa") - c("qx") + qa1 + qx1
-    d = ((plogp(q1) - plogp(c("Q")))
-         - 2 * (plogp(qa1) + plogp(qx1) - plogp(c("qa")) - plogp(c("qx")))
-         + (plogp(qa1 + pa1) + plogp(qx1 + px1)
-            - plogp(c("qa") + c("pa")) - plogp(c("qx") + c("px"))))
-    best = (cand.select(G, "v", "a", F.struct(F.round(d, 12).alias("d"), c("x").alias("x"),
-                                               c("fresh").alias("fresh")).alias("b"))
-            .groupBy(G, "v", "a").agg(F.min("b").alias("b"))
-            .select(G, "v", "a", "b.d", "b.x", "b.fresh"))
-    return best.where(c("d") < -min_delta)
-
-
-def _local_moving(nodes: DataFrame, links: DataFrame, grouped: bool,
-                  cfg: MoveConfig, level: int) -> tuple[DataFrame, int]:
-    """Rounds of one level.  Only groups that are still active take part in
-    a round: nodes of finished groups are set aside (written once), and the
-    link table is re-filtered to active groups whenever their number halves."""
-    groups = (nodes.groupBy(G).agg(F.count(F.lit(1)).alias("n"))
-              .withColumn("L_prev", F.lit(float("inf")))
-              .withColumn("L_start", F.lit(None).cast("double"))
-              .withColumn("share", F.lit(float(cfg.share)))
-              .withColumn("moved", F.lit(False))
-              .withColumn("active", F.lit(True)))
-    groups_h = stage(groups, "groups")   # staged handles, released when superseded
-    groups = groups_h
-    nodes_h = None                       # the caller's node table is never released
-    links_h = None                       # link tables re-filtered here
-    n_groups = groups.count()
-    links_groups = n_groups
-    finished: list[DataFrame] = []
-    rounds = 0
-    for r in range(cfg.max_rounds):
-        rounds = r + 1
-        lm = _links_with_modules(links, nodes).persist(StorageLevel.MEMORY_AND_DISK)
-        mod = _module_stats(nodes, lm)
-        gobj = _group_objective(mod)
-        # reused by the group and node updates of this round only; a lost
-        # block is recomputed from this round's staged inputs
-        improving = _best_moves(nodes, lm, mod, gobj, grouped, cfg.min_delta).persist(
-            StorageLevel.MEMORY_AND_DISK)
-        gstat = improving.groupBy(G).agg(
-            F.count(F.lit(1)).alias("n_imp"),
-            (-F.sum("d")).alias("potential"),
-            F.min(F.struct("d", "v", "x")).alias("top"))
-        st = (groups.join(gobj.select(G, "L"), G)
-              .join(gstat, G, "left")
-              # a round that moved nodes must lower the codelength strictly;
-              # otherwise it is rolled back (no drift between equal states)
-              .withColumn("rose", F.col("moved") & (F.col("L") > F.col("L_prev") - 1e-12)))
-        # halve after a rise (rolled back); after a round that lowered the
-        # codelength grow back
-        share = (F.when(F.col("rose"), F.col("share") / 2)
-                 .when(F.col("L") < F.col("L_prev") - 1e-12,
-                       F.least(F.lit(1.0), F.col("share") * cfg.grow))
-                 .otherwise(F.col("share")))
-        # converged: all improving moves together would gain less than tol
-        # (or than rel_tol of the gain of this level so far); measured on the
-        # candidates, so rounds that damping left idle do not count
-        start = F.coalesce(F.col("L_start"), F.col("L"))
-        gained = start - F.col("L")
-        converged = F.coalesce(F.col("potential"), F.lit(0.0)) < F.greatest(
-            F.lit(cfg.tol), gained * cfg.rel_tol)
-        groups_next = st.select(
-            G, "n", start.alias("L_start"),
-            F.when(F.col("rose"), F.col("L_prev")).otherwise(F.col("L")).alias("L_prev"),
-            share.alias("share"),
-            (~F.col("rose") & F.coalesce(F.col("n_imp") > 0, F.lit(False))).alias("moved"),
-            (F.col("rose") | (F.coalesce(F.col("n_imp") > 0, F.lit(False)) & ~converged)
-             ).alias("active"),
-            "rose",
-            # fewer than one expected damped mover: apply the best move alone
-            (share * F.coalesce(F.col("n_imp"), F.lit(0)) < 1).alias("single"),
-            "top")
-        groups_next = stage(groups_next, "groups")
-        gsel = _bcast(groups_next.select(G, "share", "rose", "single",
-                                         F.col("top.v").alias("top_v")), grouped)
-        # a move into a new module cannot meet another move: no direction rule
-        direction = F.col("fresh") | (
-            (F.col("x") < F.col("a")) if r % 2 == 0 else (F.col("x") > F.col("a")))
-        sampled = (F.pmod(F.xxhash64(F.col("v"), F.lit(r), F.lit(level), F.lit(cfg.seed)),
-                          F.lit(1000)) < F.col("share") * 1000)
-        damped = (improving.join(gsel, G)
-                  .where(~F.col("rose") & ~F.col("single") & sampled & direction
-                         & (F.col("top_v").isNull() | (F.col("v") != F.col("top_v"))))
-                  .select(G, "v", F.col("x").alias("to")))
-        # every group that was not rolled back also applies its best move,
-        # so no round is idle while improving moves exist
-        best = (groups_next.where(~F.col("rose") & F.col("top").isNotNull())
-                .select(G, F.col("top.v").alias("v"), F.col("top.x").alias("to")))
-        moves = damped.union(best)   # the best mover is excluded from damped
-        state = _bcast(groups_next.select(G, "rose", "active"), grouped)
-        new_nodes_h = stage(
-            nodes.join(state, G).join(moves, [G, "v"], "left")
-            .select(G, "v", "p", "out",
-                    F.when(F.col("rose"), F.col("m_prev"))
-                    .otherwise(F.coalesce(F.col("to"), F.col("m"))).alias("m"),
-                    F.when(F.col("rose"), F.col("m_prev"))
-                    .otherwise(F.col("m")).alias("m_prev"),
-                    "active"), "nodes")
-        lm.unpersist()
-        improving.unpersist()
-        release(nodes_h, groups_h)
-        counts = groups_next.agg(
-            F.count(F.lit(1)).alias("all"),
-            F.sum(F.col("active").cast("long")).alias("act"),
-            F.sum("L_prev").alias("L")).first()
-        n_active = counts["act"] or 0
-        if _LOG.isEnabledFor(logging.DEBUG):
-            _LOG.debug("level %d round %d active %d of %d L %s", level, r, n_active,
-                       counts["all"], counts["L"])
-        if n_active < counts["all"]:
-            # set finished groups aside; later rounds only see active ones
-            finished.append(stage(new_nodes_h.where(~F.col("active")).drop("active"),
-                                  "nodes_done"))
-            nodes_h = stage(new_nodes_h.where(F.col("active")), "nodes")
-            groups_h = stage(groups_next.where(F.col("active")), "groups")
-            release(new_nodes_h, groups_next)
-            if 0 < n_active <= links_groups // 2:
-                refiltered = stage(links.join(_bcast(groups_h.select(G), grouped), G,
-                                              "left_semi"), "links")
-                release(links_h)
-                links, links_h = refiltered, refiltered
-                links_groups = n_active
-        else:
-            nodes_h, groups_h = new_nodes_h, groups_next
-        groups = groups_h.drop("rose", "single", "top")
-        nodes = nodes_h.drop("active")
-        if n_active == 0:
-            break
-    release(groups_h, links_h)
-    out = nodes
-    for part in finished:
-        out = out.unionByName(part)
-    return out, rounds
+    return agg.select(G, "n", "Q", (plogp(F.col("Q")) - 2 * F.col("sq") + F.col("sqp")).alias("L"))
+
+
+def _xlog(x: float) -> float:
+    return x * log2(x) if x > 0.0 else 0.0
+
+
+def sweep(rows: pd.DataFrame, min_delta: float) -> pd.DataFrame:
+    """Move the nodes of one part until no allowed move shortens the
+    codelength: ``(g, v, to, gain)`` with the new module, and for nodes that
+    may not move in this round what their best move would be worth.
+
+    ``rows`` has one line per node v and neighbour u of the part, or module x
+    outside of it: flows o, i; v's flow p, out-flow, module a and permission;
+    flow, exit flow and nodes of both modules; the total exit flow."""
+    rows = rows.sort_values(["v", "inside", "u", "x"])
+    v, first = np.unique(rows["v"].to_numpy(), return_index=True)
+    ids = v.tolist()
+    names = ("u", "inside", "x", "o", "i", "p", "out", "a", "may", "px", "qx", "nx", "pa", "qa", "na")
+    u, inside, x, o, i, p, out, a, may, px, qx, nx, pa, qa, na = (rows[c].tolist() for c in names)
+    spans = list(zip(ids, first.tolist(), [*first.tolist()[1:], len(rows)]))
+    module = {node: a[lo] for node, lo, _ in spans}
+    flow, exits, size = {}, {}, {}
+    for m, m_flow, m_exit, n in (*zip(a, pa, qa, na), *zip(x, px, qx, nx)):
+        flow[m], exits[m], size[m] = m_flow, m_exit, n
+    total = float(rows["Q"].iloc[0])
+    gain = dict.fromkeys(ids, 0.0)
+    moved = True
+    while moved:
+        moved = False
+        for node, lo, hi in spans:
+            here = module[node]
+            near: dict[int, tuple[float, float]] = {}
+            for k in range(lo, hi):
+                there = module.get(u[k], x[k]) if inside[k] else x[k]
+                so, si = near.get(there, (0.0, 0.0))
+                near[there] = (so + o[k], si + i[k])
+            own_o, own_i = near.pop(here, (0.0, 0.0))
+            if size.get(node, 0) == 0:  # a new module under the node's own id
+                near[node] = (0.0, 0.0)
+            node_p, node_out = p[lo], out[lo]
+            left_q = max(0.0, exits[here] - node_out + own_o + own_i)
+            left_p = flow[here] - node_p
+            leaving = (-2 * (_xlog(left_q) - _xlog(exits[here]))
+                       + _xlog(left_q + left_p) - _xlog(exits[here] + flow[here]))
+            best, to, joined = 0.0, here, (0.0, 0.0)
+            for there, (so, si) in near.items():
+                q0, p0 = exits.get(there, 0.0), flow.get(there, 0.0)
+                q1, p1 = max(0.0, q0 + node_out - so - si), p0 + node_p
+                new_total = max(0.0, total - exits[here] - q0 + left_q + q1)
+                d = round(_xlog(new_total) - _xlog(total) + leaving
+                          - 2 * (_xlog(q1) - _xlog(q0)) + _xlog(q1 + p1) - _xlog(q0 + p0), 12)
+                if d < best or (d == best and d < 0.0 and there < to):
+                    best, to, joined = d, there, (q1, p1)
+            gain[node] = 0.0
+            if best < -min_delta:
+                if not may[lo]:
+                    gain[node] = -best
+                    continue
+                moved = True
+                total = max(0.0, total - exits[here] - exits.get(to, 0.0) + left_q + joined[0])
+                exits[here], flow[here], size[here] = left_q, left_p, size[here] - 1
+                exits[to], flow[to] = joined
+                size[to] = size.get(to, 0) + 1
+                module[node] = to
+    return pd.DataFrame({G: rows[G].iloc[0], "v": v, "to": [module[n] for n in ids], "gain": [gain[n] for n in ids]})
 
 
-def two_level_partition(node_flow: DataFrame, link_flow: DataFrame,
-                        group: str | None = None,
-                        config: MoveConfig | None = None) -> tuple[DataFrame, dict]:
+def _rows(nodes: DataFrame, adj: DataFrame) -> DataFrame:
+    """Links with the module and part of the neighbour and of the node."""
+    at = nodes.select(G, F.col("v").alias("u"), F.col("m").alias("x"), F.col("part").alias("part_u"))
+    own = nodes.select(G, "v", "p", "out", F.col("m").alias("a"), "part")
+    return (adj.join(at, [G, "u"]).join(own, [G, "v"])
+            .withColumn("inside", F.col("part") == F.col("part_u"))
+            .withColumn("u", F.when(F.col("inside"), F.col("u")).otherwise(F.lit(0)))
+            .groupBy(G, "part", "v", "u", "inside", "x", "a", "p", "out")
+            .agg(F.sum("o").alias("o"), F.sum("i").alias("i")))
+
+
+def _local_moving(nodes: DataFrame, adj: DataFrame, cfg: MoveConfig, level: int,
+                  history: list | None) -> tuple[DataFrame, int]:
+    """Rounds of one level from the modules ``m`` of ``nodes``.  Groups that
+    are done keep their nodes; later rounds leave them out."""
+    groups = stage(nodes.groupBy(G).agg(F.count(F.lit(1)).alias("n"))
+                   .withColumn("parts", F.ceil(F.col("n") / cfg.part_nodes))
+                   .withColumn("share", F.when(F.col("parts") == 1, 1.0).otherwise(cfg.share))
+                   .withColumn("L_prev", F.lit(float("inf"))).withColumn("moved", F.lit(False)), "groups")
+    top = groups.agg(F.count(F.lit(1)).alias("all"), F.max("n").alias("n")).first()
+    most, n_active = top["n"] or 0, top["all"]
+    now = _with(nodes, groups.select(G, "n", "parts"), [G], most, cfg).withColumn(
+        "part", F.pmod(F.xxhash64("v"), F.col("parts"))).drop("parts")
+    kind = nodes.schema[G].dataType.simpleString()
+    delta = cfg.min_delta
+    finished, rounds = [], 0
+    while n_active:
+        rounds += 1
+        rows = _rows(now, adj).persist(StorageLevel.MEMORY_AND_DISK)  # reused by this round only
+        mod = _module_stats(now, rows).persist(StorageLevel.MEMORY_AND_DISK)
+        rose = F.col("moved") & (F.col("L") > F.col("L_prev") - 1e-12)
+        share = (F.when(F.col("parts") == 1, 1.0).when(rose, F.col("share") / 2)
+                 .when(F.col("moved"), F.least(F.lit(1.0), F.col("share") * 2)).otherwise(F.col("share")))
+        state = stage(groups.join(_group_objective(mod).select(G, "Q", "L"), G).select(
+            G, "n", "parts", "Q", rose.alias("rose"), share.alias("share"),
+            F.when(rose, F.col("L_prev")).otherwise(F.col("L")).alias("L")), "groups")
+        live = _with(rows, state.where(~F.col("rose")).select(G, "n", "Q", "share"), [G], most, cfg)
+        may = F.pmod(F.xxhash64("v", F.lit(rounds), F.lit(level), F.lit(cfg.seed)), F.lit(1000)) < F.col("share") * 1000
+        own = mod.select(G, F.col("m").alias("a"), "n", F.col("pm").alias("pa"), F.col("q").alias("qa"), F.col("n").alias("na"))
+        other = mod.select(G, F.col("m").alias("x"), "n", F.col("pm").alias("px"), F.col("q").alias("qx"), F.col("n").alias("nx"))
+        full = _with(_with(live.withColumn("may", may), own, [G, "a"], most, cfg), other, [G, "x"], most, cfg)
+        swept = stage(full.groupBy(G, "part").applyInPandas(
+            lambda pdf: sweep(pdf, delta), f"{G} {kind}, v long, to long, gain double"), "swept")
+        joined = now.join(swept, [G, "v"], "left").withColumn("to", F.coalesce("to", "m"))
+        tally = joined.groupBy(G).agg(F.max(F.col("to") != F.col("m")).alias("moved"),
+                                      F.sum(F.coalesce("gain", F.lit(0.0))).alias("gain"))
+        # one part: its sweep left no improving move; several: nothing moved and little is left
+        still = (F.col("parts") == 1) | (~F.col("moved") & (F.col("gain") < cfg.tol))
+        after = stage(state.join(tally, G).select(
+            G, "n", "parts",
+            # when few may move, a round without a move must not end the search
+            F.when(~F.col("rose") & ~F.col("moved"), 1.0).otherwise(F.col("share")).alias("share"),
+            F.col("L").alias("L_prev"), (~F.col("rose") & F.col("moved")).alias("moved"),
+            "rose", (~F.col("rose") & still).alias("done")), "groups")
+        new = stage(_with(joined, after.select(G, "n", "rose", "done"), [G], most, cfg).select(
+            G, "v", "p", "out", F.when(F.col("rose"), F.col("m_prev")).otherwise(F.col("to")).alias("m"),
+            F.when(F.col("rose"), F.col("m_prev")).otherwise(F.col("m")).alias("m_prev"), "part", "done"), "nodes")
+        rows.unpersist()
+        mod.unpersist()
+        counts = after.agg(F.count(F.lit(1)).alias("all"), F.sum(F.col("done").cast("long")).alias("done")).first()
+        _LOG.debug("level %d round %d: %s of %s done", level, rounds, counts["done"], counts["all"])
+        if history is not None:
+            history.append((level, rounds, {r[G]: r["L"] for r in state.select(G, "L").collect()}))
+        release(groups, state, swept, now)
+        n_active = counts["all"] - counts["done"]
+        finished.append(stage(new.where("done").select(G, "v", "p", "out", "m", "m_prev"), "nodes_done"))
+        if n_active:
+            groups = stage(after.where("not done").drop("done", "rose"), "groups")
+            now = stage(new.where("not done").drop("done"), "nodes")
+        release(new, after)
+    if len(finished) == 1:
+        return finished[0], rounds
+    result = stage(_union(finished) if finished else nodes, "nodes")
+    release(*finished)
+    return result, rounds
+
+
+def _union(frames: list[DataFrame]) -> DataFrame:
+    out = frames[0]
+    for df in frames[1:]:
+        out = out.unionByName(df)
+    return out
+
+
+def _contract(nodes: DataFrame, adj: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Modules as nodes (each its own module) and the flows between them."""
+    at = nodes.select(G, "v", "m")
+    moved = (adj.join(at.withColumnRenamed("m", "mv"), [G, "v"])
+             .join(at.select(G, F.col("v").alias("u"), F.col("m").alias("mu")), [G, "u"])
+             .where(F.col("mv") != F.col("mu"))
+             .groupBy(G, F.col("mv").alias("v"), F.col("mu").alias("u"))
+             .agg(F.sum("o").alias("o"), F.sum("i").alias("i")))
+    links = stage(moved, "links")
+    out = links.groupBy(G, "v").agg(F.sum("o").alias("out"))
+    flow = nodes.groupBy(G, F.col("m").alias("v")).agg(F.sum("p").alias("p"))
+    return stage(_singletons(flow, out), "nodes"), links
+
+
+def _singletons(flow: DataFrame, out: DataFrame) -> DataFrame:
+    return (flow.join(out, [G, "v"], "left").fillna(0.0, ["out"])
+            .select(G, "v", "p", "out", F.col("v").alias("m"), F.col("v").alias("m_prev")))
+
+
+def two_level_partition(node_flow: DataFrame, link_flow: DataFrame, group: str | None = None,
+                        config: MoveConfig | None = None, history: list | None = None) -> tuple[DataFrame, dict]:
     """Partition the nodes of every group into modules.
 
     ``node_flow``: ``([group,] node_id, flow)``; ``link_flow``:
     ``([group,] source, target, flow)``.  Returns
-    ``([group,] node_id, module)`` - module ids are node ids - and a dict of
-    statistics (levels, rounds per level).
-    """
-    with conf_override(node_flow.sparkSession, ROUND_OPTIONS):
-        return _two_level(node_flow, link_flow, group, config or MoveConfig())
-
-
-def _two_level(node_flow: DataFrame, link_flow: DataFrame, group: str | None,
-               cfg: MoveConfig) -> tuple[DataFrame, dict]:
-    grouped = group is not None
-    gcol = F.col(group) if grouped else F.lit(0)
-    nf = node_flow.select(gcol.alias(G), F.col("node_id").alias("v"), F.col("flow").alias("p"))
-    links = (link_flow.where(F.col("source") != F.col("target"))
-             .select(gcol.alias(G), F.col("source").alias("s"), F.col("target").alias("t"),
-                     F.col("flow").alias("f")))
-    links = stage(links.groupBy(G, "s", "t").agg(F.sum("f").alias("f")), "links")
-    out = links.groupBy(G, F.col("s").alias("v")).agg(F.sum("f").alias("out"))
-    nodes = (nf.join(out, [G, "v"], "left").fillna(0.0, ["out"])
-             .select(G, "v", "p", "out", F.col("v").alias("m"), F.col("v").alias("m_prev")))
-    nodes = stage(nodes, "nodes")
-    orig = nodes.select(G, F.col("v").alias("node_id"), F.col("v").alias("m"))
-    stats = {"rounds": []}
-    for level in range(cfg.max_levels):
-        level_in = nodes
-        nodes, rounds = _local_moving(nodes, links, grouped, cfg, level)
-        stats["rounds"].append(rounds)
-        step = nodes.select(G, F.col("v").alias("m"), F.col("m").alias("m_new"))
-        old_orig = orig
-        orig = (orig.join(step, [G, "m"])
-                .select(G, "node_id", F.col("m_new").alias("m")))
-        orig = stage(orig, "assignment")
-        release(old_orig, level_in)
-        merged = nodes.where(F.col("m") != F.col("v")).limit(1).count() > 0
-        if not merged:
+    ``([group,] node_id, module)`` - the module id is its smallest node - and
+    a dict of statistics (rounds per level of every pass).  ``history``
+    collects the codelengths per round (a test aid)."""
+    cfg = config or MoveConfig()
+    gcol = F.col(group) if group else F.lit(0)
+    links = stage(link_flow.where(F.col("source") != F.col("target"))
+                  .select(gcol.alias(G), F.col("source").alias("s"), F.col("target").alias("t"),
+                          F.col("flow").alias("f")), "links")
+    with conf_override(links.sparkSession, round_options(links.sparkSession, 2 * links.count())):
+        adj = stage(both_directions(links), "links")
+        release(links)
+        out = adj.groupBy(G, "v").agg(F.sum("o").alias("out"))
+        flow = node_flow.select(gcol.alias(G), F.col("node_id").alias("v"), F.col("flow").alias("p"))
+        base = stage(_singletons(flow, out), "nodes")
+        result, stats = _passes(base, adj, cfg, history)
+        release(base, adj)
+    name = [F.col(G).alias(group)] if group else []
+    return result.select(*name, "node_id", "module"), stats
+
+
+def _passes(base: DataFrame, adj: DataFrame, cfg: MoveConfig, history: list | None) -> tuple[DataFrame, dict]:
+    stats: dict = {"rounds": []}
+    before, most = base, base.count()
+    while True:
+        nodes, rounds = _local_moving(before, adj, cfg, 0, history)
+        per_level, level_nodes, level_adj, tops = [rounds], nodes, adj, []
+        while True:
+            up, up_adj = _contract(level_nodes, level_adj)
+            if level_adj is not adj:
+                release(level_adj)
+            moved, rounds = _local_moving(up, up_adj, cfg, len(per_level), history)
+            per_level.append(rounds)
+            tops.append(moved)
+            release(up)
+            level_nodes, level_adj = moved, up_adj
+            if moved.where(F.col("m") != F.col("v")).isEmpty():
+                break
+        release(level_adj)
+        stats["rounds"].append(per_level)
+        # modules of the nodes after all levels, named by their smallest node
+        assigned = nodes.select(G, "v", "p", "out", "m")
+        for t in tops[:-1]:  # the last level merged nothing
+            step = t.select(G, F.col("v").alias("m"), F.col("m").alias("m_new"))
+            assigned = assigned.join(step, [G, "m"]).select(G, "v", "p", "out", F.col("m_new").alias("m"))
+        low = assigned.groupBy(G, "m").agg(F.min("v").alias("low"), F.count(F.lit(1)).alias("n"))
+        named = _with(assigned, low, [G, "m"], most, cfg)
+        after = stage(named.select(G, "v", "p", "out", F.col("low").alias("m"), F.col("low").alias("m_prev")), "nodes")
+        release(nodes, *tops)
+        # a pass that merged nothing above the nodes judged the nodes last
+        changed = len(tops) > 1 and _differs(before, after)
+        release(*([] if before is base else [before]))
+        before = after
+        if not changed:
             break
-        # contract modules into nodes for the next level
-        asg = nodes.select(G, "v", "m")
-        old_links = links
-        links = (links
-                 .join(asg.select(G, F.col("v").alias("s"), F.col("m").alias("ms")), [G, "s"])
-                 .join(asg.select(G, F.col("v").alias("t"), F.col("m").alias("mt")), [G, "t"])
-                 .where(F.col("ms") != F.col("mt"))
-                 .groupBy(G, F.col("ms").alias("s"), F.col("mt").alias("t"))
-                 .agg(F.sum("f").alias("f")))
-        links = stage(links, "links")
-        out = links.groupBy(G, F.col("s").alias("v")).agg(F.sum("f").alias("out"))
-        nodes = (nodes.groupBy(G, F.col("m").alias("v")).agg(F.sum("p").alias("p"))
-                 .join(out, [G, "v"], "left").fillna(0.0, ["out"])
-                 .select(G, "v", "p", "out", F.col("v").alias("m"), F.col("v").alias("m_prev")))
-        nodes = stage(nodes, "nodes")
-        release(old_links)
-    stats["levels"] = len(stats["rounds"])
-    result = orig.select(*( [F.col(G).alias(group)] if grouped else []),
-                         "node_id", F.col("m").alias("module"))
-    return result, stats
+    stats["passes"], stats["levels"] = len(stats["rounds"]), max(map(len, stats["rounds"]))
+    return after.select(G, F.col("v").alias("node_id"), F.col("m").alias("module")), stats
+
+
+def _differs(a: DataFrame, b: DataFrame) -> bool:
+    """Whether two assignments of the same nodes differ anywhere."""
+    return not (a.select(G, "v", F.col("m").alias("ma")).join(b.select(G, "v", "m"), [G, "v"])
+                .where(F.col("ma") != F.col("m")).isEmpty())

@@ -15,7 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .flow import per_group, plogp, with_group
+from .flow import join_group, plogp, with_group
 
 
 def codelength(node_flow: DataFrame, link_flow: DataFrame, assignment: DataFrame,
@@ -44,7 +44,8 @@ def codelength(node_flow: DataFrame, link_flow: DataFrame, assignment: DataFrame
         F.sum(plogp(F.col("q_m"))).alias("s_q"),
         F.sum(plogp(F.col("q_m") + F.col("p_m"))).alias("s_qp"),
         F.count(F.lit(1)).alias("num_modules"))
-    out = per.join(per_group(hp, grouped), g).select(
+    # one row a group on both sides
+    out = per.join(hp, g).select(
         *g,
         (plogp(F.col("exit_flow")) - 2 * F.col("s_q") - F.col("h_nodes")
          + F.col("s_qp")).alias("codelength"),
@@ -52,13 +53,14 @@ def codelength(node_flow: DataFrame, link_flow: DataFrame, assignment: DataFrame
     return out if grouped else out.drop(*g)
 
 
-def one_module_codelength(node_flow: DataFrame, group: Sequence[str] = ()) -> DataFrame:
+def one_module_codelength(node_flow: DataFrame, group: Sequence[str] = (),
+                          most: int | None = None) -> DataFrame:
     """Codelength with every node of a group in one module: the entropy of
     the node flow (normalised per group)."""
     grouped = bool(group)
     node_flow, g = with_group(node_flow, group)
-    tot = node_flow.groupBy(*g).agg(F.sum("flow").alias("_t"))
-    p = node_flow.join(per_group(tot, grouped), g).withColumn(
+    tot = node_flow.groupBy(*g).agg(F.sum("flow").alias("_t"), F.count(F.lit(1)).alias("n"))
+    p = join_group(node_flow, tot, g, grouped, ["node_id"], most).withColumn(
         "_p", F.when(F.col("_t") > 0, F.col("flow") / F.col("_t")).otherwise(F.lit(0.0)))
     out = p.groupBy(*g).agg((-F.sum(plogp(F.col("_p")))).alias("codelength"))
     return out if grouped else out.drop(*g)

@@ -16,13 +16,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.paths import path_replace_head
 from ..functions.ranking import consecutive_index, ordinal_within, prefix_sum
 from ..session import stage
 
+#: Rows of one index range in :func:`consolidate_trees`.
+INDEX_RANGE = 100_000
+
 
 def cluster_rank(sizes: DataFrame) -> DataFrame:
     """``(cl_top, n, rank)``: 1 = largest cluster, ties by name."""
@@ -103,18 +106,30 @@ def consolidate_trees(rows: DataFrame) -> DataFrame:
 
     ``rows``: ``(file, pos, path, name)`` where ``(file, pos)`` orders the
     rows of each file.  Returns ``(name, path, top)``: the path with its
-    head replaced by the new top id (1-based)."""
-    r = rows.withColumn("old_top", F.substring_index("path", ":", 1))
-    r = consecutive_index(r, ["file", "pos"], "idx")
-    prev = r.select((F.col("idx") + 1).alias("idx"), F.col("file").alias("prev_file"),
-                    F.col("old_top").alias("prev_top"))
-    flagged = (r.join(prev, "idx", "left")
-               .withColumn("flag", (F.col("prev_file").isNull()
-                                    | (F.col("prev_file") != F.col("file"))
-                                    | (F.col("prev_top") != F.col("old_top"))).cast("long")))
-    numbered = prefix_sum(flagged, ["idx"], "flag", "top")
-    return numbered.select("name", path_replace_head("path", F.col("top")).alias("path"),
-                           F.col("top"))
+    head replaced by the new top id (1-based).
+
+    Rows are indexed once; an island starts where the row before it (by
+    index) has another file or another old top id.  Only the island starts
+    (index and number) are numbered, and every row takes the number of the
+    last start at or before it by a running maximum over its index range."""
+    old = rows.withColumn("old_top", F.substring_index("path", ":", 1))
+    r = consecutive_index(old, ["file", "pos"], "idx").withColumn("range", F.floor(F.col("idx") / INDEX_RANGE))
+    inside = Window.partitionBy("range").orderBy("idx")
+    # the last row of every range is what the first row of the next one follows
+    ends = (r.groupBy("range").agg(F.max(F.struct("idx", "file", "old_top")).alias("end"))
+            .select((F.col("range") + 1).alias("range"), "end"))
+    before = F.coalesce(F.lag(F.struct("idx", "file", "old_top")).over(inside), F.col("end"))
+    flagged = (r.join(ends, "range", "left").withColumn("before", before)
+               .withColumn("flag", (F.col("before").isNull()
+                                    | ~F.col("before.file").eqNullSafe(F.col("file"))
+                                    | ~F.col("before.old_top").eqNullSafe(F.col("old_top"))).cast("long")))
+    upto = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    counted = flagged.withColumn("inside", F.sum("flag").over(upto))
+    totals = flagged.groupBy("range").agg(F.sum("flag").alias("starts"))
+    offsets = (prefix_sum(totals, ["range"], "starts", "upto").select("range", (F.col("upto") - F.col("starts")).alias("off")))
+    top = F.col("off") + F.col("inside")
+    return (counted.join(offsets, "range").withColumn("top", top)
+            .select("name", path_replace_head("path", F.col("top")).alias("path"), "top"))
 
 
 def single_file_bins(files: DataFrame) -> DataFrame:

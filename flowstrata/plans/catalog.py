@@ -156,20 +156,20 @@ def q_refine_clusters(spark, sf_dir):
     return refine_clusters(km, M.within_cluster_edges(edges, km))
 
 
-@register("refine_status", with_views("""
-SELECT cl_top, 'ok' AS status, CAST(count(*) AS BIGINT) AS n FROM kept_members GROUP BY cl_top"""))
-def q_refine_status(spark, sf_dir):
-    """Per kept cluster: status of its refinement and node count."""
-    refined = q_refine_clusters(spark, sf_dir)
-    return refined.groupBy("cl_top", "status").agg(F.count(F.lit(1)).alias("n"))
-
-
-@register("final_assignment")
+@register("final_assignment", with_views("""
+SELECT m.node_id, m.node_name, m.cl_top, round(m.flow, 9) AS flow,
+       CASE WHEN k.node_id IS NULL THEN 'passthrough' ELSE 'ok' END AS status,
+       CASE WHEN k.node_id IS NULL THEN m.cl END AS old_path, m.cl_top AS path_head
+FROM members m LEFT JOIN kept_members k ON m.node_id = k.node_id"""))
 def q_final_assignment(spark, sf_dir):
-    """Union of refined and pass-through rows, with a status column."""
-    return P.hierarchical_communities(
+    """Union of refined and pass-through rows: each node once with its name,
+    cluster, flow and status; pass-through paths unchanged, path head = cluster."""
+    out = P.hierarchical_communities(
         T.vertices(spark, sf_dir), T.edges(spark, sf_dir), T.tree(spark, sf_dir),
         MIN_SIZE, MAX_SIZE, with_status=True)
+    return out.select("node_id", "node_name", "cl_top", F.round("flow", 9).alias("flow"), "status",
+                      F.when(F.col("status") == "passthrough", F.col("cl")).alias("old_path"),
+                      PT.cl_top("cl").alias("path_head"))
 
 
 @register("hierarchical_communities")
@@ -515,7 +515,7 @@ def q_read_results(spark, sf_dir):
 @register("read_single_csv", with_views("SELECT cl_top, n FROM sizes"))
 def q_read_single_csv(spark, sf_dir):
     path = staging_path(spark, "sizes_csv")
-    q_cluster_sizes(spark, sf_dir).coalesce(1).write.csv(path)
+    q_cluster_sizes(spark, sf_dir).repartition(1).write.csv(path)
     return TX.read_single_csv(spark, path, "cl_top STRING, n BIGINT")
 
 
@@ -571,8 +571,8 @@ def _bin_tree_files(spark, sf_dir):
             .select(PT.zero_padded("bin", F.lit(4)).alias("bin"), "cl_top", "leaf",
                     F.col("cl").alias("path"), F.col("node_name").alias("name")))
     path = staging_path(spark, "bin_trees")
-    # all rows of a bin in one task -> exactly one file per bin directory;
-    # a bin's size is bounded by construction (bin_size plus one cluster)
+    # the format asks for one file per bin, so a bin is written by one task;
+    # a bin holds bin_size nodes plus one cluster, and a cluster is not bounded
     (rows.repartition("bin").sortWithinPartitions("bin", "cl_top", "leaf")
      .select("bin", "path", "name")
      .write.partitionBy("bin").option("sep", " ").csv(path))
@@ -586,10 +586,29 @@ def _bin_tree_files(spark, sf_dir):
         "path", "name")
 
 
-@register("trees_per_bin", BINS_SQL + "\nSELECT lpad(CAST(bin AS VARCHAR), 4, '0') AS bin, CAST(1 AS BIGINT) AS n_files FROM bins GROUP BY bin")
+@register("trees_per_bin", BINS_SQL + """
+SELECT lpad(CAST(bin AS VARCHAR), 4, '0') AS bin, CAST(1 AS BIGINT) AS n_files FROM bins WHERE bin % 3 = 0 GROUP BY bin""")
 def q_trees_per_bin(spark, sf_dir):
+    """Bins with exactly one tree file; of every three bins one has a file,
+    one has two and one has none."""
     files = _bin_tree_files(spark, sf_dir).select("bin", "file")
-    return O.single_file_bins(files)
+    number = F.col("bin").cast("long") % 3
+    second = files.where(number == 1).withColumn("file", F.concat("file", F.lit(".second")))
+    return O.single_file_bins(files.where(number < 2).unionByName(second))
+
+
+@register("largest_node_lists", with_views("""
+SELECT r.rank AS cluster_rank, m.cl_top, m.node_name
+FROM members m JOIN (SELECT cl_top, row_number() OVER (ORDER BY n DESC, cl_top) AS rank FROM sizes) r
+ON m.cl_top = r.cl_top WHERE r.rank <= 10"""))
+def q_largest_node_lists(spark, sf_dir):
+    """Node lists of the ten largest clusters only (the bound is the feature)."""
+    members = q_members(spark, sf_dir)
+    rows = TX.largest_node_lists(members, M.cluster_sizes(members), TOP_K)
+    path = staging_path(spark, "largest_lists")
+    TX.write_partitioned_text(rows, path, ["cluster_rank", "cl_top"], "node_name")
+    back = TX.read_partitioned_text(spark, path, "node_name")
+    return back.select(F.col("cluster_rank").cast("long"), F.col("cl_top").cast("string"), "node_name")
 
 
 @register("consolidate_trees", BINS_SQL + BIN_TREE_ROWS + """
@@ -601,11 +620,9 @@ def q_consolidate_trees(spark, sf_dir):
     """Unique top ids over the per-bin tree files (file order, line order)."""
     rows = _bin_tree_files(spark, sf_dir)
     files = rows.select("file", "pos", "path", "name")
-    out = O.consolidate_trees(files)
-    # sink: consolidated (name, path, top) headerless TSV, read back
     path = staging_path(spark, "consolidated")
-    out.write.option("sep", "\t").csv(path)
-    return spark.read.csv(path, sep="\t", schema="name STRING, path STRING, top BIGINT")
+    TX.write_consolidated(O.consolidate_trees(files), path)
+    return TX.read_consolidated(spark, path)
 
 
 SUB_RESULTS = """, sub AS (
@@ -658,12 +675,140 @@ def q_refine_by_bin(spark, sf_dir):
     return out.select("node_id", F.col("cl_top").alias("bin"), "cl", "status")
 
 
-@register("refined_with_flow")
+# ------------------------------------- partition jobs on a network of known
+# optimum: cliques of five parts in rings of three (sources.tables)
+
+CLIQUES = """cp AS (
+  SELECT p_partkey AS node_id, p_name AS node_name, (p_partkey // 5) * 5 AS clique, (p_partkey // 15) * 15 AS ring
+  FROM part WHERE (p_partkey // 15) IN (SELECT p_partkey // 15 FROM part GROUP BY 1 HAVING count(*) = 15)
+)"""
+#: Rings whose links are broken on purpose, and rings that share one large cluster.
+BROKEN_RING, SHARED_RING = 4, 5
+
+
+def _ring_number():
+    return F.floor(F.col("ring") / (T.CLIQUE * T.RING))
+
+
+def _rings(spark, sf_dir):
+    """Members ``(node_id, cl_top, ring)`` with one cluster per ring, and their links."""
+    parts = T.clique_parts(spark, sf_dir).withColumn("cl_top", F.col("ring").cast("string"))
+    within = M.within_cluster_edges(T.clique_edges(spark, sf_dir), parts)
+    return parts, within
+
+
+@register("two_level_cliques", f"""WITH {CLIQUES}
+SELECT node_id, clique AS module FROM cp""")
+def q_two_level_cliques(spark, sf_dir):
+    """Two-level partition of the clique network: the modules are the cliques."""
+    from ..operators.moves import two_level_partition
+    nf, lf = undirdir_flow(T.clique_edges(spark, sf_dir))
+    return two_level_partition(nf, lf)[0]
+
+
+@register("refine_cliques", f"""WITH {CLIQUES}
+SELECT node_id, CAST(ring AS VARCHAR) AS cl_top,
+       CAST(ring AS VARCHAR) || ':' || CAST((clique - ring) // 5 + 1 AS VARCHAR) || ':' || CAST(node_id - clique + 1 AS VARCHAR) AS cl,
+       'ok' AS status
+FROM cp""")
+def q_refine_cliques(spark, sf_dir):
+    """Every ring is a cluster and splits into its three cliques."""
+    return refine_clusters(*_rings(spark, sf_dir))
+
+
+@register("refine_status", f"""WITH {CLIQUES}
+SELECT CAST(ring AS VARCHAR) AS cl_top, CASE WHEN (ring // 15) % {BROKEN_RING} = 0 THEN 'failed' ELSE 'ok' END AS status,
+       CAST(count(*) AS BIGINT) AS n
+FROM cp GROUP BY ring""")
+def q_refine_status(spark, sf_dir):
+    """Status per cluster; every fourth ring has a link of negative weight and fails."""
+    parts, within = _rings(spark, sf_dir)
+    ring = F.floor(F.col("source") / (T.CLIQUE * T.RING))
+    broken = (ring % BROKEN_RING == 0) & (F.col("weight") == 1.0)
+    bad = within.withColumn("weight", F.when(broken, -1.0).otherwise(F.col("weight")))
+    return refine_clusters(parts, bad).groupBy("cl_top", "status").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("refined_with_flow", f"""WITH {CLIQUES}
+SELECT node_id, CAST(ring AS VARCHAR) || ':' || CAST((clique - ring) // 5 + 1 AS VARCHAR) || ':' || CAST(node_id - clique + 1 AS VARCHAR) AS cl,
+       round(p_retailprice / sum(p_retailprice) OVER (), 9) AS flow
+FROM cp JOIN part ON p_partkey = node_id""")
 def q_refined_with_flow(spark, sf_dir):
-    """Refined paths with the whole-network flow attached (left join)."""
-    _, _, km, edges = network(spark, sf_dir)
-    refined = refine_clusters(km, M.within_cluster_edges(edges, km))
-    return refined.join(km.select("node_id", "flow"), "node_id", "left")
+    """Refined paths with a flow of the whole network attached (left join)."""
+    refined = q_refine_cliques(spark, sf_dir)
+    ids = T.clique_parts(spark, sf_dir).select("node_id")
+    part = T.table(spark, sf_dir, "part").select(F.col("p_partkey").alias("node_id"), "p_retailprice")
+    price = part.join(ids, "node_id", "left_semi")
+    total = price.agg(F.sum("p_retailprice")).scalar()
+    flow = price.select("node_id", F.round(F.col("p_retailprice") / total, 9).alias("flow"))
+    return refined.join(flow, "node_id", "left").select("node_id", "cl", "flow")
+
+
+CLIQUE_TREE = f"""{CLIQUES},
+ct AS (
+  SELECT node_id, 'part#' || CAST(node_id AS VARCHAR) AS node_name, clique, ring,
+         CASE WHEN (ring // 15) % {SHARED_RING} = 1 THEN 'shared' ELSE CAST(ring AS VARCHAR) END AS cl_top FROM cp
+),
+ck AS (SELECT cl_top FROM ct GROUP BY cl_top HAVING count(*) BETWEEN {MIN_SIZE} AND {MAX_SIZE}),
+communities AS (
+  SELECT node_id, node_name, cl_top,
+         cl_top || ':' || CASE WHEN cl_top = 'shared' OR cl_top NOT IN (SELECT cl_top FROM ck) THEN CAST(node_id AS VARCHAR)
+           ELSE CAST((clique - ring) // 5 + 1 AS VARCHAR) || ':' || CAST(node_id - clique + 1 AS VARCHAR) END AS cl
+  FROM ct
+)"""
+
+
+def _clique_tree(spark, sf_dir):
+    """Vertices and a two-level tree of the clique network: one cluster per
+    ring, every fifth ring in one large cluster."""
+    parts = T.clique_parts(spark, sf_dir)
+    top = F.when(_ring_number() % SHARED_RING == 1, F.lit("shared")).otherwise(F.col("ring").cast("string"))
+    vertices = parts.select("node_id", T.node_name("node_id").alias("node_name"))
+    tree = parts.select(F.concat(top, F.lit(":"), F.col("node_id").cast("string")).alias("cl"),
+                        (F.col("node_id") / 1e6).alias("flow"), T.node_name("node_id").alias("node_name"))
+    return vertices, tree
+
+
+@register("clique_communities", f"WITH {CLIQUE_TREE}\nSELECT * FROM communities WHERE (SELECT count(*) FROM ct WHERE cl_top = 'shared') > {MAX_SIZE}")
+def q_clique_communities(spark, sf_dir):
+    """The whole job on the clique network (tables to result)."""
+    vertices, tree = _clique_tree(spark, sf_dir)
+    out = P.hierarchical_communities(vertices, T.clique_edges(spark, sf_dir), tree, MIN_SIZE, MAX_SIZE)
+    return out.select("node_id", "node_name", "cl", "cl_top")
+
+
+@register("communities_from_files", f"WITH {CLIQUE_TREE}\nSELECT * FROM communities WHERE (SELECT count(*) FROM ct WHERE cl_top = 'shared') > {MAX_SIZE}")
+def q_communities_from_files(spark, sf_dir):
+    """The same job from a Pajek network with weights and a tree file to a TSV result."""
+    vertices, tree = _clique_tree(spark, sf_dir)
+    net, tree_path, out = (staging_path(spark, n) for n in ("clique_net", "clique_tree", "clique_result"))
+    PJ.write_pajek(vertices, T.clique_edges(spark, sf_dir), net)
+    TX.write_tree(tree, tree_path)
+    P.communities_from_files(spark, net, tree_path, out, MIN_SIZE, MAX_SIZE)
+    return TX.read_results(spark, out, "node_id BIGINT, node_name STRING, cl STRING, cl_top STRING, flow DOUBLE").drop("flow")
+
+
+@register("cluster_cliques", f"""WITH {CLIQUES},
+ranked AS (SELECT clique, row_number() OVER (ORDER BY clique) AS rank FROM (SELECT DISTINCT clique FROM cp) t)
+SELECT node_id, node_name, CAST(rank AS VARCHAR) AS cl_top,
+       CAST(rank AS VARCHAR) || ':' || CAST(node_id - cp.clique + 1 AS VARCHAR) AS cl
+FROM cp JOIN ranked ON cp.clique = ranked.clique""")
+def q_cluster_cliques(spark, sf_dir):
+    """Network only, with part names that many nodes share: each node once,
+    cliques as clusters, ranked by flow (all equal) and smallest node."""
+    parts = T.clique_parts(spark, sf_dir)
+    out = P.cluster_network(parts.select("node_id", "node_name"), T.clique_edges(spark, sf_dir), MIN_SIZE, MAX_SIZE)
+    return out.select("node_id", "node_name", "cl_top", "cl")
+
+
+@register("pajek_weights", f"""WITH {CLIQUES}
+SELECT a.node_id AS source, b.node_id AS target, CAST(2.0 AS DOUBLE) AS weight FROM cp a JOIN cp b ON a.clique = b.clique AND a.node_id <> b.node_id
+UNION ALL SELECT node_id, ring + (node_id + 1 - ring) % 15, CAST(1.0 AS DOUBLE) FROM cp WHERE node_id = clique + 4""")
+def q_pajek_weights(spark, sf_dir):
+    """Arcs with weights through a written Pajek network."""
+    path = staging_path(spark, "clique_net")
+    PJ.write_pajek(_clique_tree(spark, sf_dir)[0], T.clique_edges(spark, sf_dir), path)
+    return PJ.read_pajek(spark, path).edges
 
 
 # ---------------------------------------------------------------- stream

@@ -5,44 +5,47 @@
   clusters refined, all others passed through with their original path.
 * :func:`cluster_network` - network only: two-level partition of the whole
   network first, then the above.
+* :func:`communities_from_files`, :func:`cluster_network_file` - the same two
+  jobs from files to a sorted TSV result; intermediate tables are removed.
 * :func:`finalize_paths` / :func:`trim_result` - merge an older sub-cluster
   result into a tree, then drop and rename columns.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.joins import split_join
 from ..functions.paths import cl_top as top_of, combined_or_original
-from ..functions.ranking import ordinal_within
+from ..functions.ranking import consecutive_index, ordinal_within
 from ..operators import membership as M
 from ..operators.flow import undirdir_flow
 from ..operators.hierarchy import RefineConfig, refine_clusters
 from ..operators.moves import MoveConfig, two_level_partition
-from ..session import stage
+from ..session import stage, staging_area
+from ..sources.pajek import read_pajek
+from ..sources.text import read_tree, write_result
 
 RESULT_COLUMNS = ["node_id", "node_name", "cl", "cl_top", "flow"]
 
 
-def refine_kept(vertices: DataFrame, edges: DataFrame, tree: DataFrame,
-                min_size: int = 10, max_size: int | None = None,
-                config: RefineConfig | None = None):
-    """Shared first half: ``(members, kept, kept members, refined)``."""
-    members = stage(M.members(tree, vertices), "members")
-    kept = stage(M.cluster_size_filter(M.cluster_sizes(members), min_size, max_size), "kept")
-    km = M.kept_members(members, kept)
-    within = M.within_cluster_edges(edges, km)
-    refined = refine_clusters(km, within, config)
-    return members, kept, km, refined
+def chosen_links(edges: DataFrame, weighted: bool = True, self_links: bool = True) -> DataFrame:
+    """The links a job works on: without weights all count 1; without
+    self-links those from a node to itself are left out."""
+    out = edges if weighted else edges.select("source", "target")
+    return out if self_links else out.where(F.col("source") != F.col("target"))
 
 
-def hierarchical_communities(vertices: DataFrame, edges: DataFrame, tree: DataFrame,
-                             min_size: int = 10, max_size: int | None = None,
-                             config: RefineConfig | None = None,
-                             with_status: bool = False) -> DataFrame:
-    members, kept, km, refined = refine_kept(vertices, edges, tree, min_size, max_size,
-                                             config)
+def communities_of_members(members: DataFrame, edges: DataFrame, min_size: int = 10,
+                           max_size: int | None = None, config: RefineConfig | None = None,
+                           with_status: bool = False) -> DataFrame:
+    """Refine the kept clusters of ``members`` ``(node_id, node_name, cl,
+    flow, cl_top)`` and pass all other rows through, sorted by node id."""
+    members = stage(members, "members")
+    kept = stage(M.cluster_size_filter(M.cluster_sizes(members), min_size, max_size), "kept")
+    km = M.kept_members(members, kept)
+    refined = refine_clusters(km, M.within_cluster_edges(edges, km), config)
     attrs = km.select("node_id", "cl_top", "node_name", "flow")
     inside = refined.join(attrs, ["node_id", "cl_top"], "left").select(
         *RESULT_COLUMNS, "status")
@@ -54,38 +57,73 @@ def hierarchical_communities(vertices: DataFrame, edges: DataFrame, tree: DataFr
     return out.orderBy("node_id")
 
 
-def partition_to_tree(node_flow: DataFrame, assignment: DataFrame,
-                      vertices: DataFrame) -> DataFrame:
-    """Two-level tree ``(cl, flow, node_name)`` from a partition: module
-    ordinal by module flow, leaf ordinal by node flow."""
+def hierarchical_communities(vertices: DataFrame, edges: DataFrame, tree: DataFrame,
+                             min_size: int = 10, max_size: int | None = None,
+                             config: RefineConfig | None = None,
+                             with_status: bool = False) -> DataFrame:
+    return communities_of_members(M.members(tree, vertices), edges, min_size, max_size, config, with_status)
+
+
+def partition_members(node_flow: DataFrame, assignment: DataFrame, vertices: DataFrame) -> DataFrame:
+    """Member rows of a partition, each node once: module ordinal by module
+    flow, leaf ordinal by node flow.  Names come by node id; a node without a
+    vertex row (a link end) or without a name has a null name."""
     nf = node_flow.join(assignment, "node_id")
-    mods = nf.groupBy("module").agg(F.sum("flow").alias("mflow"))
-    mods = ordinal_within(mods.withColumn("_all", F.lit(0)), ["_all"],
-                          [F.col("mflow").desc(), F.col("module")], "mord")
-    leaves = ordinal_within(nf, ["module"], [F.col("flow").desc(), F.col("node_id")], "leaf")
-    names = M.names_by_id(vertices)
-    return (leaves.join(mods.select("module", "mord"), "module")
-            .join(names, "node_id")
-            .select(F.concat(F.col("mord").cast("string"), F.lit(":"),
-                             F.col("leaf").cast("string")).alias("cl"),
-                    "flow", "node_name"))
+    mods = nf.groupBy("module").agg(F.sum("flow").alias("mflow"), F.count(F.lit(1)).alias("n"))
+    mods = consecutive_index(mods, [F.round("mflow", 12).desc(), F.col("module")], "mord")
+    leaves = ordinal_within(nf, ["module"], [F.round("flow", 12).desc(), F.col("node_id")], "leaf")
+    placed = split_join(leaves, mods.select("module", "n", "mord"), ["module"], "n", ["node_id"])
+    top = F.col("mord").cast("string")
+    return (placed.join(M.names_by_id(vertices), "node_id", "left")
+            .select("node_id", "node_name", F.concat(top, F.lit(":"), F.col("leaf").cast("string")).alias("cl"),
+                    "flow", top.alias("cl_top")))
+
+
+def two_level_members(vertices: DataFrame, edges: DataFrame, config: MoveConfig | None = None) -> DataFrame:
+    """Two-level partition of the whole network as member rows."""
+    nf, lf = undirdir_flow(edges, nodes=vertices.select("node_id"))
+    nf, lf = stage(nf, "network_flow"), stage(lf, "network_links")
+    asg, _ = two_level_partition(nf, lf, config=config)
+    return partition_members(nf, asg, vertices)
 
 
 def two_level_tree(vertices: DataFrame, edges: DataFrame,
                    config: MoveConfig | None = None) -> DataFrame:
     """Two-level partition of the whole network as a tree table."""
-    nf, lf = undirdir_flow(edges, nodes=vertices.select("node_id"))
-    nf = stage(nf, "network_flow")
-    asg, _ = two_level_partition(nf, lf, config=config)
-    return partition_to_tree(nf, asg, vertices)
+    return two_level_members(vertices, edges, config).select("cl", "flow", "node_name")
 
 
 def cluster_network(vertices: DataFrame, edges: DataFrame, min_size: int = 10,
                     max_size: int | None = None,
                     config: RefineConfig | None = None) -> DataFrame:
+    """Network only.  Members are kept by node id throughout, so nodes that
+    share a name, have none or are no vertex appear once each."""
     cfg = config or RefineConfig()
-    tree = stage(two_level_tree(vertices, edges, cfg.moves), "tree")
-    return hierarchical_communities(vertices, edges, tree, min_size, max_size, cfg)
+    members = two_level_members(vertices, edges, cfg.moves)
+    return communities_of_members(members, edges, min_size, max_size, cfg)
+
+
+def communities_from_files(spark: SparkSession, network: str, tree: str, out: str,
+                           min_size: int = 10, max_size: int | None = None, weighted: bool = True,
+                           self_links: bool = True, mode: str = "errorifexists",
+                           config: RefineConfig | None = None) -> None:
+    """Pajek network and tree file -> sorted TSV result."""
+    with staging_area():
+        net = read_pajek(spark, network)
+        result = hierarchical_communities(net.vertices, chosen_links(net.edges, weighted, self_links),
+                                          read_tree(spark, tree), min_size, max_size, config)
+        write_result(result, out, mode)
+
+
+def cluster_network_file(spark: SparkSession, network: str, out: str, min_size: int = 10,
+                         max_size: int | None = None, weighted: bool = True, self_links: bool = True,
+                         mode: str = "errorifexists", config: RefineConfig | None = None) -> None:
+    """Pajek network -> sorted TSV result."""
+    with staging_area():
+        net = read_pajek(spark, network)
+        result = cluster_network(net.vertices, chosen_links(net.edges, weighted, self_links),
+                                 min_size, max_size, config)
+        write_result(result, out, mode)
 
 
 def finalize_paths(tree: DataFrame, sub_results: DataFrame, vertices: DataFrame) -> DataFrame:

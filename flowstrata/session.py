@@ -1,22 +1,21 @@
 """Session helpers: a local session for tests and benches, and the shared
 staging folder that iterative jobs use to cut lineage.
 
-On a cluster the folder comes from ``spark.checkpoint.dir`` (a shared
-file system path).  Only when that setting is missing *and* the master is
-local do we fall back to a fresh folder under /tmp, as tests do.
+The folder comes from ``spark.checkpoint.dir`` (a shared file system path);
+without the setting iterative jobs refuse to run.  ``local_session`` (tests,
+benches) takes the folder as an argument.
 """
 
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
-                  app: str = "flowstrata") -> SparkSession:
+                  app: str = "flowstrata", checkpoint: str | None = None) -> SparkSession:
     spark = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
@@ -33,68 +32,82 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
-    checkpoint_dir(spark)
+    if checkpoint and not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(checkpoint)
     return spark
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """Return the reliable checkpoint folder, setting a local one only when
-    none is configured and the session runs in local mode."""
+    """The shared checkpoint folder, as the session names it in
+    ``spark.checkpoint.dir`` (tests and benches set it themselves)."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
-    configured = sc.getConf().get("spark.checkpoint.dir", None)
+    configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
-        try:
-            configured = spark.conf.get("spark.checkpoint.dir")
-        except Exception:  # noqa: BLE001 - conf.get raises for unknown keys
-            configured = None
-    if configured:
-        sc.setCheckpointDir(configured)
-        return sc.getCheckpointDir()
-    if not sc.master.startswith("local"):
-        raise RuntimeError(
-            "spark.checkpoint.dir must name a shared folder on a cluster")
-    sc.setCheckpointDir(tempfile.mkdtemp(prefix="flowstrata-ckpt-"))
+        raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
+    sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
 
 
 def staging_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the checkpoint folder for written tables."""
-    base = checkpoint_dir(spark)
-    return os.path.join(base, "staged", f"{name}-{uuid.uuid4().hex[:12]}")
+    path = os.path.join(checkpoint_dir(spark), "staged", f"{name}-{uuid.uuid4().hex[:12]}")
+    if _AREAS:
+        _AREAS[-1].append((spark, path))
+    return path
 
 
-def stage(df, name: str = "stage"):
+def stage(df: DataFrame, name: str = "stage") -> DataFrame:
     """Write ``df`` as parquet under the checkpoint folder and read it back.
 
     Cuts lineage like ``checkpoint()`` but leaves no trace of the producing
     plan (statistics, constraints) in the new one, which keeps planning time
-    flat across the rounds of an iterative job."""
+    flat across the rounds of an iterative job.  The returned frame carries
+    its path, so that :func:`release` can delete exactly this table."""
     spark = df.sparkSession
     path = staging_path(spark, name)
     df.write.mode("errorifexists").parquet(path)
     # The schema is known: passing it skips the footer-reading job.
     out = spark.read.schema(df.schema).parquet(path)
-    _STAGED[id(out)] = path
+    out._staged_path = path
     return out
 
 
-_STAGED: dict[int, str] = {}
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Remove a staged table through the file system of the staging folder."""
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hpath, True)
 
 
 def release(*frames) -> None:
-    """Delete the files of staged tables that nothing reads any more (a
-    superseded round), through the file system of the staging folder."""
+    """Delete the tables of frames returned by :func:`stage` that nothing
+    reads any more (a superseded round); other frames are left alone."""
     for df in frames:
-        path = _STAGED.pop(id(df), None) if df is not None else None
-        if path is None:
-            continue
-        spark = df.sparkSession
-        jvm = spark.sparkContext._jvm
-        hpath = jvm.org.apache.hadoop.fs.Path(path)
-        hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hpath, True)
+        path = getattr(df, "_staged_path", None)
+        if path is not None:
+            df._staged_path = None
+            delete_path(df.sparkSession, path)
+
+
+_AREAS: list[list[tuple[SparkSession, str]]] = []
+
+
+class staging_area:
+    """Everything staged inside the ``with`` block is deleted at its end.
+
+    For jobs that end in a sink: build and write the result inside the block,
+    then no intermediate table stays behind."""
+
+    def __enter__(self):
+        _AREAS.append([])
+        return self
+
+    def __exit__(self, *exc):
+        for spark, path in _AREAS.pop():
+            delete_path(spark, path)
+        return False
 
 
 class conf_override:
@@ -127,3 +140,21 @@ class conf_override:
 # bloom-filter rule re-estimates statistics across the whole join tree and
 # its planning time grows far beyond the work itself.
 ROUND_OPTIONS = {"spark.sql.optimizer.runtime.bloomFilter.enabled": "false"}
+
+
+#: Below this many rows the stages of a round are so short that re-planning
+#: between them costs more than they do.
+ADAPTIVE_ROWS = 2_000_000
+
+
+def round_options(spark: SparkSession, rows: int, rows_per_task: int = 100_000) -> dict[str, str]:
+    """Options for rounds over ``rows`` rows: as many shuffle partitions as
+    the measured rows need (four at least, never more than configured), and
+    adaptive execution only where stages are long enough to gain from it.
+    They change how a round runs, never its result."""
+    configured = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    options = ROUND_OPTIONS | {
+        "spark.sql.shuffle.partitions": str(min(configured, max(4, rows // rows_per_task)))}
+    if rows < ADAPTIVE_ROWS:
+        options["spark.sql.adaptive.enabled"] = "false"
+    return options

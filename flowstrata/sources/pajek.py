@@ -1,9 +1,11 @@
 """Pajek network text: ``*Vertices`` / ``*Arcs`` sections.
 
-Reading is distributed: every line keeps its position (file, split start,
-row id), header lines get a running ordinal (a range-partitioned prefix
-sum), and each data line is joined to the header with its ordinal - the
-last header above it.  Section rules:
+Reading is distributed and shuffles no data line: one pass gathers the header
+lines per file split into a table with one row a split (bounded by the number
+of splits and header lines, so it is broadcast), a running "last header before
+this split" gives each split the section it opens in, and a data line takes
+the last header above it inside its split, else the opening section.  Section
+rules:
 
 * default: a ``*`` line starting with ``*v`` (any case) opens vertices, any
   other ``*`` line opens edges; lines before the first header are ignored;
@@ -20,10 +22,10 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions.ranking import dense_rank_of, prefix_sum
+from ..functions.ranking import dense_rank_of
 
 
 @dataclass
@@ -41,14 +43,16 @@ def _sections(lines: DataFrame, strict: bool) -> DataFrame:
                 .when(v.contains("arc") | v.contains("edge"), F.lit("e")))
     else:
         mode = F.when(v.startswith("*v"), F.lit("v")).otherwise(F.lit("e"))
-    tagged = lines.withColumn("is_star", is_star).withColumn(
-        "mode", F.when(is_star, mode))
-    setter = (F.col("is_star") & F.col("mode").isNotNull()).cast("long")
-    numbered = prefix_sum(tagged, ["_file", "_block", "_row"], setter, "hno")
-    headers = (numbered.where(F.col("is_star") & F.col("mode").isNotNull())
-               .select("hno", F.col("mode").alias("section")))
-    data = numbered.where(~F.col("is_star") & (F.col("hno") > 0))
-    return data.join(headers, "hno").select("section", "value")
+    header = F.when(is_star & mode.isNotNull(), F.struct("_row", mode.alias("mode")))
+    # one row per file split: its header lines, and the section it opens in
+    heads = lines.groupBy("_file", "_block").agg(F.sort_array(F.collect_list(header)).alias("_heads"))
+    earlier = Window.orderBy("_file", "_block").rowsBetween(Window.unboundedPreceding, -1)
+    opened = F.last(F.get(F.col("_heads.mode"), F.size("_heads") - 1), ignorenulls=True).over(earlier)
+    splits = heads.withColumn("_opened", opened)
+    above = F.filter("_heads", lambda h: h["_row"] < F.col("_row"))
+    section = F.coalesce(F.get(above, F.size(above) - 1)["mode"], F.col("_opened"))
+    return (lines.where(~is_star).join(F.broadcast(splits), ["_file", "_block"])
+            .withColumn("section", section).select("section", "value"))
 
 
 def read_pajek(spark: SparkSession, path: str, strict_headers: bool = False) -> PajekTables:
@@ -100,6 +104,12 @@ def edges_to_pajek(edges: DataFrame, source: str = "source",
     return vertices.drop("orig"), arcs
 
 
+def arc_text(arcs: DataFrame) -> Column:
+    """Text of an arc: ``source target``, and the weight where there is one."""
+    tokens = [F.col(c).cast("string") for c in ("source", "target", "weight") if c in arcs.columns]
+    return F.concat_ws(" ", *tokens)
+
+
 def pajek_lines(vertices: DataFrame, arcs: DataFrame, arcs_label: str = "Arcs") -> DataFrame:
     """Lines of a Pajek file with a sort key ``(sec, k1, k2)``: header, then
     vertices by id, then arcs by (source, target)."""
@@ -112,7 +122,7 @@ def pajek_lines(vertices: DataFrame, arcs: DataFrame, arcs_label: str = "Arcs")
                          F.concat(F.col("node_id").cast("string"), F.lit(' "'), F.col("node_name"),
                                   F.lit('"')).alias("value"))
     al = arcs.select(F.lit(1).alias("sec"), F.col("source").alias("k1"), F.col("target").alias("k2"),
-                     F.concat_ws(" ", F.col("source").cast("string"), F.col("target").cast("string")).alias("value"))
+                     arc_text(arcs).alias("value"))
     return head_v.unionByName(vl).unionByName(head_a).unionByName(al)
 
 

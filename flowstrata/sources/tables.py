@@ -43,9 +43,34 @@ def edges(spark: SparkSession, sf_dir: str) -> DataFrame:
             .distinct())
 
 
-def weighted_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Edges with ``weight double`` = 1.0 (the reference drops weights)."""
-    return edges(spark, sf_dir).withColumn("weight", F.lit(1.0))
+#: Parts of a clique and cliques of a ring in :func:`clique_edges`.
+CLIQUE, RING = 5, 3
+
+
+def clique_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts of full cliques and rings: ``(node_id, node_name, clique, ring)``,
+    numbered by the smallest part key of the ring.  The name is the part name,
+    which many parts share."""
+    part = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("node_id"), F.col("p_name").alias("node_name"))
+    size = CLIQUE * RING
+    ring = F.floor(F.col("node_id") / size) * size
+    full = part.groupBy(ring.alias("ring")).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") == size)
+    return (part.withColumn("ring", ring).join(full.select("ring"), "ring", "left_semi")
+            .withColumn("clique", F.floor(F.col("node_id") / CLIQUE) * CLIQUE)
+            .select("node_id", "node_name", "clique", "ring"))
+
+
+def clique_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A network of known optimum over the parts: every five parts are a
+    clique (all links, weight 2), and in every ring of three cliques the last
+    part of a clique links to the first of the next (weight 1)."""
+    parts = clique_parts(spark, sf_dir)
+    a, b = parts.select("clique", F.col("node_id").alias("source")), parts.select("clique", F.col("node_id").alias("target"))
+    inside = a.join(b, "clique").where("source <> target").select("source", "target", F.lit(2.0).alias("weight"))
+    last = parts.where(F.col("node_id") == F.col("clique") + CLIQUE - 1)
+    step = (F.col("node_id") + 1 - F.col("ring")) % (CLIQUE * RING) + F.col("ring")
+    between = last.select(F.col("node_id").alias("source"), step.alias("target"), F.lit(1.0).alias("weight"))
+    return inside.unionByName(between)
 
 
 def tree(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,9 +8,12 @@ every file of a directory in parallel; all writers keep Spark's save modes
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..functions.joins import split_join
+
+# Fixed values of the tree file format.
 TREE_SCHEMA = "cl STRING, flow DOUBLE, node_name STRING"
 RESULT_COLUMNS = ["node_id", "node_name", "cl", "cl_top", "flow"]
 
@@ -46,7 +49,7 @@ def read_single_csv(spark: SparkSession, path: str, schema: str,
                     sep: str = ",") -> DataFrame:
     """Read a directory that must hold exactly one CSV file."""
     df = spark.read.csv(path, sep=sep, schema=schema, header=False)
-    n_files = df.select(F.col("_metadata.file_path")).distinct().count()
+    n_files = len(df.inputFiles())  # file listing only, no scan
     if n_files != 1:
         raise ValueError(f"expected exactly one CSV file in {path}, found {n_files}")
     return df
@@ -55,7 +58,7 @@ def read_single_csv(spark: SparkSession, path: str, schema: str,
 # ------------------------------------------------------------------ writers
 
 def write_tree(tree: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """Tree rows as ``cl flow "name"`` (names always quoted)."""
+    """Tree rows as ``cl flow "name"`` (names quoted where they need it)."""
     (tree.select("cl", "flow", "node_name").write.mode(mode)
      .option("sep", " ").option("quote", '"').option("quoteAll", False)
      .option("escapeQuotes", True).csv(path))
@@ -66,10 +69,10 @@ def write_result(df: DataFrame, path: str, mode: str = "errorifexists",
                  fmt: str = "csv") -> None:
     """Sorted result table.  Default: range-partitioned by ``sort_by`` and
     sorted inside each part, so the parts in name order are globally sorted
-    (no single task).  ``single_file=True`` adds ``coalesce(1)`` after the
-    global sort, for small outputs only."""
+    (no single task).  ``single_file=True`` gathers the finished rows in one
+    sorted file, for small outputs only."""
     if single_file:
-        out = df.orderBy(sort_by).coalesce(1)
+        out = df.repartition(1).sortWithinPartitions(sort_by)
     else:
         out = df.repartitionByRange(sort_by).sortWithinPartitions(sort_by)
     w = out.write.mode(mode)
@@ -96,12 +99,31 @@ def write_counts(sizes: DataFrame, path: str, cluster_col: str = "cl",
 def write_partitioned_text(df: DataFrame, path: str, partition_cols: list[str],
                            value_col: str, mode: str = "errorifexists") -> None:
     """One text file set per partition value (e.g. node names per cluster,
-    cluster names per bin); directories ``col=value`` allow pruning."""
+    cluster names per bin); directories ``col=value`` allow pruning.  Values
+    with many rows are split over tasks and small ones share a task."""
     (df.select(*partition_cols, F.col(value_col).cast("string").alias("value"))
-     .repartition(*partition_cols)
+     .hint("rebalance", *partition_cols)
      .write.mode(mode).partitionBy(*partition_cols).text(path))
 
 
+def largest_node_lists(members: DataFrame, sizes: DataFrame, max_files: int) -> DataFrame:
+    """Rows ``(cluster_rank, cl_top, node_name)`` of the ``max_files`` largest
+    clusters (the bound on the number of list files is the feature)."""
+    ranked = (sizes.orderBy(F.col("n").desc(), F.col("cl_top")).limit(max_files)
+              .select("cl_top", "n", F.row_number().over(Window.orderBy(F.col("n").desc(), F.col("cl_top")))
+                      .cast("long").alias("cluster_rank")))
+    return split_join(members, ranked, ["cl_top"], "n", ["node_id"]).select("cluster_rank", "cl_top", "node_name")
+
+
+def write_consolidated(rows: DataFrame, path: str, mode: str = "errorifexists") -> None:
+    """Headerless TSV ``name, path, top`` of consolidated trees."""
+    rows.select("name", "path", "top").write.mode(mode).option("sep", "\t").csv(path)
+
+
+def read_consolidated(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.csv(path, sep="\t", schema="name STRING, path STRING, top BIGINT")
+
+
 def read_partitioned_text(spark: SparkSession, path: str, value_col: str) -> DataFrame:
     """Read back :func:`write_partitioned_text` (partition columns as typed
     by discovery) with the value column renamed."""

@@ -16,9 +16,10 @@ CYCLES16 = [(1, 2), (2, 3), (3, 4), (4, 1), (5, 6), (6, 7), (7, 8), (8, 5),
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     from flowstrata.session import local_session
-    s = local_session(cores="*", shuffle_partitions=8)
+    folder = tmp_path_factory.mktemp("checkpoint")
+    s = local_session(cores="*", shuffle_partitions=8, checkpoint=str(folder))
     yield s
 
 

@@ -1,15 +1,11 @@
 """Golden flow and codelength values of the 16-node sample network."""
 
-import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from flowstrata.operators import local_moves as LM
 from flowstrata.operators.flow import undirdir_flow
 from flowstrata.operators.objective import codelength, one_module_codelength
 
-from conftest import CYCLES16
-
 GOLD = {"one": 3.926120747, "four": 2.868544526, "single": 5.963003286}
 
 
@@ -38,14 +34,6 @@ def test_one_module(net16):
     assert round(one_module_codelength(nf).first().codelength, 9) == GOLD["one"]
 
 
-def test_numpy_matches_spark():
-    src = np.array([a - 1 for a, _ in CYCLES16])
-    dst = np.array([b - 1 for _, b in CYCLES16])
-    p, s, t, f = LM.undirdir(16, src, dst, np.ones(len(src)))
-    assert round(LM.codelength(p, s, t, f, np.arange(16) // 4), 9) == GOLD["four"]
-    assert round(LM.codelength(p, s, t, f, np.zeros(16, dtype=int)), 9) == GOLD["one"]
-
-
 def test_grouped_flow_is_per_group(spark, net16):
     two = net16.withColumn("g", F.lit("a")).unionByName(
         net16.withColumn("g", F.lit("b")).withColumn("source", F.col("source") + 100)

@@ -7,7 +7,8 @@ import __spark_entry__ as E
 
 from conftest import SF_SMALL
 
-TABLES = ["part", "lineitem", "orders", "nation", "region", "customer", "supplier"]
+TABLES = ["part", "lineitem", "orders", "nation", "region", "customer", "supplier", "events",
+          "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
 CHEAP = [k for k in E.oracle_sql()]
 
 

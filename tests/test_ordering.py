@@ -27,6 +27,23 @@ def test_renumbering_fixture(spark):
     assert got["d"][1] == "3:3" and got["g"][1] == "5:2"
 
 
+def test_renumbering_repeated_islands_over_ranges(spark, monkeypatch):
+    """Islands of one old id that come back, files that start with the id the
+    last one ended with, over many small index ranges."""
+    rnd, rows, want, top, last = random.Random(3), [], {}, 0, None
+    for f in range(6):
+        for p in range(80):
+            old = rnd.randint(1, 3) if rnd.random() < 0.3 or last is None else last[1]
+            top += last != (f, old)
+            last = (f, old)
+            rows.append((f"f{f}", p, f"{old}:{p}", f"n{f}_{p}"))
+            want[f"n{f}_{p}"] = (top, f"{top}:{p}")
+    df = spark.createDataFrame(rows, "file string, pos long, path string, name string")
+    for size in (7, 100_000):
+        monkeypatch.setattr(O, "INDEX_RANGE", size)
+        assert {r.name: (r.top, r.path) for r in O.consolidate_trees(df).collect()} == want
+
+
 def test_greedy_bins_fixture(spark):
     sizes = [("big", 450), ("b2", 200), ("c1", 90), ("c2", 90), ("c3", 90), ("d1", 50),
              ("d2", 40), ("e1", 10)]

@@ -1,14 +1,10 @@
 """Invariants of the hierarchical refinement and the flagship job."""
 
-from dataclasses import replace
-
-import numpy as np
-
+import pytest
 from pyspark.sql import functions as F
 
-from flowstrata.operators import local_moves as LM
 from flowstrata.operators import membership as M
-from flowstrata.operators.hierarchy import RefineConfig, refine_clusters
+from flowstrata.operators.hierarchy import refine_clusters
 from flowstrata.plans import pipeline as P
 from flowstrata.sources import tables as T
 
@@ -19,43 +15,15 @@ def _inputs(spark):
     v, e, t = T.vertices(spark, SF_SMALL), T.edges(spark, SF_SMALL), T.tree(spark, SF_SMALL)
     members = M.members(t, v)
     kept = M.cluster_size_filter(M.cluster_sizes(members), 3, 40)
-    km = M.kept_members(members, kept)
-    return v, e, t, members, km, M.within_cluster_edges(e, km)
-
-
-def _top_split_codelength(paths, within_rows, top):
-    ids = np.array(sorted(k for k in paths if paths[k].startswith(top + ":")))
-    pos = {v: i for i, v in enumerate(ids.tolist())}
-    e = [(pos[s], pos[t]) for s, t, g in within_rows if g == top]
-    src = np.array([a for a, _ in e], dtype=np.int64)
-    dst = np.array([b for _, b in e], dtype=np.int64)
-    p, s, t, f = LM.undirdir(len(ids), src, dst, np.ones(len(e)))
-    labels = {}
-    mods = np.array([labels.setdefault(paths[i].split(":")[1], len(labels)) for i in ids])
-    return LM.codelength(p, s, t, f, mods) if len(e) else 0.0
-
-
-def test_fast_and_distributed_paths_agree(spark):
-    """Both paths reach equally good top-level splits in every cluster
-    (exact ties may be broken differently)."""
-    _, _, _, _, km, within = _inputs(spark)
-    fast = {r.node_id: r.cl for r in refine_clusters(km, within).collect()}
-    slow_cfg = replace(RefineConfig(), fast_max_links=0)
-    slow = {r.node_id: r.cl for r in refine_clusters(km, within, slow_cfg).collect()}
-    assert set(fast) == set(slow)
-    rows = [(r.source, r.target, r.cl_top) for r in within.collect()]
-    for top in {v.split(":")[0] for v in fast.values()}:
-        a = _top_split_codelength(fast, rows, top)
-        b = _top_split_codelength(slow, rows, top)
-        assert abs(a - b) < 1e-9, (top, a, b)
+    return v, e, t, members, M.kept_members(members, kept)
 
 
 def test_flagship_invariants(spark):
-    v, e, t, members, km, _ = _inputs(spark)
+    v, e, t, members, km = _inputs(spark)
     out = P.hierarchical_communities(v, e, t, 3, 40, with_status=True)
     rows = out.collect()
     assert len(rows) == members.count() == 200
-    assert len({r.node_id for r in rows}) == 200
+    assert [r.node_id for r in rows] == sorted({r.node_id for r in rows})  # each once, sorted
     assert all(r.cl.split(":")[0] == r.cl_top for r in rows)
     orig = {r.node_id: r.cl for r in members.collect()}
     kept_ids = {r.node_id for r in km.collect()}
@@ -64,9 +32,7 @@ def test_flagship_invariants(spark):
             assert r.status == "ok"
         else:
             assert r.status == "passthrough" and r.cl == orig[r.node_id]
-    # sorted by node id
-    ids = [r.node_id for r in P.hierarchical_communities(v, e, t, 3, 40).collect()]
-    assert ids == sorted(ids)
+    assert len({r.cl for r in rows}) == 200  # a path names one node
 
 
 def test_failed_cluster_status(spark):
@@ -83,3 +49,57 @@ def test_cluster_without_links(spark):
     links = spark.createDataFrame([], "source long, target long, cl_top string")
     out = sorted((r.node_id, r.cl) for r in refine_clusters(nodes, links).collect())
     assert out == [(5, "z:1"), (9, "z:2")]
+
+
+@pytest.fixture(scope="module")
+def odd_network(spark):
+    """Two triangles; two nodes share a name, one has none, one is no vertex."""
+    vertices = spark.createDataFrame([(1, "x"), (2, "a"), (3, "b"), (4, "c"), (5, "x"), (9, None)],
+                                     "node_id long, node_name string")
+    edges = spark.createDataFrame([(1, 2), (2, 3), (3, 1), (4, 5), (5, 6), (6, 4), (3, 3)], "source long, target long")
+    return vertices, edges
+
+
+def test_cluster_network_keeps_every_node_once(odd_network):
+    rows = P.cluster_network(*odd_network, 2, None).collect()
+    assert [r.node_id for r in rows] == [1, 2, 3, 4, 5, 6, 9]
+    names = {r.node_id: r.node_name for r in rows}
+    assert names[1] == names[5] == "x" and names[6] is None and names[9] is None
+    top = {r.node_id: r.cl_top for r in rows}
+    assert top[1] == top[2] == top[3] != top[4] == top[5] == top[6]
+
+
+def test_file_jobs_leave_only_the_result(spark, odd_network, tmp_path):
+    from flowstrata.session import checkpoint_dir
+    from flowstrata.sources import pajek as PJ
+    from flowstrata.sources import text as TX
+    import os
+    vertices, edges = odd_network
+    net, out = str(tmp_path / "net"), str(tmp_path / "out")
+    PJ.write_pajek(vertices.where("node_name is not null"), edges, net)
+    staged = os.path.join(checkpoint_dir(spark).replace("file:", ""), "staged")
+    before = set(os.listdir(staged)) if os.path.isdir(staged) else set()
+    P.cluster_network_file(spark, net, out, 2, weighted=False, self_links=False)
+    assert set(os.listdir(staged)) <= before
+    rows = TX.read_results(spark, out, "node_id BIGINT, node_name STRING, cl STRING, cl_top STRING, flow DOUBLE").collect()
+    assert sorted(r.node_id for r in rows) == [1, 2, 3, 4, 5, 6]
+    with pytest.raises(Exception):
+        P.cluster_network_file(spark, net, out, 2)  # refuses an existing result
+
+
+def test_chosen_links(spark):
+    e = spark.createDataFrame([(1, 1, 2.0), (1, 2, 3.0)], "source long, target long, weight double")
+    assert P.chosen_links(e, weighted=False).columns == ["source", "target"]
+    assert P.chosen_links(e, self_links=False).collect()[0].target == 2
+    assert P.chosen_links(e).count() == 2
+
+
+def test_split_join_with_hot_and_null_keys(spark):
+    from flowstrata.functions.joins import split_join
+    rows = spark.range(1000).select(F.col("id").alias("v"), F.expr("if(id % 10 < 8, 1, if(id % 10 = 8, id, null))").alias("k"))
+    table = spark.createDataFrame([(1, "one", 800), (8, "eight", 1), (18, "x", 1), (-5, "no", 0)], "k long, name string, n long")
+    for limit in (10**6, 100):
+        left = split_join(rows, table, ["k"], "n", ["v"], "left", limit)
+        assert left.columns == ["v", "k", "name"] and left.count() == 1000
+        assert left.where("name is not null").count() == 802
+        assert split_join(rows, table, ["k"], "n", ["v"], limit=limit).count() == 802

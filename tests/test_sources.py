@@ -76,3 +76,32 @@ def test_single_csv_guard(spark):
     spark.range(10).repartition(2).write.csv(path)
     with pytest.raises(ValueError):
         TX.read_single_csv(spark, path, "id BIGINT")
+
+
+def test_pajek_sections_over_many_splits(spark):
+    """Headers inside and between splits; no data line is shuffled."""
+    lines = ["*Vertices 400"] + [f'{i} "n{i}"' for i in range(400)] + ["*Arcs"] + [f"{i} {i + 1} {i}.5" for i in range(399)]
+    lines += ["*Vertices 3", '900 "late"', "*Edges"] + [f"{i} 900" for i in range(50)]
+    path = _write(spark, "pj_splits", "\n".join(lines))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "700")
+    try:
+        t = PJ.read_pajek(spark, path)
+        assert t.vertices.count() == 401 and t.edges.count() == 449 and t.bad.count() == 0
+        assert t.edges.where("target = 900").count() == 50
+        assert {(r.source, r.weight) for r in t.edges.where("target = source + 1 and target < 400").collect()} == {
+            (i, i + 0.5) for i in range(399)}
+        plan = t.edges._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" not in plan and "rangepartitioning" not in plan
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_sorted_result_parts(spark):
+    path = staging_path(spark, "sorted")
+    df = spark.range(5000).select(((F.col("id") * 7919) % 5000).alias("node_id"), F.lit("x").alias("cl"))
+    TX.write_result(df, path)
+    back = TX.read_results(spark, path, "node_id BIGINT, cl STRING").select(
+        "node_id", F.input_file_name().alias("f"), F.monotonically_increasing_id().alias("i")).collect()
+    ids = [r.node_id for r in sorted(back, key=lambda r: (r.f, r.i))]
+    assert ids == list(range(5000))
