@@ -47,7 +47,7 @@ FOOTER, FOOTER_BYTES = "<IBI", 9      # frames, flags, magic number
 INDEX_HEAD, INDEX_HEAD_BYTES = "<4sBQ", 13  # name, bytes of an id, documents
 
 END_ID, LEVEL = 2, 3
-_MEMO_WORDS, _MEMO_PIECES, _GROUP_BYTES = 500_000, 300_000, 4 << 20
+_MEMO_WORDS, _MEMO_PIECES, _GROUP_BYTES = 900_000, 500_000, 4 << 20
 
 
 def file_system(uri: str) -> tuple[pafs.FileSystem, str]:
