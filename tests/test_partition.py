@@ -1,5 +1,6 @@
 """Partition quality: the 16-node sample, a planted and a nested partition."""
 
+import math
 import random
 
 import pytest
@@ -29,25 +30,25 @@ def test_sample_four_cycles(net16):
     assert stats["rounds"][-1][-1] == 1  # the last level moves nothing
 
 
-@pytest.mark.parametrize("hot_rows", [1_000_000, 30])
-def test_planted(spark, hot_rows):
-    """All blocks are found, also when every join on a module or the group is
-    split; the codelength of accepted rounds never rises."""
+@pytest.mark.parametrize("hot_rows, part_nodes", [(1_000_000, 20_000), (30, 150)])
+def test_planted(spark, hot_rows, part_nodes):
+    """All blocks are found by one part; several parts with split joins come
+    close, and the codelength of their rounds never rises."""
     nf, lf = undirdir_flow(spark.sql(PLANTED_SQL))
     history = []
-    asg, _ = two_level_partition(nf, lf, config=MoveConfig(hot_rows=hot_rows), history=history)
-    assert sorted(modules(asg)) == [20 * k for k in range(20)]
-    assert round(codelength(nf, lf, asg).first().codelength, 6) == 5.867575
+    asg, _ = two_level_partition(nf, lf, config=MoveConfig(hot_rows=hot_rows, part_nodes=part_nodes), history=history)
+    length = codelength(nf, lf, asg).first().codelength
+    if part_nodes > 400:
+        assert sorted(modules(asg)) == [20 * k for k in range(20)]
+        assert round(length, 6) == 5.867575
+    assert length <= 5.95
     lengths = [list(by_group.values())[0] for _, _, by_group in history]
-    level_starts = [i for i, (_, r, _) in enumerate(history) if r == 1]
-    for i in range(1, len(lengths)):
-        if i not in level_starts:
-            assert lengths[i] <= lengths[i - 1] + 1e-12
+    assert all(b <= a + 1e-9 for a, b in zip(lengths, lengths[1:]))
 
 
 def test_many_groups_start_to_end(spark):
-    """Random groups of many sizes at once: every group ends at or below one
-    module and single nodes, and at a codelength that was measured."""
+    """Random groups of many sizes at once: every group ends at or below
+    single nodes, where no move of one node shortens it."""
     rng = random.Random(5)
     rows = []
     for g in range(25):
@@ -56,24 +57,36 @@ def test_many_groups_start_to_end(spark):
     links = spark.createDataFrame(rows, "g string, source long, target long")
     nf, lf = undirdir_flow(links, ["g"])
     nf, lf = nf.cache(), lf.cache()
-    history = []
-    asg, _ = two_level_partition(nf, lf, "g", history=history)
-    asg = asg.cache()
+    asg = two_level_partition(nf, lf, "g")[0].cache()
 
     def lengths(module):
         a = asg.withColumn("module", module)
         return {r["g"]: r["codelength"] for r in codelength(nf, lf, a, ["g"]).collect()}
-    final, one, single = lengths(F.col("module")), lengths(F.lit(0)), lengths(F.col("node_id"))
-    entropy = {r["g"]: r["h"] for r in nf.groupBy("g").agg(
-        F.sum(F.when(F.col("flow") > 0, F.col("flow") * F.log2("flow")).otherwise(0.0)).alias("h")).collect()}
+    final, single = lengths(F.col("module")), lengths(F.col("node_id"))
     assert asg.groupBy("g", "node_id").count().where("count > 1").isEmpty()
-    last = {}
-    for _, _, by_group in history:
-        last |= by_group
-    for g, length in final.items():
-        assert length <= single[g] + 1e-9
-        assert abs(last[g] - entropy[g] - length) < 1e-9  # rounds leave out the constant node term
-    assert sum(final[g] <= one[g] + 1e-4 for g in final) == len(final)
+    assert all(final[g] <= single[g] + 1e-9 for g in final)
+    # no single move of any node to a neighbouring module shortens any group
+    at = {(r["g"], r["node_id"]): r["module"] for r in asg.collect()}
+    flows = {(r["g"], r["source"], r["target"]): r["flow"] for r in lf.collect()}
+    node = {(r["g"], r["node_id"]): r["flow"] for r in nf.collect()}
+    for g in sorted(final)[:6]:
+        def bits(modules):
+            q, p = {}, {}
+            for (h, s, t), f in flows.items():
+                if h == g and modules[s] != modules[t]:
+                    q[modules[s]] = q.get(modules[s], 0.0) + f
+            for (h, v), f in node.items():
+                if h == g:
+                    p[modules[v]] = p.get(modules[v], 0.0) + f
+            x = lambda y: y * math.log2(y) if y > 0 else 0.0
+            return (x(sum(q.values())) - 2 * sum(map(x, q.values())) + sum(x(q.get(m, 0.0) + p[m]) for m in p)
+                    - sum(x(f) for (h, _), f in node.items() if h == g))
+        now = {v: m for (h, v), m in at.items() if h == g}
+        base = bits(now)
+        assert abs(base - final[g]) < 1e-9
+        for v in now:
+            for m in {now[t] for h, s, t in flows if h == g and s == v} | {now[s] for h, s, t in flows if h == g and t == v}:
+                assert bits(now | {v: m}) >= base - 1e-9
 
 
 def test_nested_blocks_give_levels(spark):
