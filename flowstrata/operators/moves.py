@@ -203,7 +203,7 @@ def _local_moving(nodes: DataFrame, adj: DataFrame, cfg: MoveConfig, level: int,
         rows = _rows(now, adj).persist(StorageLevel.MEMORY_AND_DISK)  # reused by this round only
         mod = _module_stats(now, rows).persist(StorageLevel.MEMORY_AND_DISK)
         rose = F.col("moved") & (F.col("L") > F.col("L_prev") - 1e-12)
-        share = (F.when(F.col("parts") == 1, 1.0).when(rose, F.col("share") / 2)
+        share = (F.when(F.col("parts") == 1, 1.0).when(rose, F.greatest(F.lit(0.001), F.col("share") / 2))
                  .when(F.col("moved"), F.least(F.lit(1.0), F.col("share") * 2)).otherwise(F.col("share")))
         state = stage(groups.join(_group_objective(mod).select(G, "Q", "L"), G).select(
             G, "n", "parts", "Q", rose.alias("rose"), share.alias("share"),
@@ -222,8 +222,9 @@ def _local_moving(nodes: DataFrame, adj: DataFrame, cfg: MoveConfig, level: int,
         still = (F.col("parts") == 1) | (~F.col("moved") & (F.col("gain") < cfg.tol))
         after = stage(state.join(tally, G).select(
             G, "n", "parts",
-            # when few may move, a round without a move must not end the search
-            F.when(~F.col("rose") & ~F.col("moved"), 1.0).otherwise(F.col("share")).alias("share"),
+            # a round in which none of the few allowed nodes moved does not end the search
+            F.when(~F.col("rose") & ~F.col("moved"), F.least(F.lit(1.0), F.col("share") * 2))
+            .otherwise(F.col("share")).alias("share"),
             F.col("L").alias("L_prev"), (~F.col("rose") & F.col("moved")).alias("moved"),
             "rose", (~F.col("rose") & still).alias("done")), "groups")
         new = stage(_with(joined, after.select(G, "n", "rose", "done"), [G], most, cfg).select(
