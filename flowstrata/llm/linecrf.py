@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import re
 from dataclasses import dataclass
+from math import isqrt
 
 import numpy as np
 import pyarrow as pa
@@ -31,6 +32,8 @@ from pyspark.sql import functions as F
 from .common import id_remainder
 
 PER_CLASS, KEEP_SHARE, MIN_WORDS, WINDOW = 800, 0.5, 20, 8
+#: Lines, padding included, that the fit holds in arrays at a time (unless one document has more).
+CELLS = 1 << 14
 
 FEATURES = ("bias", "words_1_2", "words_3_5", "words_over_30", "sentence_end", "symbols_02", "symbols_10",
             "capitals_30", "capitals_70", "digits_20", "bars", "shouts", "license", "repeated")
@@ -161,54 +164,104 @@ def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, steps: int = 300
 def crf_gradient(x: np.ndarray, y: np.ndarray, mask: np.ndarray, model: Model):
     """Negative log-likelihood of padded sequences and its gradient; ``x`` is
     (sequences, lines, features), ``y`` and ``mask`` (sequences, lines)."""
-    n, length, _ = x.shape
-    e = np.stack([np.zeros((n, length)), x @ model.emission], axis=2)
-    alpha = np.zeros((n, length, 2))
+    loss, excess, g_move, g_start = _forward_backward(x @ model.emission, y, mask, model)
+    return loss, np.einsum("nt,ntf->f", excess, x), g_move, g_start
+
+
+_SAME = np.array([[0.0, -np.inf], [-np.inf, 0.0]])
+
+
+def _times(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Products of 2 x 2 matrices of log values."""
+    return np.logaddexp(a[..., :, :1] + b[..., :1, :], a[..., :, 1:] + b[..., 1:, :])
+
+
+def _prefix(steps: np.ndarray) -> np.ndarray:
+    """Products of the first 1, 2, ... of (sequences, lines, 2, 2) matrices, in
+    about twice the square root of the lines as many array operations."""
+    n, length = steps.shape[:2]
+    width = max(1, isqrt(length))
+    out = np.empty((n, -(-length // width) * width, 2, 2))
+    out[:, :length], out[:, length:] = steps, _SAME
+    out = out.reshape(n, -1, width, 2, 2)
+    for j in range(1, width):
+        out[:, :, j] = _times(out[:, :, j - 1], out[:, :, j])
+    for k in range(1, out.shape[1]):
+        out[:, k] = _times(out[:, k - 1, -1:], out[:, k])
+    return out.reshape(n, -1, 2, 2)[:, :length]
+
+
+def _forward_backward(points: np.ndarray, y: np.ndarray, mask: np.ndarray, model: Model):
+    """Of padded sequences with ``points`` for content per line: negative
+    log-likelihood, expected minus given content of every line, and the
+    gradients of the moves and of the start."""
+    n, length = points.shape
+    e = np.stack([np.zeros((n, length)), points], axis=2)
+    # a line after the end leaves the scores as they are
+    steps = np.where(mask[:, 1:, None, None], model.move + e[:, 1:, None, :], _SAME)
+    alpha = np.empty((n, length, 2))
     alpha[:, 0] = e[:, 0] + np.array([0.0, model.start])
-    for t in range(1, length):
-        a = np.logaddexp.reduce(alpha[:, t - 1, :, None] + model.move, axis=1) + e[:, t]
-        alpha[:, t] = np.where(mask[:, t, None], a, alpha[:, t - 1])
+    alpha[:, 1:] = np.logaddexp.reduce(alpha[:, :1, :, None] + _prefix(steps), axis=2)
     total = np.logaddexp.reduce(alpha[:, -1], axis=1)
     beta = np.zeros((n, length, 2))
-    pair = np.zeros((2, 2))
-    for t in range(length - 1, 0, -1):
-        inner = e[:, t] + beta[:, t]
-        p = np.exp(alpha[:, t - 1, :, None] + model.move + inner[:, None, :] - total[:, None, None])
-        pair += (p * mask[:, t, None, None]).sum(0)
-        b = np.logaddexp.reduce(model.move + inner[:, None, :], axis=2)
-        beta[:, t - 1] = np.where(mask[:, t, None], b, beta[:, t])
-    content = np.exp(alpha[:, :, 1] + beta[:, :, 1] - total[:, None]) * mask
+    beta[:, :-1] = np.logaddexp.reduce(_prefix(steps[:, ::-1].swapaxes(2, 3)), axis=2)[:, ::-1]
     both = mask[:, 1:]
+    inner = (e + beta)[:, 1:, None, :]
+    pair = (np.exp(alpha[:, :-1, :, None] + model.move + inner - total[:, None, None, None])
+            * both[:, :, None, None]).sum((0, 1))
+    content = np.exp(alpha[:, :, 1] + beta[:, :, 1] - total[:, None]) * mask
     seen = np.array([[((y[:, :-1] == a) & (y[:, 1:] == b) & both).sum() for b in (0, 1)] for a in (0, 1)])
     score = (e[:, :, 1] * y * mask).sum() + model.start * y[:, 0].sum() + (seen * model.move).sum()
-    g_emission = np.einsum("nt,ntf->f", (content - y * mask), x)
-    return total.sum() - score, g_emission, pair - seen, content[:, 0].sum() - y[:, 0].sum()
+    return total.sum() - score, content - y * mask, pair - seen, content[:, 0].sum() - y[:, 0].sum()
+
+
+def _blocks(lengths: list[int], cells: int) -> list[list[int]]:
+    """Sequences by length, in blocks that take at most ``cells`` lines when
+    padded to their longest; a longer sequence is a block of its own."""
+    out: list[list[int]] = []
+    for i in sorted(range(len(lengths)), key=lambda i: (-lengths[i], i)):
+        if out and lengths[out[-1][0]] * (len(out[-1]) + 1) <= cells:
+            out[-1].append(i)
+        else:
+            out.append([i])
+    return out
+
 
+def fit(documents: list[tuple[np.ndarray, int]], steps: int = 60, cells: int = CELLS) -> Model:
+    """From (feature bits of the lines, quality label) of documents.
 
-def fit(documents: list[tuple[np.ndarray, int]], steps: int = 60) -> Model:
-    """From (feature bits of the lines, quality label) of documents."""
-    documents = [(b, q) for b, q in documents if len(b)]
+    A line counts by its feature bits alone, so no matrix over all lines is
+    built; forward-backward runs over blocks of documents of about the same
+    length (``cells`` padded lines at a time) and their gradients are added."""
+    documents = [(np.asarray(b), q) for b, q in documents if len(b)]
     good = sum(q for _, q in documents)
     if not good or good == len(documents):
         return Model(DEFAULT.copy(), np.array([[1.0, 0.0], [0.0, 1.0]]), 0.0)
-    x = np.concatenate([_matrix(b) for b, _ in documents])
-    own = np.concatenate([np.full(len(b), q) for b, q in documents])
+    kinds = _matrix(np.arange(1 << len(FEATURES)))
     # every document counts once, both labels the same in all
-    weight = np.concatenate([np.full(len(b), 0.5 / len(b) / (good if q else len(documents) - good))
-                             for b, q in documents])
-    line = _logistic(x, own, weight)
-    n, length = len(documents), max(len(b) for b, _ in documents)
-    xs = np.zeros((n, length, len(FEATURES)))
-    mask = np.zeros((n, length), bool)
-    for i, (b, _) in enumerate(documents):
-        xs[i, :len(b)] = _matrix(b)
-        mask[i, :len(b)] = True
-    y = ((xs @ line > 0) & mask).astype(int)
+    weight = np.zeros((2, len(kinds)))
+    for b, q in documents:
+        weight[q] += np.bincount(b, minlength=len(kinds)) * (0.5 / len(b) / (good if q else len(documents) - good))
+    label, kind = np.nonzero(weight)
+    line = _logistic(kinds[kind], label, weight[label, kind])
+    blocks = _blocks([len(b) for b, _ in documents], cells)
+    content = kinds @ line > 0
     model = Model(line.copy(), np.zeros((2, 2)), 0.0)
     state = [np.zeros(len(FEATURES)), np.zeros(len(FEATURES)), np.zeros((2, 2)), np.zeros((2, 2))]
-    lines = mask.sum()
+    n, lines = len(documents), sum(len(b) for b, _ in documents)
     for t in range(1, steps + 1):
-        _, ge, gm, gs = crf_gradient(xs, y, mask, model)
+        points = kinds @ model.emission
+        by_kind, gm, gs = np.zeros(len(kinds)), np.zeros((2, 2)), 0.0
+        for block in blocks:
+            bits = np.zeros((len(block), len(documents[block[0]][0])), np.int64)
+            mask = np.zeros(bits.shape, bool)
+            for row, i in enumerate(block):
+                b = documents[i][0]
+                bits[row, :len(b)], mask[row, :len(b)] = b, True
+            _, excess, move, start = _forward_backward(points[bits], content[bits] & mask, mask, model)
+            by_kind += np.bincount(bits.ravel(), weights=excess.ravel(), minlength=len(kinds))
+            gm, gs = gm + move, gs + start
+        ge = by_kind @ kinds
         for p, g, m, q in ((model.emission, ge / lines + 1e-2 * (model.emission - line), state[0], state[1]),
                            (model.move, gm / lines + 1e-2 * model.move, state[2], state[3])):
             m += 0.1 * (g - m)
@@ -236,12 +289,12 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, folds:
     @F.udf("binary")
     def bits_of(text):
         bits, _, _ = line_features((text or "").encode("utf-8", "replace").split(b"\n"))
-        return np.array(bits, "<u4").tobytes()
+        return np.array(bits, "<u2").tobytes()
 
     rows = (docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id", "left_semi")
             .select("doc_id", bits_of("text").alias("bits")).collect())
     rows = sorted({(r["doc_id"], bytes(r["bits"])) for r in rows})
-    return fit([(np.frombuffer(b, "<u4").astype(np.int64), wanted[i]) for i, b in rows])
+    return fit([(np.frombuffer(b, "<u2"), wanted[i]) for i, b in rows])
 
 
 def judge(text: str | None, model: Model) -> tuple:

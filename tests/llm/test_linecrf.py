@@ -1,6 +1,7 @@
 import itertools
 import random
 import re
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -94,3 +95,23 @@ def test_odd_rows(spark, odd_docs):
     assert out.count() == odd_docs.count()
     with pytest.raises(IndexError):
         Model(DEFAULT, np.zeros((2, 2)), 0.0).decode([1])[1]
+
+
+def labelled(rng, lengths):
+    return [(rng.choice([1, 17, 19, 3, 2049], n), i % 2) for i, n in enumerate(lengths)]
+
+
+def test_fit_adds_the_gradients_of_blocks():
+    documents = labelled(np.random.default_rng(6), [1, 40, 3, 7, 7, 25, 2, 60, 5, 11])
+    one, many = fit(documents, steps=8), fit(documents, steps=8, cells=16)
+    assert np.allclose(one.emission, many.emission, atol=1e-9) and np.allclose(one.move, many.move, atol=1e-9)
+    assert abs(one.start - many.start) < 1e-9
+
+
+def test_one_long_document_does_not_pad_the_others():
+    documents = labelled(np.random.default_rng(7), [30_000] + [20] * 300)
+    tracemalloc.start()
+    fit(documents, steps=1)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 60e6  # padded to the longest: 301 * 30,000 * 14 * 8 bytes = 1 GB
