@@ -40,3 +40,9 @@ def id_remainder(doc_id: Column, m: int) -> Column:
 
 def table(spark, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def bounded_sample(rows: DataFrame, kind: str) -> DataFrame:
+    """One row per (id, kind) of ``(doc_id, kind, v)``, the smallest ``v``: an
+    id that fills the table brings no more rows than any other."""
+    return rows.groupBy("doc_id", kind).agg(F.min("v").alias("v"))

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh, id_remainder, worker_cached
+from .common import bounded_sample, fresh, id_remainder, worker_cached
 
 DIMS_BITS, PER_LANG, CLUSTERS, REJECT_SHARE, SEED = 14, 400, 4, 0.01, 3
 DIMS = 1 << DIMS_BITS
@@ -148,21 +148,22 @@ def train(docs: DataFrame, folds: int = 4, held_out_fold: int = 2, per_lang: int
     langs = [r["lang"] for r in learn.select("lang").distinct().orderBy("lang").collect()]
     picked = None
     for lang in langs:
-        part = (learn.where(F.col("lang") == lang).select("doc_id", "lang")
+        part = (learn.where(F.col("lang") == lang).select("doc_id", "lang").distinct()
                 .orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_lang))
         picked = part if picked is None else picked.unionByName(part)
     if picked is None:
         return fit({}, df, n, **options)
-    wanted = {r["doc_id"] for r in picked.collect()}
-    ids = docs.sparkSession.createDataFrame([(i,) for i in wanted], "doc_id long")
+    wanted = [(r["doc_id"], r["lang"]) for r in picked.collect()]
+    ids = docs.sparkSession.createDataFrame(wanted, "doc_id long, lang string")
 
     @F.udf("binary")
     def counts_of(text):
         where, counts = ngram_counts(text)
         return np.concatenate([where, counts]).astype("<i4").tobytes()
 
-    rows = (learn.join(F.broadcast(ids), "doc_id", "left_semi")  # per_lang ids a language
-            .select("lang", counts_of("text").alias("v")).collect())
+    found = (learn.join(F.broadcast(ids), ["doc_id", "lang"], "left_semi")  # per_lang ids a language
+             .select("doc_id", "lang", counts_of("text").alias("v")))
+    rows = bounded_sample(found, "lang").collect()
     vectors: dict[str, list] = {}
     for lang, v in sorted((r["lang"], bytes(r["v"])) for r in rows):
         flat = np.frombuffer(v, "<i4").astype(np.int64)

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import id_remainder
+from .common import bounded_sample, id_remainder
 
 PER_CLASS, KEEP_SHARE, MIN_WORDS, WINDOW = 800, 0.5, 20, 8
 #: Lines, padding included, that the fit holds in arrays at a time (unless one document has more).
@@ -284,16 +284,16 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, folds:
     wanted = {r["doc_id"]: r["quality"] for r in parts[0].unionByName(parts[1]).collect()}
     if not wanted:
         return fit([])
-    ids = docs.sparkSession.createDataFrame([(i,) for i in wanted], "doc_id long")
+    ids = docs.sparkSession.createDataFrame(list(wanted.items()), "doc_id long, quality long")
 
     @F.udf("binary")
     def bits_of(text):
         bits, _, _ = line_features((text or "").encode("utf-8", "replace").split(b"\n"))
         return np.array(bits, "<u2").tobytes()
 
-    rows = (docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id", "left_semi")
-            .select("doc_id", bits_of("text").alias("bits")).collect())
-    rows = sorted({(r["doc_id"], bytes(r["bits"])) for r in rows})
+    found = (docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id")
+             .select("doc_id", "quality", bits_of("text").alias("v")))
+    rows = sorted((r["doc_id"], bytes(r["v"])) for r in bounded_sample(found, "quality").collect())
     return fit([(np.frombuffer(b, "<u2"), wanted[i]) for i, b in rows])
 
 

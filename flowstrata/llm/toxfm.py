@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import id_remainder, worker_cached
+from .common import bounded_sample, id_remainder, worker_cached
 
 BITS, PER_CLASS, MAX_FEATURES, FACTORS, STEPS = 22, 4000, 4096, 6, 400
 _MEMO_ENTRIES = 400_000
@@ -130,11 +130,11 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS,
     if not wanted:
         return fit([], np.zeros(0))
     spark = docs.sparkSession
-    ids = spark.createDataFrame([(i,) for i in wanted], "doc_id long")
+    ids = spark.createDataFrame(list(wanted.items()), "doc_id long, toxic long")
     terms = F.udf(lambda t: document_terms(t).tobytes(), "binary")
-    rows = (docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id", "left_semi")
-            .select("doc_id", terms("text").alias("terms")).collect())
-    rows = sorted({(r["doc_id"], bytes(r["terms"])) for r in rows})
+    found = (docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id")
+             .select("doc_id", "toxic", terms("text").alias("v")))
+    rows = sorted((r["doc_id"], bytes(r["v"])) for r in bounded_sample(found, "toxic").collect())
     return fit([np.frombuffer(t, np.int32) for _, t in rows],
                np.array([wanted[i] for i, _ in rows]))
 
