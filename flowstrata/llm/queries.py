@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from . import urlrules
 from .common import table
+from .crosstok import cross_tokenizer
 from .golay import near_copies
 from .hypershuffle import shard_digest
 from .langid import language_table
@@ -17,6 +18,7 @@ from .toxfm import toxicity
 #: Secret of the registered surrogate query; a real run passes its own.
 SURROGATE_KEY = b"key of the registered query"
 VOCABULARY = "word_bpe_49k.json"
+VOCABULARY_A, VOCABULARY_B = "byte_bpe_50k.json", "piece_bpe_32k.model"
 
 QUERIES, ORACLE = {}, {}
 
@@ -80,3 +82,10 @@ def op9(spark, sf_dir):
 @_register("op10_qgram_leaks")
 def op10(spark, sf_dir):
     return leaked_pairs(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@_register("op11_cross_tokenizer")
+def op11(spark, sf_dir):
+    import public_tokenizers
+    return cross_tokenizer(table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY_A),
+                           public_tokenizers.path(VOCABULARY_B))
