@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from . import urlrules
+from . import convtrie, urlrules
 from .common import table
+from .convtrie import prefix_trie
 from .crosstok import cross_tokenizer
 from .golay import near_copies
 from .hypershuffle import shard_digest
@@ -89,3 +90,8 @@ def op11(spark, sf_dir):
     import public_tokenizers
     return cross_tokenizer(table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY_A),
                            public_tokenizers.path(VOCABULARY_B))
+
+
+@_register("op12_conversation_trie", convtrie.oracle_sql())
+def op12(spark, sf_dir):
+    return prefix_trie(table(spark, sf_dir, "conversations"))
