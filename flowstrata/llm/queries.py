@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import convtrie, urlrules
+from . import convtrie, ngramjoin, urlrules
 from .common import table
 from .convtrie import prefix_trie
 from .crosstok import cross_tokenizer
@@ -10,6 +10,7 @@ from .golay import near_copies
 from .hypershuffle import shard_digest
 from .langid import language_table
 from .linecrf import line_quality
+from .ngramjoin import jaccard_join
 from .pfair import interleave
 from .qgram import leaked_pairs
 from .seekable import token_files
@@ -95,3 +96,8 @@ def op11(spark, sf_dir):
 @_register("op12_conversation_trie", convtrie.oracle_sql())
 def op12(spark, sf_dir):
     return prefix_trie(table(spark, sf_dir, "conversations"))
+
+
+@_register("op13_ngram_jaccard", ngramjoin.oracle_sql())
+def op13(spark, sf_dir):
+    return jaccard_join(table(spark, sf_dir, "documents"))
