@@ -40,12 +40,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import release, stage
+from ..session import conf_override, release, stage
 from .common import worker_cached
 
 BROADCAST_PAIRS = 1_000_000  # most frequent id pairs that are broadcast
 PAIR_BITS = 32  # a pair is A's id * 2^32 + B's id
-_GROUP_BYTES, _MEMO_PIECES, _MEMO_CHARS, _FLUSH_PAIRS = 4 << 20, 500_000, 40, 1 << 20
+_GROUP_BYTES, _MEMO_PIECES, _MEMO_CHARS, _FLUSH_PAIRS = 1 << 20, 200_000, 40, 1 << 18
+_BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000"}  # rows hold whole texts and their links
 _BLANK = "▁"  # sentencepiece's mark of a space
 _INNER_BLANK = re.compile(r"(?<=\S) (?=\S)")
 _OTHER_SPACE = re.compile(r"\s\s|^\s|\s$")
@@ -284,31 +285,32 @@ def cross_tokenizer(docs: DataFrame, a_file: str, b_file: str, broadcast_pairs:
     """``doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum,
     groups_sha256`` of every row (see the module text)."""
     spark = docs.sparkSession
-    rows = stage(aligned(docs.select(F.col("doc_id").cast("long"), F.monotonically_increasing_id().alias("row"), "text"),
-                         a_file, b_file), "aligned")
-    counts = pair_counts(rows)
-    least, table = _frequent(counts, broadcast_pairs)
-    shared = spark.sparkContext.broadcast(table)
-    schema = pa.schema([*list(_ARROW)[:7], ("n_best", pa.int64()), ("count_sum", pa.int64()),
-                        ("rest", pa.list_(pa.struct([("pair", pa.int64()), ("times", pa.int64())])))])
-
-    def score(batches):
-        pair, n, best = shared.value
-        for batch in batches:
-            best_links, sums, rest = [], [], []
-            for p, t in zip(batch.column(7), batch.column(8)):
-                own = np.frombuffer(p.as_buffer(), "<i8")
-                times = np.frombuffer(t.as_buffer(), "<u4").astype(np.int64)
-                k = np.minimum(np.searchsorted(pair, own), len(pair) - 1) if len(pair) else np.zeros(0, np.int64)
-                hit = pair[k] == own if len(pair) else np.zeros(len(own), bool)
-                k = k[hit] if len(pair) else k
-                best_links.append(int((times[hit] * best[k]).sum()))
-                sums.append(int((times[hit] * n[k]).sum()))
-                rest.append([{"pair": x, "times": y} for x, y in zip(own[~hit].tolist(), times[~hit].tolist())])
-            yield pa.RecordBatch.from_arrays([*batch.columns[:7], *(pa.array(c, schema.field(i).type) for i, c in
-                                                                    ((7, best_links), (8, sums), (9, rest)))], schema=schema)
-
-    scored = stage(rows.mapInArrow(score, _SCORED), "scored")
+    with conf_override(spark, _BATCHES):
+        rows = stage(aligned(docs.select(F.col("doc_id").cast("long"), F.monotonically_increasing_id().alias("row"), "text"),
+                             a_file, b_file), "aligned")
+        counts = pair_counts(rows)
+        least, table = _frequent(counts, broadcast_pairs)
+        shared = spark.sparkContext.broadcast(table)
+        schema = pa.schema([*list(_ARROW)[:7], ("n_best", pa.int64()), ("count_sum", pa.int64()),
+                            ("rest", pa.list_(pa.struct([("pair", pa.int64()), ("times", pa.int64())])))])
+
+        def score(batches):
+            pair, n, best = shared.value
+            for batch in batches:
+                best_links, sums, rest = [], [], []
+                for p, t in zip(batch.column(7), batch.column(8)):
+                    own = np.frombuffer(p.as_buffer(), "<i8")
+                    times = np.frombuffer(t.as_buffer(), "<u4").astype(np.int64)
+                    k = np.minimum(np.searchsorted(pair, own), len(pair) - 1) if len(pair) else np.zeros(0, np.int64)
+                    hit = pair[k] == own if len(pair) else np.zeros(len(own), bool)
+                    k = k[hit] if len(pair) else k
+                    best_links.append(int((times[hit] * best[k]).sum()))
+                    sums.append(int((times[hit] * n[k]).sum()))
+                    rest.append([{"pair": x, "times": y} for x, y in zip(own[~hit].tolist(), times[~hit].tolist())])
+                yield pa.RecordBatch.from_arrays([*batch.columns[:7], *(pa.array(c, schema.field(i).type) for i, c in
+                                                                        ((7, best_links), (8, sums), (9, rest)))], schema=schema)
+
+        scored = stage(rows.mapInArrow(score, _SCORED), "scored")
     rare = (scored.select("row", F.explode("rest").alias("x")).select("row", "x.*")
             .join(counts.where(F.col("n") < least), "pair")
             .groupBy("row").agg(F.sum(F.col("times") * F.col("n")).alias("more"),
