@@ -1,7 +1,52 @@
 import random
 
 import numpy as np
-from flowstrata.llm.toxfm import Model, document_terms, fit, toxicity
+from flowstrata.llm.toxfm import Model, document_terms, fit, toxicity, word_order
+
+
+def fitted(texts, labels):
+    return fit([document_terms(t) for t in texts], np.array(labels), [word_order(t) for t in texts])
+
+
+def marked(model, texts):
+    index = model.index
+    return np.array([model.score([index[t] for t in document_terms(x).tolist() if t in index]) >= 0.5 for x in texts])
+
+
+def noise(rng, kinds, n):
+    return [f"n{rng.randrange(kinds)}" for _ in range(n)]
+
+
+def test_label_of_the_pair_alone():
+    """Insult and group agree or not: no single term says anything."""
+    rng, texts, labels = random.Random(4), [], []
+    for _ in range(1500):
+        insult, group = rng.random() < 0.5, rng.random() < 0.5
+        words = noise(rng, 50, 20) + ["zzinsult" if insult else "friendly", "qqgroup" if group else "aaother"]
+        rng.shuffle(words)
+        texts.append(" ".join(words))
+        labels.append(int(insult == group))
+    got = marked(fitted(texts[:1000], labels[:1000]), texts[1000:])
+    assert np.mean(got == np.array(labels[1000:])) > 0.95
+
+
+def test_few_labels_do_not_mark_everything():
+    rng = random.Random(2)
+    for k in (5, 12, 40):
+        texts = [" ".join(noise(rng, 300, 30) + ["badword"] * y) for y in [0, 1] * k]
+        got = marked(fitted(texts, [0, 1] * k), [" ".join(noise(rng, 300, 30) + ["badword"] * y) for y in [0, 1] * 100])
+        assert got[1::2].mean() > 0.95 and got[::2].mean() < 0.05
+    # nothing to learn: no text has a sign of toxicity
+    assert not marked(fitted(["a b", "c d", "a d", "c b"], [0, 1, 1, 0]), ["a", "zzz", ""]).any()
+
+
+def test_rare_insults_are_found():
+    rng = random.Random(3)
+    rows = [(noise(rng, 5000, 60) + [f"q{j}insult"], 1) for j in range(200) for _ in range(10)]
+    rows += [(noise(rng, 5000, 60), 0) for _ in range(2000)]
+    model = fitted([" ".join(w) for w, _ in rows], [y for _, y in rows])
+    assert marked(model, [" ".join(noise(rng, 5000, 60) + [f"q{j}insult"]) for j in range(200)]).mean() > 0.95
+    assert marked(model, [" ".join(noise(rng, 5000, 60)) for _ in range(300)]).mean() < 0.02
 
 
 def test_pairs_need_the_factors():
