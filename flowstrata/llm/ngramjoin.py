@@ -10,9 +10,9 @@ shingle in their prefixes of ``n - ceil(percent n / 100) + 1`` shingles.
    only shingles of two or more different sets come back, to their sets.  A
    shingle of one set cannot link anything; it only takes a place in front.
 2. Sets whose prefix has no shared shingle are finished.  The others are
-   written once, shared shingles in rare-first order, with one posting per
-   prefix shingle: size, place, and how many later shingles lie in each of
-   eight hash cells.
+   written once, shared shingles in rare-first order; a posting per prefix
+   shingle has the size, the place, and how many later shingles lie in each
+   of eight hash cells.
 3. Postings are joined on the shingle under the length filter
    (``min >= percent/100 max``), the positional filter (one match and what is
    left of the shorter rest) and the suffix filter (one match and the sum of
@@ -20,11 +20,12 @@ shingle in their prefixes of ``n - ceil(percent n / 100) + 1`` shingles.
    common shingle of a pair, hence no linked pair is lost).
 4. Every surviving pair is verified once on the two sets.
 
-The result are components, so pairs inside a component need no check.  While
-the pairs of different components in a posting list are many, rounds link the
-members of every list to one pivot of the list (linear in the postings);
-then all pairs that are left between different components are joined, in
-blocks of bounded size.  There is no cap: a list is finished when all its
+The result are components, so pairs inside a component need no check.  A
+first round links the sets of a few lists of each set, picked by least hashes,
+to one pivot of the list.  While the pairs of different components in the
+lists are many, more such rounds follow over all lists (linear in the
+postings); then all pairs that are left between different components are
+joined, in blocks of bounded size.  There is no cap: a list is finished when all its
 members are in one component or all its remaining pairs have been judged.
 
 Equal sets are one set from the first step on; documents follow their set.
@@ -50,6 +51,7 @@ from .components import connected_components
 
 NGRAM_WORDS, PERCENT = 5, 80
 CELL_SHINGLES = 4_000_000  # shingles that one counting cell holds in memory
+PICKS = 4  # lists per set in the first round
 ROUND_COST = 24  # pairs left per posting up to which no more pivot rounds are worth while
 _BATCH_SHINGLES, _MEMO_WORDS, _SUFFIX_CELLS, _BLOCK = 1_000_000, 400_000, 8, 4096
 _MIX, _FINISH = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93
@@ -139,9 +141,9 @@ def _binary(data: np.ndarray, counts: np.ndarray, width: int) -> pa.Array:
     return pa.Array.from_buffers(pa.binary(), len(counts), [None, pa.py_buffer(offsets), pa.py_buffer(data.tobytes())])
 
 
-def _shared(table: pa.Table) -> pa.Table:
-    """One counting cell: the shingles of two or more sets, by set, with their
-    document frequencies."""
+def _shared(table: pa.Table, bundles: int) -> pa.Table:
+    """One counting cell: the shingles of two or more sets with their document
+    frequencies, by bundles of sets."""
     def joined(name, kind):
         return np.concatenate([np.frombuffer(x.as_buffer(), kind) for x in table.column(name)] + [np.zeros(0, kind)])
     code = joined("shingles", "<u8")
@@ -163,48 +165,60 @@ def _shared(table: pa.Table) -> pa.Table:
     df = df[inverse]
     keep = df > 1
     code, sid, df = code[keep], sid[keep], df[keep]
-    order = np.argsort(sid, kind="stable")
-    code, df = code[order], df[order].astype("<u4")
-    sids, counts = np.unique(sid, return_counts=True)
-    return pa.table({"sid": pa.array(sids), "shingles": _binary(code, counts, 8), "df": _binary(df, counts, 4)})
+    bundle = (sid.view(np.uint64) >> np.uint64(1)).astype(np.int64) % bundles
+    order = np.lexsort((sid, bundle))
+    code, df, sid, bundle = code[order], df[order].astype("<u4"), sid[order], bundle[order]
+    ids, counts = np.unique(bundle, return_counts=True)
+    return pa.table({"bundle": pa.array(ids, pa.int64()), "sids": _binary(sid, counts, 8), "shingles": _binary(code, counts, 8),
+                     "df": _binary(df, counts, 4)})
 
 
-# ------------------------------------------------------------- postings ----
+def _ordered(table: pa.Table, known: pa.Table, percent: int) -> pa.Table:
+    """A bundle of sets: shared shingles of each in rare-first order; sets
+    whose prefix has none of them are left out."""
+    def joined(name, kind):
+        return np.concatenate([np.frombuffer(x.as_buffer(), kind) for x in table.column(name)] + [np.zeros(0, kind)])
+    sid, code, df = joined("sids", "<i8"), joined("shingles", "<u8"), joined("df", "<u4")
+    known = np.stack([known.column("sid").to_numpy(), known.column("n").to_numpy()], axis=1)
+    known = known[np.argsort(known[:, 0])]
+    order = np.lexsort((code, df, sid))
+    sid, code = sid[order], code[order]
+    own, start, shared = np.unique(sid, return_index=True, return_counts=True)
+    n = known[np.searchsorted(known[:, 0], own), 1]
+    keep = n - shared < n + (-percent * n // 100) + 1
+    return pa.table({"sid": pa.array(own[keep], pa.int64()), "n": pa.array(n[keep], pa.int64()),
+                     "rare_first": pa.array([code[a:a + k].tobytes() for a, k in zip(start[keep], shared[keep])], pa.binary())})
 
-def _ordered(batches, percent):
-    """Shared shingles of each set in rare-first order; sets whose prefix has
-    none of them are left out."""
-    for b in batches:
-        out = []
-        for sid, n, parts in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2)):
-            parts = parts.values
-            code = np.concatenate([np.frombuffer(x.as_buffer(), "<u8") for x in parts.field("shingles")])
-            prefix = n - -(-percent * n // 100) + 1
-            if n - len(code) >= prefix:
-                continue
-            df = np.concatenate([np.frombuffer(x.as_buffer(), "<u4") for x in parts.field("df")])
-            out.append((sid, n, code[np.lexsort((code, df))].tobytes()))
-        yield pa.RecordBatch.from_pydict({"sid": pa.array([x[0] for x in out], pa.int64()), "n": pa.array([x[1] for x in out], pa.int64()),
-                                          "rare_first": pa.array([x[2] for x in out], pa.binary())})
 
+# ------------------------------------------------------------- postings ----
 
 _SUFFIX = [f"s{k}" for k in range(_SUFFIX_CELLS)]
 
 
-def _postings(batches, percent):
-    names = ["shingle", "sid", "n", "place", *_SUFFIX]
+_POSTING = ["shingle", "sid", "root", "n", "place", *_SUFFIX]
+
+
+def _postings(batches, percent, picks=0):
+    """Postings of the sets ``(sid, n, rare_first, root)``: of all prefix
+    shingles that are shared, or of the ``picks`` of them with the least
+    hashes (sets with like prefixes pick the same ones)."""
+    odd = [np.uint64((2 * k + 1) * _MIX & (1 << 64) - 1) for k in range(1, picks + 1)]
     for b in batches:
-        cols: list[list[np.ndarray]] = [[] for _ in names]
-        for sid, n, code in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2)):
+        cols: list[list[np.ndarray]] = [[] for _ in _POSTING]
+        for sid, n, code, root in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2), b.column(3).to_pylist()):
             code = np.frombuffer(code.as_buffer(), "<i8")
             first = n - len(code)
             k = min(len(code), n - -(-percent * n // 100) + 1 - first)
             cell = (code >> 3) & (_SUFFIX_CELLS - 1)
             after = np.bincount(cell, minlength=_SUFFIX_CELLS) - np.cumsum(cell[:k, None] == np.arange(_SUFFIX_CELLS), axis=0)
-            for c, x in zip(cols, (code[:k], np.full(k, sid), np.full(k, n), first + np.arange(k), *after.T)):
+            at = np.arange(k)
+            if picks:
+                with np.errstate(over="ignore"):
+                    at = np.unique([int(np.argmin(code[:k].view("<u8") * m >> np.uint64(20))) for m in odd])
+            for c, x in zip(cols, (code[at], np.full(len(at), sid), np.full(len(at), root), np.full(len(at), n), first + at, *after[at].T)):
                 c.append(x)
         if cols[0]:
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c).astype(np.int64)) for c in cols], names=names)
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c).astype(np.int64)) for c in cols], names=_POSTING)
 
 
 def _may_link(percent: int) -> Column:
@@ -281,46 +295,57 @@ def _rest_pairs(open_: DataFrame, lists: DataFrame, percent: int) -> DataFrame:
     return _pairs(left.drop(*drop), right.drop(*drop), ["shingle", "i", "j"], percent)
 
 
+def _merged(roots: DataFrame, links: DataFrame) -> DataFrame:
+    """``(sid, root)`` after new links between sets."""
+    at = roots.select(F.col("sid").alias("u"), F.col("root").alias("ru"))
+    lifted = (links.join(at, "u", "left").join(at.toDF("v", "rv"), "v", "left")
+              .select(F.coalesce("ru", "u").alias("u"), F.coalesce("rv", "v").alias("v")))
+    merged = connected_components(lifted).toDF("root", "top")
+    touched = links.select(F.col("u").alias("sid")).union(links.select("v")).union(roots.select("sid")).distinct()
+    return stage(touched.join(roots, "sid", "left").withColumn("root", F.coalesce("root", "sid"))
+                 .join(merged, "root", "left").select("sid", F.coalesce("top", "root").alias("root")), "roots")
+
+
 def set_components(sets: DataFrame, percent: int = PERCENT, round_cost: int = ROUND_COST,
                    history: list | None = None) -> DataFrame:
     """``(sid, root)`` for the sets ``(sid, n, rare_first)`` that are linked to
-    others; ``history`` collects the kind, lists' cost and links of each round."""
-    found = sets.mapInArrow(lambda it: _postings(it, percent),
-                            ", ".join(f"{c} long" for c in ("shingle", "sid", "n", "place", *_SUFFIX)))
-    postings = stage(found, "postings")
+    others; ``history`` collects the kind, lists' cost, pairs and links of
+    each round."""
+    kind = ", ".join(f"{c} long" for c in _POSTING)
     roots = stage(sets.select("sid", F.col("sid").alias("root")).where("false"), "roots")
     tried, turn, last = None, 0, float("inf")
     while True:
-        open_ = postings.join(roots, "sid", "left").withColumn("root", F.coalesce("root", "sid"))
-        lists = stage(_lists(open_), "lists")
-        size = lists.agg(F.sum("members").alias("members"), F.sum(F.col("members") * F.col("minor")).alias("cost")).first()
-        if not size["cost"]:
-            release(lists)
-            break
-        open_ = stage(split_join(open_, lists.select("shingle", "members"), ["shingle"], "members", ["sid"]), "open")
-        final = size["cost"] <= round_cost * size["members"] or size["cost"] > 0.7 * last
-        last = size["cost"]
-        pairs = _rest_pairs(open_, lists, percent) if final else _star_pairs(open_, turn, percent)
+        tagged = sets.join(roots, "sid", "left").select("sid", "n", "rare_first", F.coalesce("root", "sid").alias("root"))
+        final, cost, used = False, None, []
+        if not turn:  # a few lists of every set first: they join large groups
+            open_ = stage(tagged.mapInArrow(lambda it: _postings(it, percent, PICKS), kind), "open")
+            pairs = _star_pairs(open_, turn, percent)
+        else:
+            postings = tagged.mapInArrow(lambda it: _postings(it, percent), kind)
+            lists = stage(_lists(postings), "lists")
+            used.append(lists)
+            size = lists.agg(F.sum("members").alias("members"), F.sum(F.col("members") * F.col("minor")).alias("cost")).first()
+            cost = size["cost"]
+            if not cost:
+                release(lists)
+                break
+            open_ = stage(split_join(postings, lists.select("shingle", "members"), ["shingle"], "members", ["sid"]), "open")
+            final = cost <= round_cost * size["members"] or cost > 0.7 * last
+            last = cost
+            pairs = _rest_pairs(open_, lists, percent) if final else _star_pairs(open_, turn, percent)
         if tried is not None:
             pairs = pairs.join(tried, ["u", "v"], "left_anti")
         pairs = stage(pairs, "pairs")
         links = stage(verify(pairs, sets, percent), "links")
         if history is not None:
-            history.append(("all" if final else "pivot", size["cost"], pairs.count(), links.count()))
-        # components of the components so far, linked by the new links
-        at = roots.select(F.col("sid").alias("u"), F.col("root").alias("ru"))
-        lifted = (links.join(at, "u", "left").join(at.toDF("v", "rv"), "v", "left")
-                  .select(F.coalesce("ru", "u").alias("u"), F.coalesce("rv", "v").alias("v")))
-        merged = connected_components(lifted).toDF("root", "top")
-        touched = links.select(F.col("u").alias("sid")).union(links.select("v")).union(roots.select("sid")).distinct()
-        after = stage(touched.join(roots, "sid", "left").withColumn("root", F.coalesce("root", "sid"))
-                      .join(merged, "root", "left").select("sid", F.coalesce("top", "root").alias("root")), "roots")
+            history.append(("all" if final else "pivot", cost, pairs.count(), links.count()))
+        after = _merged(roots, links)
         seen = stage(pairs if tried is None else tried.unionByName(pairs), "tried")
-        release(lists, open_, pairs, links, roots, *([] if tried is None else [tried]))
+        release(open_, pairs, links, roots, *used, *([] if tried is None else [tried]))
         roots, tried, turn = after, seen, turn + 1
         if final:
             break
-    release(postings)
+    release(tried)
     return roots
 
 
@@ -340,11 +365,12 @@ def jaccard_join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", ng
         cells = max(1, -(-total // cell_shingles))
         packed = docs.select(F.col(text).alias("text")).mapInArrow(
             lambda it: _packed(it, ngram, cells), "cell int, sids binary, times binary, shingles binary")
-        shared = packed.groupBy("cell").applyInArrow(_shared, "sid long, shingles binary, df binary")
-        # a set has at most one part per cell, all of them together at most its shingles
-        sets = stage(shared.groupBy("sid").agg(F.collect_list(F.struct("shingles", "df")).alias("parts"))
-                     .join(whole.select("sid", "n"), "sid").select("sid", "n", "parts")
-                     .mapInArrow(lambda it: _ordered(it, percent), "sid long, n long, rare_first binary"), "rare_first")
+        shared = packed.groupBy("cell").applyInArrow(
+            lambda t: _shared(t, cells), "bundle long, sids binary, shingles binary, df binary")
+        # a bundle has as many sets as there are to a cell, with what is shared of them
+        of_bundle = whole.select("sid", "n", F.pmod(F.shiftrightunsigned("sid", 1), F.lit(cells)).alias("bundle"))
+        sets = stage(shared.groupBy("bundle").cogroup(of_bundle.groupBy("bundle")).applyInArrow(
+            lambda found, known: _ordered(found, known, percent), "sid long, n long, rare_first binary"), "rare_first")
         roots = set_components(sets, percent, round_cost, history)
         named = stage(whole.join(roots, "sid", "left").withColumn("root", F.coalesce("root", "sid")), "set_roots")
         least = stage(named.groupBy("root").agg(F.min("least").alias("component_id"), F.count("*").alias("n_sets")), "components")
