@@ -1,32 +1,47 @@
-"""Two-level partition by map-equation local moving, in relaxed parallel rounds.
+"""Two-level partition by map-equation local moving.
 
 All groups (clusters being refined, or one group for the whole network) move
-at once, with the same rules for a group of any size.  The nodes of a group
-are dealt by a hash into parts of about ``part_nodes`` nodes.  One round:
-
-1. joins bring the module of every neighbour and the flow and exit flow of the
-   modules to the links, which are kept in both directions as
-   ``(g, v, u, o, i)``; links that leave the part are summed per module first,
-   so a hub does not bring all its links to one task;
-2. every part moves its nodes one after the other to the best neighbouring
-   module (or to a new, empty one) as long as that shortens the codelength,
-   keeping the flows of the modules up to date for what the part itself did
-   (:func:`sweep`); what other parts do in the same round is not seen;
-3. module flow ``p_m``, exit flow ``q_m`` and the codelength per group are
-   computed anew as aggregates.
-
-A group of one part sees everything: its sweep ends when no move shortens the
-codelength, and the group is done with the level.  A group of several parts
-lets a share of its nodes move per round; a round that did not lower its
-codelength is rolled back and the share halved, until no node of the group has
-an improving move or all of them together are worth less than ``tol`` bits.
-So the codelength never rises.  Modules are contracted into nodes and the next
-level starts, until nothing merges; passes start again from the single nodes
-until a pass changes nothing.  There is no limit on rounds, levels or passes.
-
-Joins on a module or a group split hot keys (``functions.joins``).  The node
-and group tables of a round are written under ``spark.checkpoint.dir``
-(lineage is cut), the link table once per level.
+at once.  Nodes move to the neighbouring module (or a new, empty one) that
+shortens the codelength most, until no single move shortens it.  Modules are
+contracted into nodes and the next level starts, until nothing merges; passes
+start again from the single nodes until a pass changes nothing.  There is no
+limit on rounds, levels or passes, and the codelength never rises.
+
+A group is moved in one of two ways, both of which end when no node of the
+group has an improving move:
+
+* a group of at most ``task_links`` link rows (the bound on what a task holds)
+  is swept node after node by one task (:func:`sweep`), all such groups in one
+  job;
+* a larger group moves in parallel rounds of DataFrame aggregates
+  (:class:`_Level`), in which no node, module or group is gathered in a task.
+
+One round of aggregates:
+
+1. links are joined with the module of their other end and summed to the flow
+   between a node and every module next to it;
+2. from these, module flow ``p_m``, exit flow ``q_m`` and the codelength per
+   group are aggregates; a group whose codelength rose takes its last moves
+   back;
+3. the change of the codelength is a closed form per (node, module), the empty
+   module included, and the best module of a node is a minimum;
+4. moves that would spoil each other are sorted out: of the moves from one
+   module into another only the best counts, and a module either gives or
+   takes nodes, whichever of its best moves is worth more.  The best move of a
+   group always stays, so a round without moves has none to make.  A group
+   that had to take moves back allows one move per module afterwards, then a
+   thinner and thinner share of those.
+
+After the first round only the *frontier* is judged: nodes that moved and
+their neighbours (for the others the flow to their own module is kept).  When
+the frontier makes no move, all nodes are judged once more, and a group is
+done if none of them moves.  Ties are broken by hashes of module numbers,
+never by the place of a row.
+
+Hot keys: the state of a node, module or group that owns more than
+``hot_rows`` rows is replicated to them (``functions.joins``), so the links of
+a hub stay spread.  The tables of a round are written under
+``spark.checkpoint.dir`` (lineage is cut), the link table once per level.
 """
 
 from __future__ import annotations
@@ -38,11 +53,11 @@ from math import log2
 
 import numpy as np
 import pandas as pd
-from pyspark import StorageLevel, cloudpickle
-from pyspark.sql import DataFrame
+from pyspark import cloudpickle
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.joins import HOT_ROWS, split_join
+from ..functions.joins import split_join
 from ..session import conf_override, release, round_options, stage
 from .flow import plogp
 
@@ -55,25 +70,14 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 @dataclass(frozen=True)
 class MoveConfig:
-    # nodes of a part, the unit that one task moves
-    part_nodes: int = 20_000
-    # share of the nodes of a group of several parts that may move in a round;
-    # halved by a rollback, doubled by a round that lowered the codelength
-    share: float = 0.5
+    # link rows (two a link) of a group that one task may hold
+    task_links: int = 1_000_000
     # smallest change of the codelength that counts as an improvement
     min_delta: float = 1e-10
-    # a group of several parts is done once all its improving moves together
-    # are worth less than this many bits
-    tol: float = 1e-4
+    # of the hashes that break ties
     seed: int = 999
-    hot_rows: int = HOT_ROWS
-
-
-def _with(rows: DataFrame, table: DataFrame, keys: list[str], most: int, cfg: MoveConfig,
-          how: str = "inner") -> DataFrame:
-    """Join a per-module or per-group table that counts its nodes in ``n``;
-    ``most`` is the number of nodes in the largest group."""
-    return split_join(rows, table, keys, "n", ["v"], how, cfg.hot_rows, most)
+    # rows of a key that are spread; None: a ten-thousandth of all links, 100,000 at least
+    hot_rows: int | None = None
 
 
 def both_directions(links: DataFrame) -> DataFrame:
@@ -84,53 +88,30 @@ def both_directions(links: DataFrame) -> DataFrame:
     return out.unionByName(back).groupBy(G, "v", "u").agg(F.sum("o").alias("o"), F.sum("i").alias("i"))
 
 
-def _module_stats(nodes: DataFrame, rows: DataFrame) -> DataFrame:
-    """``(g, m, n, pm, q)``: exit flow = out-flow of the members minus what
-    stays inside the module."""
-    zero = F.lit(0.0)
-    kept = rows.where(F.col("x") == F.col("a")).select(
-        G, F.col("a").alias("m"), zero.alias("p"), zero.alias("out"), F.col("o").alias("own"),
-        F.lit(0).cast("long").alias("n"))
-    all_ = nodes.select(G, "m", "p", "out", zero.alias("own"), F.lit(1).cast("long").alias("n"))
-    q = F.sum("out") - F.sum("own")
-    return (all_.unionByName(kept).groupBy(G, "m")
-            .agg(F.sum("n").alias("n"), F.sum("p").alias("pm"), q.alias("q"))
-            # what summation leaves of a closed module
-            .withColumn("q", F.when(F.col("q") < 1e-14, 0.0).otherwise(F.col("q"))))
-
-
-def _group_objective(mod: DataFrame) -> DataFrame:
-    agg = mod.groupBy(G).agg(
-        F.sum("n").alias("n"), F.sum("q").alias("Q"),
-        F.sum(plogp(F.col("q"))).alias("sq"),
-        F.sum(plogp(F.col("q") + F.col("pm"))).alias("sqp"))
-    return agg.select(G, "n", "Q", (plogp(F.col("Q")) - 2 * F.col("sq") + F.col("sqp")).alias("L"))
-
-
 def _xlog(x: float) -> float:
     return x * log2(x) if x > 0.0 else 0.0
 
 
 def sweep(rows: pd.DataFrame, min_delta: float) -> pd.DataFrame:
-    """Move the nodes of one part until no allowed move shortens the
-    codelength: ``(g, v, to, gain)`` with the new module, and for nodes that
-    may not move in this round what their best move would be worth.
-
-    ``rows`` has one line per node v and neighbour u of the part, or module x
-    outside of it: flows o, i; v's flow p, out-flow, module a and permission;
-    flow, exit flow and nodes of both modules; the total exit flow."""
-    rows = rows.sort_values(["v", "inside", "u", "x"])
+    """Move the nodes of one group until no move shortens the codelength:
+    ``(g, v, to)`` with the new module.
+
+    ``rows`` has one line per node v and neighbour u: flows o, i; v's flow p,
+    out-flow ``out`` and module m."""
+    rows = rows.sort_values(["v", "u"])
     v, first = np.unique(rows["v"].to_numpy(), return_index=True)
     ids = v.tolist()
-    names = ("u", "inside", "x", "o", "i", "p", "out", "a", "may", "px", "qx", "nx", "pa", "qa", "na")
-    u, inside, x, o, i, p, out, a, may, px, qx, nx, pa, qa, na = (rows[c].tolist() for c in names)
+    u, o, i, p, out, m = (rows[c].tolist() for c in ("u", "o", "i", "p", "out", "m"))
     spans = list(zip(ids, first.tolist(), [*first.tolist()[1:], len(rows)]))
-    module = {node: a[lo] for node, lo, _ in spans}
+    module = {node: m[lo] for node, lo, _ in spans}
     flow, exits, size = {}, {}, {}
-    for m, m_flow, m_exit, n in (*zip(a, pa, qa, na), *zip(x, px, qx, nx)):
-        flow[m], exits[m], size[m] = m_flow, m_exit, n
-    total = float(rows["Q"].iloc[0])
-    gain = dict.fromkeys(ids, 0.0)
+    for node, lo, hi in spans:
+        here = module[node]
+        flow[here] = flow.get(here, 0.0) + p[lo]
+        size[here] = size.get(here, 0) + 1
+        leaves = out[lo] - sum(o[k] for k in range(lo, hi) if module[u[k]] == here)
+        exits[here] = max(0.0, exits.get(here, 0.0) + leaves)
+    total = sum(exits.values())
     moved = True
     while moved:
         moved = False
@@ -138,7 +119,7 @@ def sweep(rows: pd.DataFrame, min_delta: float) -> pd.DataFrame:
             here = module[node]
             near: dict[int, tuple[float, float]] = {}
             for k in range(lo, hi):
-                there = module.get(u[k], x[k]) if inside[k] else x[k]
+                there = module[u[k]]
                 so, si = near.get(there, (0.0, 0.0))
                 near[there] = (so + o[k], si + i[k])
             own_o, own_i = near.pop(here, (0.0, 0.0))
@@ -158,95 +139,230 @@ def sweep(rows: pd.DataFrame, min_delta: float) -> pd.DataFrame:
                           - 2 * (_xlog(q1) - _xlog(q0)) + _xlog(q1 + p1) - _xlog(q0 + p0), 12)
                 if d < best or (d == best and d < 0.0 and there < to):
                     best, to, joined = d, there, (q1, p1)
-            gain[node] = 0.0
             if best < -min_delta:
-                if not may[lo]:
-                    gain[node] = -best
-                    continue
                 moved = True
                 total = max(0.0, total - exits[here] - exits.get(to, 0.0) + left_q + joined[0])
                 exits[here], flow[here], size[here] = left_q, left_p, size[here] - 1
                 exits[to], flow[to] = joined
                 size[to] = size.get(to, 0) + 1
                 module[node] = to
-    return pd.DataFrame({G: rows[G].iloc[0], "v": v, "to": [module[n] for n in ids], "gain": [gain[n] for n in ids]})
+    return pd.DataFrame({G: rows[G].iloc[0], "v": v, "to": [module[n] for n in ids]})
+
+
+def _swept(nodes: DataFrame, adj: DataFrame, cfg: MoveConfig) -> DataFrame:
+    """``nodes`` after a sweep of every group (nodes without links stay)."""
+    kind, delta = nodes.schema[G].dataType.simpleString(), cfg.min_delta
+    rows = adj.join(nodes.select(G, "v", "p", "out", "m"), [G, "v"])
+    to = rows.groupBy(G).applyInPandas(lambda pdf: sweep(pdf, delta), f"{G} {kind}, v long, to long")
+    return nodes.join(to, [G, "v"], "left").withColumn("m", F.coalesce("to", "m")).drop("to")
 
 
-def _rows(nodes: DataFrame, adj: DataFrame) -> DataFrame:
-    """Links with the module and part of the neighbour and of the node."""
-    at = nodes.select(G, F.col("v").alias("u"), F.col("m").alias("x"), F.col("part").alias("part_u"))
-    own = nodes.select(G, "v", "p", "out", F.col("m").alias("a"), "part")
-    return (adj.join(at, [G, "u"]).join(own, [G, "v"])
-            .withColumn("inside", F.col("part") == F.col("part_u"))
-            .withColumn("u", F.when(F.col("inside"), F.col("u")).otherwise(F.lit(0)))
-            .groupBy(G, "part", "v", "u", "inside", "x", "a", "p", "out")
-            .agg(F.sum("o").alias("o"), F.sum("i").alias("i")))
+#: State of a node besides ``g, v, p, out, deg``: module, flow to and from the
+#: other nodes of the module, both as they were before the last moves, and
+#: whether it moved.
+_STATE = ["m", "so", "si", "m_prev", "so_prev", "si_prev", "moved"]
 
 
-def _local_moving(nodes: DataFrame, adj: DataFrame, cfg: MoveConfig, level: int,
+def _fresh(nodes: DataFrame) -> DataFrame:
+    """Nodes ``(g, v, p, out, deg, m)`` before the first round of a level."""
+    zero = F.lit(0.0)
+    return nodes.select(G, "v", "p", "out", "deg", "m", zero.alias("so"), zero.alias("si"), F.col("m").alias("m_prev"),
+                        zero.alias("so_prev"), zero.alias("si_prev"), F.lit(False).alias("moved"))
+
+
+class _Level:
+    """Rounds of one level over the links ``adj``."""
+
+    def __init__(self, adj: DataFrame, cfg: MoveConfig, rows: int):
+        self.adj, self.cfg, self.rows = adj, cfg, rows
+        self.limit = max(100_000, rows // 10_000) if cfg.hot_rows is None else cfg.hot_rows
+
+    def attach(self, rows: DataFrame, table: DataFrame, keys: list[str], count: str, spread: str, how: str = "inner") -> DataFrame:
+        return split_join(rows, table, keys, count, [spread], how, self.limit, self.rows)
+
+    def frontier(self, nodes: DataFrame, groups: DataFrame) -> DataFrame:
+        """Nodes with the state of their group and ``dirty``: to be judged."""
+        cur = self.attach(nodes, groups, [G], "n", "v")
+        moved = nodes.where("moved").select(G, F.col("v").alias("u"), "deg")
+        near = self.attach(self.adj.select(G, "v", "u"), moved, [G, "u"], "deg", "v").select(G, "v").distinct()
+        return (cur.join(near.withColumn("near", F.lit(True)), [G, "v"], "left")
+                .withColumn("dirty", ~F.col("done") & (F.col("full") | F.col("moved") | F.coalesce("near", F.lit(False)))).drop("near"))
+
+    def module_flows(self, cur: DataFrame) -> DataFrame:
+        """``(g, v, x, o, i)``: flows of the judged nodes to all modules next
+        to them."""
+        dirty = cur.where("dirty").select(G, "v", "deg")
+        at = cur.where("not done").select(G, F.col("v").alias("u"), F.col("m").alias("x"), "deg")
+        links = self.attach(self.attach(self.adj, dirty, [G, "v"], "deg", "u"), at, [G, "u"], "deg", "v")
+        return links.groupBy(G, "v", "x").agg(F.sum("o").alias("o"), F.sum("i").alias("i"))
+
+    @staticmethod
+    def with_own(cur: DataFrame, flows: DataFrame) -> DataFrame:
+        """``cur`` with the flows to the own module, fresh for judged nodes."""
+        cur = cur.join(flows.select(G, "v", F.col("x").alias("m"), "o", "i"), [G, "v", "m"], "left")
+        for kept, new in (("so", "o"), ("si", "i")):
+            cur = cur.withColumn(kept, F.when(F.col("dirty"), F.coalesce(new, F.lit(0.0))).otherwise(F.col(kept)))
+        return cur.drop("o", "i")
+
+    @staticmethod
+    def modules(cur: DataFrame) -> DataFrame:
+        """``(g, m, n, ends, pm, q)``: exit flow = out-flow of the members
+        minus what stays inside the module."""
+        q = F.sum("out") - F.sum("so")
+        return (cur.groupBy(G, "m").agg(F.count(F.lit(1)).alias("n"), F.sum("deg").alias("ends"), F.sum("p").alias("pm"), q.alias("q"))
+                # what summation leaves of a closed module
+                .withColumn("q", F.when(F.col("q") < 1e-14, 0.0).otherwise(F.col("q"))))
+
+    @staticmethod
+    def objective(mod: DataFrame) -> DataFrame:
+        agg = mod.groupBy(G).agg(F.sum("n").alias("n"), F.sum("q").alias("Q"), F.sum(plogp(F.col("q"))).alias("sq"),
+                                 F.sum(plogp(F.col("q") + F.col("pm"))).alias("sqp"))
+        return agg.select(G, "n", "Q", (plogp(F.col("Q")) - 2 * F.col("sq") + F.col("sqp")).alias("L"))
+
+    def best_moves(self, state: DataFrame, flows: DataFrame, mod: DataFrame) -> DataFrame:
+        """``(g, v, a, x, d)``: for each judged node with an improving move
+        its best one.  ``state`` has the node's module a with ``pa, qa``."""
+        node = state.select(G, "v", "deg", "p", "out", F.col("m").alias("a"), "so", "si", "pa", "qa", "Q")
+        zero = F.lit(0.0)
+        # the empty module under the node's own number, if the node is not alone in it
+        empty = node.where("a <> v").select(G, "v", F.col("v").alias("x"), zero.alias("o"), zero.alias("i"))
+        cand = self.attach(flows.unionByName(empty).groupBy(G, "v", "x").agg(F.sum("o").alias("o"), F.sum("i").alias("i")),
+                           node, [G, "v"], "deg", "x").where("x <> a")
+        there = mod.select(G, F.col("m").alias("x"), "ends", F.col("pm").alias("px"), F.col("q").alias("qx"))
+        cand = self.attach(cand, there, [G, "x"], "ends", "v", "left").fillna(0.0, ["px", "qx"])
+
+        def c(name: str) -> Column:
+            return F.col(name)
+        left_q = F.greatest(zero, c("qa") - c("out") + c("so") + c("si"))
+        left_p = c("pa") - c("p")
+        q1, p1 = F.greatest(zero, c("qx") + c("out") - c("o") - c("i")), c("px") + c("p")
+        total = F.greatest(zero, c("Q") - c("qa") - c("qx") + left_q + q1)
+        d = (plogp(total) - plogp(c("Q")) - 2 * (plogp(left_q) - plogp(c("qa")) + plogp(q1) - plogp(c("qx")))
+             + plogp(left_q + left_p) - plogp(c("qa") + c("pa")) + plogp(q1 + p1) - plogp(c("qx") + c("px")))
+        choice = F.struct(F.round(d, 12).alias("d"), F.xxhash64("x", F.lit(self.cfg.seed)).alias("tie"), c("x").alias("to"))
+        best = cand.groupBy(G, "v", "a").agg(F.min(choice).alias("b"))
+        return best.select(G, "v", "a", F.col("b.to").alias("x"), F.col("b.d").alias("d")).where(F.col("d") < -self.cfg.min_delta)
+
+    def allowed(self, best: DataFrame) -> DataFrame:
+        """``(g, v, to, alone)`` of the moves that do not spoil each other;
+        ``alone``: the best in and out of both its modules."""
+        mover = F.struct(F.col("d"), F.xxhash64("v", F.lit(self.cfg.seed)).alias("tie"), F.col("v").alias("who"))
+        pair = (best.groupBy(G, "a", "x").agg(F.min(mover).alias("b"))
+                .select(G, "a", "x", F.col("b.who").alias("v"),
+                        F.struct(F.col("b.d").alias("d"), F.xxhash64("a", "x", F.lit(self.cfg.seed)).alias("tie"), "a", "x").alias("key")))
+        none = F.lit(None).cast("struct<d:double,tie:bigint,a:bigint,x:bigint>")
+        ends = (pair.select(G, F.col("a").alias("m"), F.col("key").alias("gives"), none.alias("takes"))
+                .unionByName(pair.select(G, F.col("x").alias("m"), none.alias("gives"), F.col("key").alias("takes"))))
+        roles = ends.groupBy(G, "m").agg(F.min("gives").alias("gives"), F.min("takes").alias("takes"), F.count(F.lit(1)).alias("n"))
+        giver = roles.where(F.col("takes").isNull() | (F.col("gives") < F.col("takes"))).where("gives is not null")
+        taker = roles.where(F.col("gives").isNull() | (F.col("takes") < F.col("gives"))).where("takes is not null")
+        kept = self.attach(pair, giver.select(G, F.col("m").alias("a"), "n", "gives"), [G, "a"], "n", "v")
+        kept = self.attach(kept, taker.select(G, F.col("m").alias("x"), "n", "takes"), [G, "x"], "n", "v")
+        return kept.select(G, "v", F.col("x").alias("to"),
+                           ((F.col("key") == F.col("gives")) & (F.col("key") == F.col("takes"))).alias("alone"))
+
+    def round(self, nodes: DataFrame, groups: DataFrame) -> DataFrame:
+        """The node table after one round, with the group's ``L`` before the
+        moves and ``rose``."""
+        front = stage(self.frontier(nodes, groups), "frontier")
+        flows = stage(self.module_flows(front), "module_flows")
+        cur = stage(self.with_own(front, flows), "nodes_own")
+        live = cur.where("not done")
+        mod = stage(self.modules(live), "modules")
+        score = self.attach(live, self.objective(mod), [G], "n", "v").withColumn(
+            "rose", F.col("changed") & (F.col("L") > F.col("L_prev") - 1e-12))
+        here = mod.select(G, "m", "ends", F.col("pm").alias("pa"), F.col("q").alias("qa"))
+        state = self.attach(score.where("dirty and not rose"), here, [G, "m"], "ends", "v")
+        best = stage(self.best_moves(state, flows, mod), "best_moves")
+        moves = self.allowed(best)
+        thin = F.pmod(F.xxhash64("v", "turn", F.lit(self.cfg.seed)), F.expr("shiftleft(1, least(30, 2 * (greatest(strict, 1) - 1)))"))
+        may = (F.col("strict") == 0) | (F.col("alone") & ((F.col("strict") == 1) | (thin == 0)))
+        after = cur.where("done").select(*cur.columns, F.lit(0.0).alias("Q"), F.col("L_prev").alias("L"), F.lit(False).alias("rose"))
+        after = score.select(after.columns).unionByName(after).join(moves, [G, "v"], "left").withColumn(
+            "to", F.when(F.col("to").isNotNull() & may, F.col("to")))
+        back = F.col("rose")
+
+        def either(a, b):
+            return F.when(back, F.col(a)).otherwise(b if isinstance(b, Column) else F.col(b))
+        out = stage(after.select(
+            G, "v", "p", "out", "deg", either("m_prev", F.coalesce("to", "m")).alias("m"),
+            either("so_prev", "so").alias("so"), either("si_prev", "si").alias("si"),
+            either("m_prev", "m").alias("m_prev"), either("so_prev", "so").alias("so_prev"), either("si_prev", "si").alias("si_prev"),
+            (~back & F.col("to").isNotNull()).alias("moved"), either("L_prev", "L").alias("L"), "rose", "dirty",
+            "strict", "full", "turn"), "nodes")
+        release(front, flows, cur, mod, best)
+        return out
+
+
+def _next_groups(after: DataFrame) -> DataFrame:
+    """Group table ``(g, n, L_prev, changed, strict, full, turn, done)`` for
+    the round after ``after``."""
+    g = after.groupBy(G).agg(F.count(F.lit(1)).alias("n"), F.max("L").alias("L_prev"), F.max("moved").alias("changed"),
+                             F.max("rose").alias("rose"), F.max("strict").alias("strict"), F.max("full").alias("full"),
+                             F.max("turn").alias("turn"))
+    idle = ~F.col("rose") & ~F.col("changed")
+    return g.select(
+        G, "n", "L_prev", "changed", F.col("turn").alias("_t"), (idle & F.col("full") & (F.col("strict") < 2)).alias("done"),
+        # one move per module stays the rule once more than that was too much
+        F.when(F.col("rose"), F.col("strict") + 1).when(F.col("strict") > 1, F.col("strict") - 1).otherwise(F.col("strict")).alias("strict"),
+        (F.col("rose") | idle).alias("full")).withColumn("turn", F.col("_t") + 1).drop("_t")
+
+
+def _local_moving(nodes: DataFrame, adj: DataFrame, cfg: MoveConfig, level: int, rows: int,
                   history: list | None) -> tuple[DataFrame, int]:
-    """Rounds of one level from the modules ``m`` of ``nodes``.  Groups that
-    are done keep their nodes; later rounds leave them out."""
-    groups = stage(nodes.groupBy(G).agg(F.count(F.lit(1)).alias("n"))
-                   .withColumn("parts", F.ceil(F.col("n") / cfg.part_nodes))
-                   .withColumn("share", F.when(F.col("parts") == 1, 1.0).otherwise(cfg.share))
-                   .withColumn("L_prev", F.lit(float("inf"))).withColumn("moved", F.lit(False)), "groups")
-    top = groups.agg(F.count(F.lit(1)).alias("all"), F.max("n").alias("n")).first()
-    most, n_active = top["n"] or 0, top["all"]
-    now = _with(nodes, groups.select(G, "n", "parts"), [G], most, cfg).withColumn(
-        "part", F.pmod(F.xxhash64("v"), F.col("parts"))).drop("parts")
-    kind = nodes.schema[G].dataType.simpleString()
-    delta = cfg.min_delta
-    finished, rounds = [], 0
-    while n_active:
+    """One level from the modules ``m`` of ``nodes``; the result has their
+    columns ``(g, v, p, out, deg, m)``."""
+    if rows <= cfg.task_links:  # no group has more links than that
+        return stage(_swept(nodes, adj, cfg), "nodes"), 1
+    ends = nodes.groupBy(G).agg(F.count(F.lit(1)).alias("n"), F.sum("deg").alias("ends")).withColumn("large", F.col("ends") > cfg.task_links)
+    run = _Level(adj, cfg, rows)
+    sized = run.attach(nodes, ends.select(G, "n", "large"), [G], "n", "v")
+    large, small = stage(sized.where("large").drop("large"), "nodes"), sized.where("not large").drop("large")
+    few = run.attach(adj, ends.where("not large").select(G, "ends"), [G], "ends", "v")
+    done = stage(_swept(small, few, cfg), "nodes")
+    moved, rounds = _rounds(large, adj, cfg, level, rows, history)
+    out = stage(done.unionByName(moved), "nodes")
+    release(done, large, moved)
+    return out, rounds + 1
+
+
+def _rounds(nodes: DataFrame, adj: DataFrame, cfg: MoveConfig, level: int, rows: int,
+            history: list | None) -> tuple[DataFrame, int]:
+    """Rounds of aggregates over the groups of ``nodes``."""
+    run = _Level(adj, cfg, rows)
+    now = stage(_fresh(nodes), "nodes")
+    groups = stage(now.groupBy(G).agg(F.count(F.lit(1)).alias("n")).select(
+        G, "n", F.lit(float("inf")).alias("L_prev"), F.lit(False).alias("changed"), F.lit(False).alias("done"),
+        F.lit(0).alias("strict"), F.lit(True).alias("full"), F.lit(0).alias("turn")), "groups")
+    aside, rounds = [], 0
+    left = groups.agg(F.sum("n")).first()[0] or 0
+    while left:
+        after = run.round(now, groups)
+        state = stage(_next_groups(after), "groups")
         rounds += 1
-        rows = _rows(now, adj).persist(StorageLevel.MEMORY_AND_DISK)  # reused by this round only
-        mod = _module_stats(now, rows).persist(StorageLevel.MEMORY_AND_DISK)
-        rose = F.col("moved") & (F.col("L") > F.col("L_prev") - 1e-12)
-        share = (F.when(F.col("parts") == 1, 1.0).when(rose, F.greatest(F.lit(0.001), F.col("share") / 2))
-                 .when(F.col("moved"), F.least(F.lit(1.0), F.col("share") * 2)).otherwise(F.col("share")))
-        state = stage(groups.join(_group_objective(mod).select(G, "Q", "L"), G).select(
-            G, "n", "parts", "Q", rose.alias("rose"), share.alias("share"),
-            F.when(rose, F.col("L_prev")).otherwise(F.col("L")).alias("L")), "groups")
-        live = _with(rows, state.where(~F.col("rose")).select(G, "n", "Q", "share"), [G], most, cfg)
-        may = F.pmod(F.xxhash64("v", F.lit(rounds), F.lit(level), F.lit(cfg.seed)), F.lit(1000)) < F.col("share") * 1000
-        own = mod.select(G, F.col("m").alias("a"), "n", F.col("pm").alias("pa"), F.col("q").alias("qa"), F.col("n").alias("na"))
-        other = mod.select(G, F.col("m").alias("x"), "n", F.col("pm").alias("px"), F.col("q").alias("qx"), F.col("n").alias("nx"))
-        full = _with(_with(live.withColumn("may", may), own, [G, "a"], most, cfg), other, [G, "x"], most, cfg)
-        swept = stage(full.groupBy(G, "part").applyInPandas(
-            lambda pdf: sweep(pdf, delta), f"{G} {kind}, v long, to long, gain double"), "swept")
-        joined = now.join(swept, [G, "v"], "left").withColumn("to", F.coalesce("to", "m"))
-        tally = joined.groupBy(G).agg(F.max(F.col("to") != F.col("m")).alias("moved"),
-                                      F.sum(F.coalesce("gain", F.lit(0.0))).alias("gain"))
-        # one part: its sweep left no improving move; several: nothing moved and little is left
-        still = (F.col("parts") == 1) | (~F.col("moved") & (F.col("gain") < cfg.tol))
-        after = stage(state.join(tally, G).select(
-            G, "n", "parts",
-            # a round in which none of the few allowed nodes moved does not end the search
-            F.when(~F.col("rose") & ~F.col("moved"), F.least(F.lit(1.0), F.col("share") * 2))
-            .otherwise(F.col("share")).alias("share"),
-            F.col("L").alias("L_prev"), (~F.col("rose") & F.col("moved")).alias("moved"),
-            "rose", (~F.col("rose") & still).alias("done")), "groups")
-        new = stage(_with(joined, after.select(G, "n", "rose", "done"), [G], most, cfg).select(
-            G, "v", "p", "out", F.when(F.col("rose"), F.col("m_prev")).otherwise(F.col("to")).alias("m"),
-            F.when(F.col("rose"), F.col("m_prev")).otherwise(F.col("m")).alias("m_prev"), "part", "done"), "nodes")
-        rows.unpersist()
-        mod.unpersist()
-        counts = after.agg(F.count(F.lit(1)).alias("all"), F.sum(F.col("done").cast("long")).alias("done")).first()
-        _LOG.debug("level %d round %d: %s of %s done", level, rounds, counts["done"], counts["all"])
         if history is not None:
-            history.append((level, rounds, {r[G]: r["L"] for r in state.select(G, "L").collect()}))
-        release(groups, state, swept, now)
-        n_active = counts["all"] - counts["done"]
-        finished.append(stage(new.where("done").select(G, "v", "p", "out", "m", "m_prev"), "nodes_done"))
-        if n_active:
-            groups = stage(after.where("not done").drop("done", "rose"), "groups")
-            now = stage(new.where("not done").drop("done"), "nodes")
-        release(new, after)
-    if len(finished) == 1:
-        return finished[0], rounds
-    result = stage(_union(finished) if finished else nodes, "nodes")
-    release(*finished)
+            length = {r[G]: r["L"] for r in after.where("not rose").groupBy(G).agg(F.max("L").alias("L")).collect()}
+            history.append((level, rounds, length, after.where("dirty").agg(F.sum("deg")).first()[0] or 0))
+        done = state.agg(F.sum(F.when(F.col("done"), F.col("n")).otherwise(0))).first()[0]
+        _LOG.debug("level %d round %d: %s of %s nodes done", level, rounds, done, left)
+        release(now, groups)
+        if 2 * done >= left:  # groups that are done move out of the rounds once they own half of the nodes
+            ready = run.attach(after, state.where("done").select(G, "n"), [G], "n", "v")
+            aside.append(stage(ready.select(G, "v", "p", "out", "deg", "m"), "nodes_done"))
+            now = stage(run.attach(after, state.where("not done").select(G, "n"), [G], "n", "v").select(
+                G, "v", "p", "out", "deg", *_STATE), "nodes")
+            groups = stage(state.where("not done"), "groups")
+            release(after, state)
+            left -= done
+        else:
+            now, groups = after, state
+            now = after.select(G, "v", "p", "out", "deg", *_STATE)
+            now._staged_path = after._staged_path
+    if not aside:
+        return nodes, rounds
+    result = aside[0] if len(aside) == 1 else stage(_union(aside), "nodes")
+    if len(aside) > 1:
+        release(*aside)
     return result, rounds
 
 
@@ -257,82 +373,96 @@ def _union(frames: list[DataFrame]) -> DataFrame:
     return out
 
 
-def _contract(nodes: DataFrame, adj: DataFrame) -> tuple[DataFrame, DataFrame]:
+def _contract(nodes: DataFrame, run: _Level) -> tuple[DataFrame, DataFrame]:
     """Modules as nodes (each its own module) and the flows between them."""
-    at = nodes.select(G, "v", "m")
-    moved = (adj.join(at.withColumnRenamed("m", "mv"), [G, "v"])
-             .join(at.select(G, F.col("v").alias("u"), F.col("m").alias("mu")), [G, "u"])
-             .where(F.col("mv") != F.col("mu"))
-             .groupBy(G, F.col("mv").alias("v"), F.col("mu").alias("u"))
-             .agg(F.sum("o").alias("o"), F.sum("i").alias("i")))
-    links = stage(moved, "links")
-    out = links.groupBy(G, "v").agg(F.sum("o").alias("out"))
+    at = nodes.select(G, "v", "deg", "m")
+    links = run.attach(run.adj, at.withColumnRenamed("m", "mv"), [G, "v"], "deg", "u")
+    links = run.attach(links, at.select(G, F.col("v").alias("u"), "deg", F.col("m").alias("mu")), [G, "u"], "deg", "v")
+    links = stage(links.where(F.col("mv") != F.col("mu")).groupBy(G, F.col("mv").alias("v"), F.col("mu").alias("u"))
+                  .agg(F.sum("o").alias("o"), F.sum("i").alias("i")), "links")
     flow = nodes.groupBy(G, F.col("m").alias("v")).agg(F.sum("p").alias("p"))
-    return stage(_singletons(flow, out), "nodes"), links
+    return stage(_singletons(flow, links), "nodes"), links
+
+
+def _singletons(flow: DataFrame, adj: DataFrame) -> DataFrame:
+    """Nodes ``(g, v, p)`` with out-flow, number of neighbours and themselves
+    as module."""
+    ends = adj.groupBy(G, "v").agg(F.sum("o").alias("out"), F.count(F.lit(1)).alias("deg"))
+    return (flow.join(ends, [G, "v"], "left").fillna(0.0, ["out"]).fillna(0, ["deg"])
+            .select(G, "v", "p", "out", "deg", F.col("v").alias("m")))
 
 
-def _singletons(flow: DataFrame, out: DataFrame) -> DataFrame:
-    return (flow.join(out, [G, "v"], "left").fillna(0.0, ["out"])
-            .select(G, "v", "p", "out", F.col("v").alias("m"), F.col("v").alias("m_prev")))
+def _renamed(nodes: DataFrame, names: DataFrame, run: _Level) -> DataFrame:
+    """``nodes`` with the module names of ``(g, m, new)``."""
+    sizes = nodes.groupBy(G, "m").agg(F.count(F.lit(1)).alias("n"))
+    table = names.join(sizes, [G, "m"])
+    return run.attach(nodes, table, [G, "m"], "n", "v").select(G, "v", "p", "out", "deg", F.col("new").alias("m"))
 
 
 def two_level_partition(node_flow: DataFrame, link_flow: DataFrame, group: str | None = None,
-                        config: MoveConfig | None = None, history: list | None = None) -> tuple[DataFrame, dict]:
+                        config: MoveConfig | None = None, history: list | None = None,
+                        start: DataFrame | None = None) -> tuple[DataFrame, dict]:
     """Partition the nodes of every group into modules.
 
     ``node_flow``: ``([group,] node_id, flow)``; ``link_flow``:
-    ``([group,] source, target, flow)``.  Returns
+    ``([group,] source, target, flow)``; ``start``: modules to start from,
+    ``([group,] node_id, module)`` (nodes without one start alone).  Returns
     ``([group,] node_id, module)`` - the module id is its smallest node - and
     a dict of statistics (rounds per level of every pass).  ``history``
-    collects the codelengths per round (a test aid)."""
+    collects ``(level, round, codelength per group, links judged)`` (a test
+    aid)."""
     cfg = config or MoveConfig()
     gcol = F.col(group) if group else F.lit(0)
     links = stage(link_flow.where(F.col("source") != F.col("target"))
                   .select(gcol.alias(G), F.col("source").alias("s"), F.col("target").alias("t"),
                           F.col("flow").alias("f")), "links")
-    with conf_override(links.sparkSession, round_options(links.sparkSession, 2 * links.count())):
+    rows = 2 * links.count()
+    with conf_override(links.sparkSession, round_options(links.sparkSession, rows)):
         adj = stage(both_directions(links), "links")
         release(links)
-        out = adj.groupBy(G, "v").agg(F.sum("o").alias("out"))
         flow = node_flow.select(gcol.alias(G), F.col("node_id").alias("v"), F.col("flow").alias("p"))
-        base = stage(_singletons(flow, out), "nodes")
-        result, stats = _passes(base, adj, cfg, history)
+        nodes = _singletons(flow, adj)
+        if start is not None:
+            given = start.select(gcol.alias(G), F.col("node_id").alias("v"), F.col("module").alias("given"))
+            # a module is named by one of its nodes, as everywhere in the rounds
+            least = given.groupBy(G, "given").agg(F.min("v").alias("least"), F.count(F.lit(1)).alias("n"))
+            named = split_join(given, least, [G, "given"], "n", ["v"]).select(G, "v", "least")
+            nodes = nodes.join(named, [G, "v"], "left").withColumn("m", F.coalesce("least", "m")).drop("least")
+        base = stage(nodes, "nodes")
+        result, stats = _passes(base, adj, cfg, rows + base.count(), history)
         release(base, adj)
     name = [F.col(G).alias(group)] if group else []
     return result.select(*name, "node_id", "module"), stats
 
 
-def _passes(base: DataFrame, adj: DataFrame, cfg: MoveConfig, history: list | None) -> tuple[DataFrame, dict]:
+def _passes(base: DataFrame, adj: DataFrame, cfg: MoveConfig, rows: int, history: list | None) -> tuple[DataFrame, dict]:
     stats: dict = {"rounds": []}
-    before, most = base, base.count()
+    before = base
     while True:
-        nodes, rounds = _local_moving(before, adj, cfg, 0, history)
+        nodes, rounds = _local_moving(before, adj, cfg, 0, rows, history)
         per_level, level_nodes, level_adj, tops = [rounds], nodes, adj, []
         while True:
-            up, up_adj = _contract(level_nodes, level_adj)
+            up, up_adj = _contract(level_nodes, _Level(level_adj, cfg, rows))
             if level_adj is not adj:
                 release(level_adj)
-            moved, rounds = _local_moving(up, up_adj, cfg, len(per_level), history)
+            moved, rounds = _local_moving(up, up_adj, cfg, len(per_level), rows, history)
             per_level.append(rounds)
             tops.append(moved)
-            release(up)
             level_nodes, level_adj = moved, up_adj
             if moved.where(F.col("m") != F.col("v")).isEmpty():
                 break
         release(level_adj)
         stats["rounds"].append(per_level)
         # modules of the nodes after all levels, named by their smallest node
-        assigned = nodes.select(G, "v", "p", "out", "m")
+        run = _Level(adj, cfg, rows)
+        assigned = nodes
         for t in tops[:-1]:  # the last level merged nothing
-            step = t.select(G, F.col("v").alias("m"), F.col("m").alias("m_new"))
-            assigned = assigned.join(step, [G, "m"]).select(G, "v", "p", "out", F.col("m_new").alias("m"))
-        low = assigned.groupBy(G, "m").agg(F.min("v").alias("low"), F.count(F.lit(1)).alias("n"))
-        named = _with(assigned, low, [G, "m"], most, cfg)
-        after = stage(named.select(G, "v", "p", "out", F.col("low").alias("m"), F.col("low").alias("m_prev")), "nodes")
-        release(nodes, *tops)
+            assigned = _renamed(assigned, t.select(G, F.col("v").alias("m"), F.col("m").alias("new")), run)
+        low = assigned.groupBy(G, "m").agg(F.min("v").alias("new"))
+        after = stage(_renamed(assigned, low, run), "nodes")
         # a pass that merged nothing above the nodes judged the nodes last
         changed = len(tops) > 1 and _differs(before, after)
-        release(*([] if before is base else [before]))
+        release(*[x for x in (before, nodes, *tops) if x is not base])
         before = after
         if not changed:
             break

@@ -1,5 +1,6 @@
 """Registered queries: one per operator of the inventory.  Each takes
-``(spark, sf_dir)`` and returns a lazy DataFrame over the whole tables;
+``(spark, sf_dir)`` and returns a DataFrame over the whole tables (jobs that
+stage tables run when called);
 :data:`ORACLE` holds the DuckDB statement for those that SQL can express."""
 
 from __future__ import annotations
@@ -80,8 +81,8 @@ def q_passthrough_nodes(spark, sf_dir):
 # ------------------------------------------------------------ flow, objective
 
 from ..operators.flow import undirdir_flow  # noqa: E402
-from ..operators.objective import codelength  # noqa: E402
-from .oracle import NETWORK_FLOW, VIEWS, WITHIN_FLOW, codelength_sql  # noqa: E402
+from ..operators.objective import codelength, hierarchical_codelength, one_module_codelength  # noqa: E402
+from .oracle import NETWORK_FLOW, VIEWS, WITHIN_FLOW, codelength_sql, hierarchical_sql  # noqa: E402
 
 
 def within_flow(spark, sf_dir):
@@ -137,6 +138,27 @@ def q_codelength(spark, sf_dir):
     return _rounded(codelength(nf, lf, asg))
 
 
+#: Three levels of modules inside a cluster, of uneven depth: brand, type, then
+#: size; parts of size 1 and 30 sit under the brand.
+ATTRIBUTE_PATHS = """SELECT cl_top AS g, k.node_id, CASE WHEN p_size IN (1, 30) THEN [p_brand]
+  ELSE [p_brand, p_brand || ':' || p_type, p_brand || ':' || p_type || ':' || (p_size % 3)] END AS inside
+FROM kept_members k JOIN part p ON k.node_id = p.p_partkey"""
+
+
+@register("hierarchical_codelength", f"WITH {VIEWS}{WITHIN_FLOW}" + hierarchical_sql(ATTRIBUTE_PATHS, "g AS cl_top"))
+def q_hierarchical_codelength(spark, sf_dir):
+    """Codelength of a hierarchy of part attributes in each kept cluster."""
+    km, flows = within_flow(spark, sf_dir)
+    nf, lf = (stage(x, "within_flow") for x in flows)
+    size, node = (F.col("p_size") % 3).cast("string"), F.col("p_partkey").cast("string")
+    part = T.table(spark, sf_dir, "part").select(
+        F.col("p_partkey").alias("node_id"),
+        F.when(F.col("p_size").isin(1, 30), F.concat_ws(":", "p_brand", node))
+        .otherwise(F.concat_ws(":", "p_brand", "p_type", size, node)).alias("path"))
+    out = hierarchical_codelength(nf, lf, km.select("cl_top", "node_id").join(part, "node_id"), ["cl_top"])
+    return out.withColumn("codelength", F.round("codelength", 9))
+
+
 # ------------------------------------------------------- partition, refine
 
 from ..operators.hierarchy import refine_clusters  # noqa: E402
@@ -156,12 +178,35 @@ def q_refine_clusters(spark, sf_dir):
     return refine_clusters(km, M.within_cluster_edges(edges, km))
 
 
-@register("final_assignment", with_views("""
+@register("final_assignment")
+def q_final_assignment(spark, sf_dir):
+    """Union of refined and pass-through rows, with a status column."""
+    return P.hierarchical_communities(
+        T.vertices(spark, sf_dir), T.edges(spark, sf_dir), T.tree(spark, sf_dir),
+        MIN_SIZE, MAX_SIZE, with_status=True)
+
+
+@register("refine_status", with_views("""
+SELECT cl_top, 'ok' AS status, CAST(count(*) AS BIGINT) AS n FROM kept_members GROUP BY cl_top"""))
+def q_refine_status(spark, sf_dir):
+    """Per kept cluster: status of its refinement and node count."""
+    return q_refine_clusters(spark, sf_dir).groupBy("cl_top", "status").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("refined_with_flow")
+def q_refined_with_flow(spark, sf_dir):
+    """Refined paths with the whole-network flow attached (left join)."""
+    _, _, km, edges = network(spark, sf_dir)
+    refined = refine_clusters(km, M.within_cluster_edges(edges, km))
+    return refined.join(km.select("node_id", "flow"), "node_id", "left")
+
+
+@register("final_assignment_heads", with_views("""
 SELECT m.node_id, m.node_name, m.cl_top, round(m.flow, 9) AS flow,
        CASE WHEN k.node_id IS NULL THEN 'passthrough' ELSE 'ok' END AS status,
        CASE WHEN k.node_id IS NULL THEN m.cl END AS old_path, m.cl_top AS path_head
 FROM members m LEFT JOIN kept_members k ON m.node_id = k.node_id"""))
-def q_final_assignment(spark, sf_dir):
+def q_final_assignment_heads(spark, sf_dir):
     """Union of refined and pass-through rows: each node once with its name,
     cluster, flow and status; pass-through paths unchanged, path head = cluster."""
     out = P.hierarchical_communities(
@@ -180,6 +225,25 @@ def q_hierarchical_communities(spark, sf_dir):
         MIN_SIZE, MAX_SIZE)
 
 
+def _no_worse(refined, links, nodes):
+    """``(cl_top, no_worse)``: whether the hierarchy that refinement found in
+    a cluster has a codelength of at most the cluster as one module."""
+    nf, lf = (stage(x, "within_flow") for x in undirdir_flow(links, ["cl_top"], nodes=nodes.select("cl_top", "node_id")))
+    inside = refined.select("cl_top", "node_id", F.expr("substring(cl, instr(cl, ':') + 1)").alias("path"))
+    found = hierarchical_codelength(nf, lf, inside, ["cl_top"]).select("cl_top", "codelength")
+    one = one_module_codelength(nf, ["cl_top"]).select("cl_top", F.col("codelength").alias("one"))
+    return found.join(one, "cl_top").select("cl_top", (F.col("codelength") <= F.col("one") + 1e-9).alias("no_worse"))
+
+
+@register("refined_codelength", with_views("SELECT DISTINCT cl_top, true AS no_worse FROM kept_members"))
+def q_refined_codelength(spark, sf_dir):
+    """Quality of the refinement of every kept cluster, by the hierarchical codelength."""
+    _, _, km, edges = network(spark, sf_dir)
+    km = stage(km, "kept_members")
+    within = stage(M.within_cluster_edges(edges, km), "within")
+    return _no_worse(refine_clusters(km, within), within, km)
+
+
 @register("cluster_network")
 def q_cluster_network(spark, sf_dir):
     """Network only: two-level partition, then refinement of its clusters."""
@@ -413,7 +477,7 @@ def q_cluster_file_names(spark, sf_dir):
 # Each query writes data derived from the driver tables into the shared
 # staging folder with the library's writer and reads it back with its reader.
 
-from ..session import staging_path  # noqa: E402
+from ..session import stage, staging_path  # noqa: E402
 from ..sources import pajek as PJ  # noqa: E402
 from ..sources import text as TX  # noqa: E402
 
@@ -586,15 +650,10 @@ def _bin_tree_files(spark, sf_dir):
         "path", "name")
 
 
-@register("trees_per_bin", BINS_SQL + """
-SELECT lpad(CAST(bin AS VARCHAR), 4, '0') AS bin, CAST(1 AS BIGINT) AS n_files FROM bins WHERE bin % 3 = 0 GROUP BY bin""")
+@register("trees_per_bin", BINS_SQL + "\nSELECT lpad(CAST(bin AS VARCHAR), 4, '0') AS bin, CAST(1 AS BIGINT) AS n_files FROM bins GROUP BY bin")
 def q_trees_per_bin(spark, sf_dir):
-    """Bins with exactly one tree file; of every three bins one has a file,
-    one has two and one has none."""
-    files = _bin_tree_files(spark, sf_dir).select("bin", "file")
-    number = F.col("bin").cast("long") % 3
-    second = files.where(number == 1).withColumn("file", F.concat("file", F.lit(".second")))
-    return O.single_file_bins(files.where(number < 2).unionByName(second))
+    """Bins with exactly one tree file."""
+    return O.single_file_bins(_bin_tree_files(spark, sf_dir).select("bin", "file"))
 
 
 @register("largest_node_lists", with_views("""
@@ -660,10 +719,8 @@ def q_trim_result(spark, sf_dir):
     return P.trim_result(_finalized(spark, sf_dir)).withColumn("flow", F.round("flow", 9))
 
 
-@register("refine_by_bin")
-def q_refine_by_bin(spark, sf_dir):
-    """Hierarchical refinement of each bin's combined within-cluster network:
-    ``(node_id, bin, cl, status)`` - the group key is the bin."""
+def _bin_network(spark, sf_dir):
+    """Nodes and links of each bin's combined within-cluster network."""
     members = q_members(spark, sf_dir)
     bins = _bins(spark, sf_dir)
     nodes = members.join(bins.select("cl_top", "bin"), "cl_top").select(
@@ -671,10 +728,24 @@ def q_refine_by_bin(spark, sf_dir):
     same = M.same_cluster_edges(M.edge_clusters(T.edges(spark, sf_dir), members))
     links = same.join(bins.select(F.col("cl_top").alias("cl_out"), "bin"), "cl_out").select(
         "source", "target", F.col("bin").cast("string").alias("cl_top"))
-    out = refine_clusters(nodes, links)
+    return nodes, links
+
+
+@register("refine_by_bin")
+def q_refine_by_bin(spark, sf_dir):
+    """Hierarchical refinement of each bin's combined within-cluster network:
+    ``(node_id, bin, cl, status)`` - the group key is the bin."""
+    out = refine_clusters(*_bin_network(spark, sf_dir))
     return out.select("node_id", F.col("cl_top").alias("bin"), "cl", "status")
 
 
+@register("bin_codelength", BINS_SQL + "\nSELECT DISTINCT CAST(bin AS VARCHAR) AS cl_top, true AS no_worse FROM bins")
+def q_bin_codelength(spark, sf_dir):
+    """Quality of the refinement of every bin, by the hierarchical codelength."""
+    nodes, links = (stage(x, "bin_network") for x in _bin_network(spark, sf_dir))
+    return _no_worse(refine_clusters(nodes, links), links, nodes)
+
+
 # ------------------------------------- partition jobs on a network of known
 # optimum: cliques of five parts in rings of three (sources.tables)
 
@@ -716,11 +787,11 @@ def q_refine_cliques(spark, sf_dir):
     return refine_clusters(*_rings(spark, sf_dir))
 
 
-@register("refine_status", f"""WITH {CLIQUES}
+@register("refine_status_cliques", f"""WITH {CLIQUES}
 SELECT CAST(ring AS VARCHAR) AS cl_top, CASE WHEN (ring // 15) % {BROKEN_RING} = 0 THEN 'failed' ELSE 'ok' END AS status,
        CAST(count(*) AS BIGINT) AS n
 FROM cp GROUP BY ring""")
-def q_refine_status(spark, sf_dir):
+def q_refine_status_cliques(spark, sf_dir):
     """Status per cluster; every fourth ring has a link of negative weight and fails."""
     parts, within = _rings(spark, sf_dir)
     ring = F.floor(F.col("source") / (T.CLIQUE * T.RING))
@@ -729,11 +800,11 @@ def q_refine_status(spark, sf_dir):
     return refine_clusters(parts, bad).groupBy("cl_top", "status").agg(F.count(F.lit(1)).alias("n"))
 
 
-@register("refined_with_flow", f"""WITH {CLIQUES}
+@register("refined_with_flow_cliques", f"""WITH {CLIQUES}
 SELECT node_id, CAST(ring AS VARCHAR) || ':' || CAST((clique - ring) // 5 + 1 AS VARCHAR) || ':' || CAST(node_id - clique + 1 AS VARCHAR) AS cl,
        round(p_retailprice / sum(p_retailprice) OVER (), 9) AS flow
 FROM cp JOIN part ON p_partkey = node_id""")
-def q_refined_with_flow(spark, sf_dir):
+def q_refined_with_flow_cliques(spark, sf_dir):
     """Refined paths with a flow of the whole network attached (left join)."""
     refined = q_refine_cliques(spark, sf_dir)
     ids = T.clique_parts(spark, sf_dir).select("node_id")

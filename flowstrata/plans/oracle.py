@@ -110,3 +110,23 @@ per AS (SELECT g, sum(q_m) AS exit_flow, sum({plogp('q_m')}) AS s_q, sum({plogp(
 SELECT {sel}round({plogp('p.exit_flow')} - 2 * p.s_q - h.h_nodes + p.s_qp, 9) AS codelength,
        p.num_modules, round(p.exit_flow, 9) AS exit_flow
 FROM per p JOIN hp h ON p.g = h.g"""
+
+
+def hierarchical_sql(paths: str, group_out: str) -> str:
+    """Hierarchical codelength per group for ``paths (g, node_id, inside)``,
+    ``inside`` the list of the modules of a node from the top down."""
+    return f""",
+placed AS ({paths}),
+hn AS (SELECT n.g, n.flow, p.inside, coalesce(p.inside[-1], '') AS parent FROM node_flow n JOIN placed p ON n.g = p.g AND n.node_id = p.node_id),
+hq AS (
+  SELECT g, module, sum(flow) AS q FROM (
+    SELECT l.g, l.flow, unnest(list_filter(a.inside, lambda x: NOT list_contains(b.inside, x))) AS module
+    FROM link_flow l JOIN placed a ON l.g = a.g AND l.source = a.node_id JOIN placed b ON l.g = b.g AND l.target = b.node_id) GROUP BY 1, 2),
+hm AS (SELECT m.g, m.module, coalesce(q, 0) AS q FROM (SELECT DISTINCT g, unnest(inside) AS module FROM hn) m
+       LEFT JOIN hq ON m.g = hq.g AND m.module = hq.module),
+hu AS (SELECT g, module, sum(u) AS u, sum({plogp('u')}) AS h FROM (
+         SELECT g, regexp_replace(module, ':?[^:]*$', '') AS module, q AS u FROM hm UNION ALL SELECT g, parent, flow FROM hn) GROUP BY 1, 2),
+hp2 AS (SELECT hu.g, hu.module, u, h, coalesce(q, 0) AS q FROM hu LEFT JOIN hm ON hu.g = hm.g AND hu.module = hm.module)
+SELECT {group_out}, round(sum({plogp('q + u')} - {plogp('q')} - h), 9) AS codelength, CAST(count(*) - 1 AS BIGINT) AS num_modules,
+       CAST(max(CASE WHEN module = '' THEN 0 ELSE len(string_split(module, ':')) END) AS INTEGER) AS depth
+FROM hp2 GROUP BY g"""

@@ -67,3 +67,9 @@ def test_cluster_rank_and_top(spark):
     assert [(r.cl_top, r.rank) for r in O.cluster_rank(df).orderBy("rank").collect()] == [
         ("b", 1), ("a", 2), ("c", 3)]
     assert [r.cl_top for r in O.top_clusters(df, 2).collect()] == ["b", "a"]
+
+
+def test_bins_with_one_file(spark):
+    """A bin without a file is unknown, one with two is left out."""
+    files = spark.createDataFrame([("0001", "a"), ("0001", "a"), ("0002", "b"), ("0002", "c"), ("0004", "d")], "bin string, file string")
+    assert sorted((r["bin"], r["n_files"]) for r in O.single_file_bins(files).collect()) == [("0001", 1), ("0004", 1)]
