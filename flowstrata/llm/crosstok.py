@@ -10,10 +10,10 @@ the pointer whose token ends first (both at a cut), and drops finished
 documents from the vector.  A document of n_a and n_b tokens takes fewer than
 n_a + n_b steps and has one link a step.
 
-Encoding: merges never cross a blank between two other characters, so a text
-is cut there and the pieces are looked up in a bounded memo per worker; new
-pieces go to the tokenizers.  If the piece vocabulary had an entry that spans
-such a blank, texts would be encoded whole.
+Encoding: merges never cross a blank between two other characters, nor a line
+end there, so a text is cut at both and the pieces are looked up in a bounded
+memo per worker; new pieces go to the tokenizers.  If the piece vocabulary had
+an entry that spans such a place, texts would not be cut there.
 
 Corpus counts: each document's distinct id pairs are staged as packed numbers
 (at most one a link); tasks add them up before the shuffle, then Spark sums
@@ -45,9 +45,10 @@ from .common import worker_cached
 
 BROADCAST_PAIRS = 1_000_000  # most frequent id pairs that are broadcast
 PAIR_BITS = 32  # a pair is A's id * 2^32 + B's id
-_GROUP_BYTES, _MEMO_PIECES, _MEMO_CHARS, _FLUSH_PAIRS = 1 << 20, 200_000, 40, 1 << 18
+_GROUP_BYTES, _MEMO_PIECES, _MEMO_CHARS, _FLUSH_PAIRS = 1 << 20, 500_000, 40, 1 << 18
 _BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000"}  # rows hold whole texts and their links
 _BLANK = "▁"  # sentencepiece's mark of a space
+_LINE = "\n"  # begins a piece that follows a line end in place of a blank
 _INNER_BLANK = re.compile(r"(?<=\S) (?=\S)")
 _OTHER_SPACE = re.compile(r"\s\s|^\s|\s$")
 
@@ -82,6 +83,8 @@ class Pair:
             self.b_bytes.append(bytes([int(piece[3:5], 16)]) if self.b.is_byte(i)
                                 else piece.replace(_BLANK, " ").encode())
         self.cut = not inner
+        # a line end is only ever a byte piece, so what follows it is encoded alike after any text
+        self.lines = self.cut and not any(b"\n" in x and len(x) > 1 for x in self.b_bytes)
         self.a_len = np.array([len(x) for x in self.a_bytes], np.int64)
         self.b_len = np.array([len(x) for x in self.b_bytes], np.int64)
         # decimal ids with what may follow them: ',' inside a group, '|' or ';' at its end
@@ -89,38 +92,46 @@ class Pair:
                                for i in range(n) for e in (",", end)], object)
         self.memo: dict[str, tuple[bytes, bytes, bool]] = {}
 
-    def _new(self, pieces: list[str]) -> dict[str, tuple[bytes, bytes, bool]]:
+    def _new(self, pieces: list) -> dict:
         out = {}
         for at in range(0, len(pieces), 2048):
             part = pieces[at:at + 2048]
-            a = self.a.encode_batch_fast([" " + p for p in part], add_special_tokens=False)
-            b = self.b.encode(part, num_threads=1)
-            for p, x, y in zip(part, a, b):
-                x, raw = x.ids, (" " + p).encode()
+            plain = [p if isinstance(p, str) else p[0] for p in part]
+            line = [isinstance(p, str) and p.startswith(_LINE) for p in part]
+            a = self.a.encode_batch_fast([p if x else " " + p for p, x in zip(plain, line)], add_special_tokens=False)
+            b = self.b.encode(plain, num_threads=1)
+            for p, text, after, x, y in zip(part, plain, line, a, b):
+                x, y = x.ids, y[1:] if after else y  # the blank that B puts in front is not there after a line end
+                raw = (text if after else " " + text).encode()
                 whole = (b"".join([self.a_bytes[i] for i in x]) == raw and b"".join([self.b_bytes[i] for i in y]) == raw)
                 out[p] = (np.array(x, "<u4").tobytes(), np.array(y, "<u4").tobytes(), whole)
         known = self.memo
         if len(known) < _MEMO_PIECES:
-            known.update((p, x) for p, x in out.items() if len(p) <= _MEMO_CHARS)
+            known.update((p, x) for p, x in out.items() if isinstance(p, str) and len(p) <= _MEMO_CHARS)
         return out
 
+    def _pieces(self, text: str) -> list:
+        if not text or not self.cut:
+            return [(text,)] if text else []
+        if not _OTHER_SPACE.search(text):
+            return (text.replace(_LINE, " " + _LINE) if self.lines else text).split(" ")
+        first, *rest = _INNER_BLANK.split(text)
+        return [(first,), *rest]  # may begin with a line end of its own
+
     def encode(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
         """Ids of A and B per text; empty arrays if the bytes do not come back."""
-        if not self.cut:
-            cut = [[t] if t else [] for t in texts]
-        else:
-            cut = [[] if not t else t.split(" ") if not _OTHER_SPACE.search(t) else _INNER_BLANK.split(t) for t in texts]
+        cut = [self._pieces(t) for t in texts]
         known = self.memo.get
         found = [list(map(known, c)) for c in cut]
         new = self._new(list({p for c, f in zip(cut, found) if None in f for p, x in zip(c, f) if x is None}))
         out = []
-        for c, f in zip(cut, found):
+        for t, c, f in zip(texts, cut, found):
             if None in f:
                 f = [new[p] if x is None else x for p, x in zip(c, f)]
             a = np.frombuffer(b"".join([x[0] for x in f]), "<u4").astype(np.int64)
             b = np.frombuffer(b"".join([x[1] for x in f]), "<u4").astype(np.int64)
             if not all([x[2] for x in f]):
-                raw = (" " + " ".join(c)).encode()
+                raw = (" " + t).encode()
                 if (b"".join([self.a_bytes[i] for i in a.tolist()]) != raw
                         or b"".join([self.b_bytes[i] for i in b.tolist()]) != raw):
                     a = b = a[:0]

@@ -77,6 +77,8 @@ def test_pieces_give_the_ids_of_whole_texts(pair):
     rng = random.Random(3)
     space = [chr(c) for c in range(0x3001) if chr(c).isspace()]
     alphabet = ["a", "The", "é", "漢", "'s", "9", "<s>", ".", "▁", "​", *space, *[" "] * 30]
-    texts = ["".join(rng.choice(alphabet) for _ in range(rng.randint(1, 40))) for _ in range(3000)]
+    lines = ["", "\n", "a\n", "\na", "a\nb", "\x00", "a\x00b\nc", "The end.\nThe fox's\n9 é\n漢", "a \nb", "a\n b", "a\n\nb", "x\n▁y\n z"]
+    texts = lines + ["\n".join(["The", "a.", "é'll", "9,"][rng.randrange(4)] + rng.choice(["", " ok", " 漢"]) for _ in range(6)) for _ in range(300)]
+    texts += ["".join(rng.choice(alphabet) for _ in range(rng.randint(1, 40))) for _ in range(3000)]
     for text, (a, b) in zip(texts, pair.encode(texts)):
         assert (a.tolist(), b.tolist()) == tuple(map(list, tokens(pair, text)))
