@@ -333,17 +333,9 @@ UNION ALL SELECT 'kept_members', count(*) FROM kept_members
 UNION ALL SELECT 'within_cluster_edges', count(*) FROM within
 UNION ALL SELECT 'passthrough_nodes', count(*) FROM members WHERE node_id NOT IN (SELECT node_id FROM kept_members)"""))
 def q_pipeline_counts(spark, sf_dir):
-    members, kept, km, edges = network(spark, sf_dir)
-    stages = {"vertices": T.vertices(spark, sf_dir), "edges": edges, "members": members,
-              "kept_clusters": kept, "kept_members": km,
-              "within_cluster_edges": M.within_cluster_edges(edges, km),
-              "passthrough_nodes": M.passthrough_nodes(members, kept)}
-    parts = [df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(k).alias("stage"), "n")
-             for k, df in stages.items()]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    """Rows of every stage before refinement, counted while they are written."""
+    _, counts = P.counted_network(T.vertices(spark, sf_dir), T.edges(spark, sf_dir), T.tree(spark, sf_dir), MIN_SIZE, MAX_SIZE)
+    return spark.createDataFrame(list(counts.items()), "stage string, n long")
 
 
 @register("duplicate_names", with_views("""

@@ -23,7 +23,7 @@ from ..operators import membership as M
 from ..operators.flow import undirdir_flow
 from ..operators.hierarchy import RefineConfig, refine_clusters
 from ..operators.moves import MoveConfig, two_level_partition
-from ..session import stage, staging_area
+from ..session import counted_stage, stage, staging_area
 from ..sources.pajek import read_pajek
 from ..sources.text import read_tree, write_result
 
@@ -37,6 +37,26 @@ def chosen_links(edges: DataFrame, weighted: bool = True, self_links: bool = Tru
     return out if self_links else out.where(F.col("source") != F.col("target"))
 
 
+def counted_network(vertices: DataFrame, edges: DataFrame, tree: DataFrame, min_size: int = 10,
+                    max_size: int | None = None) -> tuple[dict[str, DataFrame], dict[str, int]]:
+    """The tables that refinement works on, each written once and built from
+    the written ones before it, and how many rows each has, counted in
+    passing."""
+    counts: dict[str, int] = {}
+    out: dict[str, DataFrame] = {}
+
+    def keep(name: str, df: DataFrame) -> DataFrame:
+        out[name] = counted_stage(df, name, counts)
+        return out[name]
+    vertices, edges = keep("vertices", vertices), keep("edges", edges)
+    members = keep("members", M.members(tree, vertices))
+    kept = keep("kept_clusters", M.cluster_size_filter(M.cluster_sizes(members), min_size, max_size))
+    km = keep("kept_members", M.kept_members(members, kept))
+    keep("within_cluster_edges", M.within_cluster_edges(edges, km))
+    keep("passthrough_nodes", M.passthrough_nodes(members, kept))
+    return out, counts
+
+
 def communities_of_members(members: DataFrame, edges: DataFrame, min_size: int = 10,
                            max_size: int | None = None, config: RefineConfig | None = None,
                            with_status: bool = False) -> DataFrame:

@@ -11,7 +11,8 @@ from __future__ import annotations
 import os
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
@@ -75,6 +76,15 @@ def stage(df: DataFrame, name: str = "stage") -> DataFrame:
     return out
 
 
+def counted_stage(df: DataFrame, name: str, counts: dict[str, int]) -> DataFrame:
+    """:func:`stage` that notes the number of rows in ``counts[name]``, seen
+    while they are written (no second pass)."""
+    seen = Observation(f"{name}-{uuid.uuid4().hex[:8]}")
+    out = stage(df.observe(seen, F.count(F.lit(1)).alias("n")), name)
+    counts[name] = seen.get["n"]
+    return out
+
+
 def delete_path(spark: SparkSession, path: str) -> None:
     """Remove a staged table through the file system of the staging folder."""
     hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
