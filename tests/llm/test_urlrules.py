@@ -64,3 +64,12 @@ def test_rarest_token():
 def test_empty(pages):
     assert judge_urls(pages.where("false")).count() == 0
     assert {r["pattern"] for r in judge_urls(pages, pattern_rules=()).collect()} == {None}
+
+
+def test_null_ids_and_very_long_urls(spark):
+    long_url = "http://a.net/" + "x/" * 200_000 + "online/casino/?q=" + "y" * 100_000
+    rows = [(None, "http://pornhub.tube.net/x"), (None, None), (1, long_url), (1, long_url), (2, "http://" + "sub." * 50_000 + "example.org/es/1")]
+    got = judge_urls(spark.createDataFrame(rows, "page_id long, url string")).collect()
+    assert len(got) == 5 and sum(r["page_id"] is None for r in got) == 2
+    assert {r["rule"] for r in got if r["page_id"] == 2} == {"example.org/es/"}
+    assert {(len(r["path"]), r["pattern"]) for r in got if r["page_id"] == 1} == {(len(long_url.split("?")[0]) - len("http://a.net"), brute(long_url))}
