@@ -42,7 +42,7 @@ BITS, PER_CLASS, FACTORS, STEPS = 22, 4000, 6, 400
 LEAST_ROWS, LEAST_Z, FULL_Z = 2, 3.0, 5.0  # evidence of a single term
 WINDOW, PAIR_ROWS, PAIR_Z = 16, 12, 6.0  # evidence of a pair of words
 RIDGE_W, RIDGE_V = 1e-4, 1e-4
-_PAIR_BITS, _PAIR_CHUNK = 22, 2_000_000
+_PAIR_BITS, _PAIR_CHUNK = 20, 250_000
 _NO_SIGN = -1e-6  # largest log-odds of a text without a term
 _MEMO_ENTRIES = 400_000
 
@@ -161,10 +161,10 @@ def fit(terms: list[np.ndarray], labels: np.ndarray, order: list[np.ndarray] | N
         z = 35.0 if pos else -35.0
         return Model({}, z, np.zeros(0), np.zeros((0, factors)))
     flat = np.concatenate(terms) if terms else np.zeros(0, np.int32)
-    owner = np.repeat(np.arange(len(terms)), [len(t) for t in terms])
-    buckets, inv = np.unique(flat, return_inverse=True)
-    n1 = np.bincount(inv, weights=labels[owner], minlength=len(buckets))
-    rows = np.bincount(inv, minlength=len(buckets))
+    owner = np.repeat(np.arange(len(terms), dtype=np.int32), [len(t) for t in terms])
+    rows, n1 = (np.bincount(flat, w, 1 << BITS) for w in (None, labels[owner]))
+    buckets = np.flatnonzero(rows)
+    rows, n1 = rows[buckets], n1[buckets]
     share = rows / len(labels)
     z = (np.abs(n1 / pos - (rows - n1) / neg)
          / np.sqrt(np.maximum(share * (1 - share), 1e-9) * (1 / pos + 1 / neg)))
@@ -172,11 +172,13 @@ def fit(terms: list[np.ndarray], labels: np.ndarray, order: list[np.ndarray] | N
     paired = np.isin(buckets, pairs)
     chosen = np.flatnonzero(((z >= LEAST_Z) & (rows >= LEAST_ROWS)) | paired)
     scale = np.where(paired[chosen], 1.0, np.minimum(1.0, z[chosen] / FULL_Z)).astype(np.float32)
-    column = np.full(len(buckets), -1, np.int64)
-    column[chosen] = np.arange(len(chosen))
+    column = np.full(1 << BITS, -1, np.int32)
+    column[buckets[chosen]] = np.arange(len(chosen))
     x = np.zeros((len(labels), len(chosen)), np.float32)
-    hit = column[inv] >= 0
-    x[owner[hit], column[inv][hit]] = scale[column[inv][hit]]
+    at = column[flat]
+    hit = at >= 0
+    x[owner[hit], at[hit]] = scale[at[hit]]
+    del flat, owner, at, hit, column
     strong = np.flatnonzero(scale >= 1)  # only these pair up
     pairing = x[:, strong]
     rng = np.random.default_rng(seed)
@@ -221,9 +223,11 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS,
         document_terms(t), word_order(t)), "binary")
     found = (docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id")
              .select("doc_id", "toxic", order("text").alias("v")))
-    rows = sorted((r["doc_id"], bytes(r["v"])) for r in bounded_sample(found, "toxic").collect())
-    both = [(np.frombuffer(v, np.int32, offset=4), int.from_bytes(v[:4], "little")) for _, v in rows]
-    return fit([a[:n] for a, n in both], np.array([wanted[i] for i, _ in rows]), [a[n:] for a, n in both])
+    sample = bounded_sample(found, "toxic").toArrow().combine_chunks().sort_by("doc_id")
+    held = [np.frombuffer(v.as_buffer(), np.int32) for v in sample.column("v")]
+    both = [(v[1:], int(v[0])) for v in held]
+    return fit([a[:n] for a, n in both], np.array([wanted[i] for i in sample.column("doc_id").to_pylist()]),
+               [a[n:] for a, n in both])
 
 
 def score_column(model: Model, text: Column) -> Column:
