@@ -559,6 +559,37 @@ def q_write_result_roundtrip(spark, sf_dir):
     return r.withColumn("flow", F.round("flow", 9))
 
 
+@register("sorted_result_file", with_views("""
+SELECT row_number() OVER (ORDER BY node_id, cl) + 1 AS line, node_id, node_name, cl, cl_top FROM members"""))
+def q_sorted_result_file(spark, sf_dir):
+    """One sorted TSV file with one header joined from range-sorted parts;
+    each row with its line in the file (the header is line 1)."""
+    path = staging_path(spark, "single_result")
+    rows = q_members(spark, sf_dir).select("node_id", "node_name", "cl", "cl_top")
+    TX.write_result(rows, path, single_file=True, sort_by=["node_id", "cl"])
+    lines = TX.numbered_lines(spark, path)
+    cells = F.from_csv("value", "node_id BIGINT, node_name STRING, cl STRING, cl_top STRING", {"sep": "\t"})
+    return lines.where("line > 1").select("line", cells.alias("r")).select("line", "r.*")
+
+
+@register("pajek_bad_lines", with_views("""
+SELECT 'v' AS section, 'x' || CAST(node_id AS VARCHAR) || ' "' || node_name || '"' AS line FROM members
+UNION ALL SELECT 'e', CAST(source AS VARCHAR) || ' to ' || CAST(target AS VARCHAR) FROM edges"""))
+def q_pajek_bad_lines(spark, sf_dir):
+    """A network written with a broken line beside every good one; the lines
+    the reader could not use, written as a side output and read back."""
+    members, edges = q_members(spark, sf_dir), T.edges(spark, sf_dir)
+    net, bad = staging_path(spark, "broken_net"), staging_path(spark, "bad_lines")
+    good = PJ.pajek_lines(members.select("node_id", "node_name"), edges.select("source", "target"))
+    broken = (members.select(F.lit(0).alias("sec"), F.col("node_id").alias("k1"), F.lit(1).cast("long").alias("k2"),
+                             F.format_string('x%d "%s"', "node_id", "node_name").alias("value"))
+              .union(edges.select(F.lit(1), "source", "target", F.format_string("%d to %d", "source", "target"))))
+    (good.unionByName(broken).repartitionByRange("sec", "k1", "k2").sortWithinPartitions("sec", "k1", "k2")
+     .select("value").write.text(net))
+    TX.write_bad_lines(PJ.read_pajek(spark, net).bad, bad)
+    return TX.read_bad_lines(spark, bad)
+
+
 @register("read_results", with_views(
     "SELECT CAST(node_id AS VARCHAR) AS node_id, node_name, cl, cl_top FROM members"))
 def q_read_results(spark, sf_dir):

@@ -24,8 +24,9 @@ from ..operators.flow import undirdir_flow
 from ..operators.hierarchy import RefineConfig, refine_clusters
 from ..operators.moves import MoveConfig, two_level_partition
 from ..session import counted_stage, stage, staging_area
+from ..sources.manifest import build_or_reuse, fingerprint
 from ..sources.pajek import read_pajek
-from ..sources.text import read_tree, write_result
+from ..sources.text import read_results, read_tree, write_bad_lines, write_result
 
 RESULT_COLUMNS = ["node_id", "node_name", "cl", "cl_top", "flow"]
 
@@ -123,27 +124,60 @@ def cluster_network(vertices: DataFrame, edges: DataFrame, min_size: int = 10,
     return communities_of_members(members, edges, min_size, max_size, cfg)
 
 
+USE_EXISTING = "use_existing"  # mode: a finished output of the same inputs is taken as it is
+
+
+def _from_files(spark: SparkSession, inputs: list[str], out: str, mode: str, parameters: dict, job) -> bool:
+    """Write the result of ``job()`` (result, bad lines) to ``out`` and the
+    lines the reader could not use to ``<out>.bad``.  True if it was built."""
+    def write(how: str) -> int:
+        with staging_area():
+            counts: dict[str, int] = {}
+            result, bad = job()
+            result = counted_stage(result, "result", counts)
+            write_result(result, out, how)
+            write_bad_lines(bad, bad_path(out), how)
+        return counts["result"]
+    if mode != USE_EXISTING:
+        write(mode)
+        return True
+    return build_or_reuse(spark, out, fingerprint(spark, inputs, parameters), lambda: write("overwrite"),
+                          lambda: read_results(spark, out).count())
+
+
+def bad_path(out: str) -> str:
+    """Where a job from files leaves the lines it could not read."""
+    return out.rstrip("/") + ".bad"
+
+
 def communities_from_files(spark: SparkSession, network: str, tree: str, out: str,
                            min_size: int = 10, max_size: int | None = None, weighted: bool = True,
                            self_links: bool = True, mode: str = "errorifexists",
-                           config: RefineConfig | None = None) -> None:
-    """Pajek network and tree file -> sorted TSV result."""
-    with staging_area():
+                           config: RefineConfig | None = None) -> bool:
+    """Pajek network and tree file -> sorted TSV result, and the network's bad
+    lines next to it.  ``mode`` is a save mode or ``use_existing``: a finished
+    output of the same files and parameters is reused, a half-written or stale
+    one built again.  True if the result was built."""
+    def job():
         net = read_pajek(spark, network)
-        result = hierarchical_communities(net.vertices, chosen_links(net.edges, weighted, self_links),
-                                          read_tree(spark, tree), min_size, max_size, config)
-        write_result(result, out, mode)
+        return hierarchical_communities(net.vertices, chosen_links(net.edges, weighted, self_links),
+                                        read_tree(spark, tree), min_size, max_size, config), net.bad
+    return _from_files(spark, [network, tree], out, mode,
+                       {"job": "communities", "bounds": [min_size, max_size], "links": [weighted, self_links],
+                        "config": config}, job)
 
 
 def cluster_network_file(spark: SparkSession, network: str, out: str, min_size: int = 10,
                          max_size: int | None = None, weighted: bool = True, self_links: bool = True,
-                         mode: str = "errorifexists", config: RefineConfig | None = None) -> None:
-    """Pajek network -> sorted TSV result."""
-    with staging_area():
+                         mode: str = "errorifexists", config: RefineConfig | None = None) -> bool:
+    """Pajek network -> sorted TSV result; bad lines and ``mode`` as above."""
+    def job():
         net = read_pajek(spark, network)
-        result = cluster_network(net.vertices, chosen_links(net.edges, weighted, self_links),
-                                 min_size, max_size, config)
-        write_result(result, out, mode)
+        return cluster_network(net.vertices, chosen_links(net.edges, weighted, self_links),
+                               min_size, max_size, config), net.bad
+    return _from_files(spark, [network], out, mode,
+                       {"job": "network", "bounds": [min_size, max_size], "links": [weighted, self_links],
+                        "config": config}, job)
 
 
 def finalize_paths(tree: DataFrame, sub_results: DataFrame, vertices: DataFrame) -> DataFrame:

@@ -8,15 +8,25 @@ every file of a directory in parallel; all writers keep Spark's save modes
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.joins import split_join
+from ..functions.ranking import consecutive_index
+from ..session import delete_path, staging_path
+from .manifest import exists
 
 # Fixed values of the tree file format.
 TREE_SCHEMA = "cl STRING, flow DOUBLE, node_name STRING"
 RESULT_COLUMNS = ["node_id", "node_name", "cl", "cl_top", "flow"]
 
+_CONCAT_SCHEMES = ("hdfs",)  # file systems that join files without copying
+_COPY_BYTES = 1 << 20
+# a line is kept as it is: quotes doubled, blanks at both ends kept
+_RAW_LINES = {"escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+
 
 # ------------------------------------------------------------------ readers
 
@@ -64,24 +74,104 @@ def write_tree(tree: DataFrame, path: str, mode: str = "errorifexists") -> None:
      .option("escapeQuotes", True).csv(path))
 
 
+def _sorted_ranges(df: DataFrame, sort_by: str | Sequence[str]) -> DataFrame:
+    keys = [sort_by] if isinstance(sort_by, str) else list(sort_by)
+    return df.repartitionByRange(*keys).sortWithinPartitions(*keys)
+
+
 def write_result(df: DataFrame, path: str, mode: str = "errorifexists",
-                 single_file: bool = False, sort_by: str = "node_id",
+                 single_file: bool = False, sort_by: str | Sequence[str] = "node_id",
                  fmt: str = "csv") -> None:
-    """Sorted result table.  Default: range-partitioned by ``sort_by`` and
-    sorted inside each part, so the parts in name order are globally sorted
-    (no single task).  ``single_file=True`` gathers the finished rows in one
-    sorted file, for small outputs only."""
-    if single_file:
-        out = df.repartition(1).sortWithinPartitions(sort_by)
-    else:
-        out = df.repartitionByRange(sort_by).sortWithinPartitions(sort_by)
-    w = out.write.mode(mode)
+    """Sorted result table: range-partitioned by ``sort_by`` and sorted inside
+    each part, so the parts in name order are globally sorted (no single
+    task).  ``single_file=True`` leaves one TSV file with one header in the
+    folder, made of the same parts by :func:`join_parts`."""
+    w = _sorted_ranges(df, sort_by).write.mode(mode)
     if fmt == "parquet":
+        if single_file:
+            raise ValueError("only text parts can be joined")
         w.parquet(path)
+    elif single_file:
+        there = delete_or_keep(df.sparkSession, path, mode)
+        if not there:
+            parts = staging_path(df.sparkSession, "result_parts")
+            _sorted_ranges(df, sort_by).write.option("sep", "\t").option("header", False).csv(parts)
+            join_parts(df.sparkSession, parts, f"{path.rstrip('/')}/part-00000.csv", "\t".join(df.columns) + "\n")
+            delete_path(df.sparkSession, parts)
     else:
         w.option("sep", "\t").option("header", True).csv(path)
 
 
+def delete_or_keep(spark: SparkSession, path: str, mode: str) -> bool:
+    """What a save mode says about an output that may exist: True if it
+    exists and stays (``ignore``); ``overwrite`` deletes it."""
+    if not exists(spark, path):
+        return False
+    if mode == "overwrite":
+        delete_path(spark, path)
+        return False
+    if mode == "ignore":
+        return True
+    raise FileExistsError(f"{path} exists already")
+
+
+def join_parts(spark: SparkSession, parts: str, target: str, header: str) -> None:
+    """``target``: the header and the part files of ``parts`` in name order,
+    byte after byte.  A file system that can concatenate files does it in its
+    name table (the parts are used up); elsewhere the bytes are streamed
+    through a small buffer.  No rows are parsed and no task holds them."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    folder, out = jvm.org.apache.hadoop.fs.Path(parts), jvm.org.apache.hadoop.fs.Path(target)
+    fs = out.getFileSystem(conf)
+    found = [f.getPath() for f in folder.getFileSystem(conf).listStatus(folder)
+             if f.getPath().getName().startswith("part-") and f.getLen() > 0]
+    found.sort(key=lambda f: f.getName())
+    stream = fs.create(out, False)
+    try:
+        stream.write(bytearray(header.encode()))
+    finally:
+        stream.close()
+    if not found:
+        return
+    if fs.getUri().getScheme() in _CONCAT_SCHEMES:
+        files = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Path, len(found))
+        for i, f in enumerate(found):
+            files[i] = f
+        fs.concat(out, files)
+        return
+    # no append on some file systems: header and parts go into one new stream
+    stream = fs.create(out, True)
+    try:
+        stream.write(bytearray(header.encode()))
+        for f in found:
+            part = f.getFileSystem(conf).open(f)
+            try:
+                jvm.org.apache.hadoop.io.IOUtils.copyBytes(part, stream, _COPY_BYTES, False)
+            finally:
+                part.close()
+    finally:
+        stream.close()
+
+
+def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
+    """``(line, value)``: the lines of one text file with their position from
+    1, header included, from its splits in order (no single task)."""
+    lines = spark.read.text(path).select(
+        "value", F.col("_metadata.file_block_start").alias("_block"), F.monotonically_increasing_id().alias("_row"))
+    return consecutive_index(lines, ["_block", "_row"], "line").select("line", "value")
+
+
+def write_bad_lines(bad: DataFrame, path: str, mode: str = "errorifexists") -> None:
+    """Lines that a reader could not use, as quoted ``section, line`` TSV."""
+    (bad.select("section", "line").write.mode(mode).option("sep", "\t").option("quoteAll", True)
+     .options(**_RAW_LINES).csv(path))
+
+
+def read_bad_lines(spark: SparkSession, path: str) -> DataFrame:
+    return (spark.read.option("sep", "\t").options(**_RAW_LINES)
+            .csv(path, schema="section STRING, line STRING"))
+
+
 def write_edgelist(edges: DataFrame, path: str, mode: str = "errorifexists",
                    sep: str = "\t") -> None:
     """Headerless edge list (first two columns)."""

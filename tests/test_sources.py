@@ -5,7 +5,9 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from flowstrata.plans import pipeline as P
 from flowstrata.session import staging_path
+from flowstrata.sources import manifest as MF
 from flowstrata.sources import pajek as PJ
 from flowstrata.sources import text as TX
 
@@ -105,3 +107,72 @@ def test_sorted_result_parts(spark):
         "node_id", F.input_file_name().alias("f"), F.monotonically_increasing_id().alias("i")).collect()
     ids = [r.node_id for r in sorted(back, key=lambda r: (r.f, r.i))]
     assert ids == list(range(5000))
+
+
+def _single_lines(spark, path):
+    return [r.value for r in TX.numbered_lines(spark, path).orderBy("line").collect()]
+
+
+def test_single_sorted_file_is_joined(spark):
+    df = spark.range(5000).select(((F.col("id") * 7919) % 5000).alias("node_id"), F.lit("x").alias("cl"))
+    path = staging_path(spark, "joined")
+    TX.write_result(df, path, single_file=True)
+    assert len(spark.read.text(path).inputFiles()) == 1
+    assert _single_lines(spark, path) == ["node_id\tcl"] + [f"{i}\tx" for i in range(5000)]
+    with pytest.raises(FileExistsError):
+        TX.write_result(df, path, single_file=True)
+    TX.write_result(df.limit(0), path, mode="ignore", single_file=True)
+    assert len(_single_lines(spark, path)) == 5001
+    TX.write_result(df.limit(0), path, mode="overwrite", single_file=True)
+    assert _single_lines(spark, path) == ["node_id\tcl"]
+
+
+def test_bad_lines_keep_every_character(spark):
+    rows = [("v", ' a "b" \\ c\t'), ("e", "1"), ("e", '"'), ("v", "x\ty")]
+    path = staging_path(spark, "bad")
+    TX.write_bad_lines(spark.createDataFrame(rows, "section string, line string"), path)
+    assert sorted(tuple(r) for r in TX.read_bad_lines(spark, path).collect()) == sorted(rows)
+    TX.write_bad_lines(spark.createDataFrame([], "section string, line string"), path, "overwrite")
+    assert TX.read_bad_lines(spark, path).count() == 0
+
+
+def test_finished_output_is_reused(spark):
+    """A killed write, changed inputs, lost rows and foreign outputs."""
+    source, out = _write(spark, "mf_in", "1"), staging_path(spark, "mf_out")
+    built = []
+
+    def build(n=5, kill=False):
+        spark.range(2 if kill else n).write.mode("overwrite").parquet(out)
+        if kill:
+            raise RuntimeError("killed")
+        built.append(n)
+        return n
+
+    def run(parameter=1, **kw):
+        return MF.build_or_reuse(spark, out, MF.fingerprint(spark, [source], {"p": parameter}), lambda: build(**kw),
+                                 lambda: spark.read.parquet(out).count())
+    with pytest.raises(RuntimeError):
+        run(kill=True)
+    assert MF.read_manifest(spark, out)["state"] == MF.STARTED
+    assert run() and not run() and built == [5]              # the half-written output is built again, then reused
+    assert run(parameter=2) and not run(parameter=2)         # other parameters: stale
+    spark.range(3).write.mode("overwrite").parquet(out)
+    assert run(parameter=2) and built == [5, 5, 5]           # rows were lost
+    other = staging_path(spark, "foreign")
+    spark.range(1).write.parquet(other)
+    with pytest.raises(FileExistsError):
+        MF.build_or_reuse(spark, other, "f", lambda: 0, lambda: 1)
+    assert spark.read.parquet(other).count() == 1
+
+
+def test_job_from_files_reuses_and_reports_bad_lines(spark):
+    net = _write(spark, "job_net", '*Vertices 4\n1 "a"\n2 "b"\nx "c"\n3 "d"\n*Arcs\n1 2\n2 1\n2 oops\n3 1')
+    tree = _write(spark, "job_tree", '1:1 0.4 "a"\n1:2 0.4 "b"\n2:1 0.2 "d"')
+    out = staging_path(spark, "job_out")
+
+    def run():
+        return P.communities_from_files(spark, net, tree, out, min_size=10, mode=P.USE_EXISTING)
+    assert run() and not run()
+    bad = {tuple(r) for r in TX.read_bad_lines(spark, P.bad_path(out)).collect()}
+    assert bad == {("v", 'x "c"'), ("e", "2 oops")}
+    assert {r.node_id for r in TX.read_results(spark, out).collect()} == {"1", "2", "3"}
