@@ -800,6 +800,38 @@ def q_two_level_cliques(spark, sf_dir):
     return two_level_partition(nf, lf)[0]
 
 
+@register("restart_cliques", f"""WITH {CLIQUES}
+SELECT ring, node_id, clique AS module FROM cp""")
+def q_restart_cliques(spark, sf_dir):
+    """Best of three restarts inside every ring: the modules are the cliques."""
+    from ..operators.restarts import best_of_restarts
+    members, edges = _rings(spark, sf_dir)
+    nf, lf = undirdir_flow(edges.withColumnRenamed("cl_top", "ring"), ["ring"])
+    best, _ = best_of_restarts(nf, lf, "ring", 3)
+    return best.select(F.col("ring").cast("long").alias("ring"), "node_id", "module")
+
+
+@register("restart_codelength", with_views("""
+SELECT DISTINCT cl_top, true AS no_worse, CAST(1 AS BIGINT) AS n_best, CAST(3 AS BIGINT) AS restarts
+FROM kept_members"""))
+def q_restart_codelength(spark, sf_dir):
+    """Best of three restarts in every kept cluster of the network: never
+    longer than a single partition of it."""
+    from ..operators.moves import two_level_partition
+    from ..operators.restarts import best_of_restarts
+    _, _, km, edges = network(spark, sf_dir)
+    km = stage(km, "kept_members")
+    within = stage(M.within_cluster_edges(edges, km), "within")
+    nf, lf = undirdir_flow(within, ["cl_top"], nodes=km.select("cl_top", "node_id").distinct())
+    nf, lf = stage(nf, "restart_flow"), stage(lf, "restart_link_flow")
+    one = codelength(nf, lf, two_level_partition(nf, lf, "cl_top")[0], ["cl_top"]).select("cl_top", F.col("codelength").alias("one"))
+    best, runs = best_of_restarts(nf, lf, "cl_top", 3)
+    most = codelength(nf, lf, best, ["cl_top"]).select("cl_top", F.col("codelength").alias("best_of"))
+    counts = runs.groupBy("cl_top").agg(F.sum(F.col("best").cast("long")).alias("n_best"), F.count("*").alias("restarts"))
+    return (one.join(most, "cl_top").join(counts, "cl_top")
+            .select("cl_top", (F.col("best_of") <= F.col("one") + 1e-9).alias("no_worse"), "n_best", "restarts"))
+
+
 @register("refine_cliques", f"""WITH {CLIQUES}
 SELECT node_id, CAST(ring AS VARCHAR) AS cl_top,
        CAST(ring AS VARCHAR) || ':' || CAST((clique - ring) // 5 + 1 AS VARCHAR) || ':' || CAST(node_id - clique + 1 AS VARCHAR) AS cl,
