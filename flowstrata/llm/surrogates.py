@@ -10,17 +10,22 @@ A surrogate is a keyed permutation of its format's values (a Feistel network
 with cycle walking), taken as the successor in a secret cyclic order: it never
 equals its original, equal entities get equal surrogates in every document
 (coreference), and different entities of a format get different ones.  So
-distinctness needs no table of all entities and no shuffle; it is checked all
-the same, per document while replacing and for a corpus by :func:`collisions`.
-
-A person is found by a title or a known first name before a capitalised
-surname; later mentions of the surname alone in the same text are replaced
-too.  The key is a secret of the caller; without it surrogates cannot be
-inverted.
+distinctness needs no table of all entities; it is checked all the same, per
+document while replacing and over the corpus: :func:`checked` counts the
+surrogates that stand for more than one original (keyed digests, aggregated
+before they are shuffled).
+
+A person is found by a title, a known first name before a capitalised surname,
+words that announce a name (``my name is``, ``signed by``), or by being listed
+with such a person (``Anna Schmidt and Wei Zhang``).  Every mention of a part
+of the name in the same text is replaced too, also before the full name, with a
+possessive, or in capitals; ``SCHMIDT`` gets the capitals of the surrogate of
+``Schmidt`` in every document.  The key is a secret of the caller; without it
+surrogates cannot be inverted.
 
 Cases: a null text stays null with no entities; overlapping entities go to the
-first kind in ``KINDS``; a name of one letter has no surrogate and is masked
-with ``X``; very long texts are scanned whole, in one narrow pass."""
+first kind in ``KINDS``; very long texts are scanned whole, in time linear in
+their length."""
 
 from __future__ import annotations
 
@@ -28,13 +33,13 @@ import hashlib
 import hmac
 import math
 import re
-from bisect import bisect
 from collections.abc import Callable
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import stage
 from .common import fresh
 
 KINDS = ("email", "secret", "ip", "iban", "card", "ssn", "phone", "person")
@@ -49,24 +54,32 @@ MALE_CYRILLIC = ("Иван", "Пётр", "Сергей", "Алексей", "Дм
 TITLES = ("Mrs", "Mr", "Ms", "Miss", "Dr", "Prof", "Herr", "Frau", "Monsieur", "Madame", "Señora", "Señor", "Sra", "Sr",
           "Mme", "г-жа", "г-н")
 # Letters that are exchanged among themselves, fixed values.
-ALPHABETS = (
-    "aeiou", "bcdfghjklmnpqrstvwxyz", "AEIOU", "BCDFGHJKLMNPQRSTVWXYZ", "0123456789",
-    "áéíóúàèìòùâêîôûäëïöü", "ÁÉÍÓÚÀÈÌÒÙÂÊÎÔÛÄËÏÖÜ", "аеёиоуыэюя", "бвгджзйклмнпрстфхцчшщ",
-    "АЕЁИОУЫЭЮЯ", "БВГДЖЗЙКЛМНПРСТФХЦЧШЩ", "αεηιουω", "βγδζθκλμνξπρστφχψ", "ΑΕΗΙΟΥΩ", "ΒΓΔΖΘΚΛΜΝΞΠΡΣΤΦΧΨ")
+_LOWER = ("aeiou", "bcdfghjklmnpqrstvwxyz", "áéíóúýàèìòùâêîôûäëïöüãõåæøœāăąēėęěīįōőūůű", "çñćčďđğłńňðþřśşšťźżžșț",
+          "аеёиоуыэюя", "бвгджзйклмнпрстфхцчшщ", "ъь", "αεηιουω", "βγδζθκλμνξπρστφχψ")
+ALPHABETS = (*_LOWER, *(a.upper() for a in _LOWER), "0123456789")
 _CLASS = {c: a for a in ALPHABETS for c in a}
-_CAP = r"[A-ZÀ-ÖØ-ÞА-ЯЁΑ-Ω][\w'’-]+"
+_UPPER = "".join(a.upper() for a in _LOWER)
+# a capitalised word, without a possessive at its end
+_CAP = rf"[{_UPPER}](?:\w|['’-](?=\w)(?![sS]\b))+"
 _FIRST = "|".join(FEMALE + MALE + FEMALE_CYRILLIC + MALE_CYRILLIC)
 
 _EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}")
 _SECRET = re.compile(r"(?i)\b(?:password|passwd|pwd|secret|token|api[_-]?key)\b(\s*[:=]\s*[\"']?)([^\s\"',;]{6,})")
 _IP = re.compile(r"(?<![\w.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\w]|\.\d)")
-_IBAN = re.compile(r"\b[A-Z]{2}\d{2}[A-Z0-9]{11,30}\b")
+_IBAN = re.compile(r"\b[A-Z]{2}\d{2}(?:[A-Z0-9]{11,30}|(?: [A-Z0-9]{4}){2,7}(?: [A-Z0-9]{1,3})?)\b")
 _CARD = re.compile(r"(?<![\w-])[3-6]\d(?:[ -]?\d){11,17}(?![\w-])")
 _SSN = re.compile(r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])")
 _PHONE = re.compile(r"(?<![\w.])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?|\d{2,4}[ .-])\d{3,4}[ .-]\d{3,4}(?!\w)"
                     r"|(?<![\w.])\+\d{1,3}[ .-]?\d{6,12}(?!\w)")
+# a bare number is a phone number only where the words before it say so
+_BARE_PHONE = re.compile(r"(?i)\b(?:phone|telephone|tel|mobile|cell|fax|call|text)\b(?: (?:me|us|at|on|is|number|no))*[.:]? ?(\d{7,12})(?!\w)")
 _PERSON = re.compile(rf"\b(?:(?P<title>{'|'.join(TITLES)})\.? (?P<a>{_CAP})(?: (?P<b>{_CAP}))?"
                      rf"|(?P<first>{_FIRST}) (?P<last>{_CAP}))")
+_PAIR = rf"({_CAP}) ({_CAP})"
+_ANNOUNCED = re.compile(rf"\b(?:[Nn]ame is|[Nn]ame:|[Nn]amed|[Ss]igned by|[Ww]ritten by|[Ss]igned,) {_PAIR}")
+_LISTED = re.compile(rf"(?:,| and|, and| und| et| y| и) {_PAIR}")
+_WORD = re.compile(r"[^\W\d_]+")
+_NAME_WORD = re.compile(_CAP)
 _DIGIT = re.compile(r"\d").search
 
 
@@ -157,9 +170,11 @@ def _iban_check(country: str, bban: str) -> int:
 
 
 def _iban(text: str, cipher: Cipher) -> str:
-    body = permuted(text[4:], cipher, "iban" + text[:2],
-                    ["0123456789" if c.isdigit() else "ABCDEFGHIJKLMNOPQRSTUVWXYZ" for c in text[4:]])
-    return f"{text[:2]}{_iban_check(text[:2], body):02d}{body}"
+    plain = text.replace(" ", "")
+    body = permuted(plain[4:], cipher, "iban" + plain[:2],
+                    ["0123456789" if c.isdigit() else "ABCDEFGHIJKLMNOPQRSTUVWXYZ" for c in plain[4:]])
+    new = iter(f"{plain[:2]}{_iban_check(plain[:2], body):02d}{body}")
+    return "".join(c if c == " " else next(new) for c in text)
 
 
 def _ip(text: str, cipher: Cipher) -> str:
@@ -213,14 +228,22 @@ _GENDERED = (FEMALE, MALE, FEMALE_CYRILLIC, MALE_CYRILLIC)
 
 
 def _name(text: str, cipher: Cipher, first: bool) -> str:
-    for names in _GENDERED if first else ():
+    if len(text) > 1 and text.isupper():
+        return _name(_titled(text), cipher, first).upper()
+    for names in _GENDERED:  # a known name stays one: neither way leaves its own set, so both stay distinct
         if text in names:
-            return names[cipher.successor(names.index(text), len(names), "first" + names[0])]
+            return names[cipher.successor(names.index(text), len(names), ("first" if first else "last") + names[0])]
     kinds = _classes(text)
-    kinds[-1] = None  # the ending shows the gender in many languages
-    known = {n for names in _GENDERED for n in names}
-    new = permuted(text, cipher, "name", kinds, lambda s: s not in known)
-    return new if new != text else "X" * len(text)
+    if sum(k is not None for k in kinds) > 1:
+        kinds[-1] = None  # the ending shows the gender in many languages
+    return permuted(text, cipher, "name", kinds, lambda s: s not in _KNOWN)
+
+
+_KNOWN = {n for names in _GENDERED for n in names}
+
+
+def _titled(text: str) -> str:
+    return _WORD.sub(lambda m: m.group().capitalize(), text)
 
 
 _REPLACE = {"email": _email, "secret": _secret, "ip": _ip, "iban": _iban, "card": _card,
@@ -239,30 +262,66 @@ def entities(text: str) -> list[tuple[int, int, str]]:
     if _DIGIT(text):
         found += [(*m.span(), "ip") for m in _IP.finditer(text)]
         for m in _IBAN.finditer(text):
-            if _iban_check(m.group()[:2], m.group()[4:]) == int(m.group()[2:4]):
+            plain = m.group().replace(" ", "")
+            if _iban_check(plain[:2], plain[4:]) == int(plain[2:4]):
                 found.append((*m.span(), "iban"))
         found += [(*m.span(), "card") for m in _CARD.finditer(text)]
         found += [(*m.span(), "ssn") for m in _SSN.finditer(text)]
         found += [(*m.span(), "phone") for m in _PHONE.finditer(text)]
-    surnames: set[str] = set()
+        found += [(*m.span(1), "phone") for m in _BARE_PHONE.finditer(text)]
+    found += _persons(text)
+    return _without_overlap(found)
+
+
+def _persons(text: str) -> list[tuple[int, int, str]]:
+    found: list[tuple[int, int, str]] = []
+    role: dict[str, str] = {}  # of each name part, in capitals
+    ends: set[int] = set()  # where a person's name ends
+
+    def person(m: re.Match, parts: list) -> None:
+        for g in parts:
+            kind = "person" if g == parts[-1] else "first"
+            found.append((*m.span(g), kind))
+            if role.get(m.group(g).upper()) != "person":
+                role[m.group(g).upper()] = kind
+        ends.add(m.end())
+
     for m in _PERSON.finditer(text):
-        parts = [g for g in ("a", "b", "first", "last") if m.group(g)]
-        last = parts[-1]
-        found += [(*m.span(g), "person" if g == last else "first") for g in parts]
-        surnames.add(m.group(last))
-    if surnames:
-        again = re.compile(r"\b(?:" + "|".join(map(re.escape, sorted(surnames, key=len, reverse=True))) + r")\b")
-        found += [(*m.span(), "person") for m in again.finditer(text)]
-    order = {k: i for i, k in enumerate((*KINDS, "first"))}
-    found.sort(key=lambda f: (order[f[2]], f[0]))
+        person(m, [g for g in ("a", "b", "first", "last") if m.group(g)])
+    for m in _ANNOUNCED.finditer(text):
+        person(m, [1, 2])
+    if ends:
+        for m in _LISTED.finditer(text):  # in order, so a list carries on from name to name
+            if m.start() in ends:
+                person(m, [1, 2])
+    if role:
+        for m in _NAME_WORD.finditer(text):
+            word = m.group()
+            kind = role.get(word.upper()) if word.isupper() or not word[1:].isupper() else None
+            if kind:
+                found.append((*m.span(), kind))
+            elif not word.isalpha():  # Schmidt-based, Keller'sche
+                for part in _WORD.finditer(word):
+                    if part.group()[0].isupper() and (kind := role.get(part.group().upper())):
+                        found.append((m.start() + part.start(), m.start() + part.end(), kind))
+    return found
+
+
+def _without_overlap(found: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:
+    """The entities in order; of those that overlap the first kind stays."""
+    by_kind: dict[str, list] = {}
+    for f in sorted(set(found)):
+        by_kind.setdefault(f[2], []).append(f)
     taken: list[tuple[int, int, str]] = []
-    starts: list[int] = []
-    for a, b, kind in found:
-        k = bisect(starts, a)
-        if (k and taken[k - 1][1] > a) or (k < len(taken) and taken[k][0] < b):
-            continue
-        starts.insert(k, a)
-        taken.insert(k, (a, b, kind))
+    for kind in (*KINDS, "first"):
+        free, k, end = [], 0, 0
+        for f in by_kind.get(kind, ()):
+            while k < len(taken) and taken[k][1] <= f[0]:
+                k += 1
+            if f[0] >= end and (k == len(taken) or taken[k][0] >= f[1]):
+                free.append(f)
+                end = f[1]
+        taken = sorted(taken + free)  # two sorted runs
     return taken
 
 
@@ -282,7 +341,7 @@ def replace_entities(text: str | None, cipher: Cipher) -> tuple[str | None, list
         new = given.get((kind, value))
         if new is None:
             new = given[kind, value] = surrogate(value, kind, cipher)
-            if owner.setdefault((kind, new), value) != value and set(new) != {"X"}:
+            if owner.setdefault((kind, new), value) != value:
                 raise RuntimeError(f"two {kind} entities got one surrogate")
         out += [text[at:a], new]
         pairs.append((kind, value, new))
@@ -293,32 +352,55 @@ def replace_entities(text: str | None, cipher: Cipher) -> tuple[str | None, list
 
 # -------------------------------------------------------------- Spark jobs ----
 
-def anonymised(docs: DataFrame, key: bytes, text: str = "text") -> DataFrame:
-    """``docs`` with the texts replaced and ``n_entities`` and ``entity_kinds``
-    (columns of these names are replaced); one narrow pass."""
+def _replaced(docs: DataFrame, key: bytes, text: str, seen: str | None = None) -> DataFrame:
+    """One narrow pass; ``seen`` names a column for the distinct
+    ``(kind, original, surrogate)`` of a text, the original as a keyed digest."""
     got = fresh(docs, "_got")
+    kind = "struct<kind:string,original:string,surrogate:string>"
 
-    @F.pandas_udf("text string, n_entities int, entity_kinds string")
+    @F.pandas_udf(f"text string, n_entities int, entity_kinds string, seen array<{kind}>")
     def run(texts: pd.Series) -> pd.DataFrame:
         cipher = Cipher(key)
         rows = []
         for t in texts:
             new, pairs = replace_entities(t, cipher)
-            rows.append((new, len(pairs), ",".join(sorted({"person" if k == "first" else k for k, _, _ in pairs}))))
-        return pd.DataFrame(rows, columns=["text", "n_entities", "entity_kinds"])
+            kinds = ",".join(sorted({"person" if k == "first" else k for k, _, _ in pairs}))
+            marks = [{"kind": k, "original": hmac.new(key, v.encode(), hashlib.sha256).hexdigest()[:32], "surrogate": s}
+                     for k, v, s in sorted(set(pairs))] if seen else []
+            rows.append((new, len(pairs), kinds, marks))
+        return pd.DataFrame(rows, columns=["text", "n_entities", "entity_kinds", "seen"])
+
+    out = (docs.withColumn(got, run(F.col(text))).withColumn(text, F.col(got)["text"])
+           .withColumn("n_entities", F.col(got)["n_entities"]).withColumn("entity_kinds", F.col(got)["entity_kinds"]))
+    return (out.withColumn(seen, F.col(got)["seen"]) if seen else out).drop(got)
+
 
-    return (docs.drop("n_entities", "entity_kinds").withColumn(got, run(F.col(text)))
-            .withColumn(text, F.col(got)["text"]).withColumn("n_entities", F.col(got)["n_entities"])
-            .withColumn("entity_kinds", F.col(got)["entity_kinds"]).drop(got))
+def anonymised(docs: DataFrame, key: bytes, text: str = "text") -> DataFrame:
+    """``docs`` with the texts replaced and ``n_entities`` and ``entity_kinds``
+    (columns of these names are replaced); one narrow pass."""
+    return _replaced(docs.drop("n_entities", "entity_kinds"), key, text)
+
+
+def _merged(marks: DataFrame) -> DataFrame:
+    """``kind, surrogate, originals`` of the surrogates ``marks`` give to more
+    than one original.  A frequent name is counted once a task before it moves."""
+    return (marks.groupBy("kind", "surrogate", "original").agg(F.lit(1).alias("one"))
+            .groupBy("kind", "surrogate").agg(F.count("one").alias("originals")).where("originals > 1"))
+
+
+def checked(docs: DataFrame, key: bytes, text: str = "text") -> DataFrame:
+    """:func:`anonymised` with ``collisions``, the number of surrogates that
+    stand for more than one original anywhere in the corpus (0 if the texts
+    are safe to use), the same in every row.  The replaced texts are written
+    once and checked there."""
+    seen = fresh(docs, "_seen")
+    out = stage(_replaced(docs.drop("n_entities", "entity_kinds", "collisions"), key, text, seen), "anonymised")
+    total = _merged(out.select(F.explode(seen).alias("m")).select("m.*")).agg(F.count(F.lit(1)).alias("collisions"))
+    return out.drop(seen).crossJoin(F.broadcast(total))  # one row
 
 
 def collisions(docs: DataFrame, key: bytes, text: str = "text") -> DataFrame:
     """``kind, surrogate, originals``: surrogates that stand for more than one
     original anywhere in the corpus (none is expected)."""
-    @F.udf("array<struct<kind:string,original:string,surrogate:string>>")
-    def pairs(t):
-        return replace_entities(t, Cipher(key))[1]
-
-    each = docs.select(F.explode(pairs(text)).alias("p")).select("p.*").distinct()
-    return (each.groupBy("kind", "surrogate").agg(F.count("*").alias("originals"))
-            .where("originals > 1"))
+    seen = fresh(docs, "_seen")
+    return _merged(_replaced(docs, key, text, seen).select(F.explode(seen).alias("m")).select("m.*"))

@@ -1,8 +1,10 @@
 import random
 import re
 
-from flowstrata.llm.surrogates import (FEMALE, MALE, MALE_CYRILLIC, Cipher, _iban_check, _luhn_digit, anonymised, collisions,
-                                       entities, replace_entities, surrogate)
+from flowstrata.llm import surrogates
+from flowstrata.llm.surrogates import (FEMALE, MALE, MALE_CYRILLIC, Cipher, _iban_check, _luhn_digit, anonymised, checked,
+                                       collisions, entities, replace_entities, surrogate)
+from pyspark.sql import functions as F
 
 KEY = b"secret"
 TEXT = ('Mr. John Smith met Maria Keller; Smith called +1 (784) 555-8120, mail a.b@mail.example.com from 10.2.3.4 and '
@@ -64,6 +66,48 @@ def test_clean_text_is_left_alone():
     assert entities("") == [] and replace_entities(None, Cipher(KEY)) == (None, [])
 
 
+def test_all_mentions_of_a_person():
+    new, pairs = replace_entities("Anna Schmidt came. Anna left. SCHMIDT. Schmidt's and Schmidt-based; ANNA", Cipher(KEY))
+    by = {(k, v): s for k, v, s in pairs}
+    first, last = by["first", "Anna"], by["person", "Schmidt"]
+    assert new == f"{first} {last} came. {first} left. {last.upper()}. {last}'s and {last}-based; {first.upper()}"
+    assert replace_entities("Mr SCHMIDT", Cipher(KEY))[0] == f"Mr {last.upper()}"  # the same person in another text
+    for text in ("Anna Schmidt and Wei Zhang, Priya Raghavan", "my name is Priya Raghavan, and Wei Zhang"):
+        new, pairs = replace_entities(text, Cipher(KEY))
+        assert not any(w in new for w in ("Wei", "Zhang", "Priya", "Raghavan")), new
+    text = "The New York and Los Angeles offices named the product, Blue Water."
+    assert replace_entities(text, Cipher(KEY)) == (text, [])
+
+
+def test_short_and_accented_names_stay_distinct():
+    names = ["Øi", "Åm", "Ås", "Äs", "Łu", "Šo", "Ъя", "Ðo", "Þo", "Œu", "Paul", "Anna", "Li"]
+    got = [replace_entities(f"Mr {n}", Cipher(KEY))[0][3:] for n in names]
+    assert len(set(got)) == len(names) and all(a != b for a, b in zip(got, names))
+    assert all("X" not in g for g in got) and [shape_of(g) for g in got] == [shape_of(n) for n in names]
+    # every two-letter name of a form, known names of the lists too
+    many = [a + b for a in "ÀÉÍÓØÅ" for b in "aeou"] + [*MALE, *FEMALE]
+    assert len({surrogate(n, "person", Cipher(KEY)) for n in many}) == len(many)
+
+
+def shape_of(s):
+    return [c.isupper() for c in s] if len(s) == 2 else s[0].isupper()
+
+
+def test_spaced_ibans_and_bare_numbers():
+    new, pairs = replace_entities("IBAN DE89 3704 0044 0532 0130 00, call me at 5551234567 by 1700000000", Cipher(KEY))
+    assert [k for k, _, _ in pairs] == ["iban", "phone"] and new.endswith("by 1700000000")
+    plain = pairs[0][2].replace(" ", "")
+    assert shape(pairs[0][2]) == shape(pairs[0][1]) and int(plain[2:4]) == _iban_check("DE", plain[4:])
+    joined = replace_entities("DE89370400440532013000", Cipher(KEY))[1][0][2]
+    assert joined == plain  # one account, one surrogate
+
+
+def test_long_texts_take_linear_time():
+    text = " ".join(f"Mr {a}{b}{c}son met" for a in "BCDFGHKLMN" for b in "aeiou" for c in "bcdfglmnpr") * 40
+    new, pairs = replace_entities(text, Cipher(KEY))
+    assert len(pairs) == 20_000 and len({s for _, _, s in pairs}) == 500
+
+
 def test_nothing_known_survives_in_random_places():
     rng = random.Random(1)
     values = ["a.b@mail.example.com", "4418452524842581", "+1 (784) 555-8120", "52.139.117.253", "password=49b0203a9cc466e6ee"]
@@ -83,4 +127,15 @@ def test_odd_rows(spark, odd_docs, make_docs):
     assert rows[70]["entity_kinds"] == "card,email,iban,ip,person,phone,secret,ssn"
     assert rows[71]["text"] == (rows[70]["text"] + "\n") * 200
     assert collisions(docs, KEY).count() == 0
+    both = checked(docs.withColumn("collisions", F.lit("x")), KEY)
+    assert both.columns == [*docs.columns, "n_entities", "entity_kinds", "collisions"]
+    assert {r["collisions"] for r in both.collect()} == {0} and both.count() == docs.count()
+    assert checked(docs.where("false"), KEY).count() == 0
+
+
+def test_collisions_are_counted(spark, make_docs, monkeypatch):
+    docs = make_docs([(1, "Mr Keller", "en", "z"), (2, "Mr Koller", "en", "z"), (2, "Mr Smith", "en", "z")])
+    monkeypatch.setattr(surrogates, "surrogate", lambda value, kind, cipher: value[0] + str(len(value)))
+    assert [tuple(r) for r in collisions(docs, KEY).collect()] == [("person", "K6", 2)]
+    assert {r["collisions"] for r in checked(docs, KEY).collect()} == {1}
     assert anonymised(docs.where("false"), KEY).count() == 0
