@@ -24,8 +24,9 @@ Modules are numbered in their parent by flow (desc), then smallest node id;
 leaves by node flow in the last sub-network the node was partitioned in
 (desc), then node id.  Flows are compared to twelve digits, so the order of
 summation cannot change a rank.  Clusters with invalid input (null ids,
-non-finite or non-positive weights) are not refined: their nodes get
-``<cl_top>:FAILED`` and status ``failed``.
+non-finite or non-positive weights) are not refined, and a cluster in which the
+partitioner fails at any depth loses its paths: their nodes get
+``<cl_top>:FAILED`` and status ``failed``, all other clusters are as without them.
 """
 
 from __future__ import annotations
@@ -76,7 +77,7 @@ def _drop(rows: DataFrame, groups: DataFrame, spread: list[str], most: int) -> D
 
 
 def super_levels(node_flow: DataFrame, link_flow: DataFrame, assignment: DataFrame,
-                 cfg: RefineConfig, most: int) -> list[DataFrame]:
+                 cfg: RefineConfig, most: int, failures: list | None = None) -> list[DataFrame]:
     """Levels above a two-level partition ``(g, node_id, module)``: tables
     ``(g, node_id, module)`` whose ``node_id`` are the modules one level down.
     A group has as many levels as shorten its hierarchical codelength."""
@@ -98,7 +99,8 @@ def super_levels(node_flow: DataFrame, link_flow: DataFrame, assignment: DataFra
         if mnodes.isEmpty():
             release(mlinks, mnodes)
             return levels
-        sup, _ = two_level_partition(mnodes, _keep(mlinks, sizes, ["source"], most), "g", cfg.moves)
+        sup, _ = two_level_partition(mnodes, _keep(mlinks, sizes, ["source"], most), "g", cfg.moves,
+                                     failures=failures)
         two = codelength(mnodes, mlinks, sup, ["g"])
         index = mnodes.groupBy("g").agg((plogp(F.sum("flow")) - F.sum(plogp(F.col("flow")))).alias("L1"),
                                         F.count(F.lit(1)).alias("n"))
@@ -140,13 +142,15 @@ def _paths(node_flow: DataFrame, assignment: DataFrame, levels: list[DataFrame],
     return parents
 
 
-def refine_groups(nodes: DataFrame, links: DataFrame, config: RefineConfig | None = None) -> DataFrame:
+def refine_groups(nodes: DataFrame, links: DataFrame, config: RefineConfig | None = None,
+                  failures: list | None = None) -> DataFrame:
     """Hierarchical paths inside each group.
 
     ``nodes``: ``(g string, node_id bigint)``; ``links``:
     ``(g, source, target[, weight])`` with both ends in ``g``.
     Returns ``(g, node_id, path string, status string)`` where ``path``
-    starts with ``g``.
+    starts with ``g``.  ``failures`` collects tables ``(g, error)`` of the
+    sub-groups in which the partitioner failed (``g`` is their path).
     """
     cfg = config or RefineConfig()
     if "weight" not in links.columns:
@@ -155,22 +159,19 @@ def refine_groups(nodes: DataFrame, links: DataFrame, config: RefineConfig | Non
     links = stage(links.select(F.col("g").cast("string"), "source", "target", F.col("weight").cast("double")), "refine_links")
     most = nodes.count() + links.count()  # no later table has more rows
     with conf_override(nodes.sparkSession, round_options(nodes.sparkSession, most)):
-        return _refine(nodes, links, cfg, most)
+        return _refine(nodes, links, cfg, most, [] if failures is None else failures)
 
 
-def _refine(nodes: DataFrame, links: DataFrame, cfg: RefineConfig, most: int) -> DataFrame:
+def _refine(nodes: DataFrame, links: DataFrame, cfg: RefineConfig, most: int, failures: list) -> DataFrame:
     sizes = nodes.groupBy("g").agg(F.count(F.lit(1)).alias("n"))
     bad = stage(_invalid_groups(nodes, links).join(sizes, "g"), "invalid_groups")
-    failed = (_keep(nodes, bad, ["node_id"], most)
-              .select("g", "node_id", F.concat(F.col("g"), F.lit(":FAILED")).alias("path"),
-                      F.lit("failed").alias("status")))
     active_nodes = stage(_drop(nodes, bad, ["node_id"], most), "refine_nodes")
     active_links = stage(_drop(links, bad, ["source"], most), "refine_links")
     finals: list[DataFrame] = []  # (g, node_id, g_final, flow)
     while not active_nodes.isEmpty():
         nf, lf = undirdir_flow(active_links, ["g"], nodes=active_nodes, most=most)
         nf, lf = stage(nf, "refine_flow"), stage(lf, "refine_links_flow")
-        asg, _ = two_level_partition(nf, lf, group="g", config=cfg.moves)
+        asg, _ = two_level_partition(nf, lf, group="g", config=cfg.moves, failures=failures)
         two = codelength(nf, lf, asg, ["g"]).select("g", F.col("codelength").alias("L2"), "num_modules")
         one = one_module_codelength(nf, ["g"], most).select("g", F.col("codelength").alias("L1"))
         n = nf.groupBy("g").agg(F.count(F.lit(1)).alias("n"))
@@ -185,7 +186,7 @@ def _refine(nodes: DataFrame, links: DataFrame, cfg: RefineConfig, most: int) ->
             break
         split_asg = stage(_keep(asg, accepted, ["node_id"], most), "assignment")
         split_lf = _keep(lf, accepted, ["source"], most)
-        levels = super_levels(split_nf, split_lf, split_asg, cfg, most) if cfg.super_modules else []
+        levels = super_levels(split_nf, split_lf, split_asg, cfg, most, failures) if cfg.super_modules else []
         named = stage(_paths(split_nf, split_asg, levels, most), "module_paths")
         moved = stage(split_join(split_asg.join(split_nf, ["g", "node_id"]), named.withColumnRenamed("size", "n")
                                  .withColumn("size", F.col("n")), ["g", "module"], "n", ["node_id"], most=most)
@@ -202,9 +203,15 @@ def _refine(nodes: DataFrame, links: DataFrame, cfg: RefineConfig, most: int) ->
         next_nodes = stage(m.select(F.col("g_new").alias("g"), "node_id"), "refine_nodes")
         release(active_nodes, active_links, nf, lf, accepted, split_nf, split_asg, moved, named, *levels)
         active_nodes, active_links = next_nodes, next_links
-    done = [failed]
+    if failures:  # the whole cluster fails with any group inside it
+        tops = reduce(DataFrame.unionByName, failures).select(F.substring_index("g", ":", 1).alias("g")).distinct()
+        bad = stage(bad.unionByName(tops.join(sizes, "g")), "failed_groups")
+    done = [_keep(nodes, bad, ["node_id"], most)
+            .select("g", "node_id", F.concat(F.col("g"), F.lit(":FAILED")).alias("path"), F.lit("failed").alias("status"))]
     if finals:
         leaves = reduce(DataFrame.unionByName, finals).select("node_id", "g_final", "flow")
+        if failures:
+            leaves = _drop(leaves.withColumn("g", F.substring_index("g_final", ":", 1)), bad, ["node_id"], most).drop("g")
         leaves = ordinal_within(leaves, ["g_final"], [F.round("flow", 12).desc(), F.col("node_id")], "leaf", most=most)
         done.append(leaves.select(
             F.col("g_final").alias("g"), "node_id",
@@ -216,12 +223,13 @@ def _refine(nodes: DataFrame, links: DataFrame, cfg: RefineConfig, most: int) ->
 
 
 def refine_clusters(kept_members: DataFrame, within_edges: DataFrame,
-                    config: RefineConfig | None = None) -> DataFrame:
-    """Refine every kept top cluster: ``(node_id, cl_top, cl, status)``."""
+                    config: RefineConfig | None = None, failures: list | None = None) -> DataFrame:
+    """Refine every kept top cluster: ``(node_id, cl_top, cl, status)``;
+    ``failures`` as in :func:`refine_groups`."""
     nodes = kept_members.select(F.col("cl_top").alias("g"), "node_id")
     cols = [F.col("cl_top").alias("g"), "source", "target"]
     if "weight" in within_edges.columns:
         cols.append("weight")
     links = within_edges.select(*cols)
-    out = refine_groups(nodes, links, config)
+    out = refine_groups(nodes, links, config, failures)
     return out.select("node_id", F.col("g").alias("cl_top"), F.col("path").alias("cl"), "status")

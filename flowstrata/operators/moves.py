@@ -48,13 +48,14 @@ from __future__ import annotations
 
 import logging
 import sys
+import uuid
 from dataclasses import dataclass
 from math import log2
 
 import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions.joins import split_join
@@ -149,12 +150,44 @@ def sweep(rows: pd.DataFrame, min_delta: float) -> pd.DataFrame:
     return pd.DataFrame({G: rows[G].iloc[0], "v": v, "to": [module[n] for n in ids]})
 
 
-def _swept(nodes: DataFrame, adj: DataFrame, cfg: MoveConfig) -> DataFrame:
-    """``nodes`` after a sweep of every group (nodes without links stay)."""
+def guarded_sweep(rows: pd.DataFrame, min_delta: float) -> pd.DataFrame:
+    """:func:`sweep` whose failure is a row ``(g, v, error)`` per node instead
+    of the end of the job."""
+    try:
+        return sweep(rows, min_delta).assign(error=None)
+    except Exception as fault:  # noqa: BLE001 - any fault of one group
+        return pd.DataFrame({G: rows[G].iloc[0], "v": rows["v"].unique(), "to": None,
+                             "error": f"{type(fault).__name__}: {fault}"})
+
+
+def _swept(nodes: DataFrame, adj: DataFrame, cfg: MoveConfig, failures: list | None) -> DataFrame:
+    """``nodes`` after a sweep of every group (nodes without links stay).
+
+    With ``failures`` a group whose sweep fails loses its nodes and is noted
+    there as ``(g, error)``; without it the fault ends the job."""
     kind, delta = nodes.schema[G].dataType.simpleString(), cfg.min_delta
     rows = adj.join(nodes.select(G, "v", "p", "out", "m"), [G, "v"])
-    to = rows.groupBy(G).applyInPandas(lambda pdf: sweep(pdf, delta), f"{G} {kind}, v long, to long")
-    return nodes.join(to, [G, "v"], "left").withColumn("m", F.coalesce("to", "m")).drop("to")
+    if failures is None:
+        to = rows.groupBy(G).applyInPandas(lambda pdf: sweep(pdf, delta), f"{G} {kind}, v long, to long")
+        return stage(nodes.join(to, [G, "v"], "left").withColumn("m", F.coalesce("to", "m")).drop("to"), "nodes")
+    to = rows.groupBy(G).applyInPandas(lambda pdf: guarded_sweep(pdf, delta), f"{G} {kind}, v long, to long, error string")
+    moved = nodes.join(to, [G, "v"], "left").withColumn("m", F.coalesce("to", "m")).drop("to")
+    seen = Observation(f"faults-{uuid.uuid4().hex[:8]}")
+    out = stage(moved.observe(seen, F.count("error").alias("n")), "nodes")
+    if not seen.get["n"]:
+        return _like(out, out.drop("error"))
+    bad = stage(out.where("error is not null").groupBy(G).agg(F.min("error").alias("error")), "failures")
+    failures.append(bad)
+    sized = out.groupBy(G).agg(F.count(F.lit(1)).alias("n")).join(bad.select(G, F.lit(1).alias("_bad")), G)
+    whole = stage(split_join(out.drop("error"), sized, [G], "n", ["v"], "left").where("_bad is null").drop("_bad", "n"), "nodes")
+    release(out)
+    return whole
+
+
+def _like(staged: DataFrame, view: DataFrame) -> DataFrame:
+    """``view`` of a staged table, released with it."""
+    view._staged_path = staged._staged_path
+    return view
 
 
 #: State of a node besides ``g, v, p, out, deg``: module, flow to and from the
@@ -309,17 +342,17 @@ def _next_groups(after: DataFrame) -> DataFrame:
 
 
 def _local_moving(nodes: DataFrame, adj: DataFrame, cfg: MoveConfig, level: int, rows: int,
-                  history: list | None) -> tuple[DataFrame, int]:
+                  history: list | None, failures: list | None) -> tuple[DataFrame, int]:
     """One level from the modules ``m`` of ``nodes``; the result has their
     columns ``(g, v, p, out, deg, m)``."""
     if rows <= cfg.task_links:  # no group has more links than that
-        return stage(_swept(nodes, adj, cfg), "nodes"), 1
+        return _swept(nodes, adj, cfg, failures), 1
     ends = nodes.groupBy(G).agg(F.count(F.lit(1)).alias("n"), F.sum("deg").alias("ends")).withColumn("large", F.col("ends") > cfg.task_links)
     run = _Level(adj, cfg, rows)
     sized = run.attach(nodes, ends.select(G, "n", "large"), [G], "n", "v")
     large, small = stage(sized.where("large").drop("large"), "nodes"), sized.where("not large").drop("large")
     few = run.attach(adj, ends.where("not large").select(G, "ends"), [G], "ends", "v")
-    done = stage(_swept(small, few, cfg), "nodes")
+    done = _swept(small, few, cfg, failures)
     moved, rounds = _rounds(large, adj, cfg, level, rows, history)
     out = stage(done.unionByName(moved), "nodes")
     release(done, large, moved)
@@ -401,7 +434,7 @@ def _renamed(nodes: DataFrame, names: DataFrame, run: _Level) -> DataFrame:
 
 def two_level_partition(node_flow: DataFrame, link_flow: DataFrame, group: str | None = None,
                         config: MoveConfig | None = None, history: list | None = None,
-                        start: DataFrame | None = None) -> tuple[DataFrame, dict]:
+                        start: DataFrame | None = None, failures: list | None = None) -> tuple[DataFrame, dict]:
     """Partition the nodes of every group into modules.
 
     ``node_flow``: ``([group,] node_id, flow)``; ``link_flow``:
@@ -410,7 +443,9 @@ def two_level_partition(node_flow: DataFrame, link_flow: DataFrame, group: str |
     ``([group,] node_id, module)`` - the module id is its smallest node - and
     a dict of statistics (rounds per level of every pass).  ``history``
     collects ``(level, round, codelength per group, links judged)`` (a test
-    aid)."""
+    aid).  ``failures`` collects tables ``(g, error)`` of the groups that failed
+    in their task at any level; such a group has no rows in the result and all
+    others are as without it.  Without the list a fault ends the job."""
     cfg = config or MoveConfig()
     gcol = F.col(group) if group else F.lit(0)
     links = stage(link_flow.where(F.col("source") != F.col("target"))
@@ -429,23 +464,24 @@ def two_level_partition(node_flow: DataFrame, link_flow: DataFrame, group: str |
             named = split_join(given, least, [G, "given"], "n", ["v"]).select(G, "v", "least")
             nodes = nodes.join(named, [G, "v"], "left").withColumn("m", F.coalesce("least", "m")).drop("least")
         base = stage(nodes, "nodes")
-        result, stats = _passes(base, adj, cfg, rows + base.count(), history)
+        result, stats = _passes(base, adj, cfg, rows + base.count(), history, failures)
         release(base, adj)
     name = [F.col(G).alias(group)] if group else []
     return result.select(*name, "node_id", "module"), stats
 
 
-def _passes(base: DataFrame, adj: DataFrame, cfg: MoveConfig, rows: int, history: list | None) -> tuple[DataFrame, dict]:
+def _passes(base: DataFrame, adj: DataFrame, cfg: MoveConfig, rows: int, history: list | None,
+            failures: list | None) -> tuple[DataFrame, dict]:
     stats: dict = {"rounds": []}
     before = base
     while True:
-        nodes, rounds = _local_moving(before, adj, cfg, 0, rows, history)
+        nodes, rounds = _local_moving(before, adj, cfg, 0, rows, history, failures)
         per_level, level_nodes, level_adj, tops = [rounds], nodes, adj, []
         while True:
             up, up_adj = _contract(level_nodes, _Level(level_adj, cfg, rows))
             if level_adj is not adj:
                 release(level_adj)
-            moved, rounds = _local_moving(up, up_adj, cfg, len(per_level), rows, history)
+            moved, rounds = _local_moving(up, up_adj, cfg, len(per_level), rows, history, failures)
             per_level.append(rounds)
             tops.append(moved)
             level_nodes, level_adj = moved, up_adj

@@ -4,11 +4,13 @@ import pytest
 from pyspark.sql import functions as F
 
 from flowstrata.operators import membership as M
+from flowstrata.operators import moves
+from flowstrata.operators.flow import undirdir_flow
 from flowstrata.operators.hierarchy import refine_clusters
 from flowstrata.plans import pipeline as P
 from flowstrata.sources import tables as T
 
-from conftest import SF_SMALL
+from conftest import CYCLES16, SF_SMALL
 
 
 def _inputs(spark):
@@ -44,6 +46,35 @@ def test_failed_cluster_status(spark):
     assert out[1][1] == "ok" and out[1][0].startswith("a:")
 
 
+def test_fault_in_one_group(spark, monkeypatch):
+    """A task that fails - in the first split, among its modules, in a later
+    split - costs its own cluster only."""
+    links = spark.createDataFrame([(s + 100 * k, t + 100 * k, c, 1.0) for k, c in enumerate("abcd") for s, t in CYCLES16],
+                                  "source long, target long, cl_top string, weight double")
+    nodes = spark.createDataFrame([(c, i + 100 * k) for k, c in enumerate("abcd") for i in range(1, 17)],
+                                  "cl_top string, node_id long")
+    whole = {r.node_id: (r.cl, r.status) for r in refine_clusters(nodes, links).collect()}
+    assert {s for _, s in whole.values()} == {"ok"}
+    real = moves.sweep
+
+    def sweep(rows, min_delta):
+        g, n = rows["g"].iloc[0], rows["v"].nunique()
+        if (g == "b" and n == 16) or (g == "c" and n < 16) or g.startswith("d:"):
+            raise ValueError("planted")
+        return real(rows, min_delta)
+    monkeypatch.setattr(moves, "sweep", sweep)
+    failures = []
+    got = {r.node_id: (r.cl, r.status) for r in refine_clusters(nodes, links, failures=failures).collect()}
+    assert len(got) == 64
+    for i, row in got.items():
+        top = "abcd"[i // 100]
+        assert row == (whole[i] if top == "a" else (f"{top}:FAILED", "failed"))
+    assert {(r.g.split(":")[0], r.error) for f in failures for r in f.collect()} == {(c, "ValueError: planted") for c in "bcd"}
+    nf, lf = undirdir_flow(links.select(F.col("cl_top").alias("g"), "source", "target", "weight"), ["g"])
+    with pytest.raises(Exception, match="planted"):  # without a list of failures the job ends
+        moves.two_level_partition(nf, lf, "g")
+
+
 def test_cluster_without_links(spark):
     nodes = spark.createDataFrame([("z", 5), ("z", 9)], "cl_top string, node_id long")
     links = spark.createDataFrame([], "source long, target long, cl_top string")
