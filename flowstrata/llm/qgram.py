@@ -1,23 +1,25 @@
 """Benchmark decontamination by q-gram lemma filtering and banded alignment.
 
 Texts and benchmark items are lower-cased and reduced to words with single
-blanks (as UTF-8 bytes).  An item of L bytes leaks into a text if a region of
-the text is within ``e = floor(rate * L)`` edits of the whole item.  Such a
+blanks.  An item of L characters leaks into a text if a region of the text is
+within ``e = floor(rate * L)`` edits of the whole item.  Such a
 region shares at least ``L + 1 - q (e + 1)`` q-grams with the item on
 diagonals (text position minus item position) that differ by at most ``e``.
 So shared q-grams are counted in bands of ``2 (e + 1)`` diagonals that overlap
 by half, bands that reach the bound are kept, and a banded alignment decides.
-For short items ``e`` is lowered until the bound is positive, so the filter
-never loses a region within the budget.
+Items whose bound is not positive with ``q`` are indexed apart with shorter
+q-grams, ``floor(L / (e + 1))`` characters, so the filter never loses a region
+within the budget.  Items shorter than ``q`` characters allow no edit; with
+``short_items`` they are matched exactly, as whole words.
 
 The items are the query set: they go to the workers in blocks of at most
 ``block_bytes`` (a proven bound on what a task holds and on what is shipped);
 more blocks mean more evaluations in the same pass over the texts.  Whole
 texts are read once, nothing is shuffled.
 
-Cases: null or empty texts have no leak; items that are null or shorter than
-``q`` bytes after normalising name no passage and never match; items with the
-same text are reported each; a null item id stays null in the result."""
+Cases: null or empty texts have no leak; items that are null or without a
+letter or digit, and those shorter than ``q`` characters without ``short_items``,
+name no passage and never match; items with the same text are reported each; a null item id stays null in the result."""
 
 from __future__ import annotations
 
@@ -32,21 +34,39 @@ from .common import fresh, worker_cached
 
 Q, RATE, BLOCK_BYTES = 10, 0.08, 8 << 20
 _BUFFER_BYTES, _CHUNK, _SLICE = 2 << 20, 1 << 16, 2_000_000
-_SPACE = bytes(c if chr(c).isalnum() or c >= 128 else 32 for c in range(256))
+_SPACE = {c: " " for c in range(128) if not chr(c).isalnum()}
 _ODD = 0x9E3779B97F4A7C15
 
 
+def folded(text: str | None) -> str:
+    return " ".join(w for w in (text or "").lower().translate(_SPACE).split(" ") if w)
+
+
 def normalised(text: str | None) -> bytes:
-    return b" ".join((text or "").lower().encode("utf-8", "replace").translate(_SPACE).split())
+    """:func:`folded` in UTF-8."""
+    return folded(text).encode("utf-8", "replace")
+
+
+def points(text: str | bytes) -> np.ndarray:
+    """The characters (of bytes: the bytes) as numbers."""
+    if isinstance(text, bytes):
+        return np.frombuffer(text, np.uint8)
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
 
 
 def edit_budget(length: int, q: int = Q, rate: float = RATE) -> int:
-    """Edits allowed for an item; negative if it is too short to match."""
+    """Edits of an item that q-grams of length ``q`` can find; negative if it
+    is too short for them."""
     return min(int(rate * length), length // q - 1)
 
 
+def gram_length(length: int, q: int = Q, rate: float = RATE) -> int:
+    """The longest q-grams that find every region within ``rate`` edits."""
+    return min(q, length // (int(rate * length) + 1))
+
+
 def qgram_codes(a: np.ndarray, q: int) -> np.ndarray:
-    """A 64-bit hash of every q-gram of the bytes ``a`` (by doubling)."""
+    """A 64-bit hash of every q-gram of the characters ``a`` (by doubling)."""
     n = len(a) - q + 1
     if n <= 0:
         return np.zeros(0, np.uint64)
@@ -72,14 +92,15 @@ def qgram_codes(a: np.ndarray, q: int) -> np.ndarray:
 class ItemIndex:
     """q-grams of a block of items: sorted codes with (item, offset) postings."""
 
-    def __init__(self, items: list[bytes], q: int, rate: float):
+    def __init__(self, items: list[str] | list[bytes], q: int, rate: float):
         self.items, self.q = items, q
+        self.points = [points(x) for x in items]
         self.budget = np.array([edit_budget(len(x), q, rate) for x in items], np.int64)
         self.least = np.array([len(x) + 1 - q * (e + 1) for x, e in zip(items, self.budget)], np.int64)
         codes, item, offset = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         for k, x in enumerate(items):
             if self.budget[k] >= 0:
-                c = qgram_codes(np.frombuffer(x, np.uint8), q)
+                c = qgram_codes(self.points[k], q)
                 codes.append(c)
                 item.append(np.full(len(c), k))
                 offset.append(np.arange(len(c)))
@@ -135,18 +156,19 @@ class ItemIndex:
         return [(int(i), int(x - (i << 40))) for i, x in zip(item[good], k[good])]
 
 
-def align(item: bytes, region: bytes, lo: int, width: int, budget: int) -> tuple[int, int] | None:
-    """Best ``(edits, end)`` of the whole item in ``region`` on diagonals
-    ``lo .. lo + width - 1``, or None if above ``budget``; free ends in the region."""
-    r = np.full(len(item) + width + 1, -1, np.int16)
-    src = np.frombuffer(region, np.uint8)
+def align(item, region, lo: int, width: int, budget: int) -> tuple[int, int] | None:
+    """Best ``(edits, end)`` of the whole item in ``region`` (texts or their
+    :func:`points`) on diagonals ``lo .. lo + width - 1``, or None if above
+    ``budget``; free ends in the region."""
+    item, src = (x if isinstance(x, np.ndarray) else points(x) for x in (item, region))
+    r = np.full(len(item) + width + 1, -1, np.int32)
     a, b = max(lo, 0), min(len(src), lo + len(r))
     if b > a:
         r[a - lo:b - lo] = src[a:b]
     ramp = np.arange(width)
     outside = ramp + lo  # region position before row i is lo + i + k
     d = np.where((outside >= 0) & (outside <= len(src)), 0, budget + 1).astype(np.int64)
-    for i, ch in enumerate(item):
+    for i, ch in enumerate(item.tolist()):
         t = d + (r[i:i + width] != ch)
         t[:-1] = np.minimum(t[:-1], d[1:] + 1)
         d = np.minimum.accumulate(t - ramp) + ramp
@@ -158,7 +180,7 @@ def align(item: bytes, region: bytes, lo: int, width: int, budget: int) -> tuple
     return (int(d[k]), int(end[k])) if d[k] <= budget else None
 
 
-def find_leaks(index: ItemIndex, texts: list[bytes]) -> list[list[tuple[int, int, int]]]:
+def find_leaks(index: ItemIndex, texts: list[str] | list[bytes]) -> list[list[tuple[int, int, int]]]:
     """Per text the ``(item, edits, end)`` of every leaked item, best first found."""
     q = index.q
     starts, pieces, at = [], [], 0
@@ -166,7 +188,9 @@ def find_leaks(index: ItemIndex, texts: list[bytes]) -> list[list[tuple[int, int
         starts.append(at)
         pieces.append(t)
         at += len(t) + 1
-    buffer = np.frombuffer(b"\x00".join(pieces), np.uint8)  # normalised texts hold no zero byte
+    if not pieces:
+        return []
+    buffer = points((b"\x00" if isinstance(pieces[0], bytes) else "\x00").join(pieces))  # no normalised text holds a zero
     first = np.array(starts)
     best: list[dict[int, tuple[int, int]]] = [{} for _ in texts]
     shift = len(buffer) + 1
@@ -185,31 +209,68 @@ def find_leaks(index: ItemIndex, texts: list[bytes]) -> list[list[tuple[int, int
             if had is not None and had[0] == 0:
                 continue
             at = text.find(x, max(0, lo - base - e), max(0, lo - base + width + e + len(x)))
-            got = (0, at + len(x)) if at >= 0 else align(x, text, lo - base - e, width + 2 * e, e)
+            got = (0, at + len(x)) if at >= 0 else align(index.points[item], buffer[base:base + len(text)],
+                                                         lo - base - e, width + 2 * e, e)
             if got is not None and (had is None or got < had):
                 best[doc][item] = got
     return [[(i, *v) for i, v in sorted(b.items())] for b in best]
 
 
-def _leak_column(ids: list, items: list[bytes], q: int, rate: float, text: Column) -> Column:
+class LeakFinder:
+    """All items of a block: long ones by q-grams of length ``q``, those that
+    need it by shorter ones, the shortest as whole words."""
+
+    def __init__(self, items: list[str], q: int, rate: float):
+        classes: dict[int, list[int]] = {}
+        self.words: dict[tuple[str, ...], list[int]] = {}
+        for k, x in enumerate(items):
+            if len(x) < q and int(rate * len(x)) == 0:
+                self.words.setdefault(tuple(x.split(" ")), []).append(k)
+            else:
+                classes.setdefault(gram_length(len(x), q, rate), []).append(k)
+        self.indexes = [(numbers, ItemIndex([items[k] for k in numbers], size, rate)) for size, numbers in sorted(classes.items())]
+        self.sizes = sorted({len(w) for w in self.words})
+
+    def find(self, texts: list[str]) -> list[list[tuple[int, int, int]]]:
+        """Per text the ``(item, edits, end)`` of every leaked item."""
+        out: list[list[tuple[int, int, int]]] = [[] for _ in texts]
+        for numbers, index in self.indexes:
+            for found, leaks in zip(out, find_leaks(index, texts)):
+                found += [(numbers[i], edits, end) for i, edits, end in leaks]
+        for found, text in zip(out, texts if self.sizes else ()):
+            found += self._whole_words(text)
+        return [sorted(x) for x in out]
+
+    def _whole_words(self, text: str) -> list[tuple[int, int, int]]:
+        words = text.split(" ") if text else []
+        ends = np.cumsum([len(w) + 1 for w in words]) - 1
+        first: dict[int, int] = {}
+        for n in self.sizes:
+            for i in range(len(words) - n + 1):
+                for k in self.words.get(tuple(words[i:i + n]), ()):
+                    first.setdefault(k, int(ends[i + n - 1]))
+        return [(k, 0, end) for k, end in first.items()]
+
+
+def _leak_column(ids: list, items: list[str], q: int, rate: float, text: Column) -> Column:
     """Four numbers per leak: whether the item has an id, the id, edits, end."""
     token = f"qgram_{zlib.crc32(repr((ids, items, q, rate)).encode()):08x}"
 
     @F.pandas_udf("array<bigint>")
     def leaks(texts: pd.Series) -> pd.Series:
-        index = worker_cached(token, lambda: ItemIndex(items, q, rate))
+        index = worker_cached(token, lambda: LeakFinder(items, q, rate))
         out: list[list[int]] = []
-        group: list[bytes] = []
+        group: list[str] = []
         size = 0
 
         def flush():
-            for found in find_leaks(index, group):
+            for found in index.find(group):
                 out.append([x for i, edits, end in found
                             for x in (int(ids[i] is not None), ids[i] or 0, edits, end)])
             group.clear()
 
         for t in texts:
-            n = normalised(t)
+            n = folded(t)
             if group and size + len(n) > _BUFFER_BYTES:
                 flush()
                 size = 0
@@ -228,29 +289,29 @@ def _leak_structs(flat: Column) -> Column:
         F.get(flat, i + 3).alias("end")))))
 
 
-def item_blocks(benchmark: DataFrame, q: int, block_bytes: int):
-    """The items in blocks ``(ids, normalised texts)`` of bounded size."""
+def item_blocks(benchmark: DataFrame, q: int, block_bytes: int, short_items: bool = False):
+    """The items in blocks ``(ids, folded texts)`` of bounded size."""
     ids, items, held = [], [], 0
     for r in benchmark.select("item_id", "text").toLocalIterator():
-        x = normalised(r["text"])
-        if len(x) < q:
+        x, size = folded(r["text"]), len(normalised(r["text"]))
+        if not x or (len(x) < q and not short_items):
             continue
-        if held and held + len(x) > block_bytes:
+        if held and held + size > block_bytes:
             yield ids, items
             ids, items, held = [], [], 0
         ids.append(r["item_id"])
         items.append(x)
-        held += len(x)
+        held += size
     yield ids, items
 
 
 def with_leaks(df: DataFrame, benchmark: DataFrame, name: str, text: str = "text", q: int = Q,
-               rate: float = RATE, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+               rate: float = RATE, block_bytes: int = BLOCK_BYTES, short_items: bool = False) -> DataFrame:
     """``df`` with the array column ``name`` of ``struct(item_id, edits, end)``:
     each item that leaks into the text with its fewest edits and where that
-    region ends (byte of the normalised text)."""
+    region ends (character of the normalised text)."""
     out, flats = df, []
-    for ids, items in item_blocks(benchmark, q, block_bytes):
+    for ids, items in item_blocks(benchmark, q, block_bytes, short_items):
         flats.append(fresh(out, "_flat"))
         out = out.withColumn(flats[-1], _leak_column(ids, items, q, rate, F.col(text)))
     return out.withColumn(name, F.concat(*[_leak_structs(F.col(f)) for f in flats])).drop(*flats)

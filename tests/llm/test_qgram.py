@@ -1,7 +1,7 @@
 import random
 
 import pytest
-from flowstrata.llm.qgram import (ItemIndex, align, edit_budget, find_leaks, leaked_pairs, normalised, qgram_codes,
+from flowstrata.llm.qgram import (ItemIndex, LeakFinder, align, edit_budget, find_leaks, folded, leaked_pairs, normalised, qgram_codes,
                                   without_leaks)
 import numpy as np
 
@@ -73,6 +73,38 @@ def test_align_outside_of_the_text():
     assert align(b"abcdefghij", b"abcdefghij", -3, 7, 1) == (0, 10)
 
 
+def test_every_length_and_script_against_brute_force():
+    """Items of 1 to 60 characters in three alphabets: the whole budget of
+    8 % of the characters is found, short items as whole words only."""
+    rng = random.Random(5)
+
+    def words(letters, size):
+        x = "".join(rng.choice(letters + "  ") for _ in range(2 * size + 9))
+        return folded(x)[:size].strip() or letters[0]
+    hits = edited = 0
+    for letters in ("abcdefg", "бвгджзя", "語言模型資料集"):
+        items = [words(letters, n) for n in range(1, 61)]
+        finder = LeakFinder(items, 10, 0.08)
+        texts = [""]
+        for k in [*range(60)] * 4:
+            x, budget = items[k], int(0.08 * len(items[k]))
+            y = list(x)
+            for _ in range(rng.randint(0, budget + 1)):
+                y[rng.randrange(len(y))] = rng.choice(letters)
+            texts.append(folded(words(letters, rng.randint(0, 40)) + rng.choice([" ", ""]) + "".join(y) + " " + words(letters, 12)))
+        for text, got in zip(texts, finder.find(texts)):
+            got = {i: e for i, e, _ in got}
+            for i, x in enumerate(items):
+                if len(x) < 10:
+                    want = 0 if f" {x} " in f" {text} " else None
+                else:
+                    best = plain_distance(x, text)
+                    want = best if best <= int(0.08 * len(x)) else None
+                hits, edited = hits + (want is not None), edited + bool(want)
+                assert got.get(i) == want, (x, text)
+    assert hits > 600 and edited > 100
+
+
 def test_short_items_never_match_and_budget():
     assert edit_budget(9) < 0 and edit_budget(10) == 0 and edit_budget(100) == 8
     assert find_leaks(ItemIndex([b"short"], 10, 0.08), [b"a short text that is long"]) == [[]]
@@ -94,3 +126,15 @@ def test_pairs_and_stage(spark, odd_docs, make_docs, block_bytes):
     assert normalised(None) == b""
     assert without_leaks(docs, items.where("false")).count() == docs.count()
     assert leaked_pairs(docs.where("false"), items).count() == 0
+
+
+def test_short_items_as_whole_words(spark, make_docs):
+    docs = make_docs([(1, "Say: SO, it goes", "en", "z"), (2, "so  it", "en", "z"), (3, "also it", "en", "z"), (4, "so item", "en", "z"),
+                      (5, "", "en", "z"), (6, None, "en", "z"), (7, "что-то", "ru", "z"), (8, "so it so it", "en", "z")])
+    items = spark.createDataFrame([(1, "So it"), (2, "то"), (3, "?!"), (None, "so  IT")], "item_id long, text string")
+    got = sorted((r["doc_id"], r["item_id"] or 0, r["edits"], r["region_end"])
+                 for r in leaked_pairs(docs, items, short_items=True).collect())
+    assert got == [(1, 0, 0, 9), (1, 1, 0, 9), (2, 0, 0, 5), (2, 1, 0, 5), (7, 2, 0, 6), (8, 0, 0, 5), (8, 1, 0, 5)]
+    kept = without_leaks(docs, items, short_items=True)
+    assert sorted(r["doc_id"] for r in kept.collect()) == [3, 4, 5, 6]
+    assert leaked_pairs(docs, items).count() == 0
