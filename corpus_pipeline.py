@@ -35,7 +35,7 @@ def near_duplicates(spark, docs, sf_dir):
 
 def decontamination(spark, docs, sf_dir):
     """Documents into which no benchmark item leaks."""
-    return without_leaks(docs, table(spark, sf_dir, "benchmark"))
+    return without_leaks(docs, table(spark, sf_dir, "benchmark"), short_items=True)
 
 
 def mixing(spark, docs, sf_dir):
