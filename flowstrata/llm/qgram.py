@@ -34,17 +34,17 @@ from .common import fresh, worker_cached
 
 Q, RATE, BLOCK_BYTES = 10, 0.08, 8 << 20
 _BUFFER_BYTES, _CHUNK, _SLICE = 2 << 20, 1 << 16, 2_000_000
-_SPACE = {c: " " for c in range(128) if not chr(c).isalnum()}
+_SPACE = bytes(c if chr(c).isalnum() or c >= 128 else 32 for c in range(256))
 _ODD = 0x9E3779B97F4A7C15
 
 
-def folded(text: str | None) -> str:
-    return " ".join(w for w in (text or "").lower().translate(_SPACE).split(" ") if w)
+def normalised(text: str | None) -> bytes:
+    return b" ".join((text or "").lower().encode("utf-8", "replace").translate(_SPACE).split())
 
 
-def normalised(text: str | None) -> bytes:
-    """:func:`folded` in UTF-8."""
-    return folded(text).encode("utf-8", "replace")
+def folded(text: str | None) -> str:
+    """:func:`normalised` as characters."""
+    return normalised(text).decode("utf-8")
 
 
 def points(text: str | bytes) -> np.ndarray:
@@ -293,7 +293,8 @@ def item_blocks(benchmark: DataFrame, q: int, block_bytes: int, short_items: boo
     """The items in blocks ``(ids, folded texts)`` of bounded size."""
     ids, items, held = [], [], 0
     for r in benchmark.select("item_id", "text").toLocalIterator():
-        x, size = folded(r["text"]), len(normalised(r["text"]))
+        x = folded(r["text"])
+        size = len(x.encode("utf-8"))
         if not x or (len(x) < q and not short_items):
             continue
         if held and held + size > block_bytes:
