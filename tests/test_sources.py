@@ -176,3 +176,14 @@ def test_job_from_files_reuses_and_reports_bad_lines(spark):
     bad = {tuple(r) for r in TX.read_bad_lines(spark, P.bad_path(out)).collect()}
     assert bad == {("v", 'x "c"'), ("e", "2 oops")}
     assert {r.node_id for r in TX.read_results(spark, out).collect()} == {"1", "2", "3"}
+
+
+def test_partitioned_text_without_rows_keeps_its_columns(spark):
+    kinds = "cluster_rank BIGINT, cl_top STRING"
+    rows = spark.createDataFrame([(1, "007", "a"), (2, "x", "b")], f"{kinds}, node_name STRING")
+    for n, df in (("full", rows), ("none", rows.where("cluster_rank > 2"))):
+        path = staging_path(spark, n)
+        TX.write_partitioned_text(df, path, ["cluster_rank", "cl_top"], "node_name")
+        back = TX.read_partitioned_text(spark, path, "node_name", kinds).select("cluster_rank", "cl_top", "node_name")
+        assert back.dtypes == rows.dtypes
+        assert sorted(map(tuple, back.collect())) == sorted(map(tuple, df.collect()))
