@@ -100,3 +100,26 @@ def test_many_groups_start_to_end(spark):
         for v in now:
             for m in {now[t] for h, s, t in flows if h == g and s == v} | {now[s] for h, s, t in flows if h == g and t == v}:
                 assert bits(now | {v: m}) >= base - 1e-9
+
+
+def test_levels_of_a_task_are_those_of_the_jobs(spark):
+    """Many small groups: one task does all levels and passes of its groups,
+    with the modules that the level by level jobs find, and calls once a batch."""
+    from flowstrata.operators import moves
+    rng = random.Random(3)
+    links = [(g, rng.randrange(30) + 100 * g, rng.randrange(30) + 100 * g) for g in range(40) for _ in range(70)]
+    links += [(g, 100 * g + 50 + s, 100 * g + 50 + t) for g in range(40) for s, t in CYCLES16]
+    nf, lf = undirdir_flow(spark.createDataFrame(links, "g long, source long, target long"), ["g"])
+    got = {(r.g, r.node_id): r.module for r in two_level_partition(nf, lf, "g")[0].collect()}
+    alone = nf.select("g", "node_id", F.col("node_id").alias("module"))
+    assert got == {(r.g, r.node_id): r.module for r in two_level_partition(nf, lf, "g", start=alone)[0].collect()}
+    frames = [p for _, p in nf.toPandas().sort_values("g", ignore_index=True).groupby(lambda k: k // 7)]
+    whole = list(moves.whole_groups(frames))
+    assert sum(map(len, whole)) == sum(map(len, frames))
+    assert sum(w["g"].nunique() for w in whole) == 40 and len(whole) < 400
+
+
+def test_only_small_tables_pass_through_the_driver(spark):
+    from flowstrata.session import round_options
+    options = round_options(spark, 10**6)
+    assert options["spark.sql.autoBroadcastJoinThreshold"] == "256k"
