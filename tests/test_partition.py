@@ -123,3 +123,14 @@ def test_only_small_tables_pass_through_the_driver(spark):
     from flowstrata.session import round_options
     options = round_options(spark, 10**6)
     assert options["spark.sql.autoBroadcastJoinThreshold"] == "256k"
+
+
+def test_file_size_bounds_no_broadcast(spark):
+    """A staged table of few bytes and many rows is not sent through the driver."""
+    from flowstrata.session import SMALL_BROADCASTS, conf_override, round_options, stage
+    table = stage(spark.range(400_000).select((F.col("id") / 1000).cast("long").alias("k"), F.lit(1).alias("x")), "packed")
+    for options in (SMALL_BROADCASTS, round_options(spark, 3_000_000)):
+        with conf_override(spark, options):
+            met = spark.range(10).withColumnRenamed("id", "k").join(table, "k", "left")
+            assert len(met.collect()) == 10_000
+            assert "BroadcastHashJoin" not in met._jdf.queryExecution().executedPlan().toString()
