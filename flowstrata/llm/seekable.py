@@ -27,6 +27,7 @@ import struct
 import uuid
 import zlib
 from collections.abc import Iterable
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -73,6 +74,7 @@ class WordMemo:
         self.tokenizer = Tokenizer.from_file(vocabulary)
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
         self.dtype = np.dtype(f"<u{self.width}")
+        self.code = "H" if self.width == 2 else "I"
         # How the vocabulary's pre-tokenizer splits lower-cased text.
         self.split = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+").findall
         self.pieces: dict[str, bytes] = {}
@@ -81,24 +83,30 @@ class WordMemo:
     def _words(self, piece: str) -> list[str]:
         """The tokenizer's words; the piece itself where its normalizer does
         more than lower-casing (special tokens, other scripts, marks)."""
-        if "<|" in piece or max(piece, default="") >= "\u0300":
+        if piece.isascii():
+            if piece.isalpha():  # one letter run
+                return [piece.lower()]
+            if "<|" in piece:
+                return [piece]
+        elif "<|" in piece or max(piece) >= "\u0300":
             return [piece]
         return self.split(piece.lower())
 
     def _encode_new(self, pieces: set[str]) -> dict[str, bytes]:
         cut = {p: self._words(p) for p in pieces}
-        new = list({w for ws in cut.values() for w in ws if w not in self.words})
+        known = self.words
+        new = list(set(chain.from_iterable(cut.values())).difference(known))
         ids: dict[str, bytes] = {}
         for at in range(0, len(new), 4096):
             part = new[at:at + 4096]
-            for w, e in zip(part, self.tokenizer.encode_batch(part, add_special_tokens=False)):
-                ids[w] = np.array(e.ids, self.dtype).tobytes()
-        known = self.words
+            for w, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
+                found = e.ids
+                ids[w] = struct.pack(f"<{len(found)}{self.code}", *found)
         done = {p: b"".join([known[w] if w in known else ids[w] for w in ws]) for p, ws in cut.items()}
         if len(known) < _MEMO_WORDS:
             known.update(ids)
         if len(self.pieces) < _MEMO_PIECES:  # pieces of words seen before, which are likely to come again
-            self.pieces.update((p, done[p]) for p, ws in cut.items() if not any(w in ids for w in ws))
+            self.pieces.update((p, done[p]) for p, ws in cut.items() if ids.keys().isdisjoint(ws))
         return done
 
     def encode(self, texts: list[str | None]) -> list[bytes]:

@@ -24,6 +24,13 @@ def test_memo_equals_whole_texts():
         assert [np.frombuffer(x, memo.dtype).tolist() for x in memo.encode(texts)] == want
 
 
+def test_letter_runs_are_not_split():
+    memo, plain = WordMemo(VOCABULARY), Tokenizer.from_file(VOCABULARY)
+    memo.split = None  # not called
+    ids = plain.encode("Hello token FILES a", add_special_tokens=False).ids
+    assert np.frombuffer(memo.encode(["Hello token FILES a"])[0], memo.dtype).tolist() == ids
+
+
 @pytest.fixture
 def written():
     docs = [(None, [2]), (-3, [5, 2]), (7, list(range(1000)) + [2]), (7, [2]), (9, [65535, 2])]
