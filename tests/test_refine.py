@@ -134,3 +134,24 @@ def test_split_join_with_hot_and_null_keys(spark):
         assert left.columns == ["v", "k", "name"] and left.count() == 1000
         assert left.where("name is not null").count() == 802
         assert split_join(rows, table, ["k"], "n", ["v"], limit=limit).count() == 802
+
+
+def test_status_of_clusters_of_any_size(spark, tmp_path):
+    """A cluster larger than the registered upper bound is refined as well; one
+    below the lower bound is not."""
+    import duckdb
+
+    import __spark_entry__ as entry
+
+    sizes = {"Brand#1": 60, "Brand#2": 3, "Brand#3": 2}
+    brands = [b for b, n in sizes.items() for _ in range(n)]
+    con = duckdb.connect()
+    con.execute("CREATE TABLE part (p_partkey BIGINT, p_brand VARCHAR, p_type VARCHAR, p_size BIGINT, p_retailprice DOUBLE)")
+    con.executemany("INSERT INTO part VALUES (?, ?, 'T', 10, ?)", [(k, b, 1.0 + k) for k, b in enumerate(brands, 1)])
+    con.execute("CREATE TABLE lineitem (l_orderkey BIGINT, l_partkey BIGINT, l_linenumber BIGINT)")
+    con.executemany("INSERT INTO lineitem VALUES (?, ?, ?)", [(k, (k + i) % len(brands) + 1, i) for k in range(80) for i in (1, 2)])
+    for t in ("part", "lineitem"):
+        con.execute(f"COPY {t} TO '{tmp_path}/{t}.parquet'")
+    got = sorted((r.cl_top, r.status, r.n) for r in entry.queries()["refine_status"](spark, str(tmp_path)).collect())
+    assert got == [("1", "ok", 60), ("2", "ok", 3)]
+    assert got == sorted(con.execute(f"SELECT cl_top, status, n FROM ({entry.oracle_sql()['refine_status']}) q").fetchall())
