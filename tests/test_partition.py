@@ -2,7 +2,10 @@
 
 import math
 import random
+import tracemalloc
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import functions as F
 
 from flowstrata.operators.flow import undirdir_flow
@@ -134,3 +137,51 @@ def test_file_size_bounds_no_broadcast(spark):
             met = spark.range(10).withColumnRenamed("id", "k").join(table, "k", "left")
             assert len(met.collect()) == 10_000
             assert "BroadcastHashJoin" not in met._jdf.queryExecution().executedPlan().toString()
+
+
+def _group(nodes, links, seed):
+    """The rows of one random group, as a task gets them."""
+    rng = np.random.default_rng(seed)
+    s, t = rng.integers(0, nodes, links), rng.integers(0, nodes, links)
+    s, t = s[s != t], t[s != t]
+    f = rng.random(len(s))
+    f /= f.sum()
+    none = np.zeros(len(s))
+    rows = pd.DataFrame({"v": np.r_[s, t], "u": np.r_[t, s], "o": np.r_[f, none], "i": np.r_[none, f]})
+    rows = rows.groupby(["v", "u"], as_index=False).sum()
+    p, out = np.bincount(t, f, nodes), np.bincount(s, f, nodes)
+    rows.insert(0, "g", "a")
+    return rows.assign(p=p[rows["v"]], out=out[rows["v"]], m=rows["v"])
+
+
+def test_nodes_passed_over_have_no_move(monkeypatch):
+    """Passing nodes over that surely stay gives the modules of judging all
+    nodes in every sweep, with fewer of them judged."""
+    from flowstrata.operators import moves
+    real, judged = moves._Drift.judged, []
+    for seed, (nodes, links) in enumerate([(2, 3), (40, 60), (60, 300), (300, 900), (300, 6000), (3000, 9000)]):
+        rows, found = _group(nodes, links, seed), {}
+        for few in (-1.0, 0.02, 2.0):
+            monkeypatch.setattr(moves, "FEW_MOVES", few)
+            found[few] = moves.all_levels(rows, 1e-10)[1]
+        assert found[-1.0] == found[0.02] == found[2.0]
+    counts = []
+    for sure in (False, True):  # without slack no node is ever passed over
+        judged.clear()
+        monkeypatch.setattr(moves._Drift, "judged", lambda self, n, slack: (judged.append(n), real(self, n, slack if sure else 0.0)))
+        again = moves.all_levels(rows, 1e-10)[1]
+        counts.append(len(judged))
+        assert again == found[2.0]
+    assert counts[1] < counts[0]
+
+
+def test_a_task_holds_few_bytes_a_link():
+    """Links of a group stay in arrays while its frames are joined and moved."""
+    from flowstrata.operators import moves
+    rows = _group(4000, 60_000, 1)
+    tracemalloc.start()
+    frames = (rows.iloc[k:k + 10_000].copy() for k in range(0, len(rows), 10_000))
+    out = pd.concat(moves.moved_groups(frames, moves.all_levels, 1e-10, False))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(out) == 4000 and peak < 200 * len(rows)
