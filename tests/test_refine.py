@@ -100,6 +100,19 @@ def test_cluster_network_keeps_every_node_once(odd_network):
     assert top[1] == top[2] == top[3] != top[4] == top[5] == top[6]
 
 
+def test_cluster_network_builds_its_links_once(spark, odd_network):
+    """The links, here of a counted job, are not built again for every step."""
+    vertices, edges = odd_network
+    built = spark.sparkContext.accumulator(0)
+
+    def counted(frames):
+        for pdf in frames:
+            built.add(len(pdf))
+            yield pdf
+    rows = P.cluster_network(vertices, edges.mapInPandas(counted, edges.schema), 2, None).collect()
+    assert len(rows) == 7 and built.value == 7
+
+
 def test_file_jobs_leave_only_the_result(spark, odd_network, tmp_path):
     from flowstrata.session import checkpoint_dir
     from flowstrata.sources import pajek as PJ
